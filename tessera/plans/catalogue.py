@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.missing import exact_sum
-from tessera.operators import frame
+from tessera.operators import frame, ordered, prep, profile
 from tessera.plans import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +156,141 @@ def left_join_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.left_join(fx.sales(spark, sf_dir, with_region=True),
                            fx.products(spark, sf_dir, half=True), "item_id",
                            broadcast_rows=fx.DIMENSION_BROADCAST_ROWS)
+
+
+# ---------------------------------------------------------------- profile --
+
+_DESCRIBE_SCALES = {**MONEY, "l_orderkey": 0, "l_linenumber": 0, "item_id": 0}
+
+
+def _describe_sql(c: str, scale: int) -> str:
+    return (f"select '{c}' as column_name, count({c}) as count, "
+            f"cast(sum(cast({c} as decimal(18,{scale}))) as double) / count({c}) as mean, "
+            f"round(stddev_samp({c}), 4) as std, cast(min({c}) as double) as min, "
+            f"round(quantile_cont({c}, 0.25), 4) as p25, round(quantile_cont({c}, 0.5), 4) as p50, "
+            f"round(quantile_cont({c}, 0.75), 4) as p75, cast(max({c}) as double) as max from sales")
+
+
+@register("describe_numeric", SALES_SQL + "\nunion all\n".join(
+    _describe_sql(c, s) for c, s in _DESCRIBE_SCALES.items()))
+def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales.describe()``: one row per numeric column."""
+    s = fx.sales(spark, sf_dir)
+    return profile.describe(s, list(_DESCRIBE_SCALES), scales=_DESCRIBE_SCALES)
+
+
+CHURN_SQL = """
+with churn as (
+  select d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  from documents d left join labels l on d.doc_id = l.doc_id),
+clean as (
+  select doc_id, lang, source, n_chars, quality, toxic from churn
+  where doc_id is not null and text is not null and lang is not null and source is not null
+    and n_chars is not null and quality is not null and toxic is not null)
+"""
+
+_CHURN_COLS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+               ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
+
+
+@register("table_info", CHURN_SQL + "\nunion all\n".join(
+    f"select {i} as position, '{c}' as column_name, count({c}) as non_null, '{t}' as dtype from churn"
+    for i, (c, t) in enumerate(_CHURN_COLS)))
+def table_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``churn.info()``: non-null count and type per column."""
+    return profile.info(fx.churn(spark, sf_dir))
+
+
+@register("shape_of", CHURN_SQL + f"""
+select count(*) as n_rows, cast({len(_CHURN_COLS)} as bigint) as n_columns from churn
+where doc_id is not null and text is not null and lang is not null and source is not null
+  and n_chars is not null and quality is not null and toxic is not null
+""")
+def shape_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``df.dropna().shape``."""
+    return frame.shape(frame.drop_missing(fx.churn(spark, sf_dir)))
+
+
+@register("null_share", CHURN_SQL + "\nunion all\n".join(
+    f"select '{c}' as column_name, cast(count(*) - count({c}) as double) / count(*) as null_share "
+    f"from churn" for c, _ in _CHURN_COLS))
+def null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``df[c].isna().sum() / len(df)`` for every column in one pass."""
+    return frame.null_share(fx.churn(spark, sf_dir))
+
+
+def churn_clean_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-case names, drop rows with any missing value, drop the free text."""
+    df = frame.lower_case_columns(fx.churn(spark, sf_dir))
+    return frame.drop_columns(frame.drop_missing(df), ["text"])
+
+
+@register("churn_clean", CHURN_SQL + "select * from clean")
+def churn_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn_clean_frame(spark, sf_dir)
+
+
+@register("class_share", CHURN_SQL + """
+select cast(count_if(toxic = 1) as double) / count(*) as share_1,
+       cast(count_if(toxic = 0) as double) / count(*) as share_0 from clean
+""")
+def class_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each class of the target, one pass."""
+    df = churn_clean_frame(spark, sf_dir)
+    return frame.count_where(df, {"share_1": F.col("toxic") == 1, "share_0": F.col("toxic") == 0},
+                             share=True)
+
+
+# The categories of lang and source in the fixture tables, sorted.
+_LANGS = ["de", "en", "es", "fr"]
+_SOURCES = sorted(f"src{i}" for i in range(20))
+
+
+@register("one_hot", CHURN_SQL + "select doc_id, n_chars, quality, toxic, " + ", ".join(
+    [f"coalesce(lang = '{v}', false) as lang_{v}" for v in _LANGS[1:]]
+    + [f"coalesce(source = '{v}', false) as source_{v}" for v in _SOURCES[1:]]) + " from clean")
+def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pd.get_dummies(df, drop_first=True)`` on the cleaned churn table."""
+    return prep.one_hot(churn_clean_frame(spark, sf_dir))
+
+
+def _split_sql(select: str) -> str:
+    return CHURN_SQL + f""",
+r as (select *, row_number() over (order by md5('12345:' || cast(doc_id as varchar)), doc_id) as rn,
+             count(*) over () as n from clean),
+s as (select *, n - cast(ceil(0.4 * n) as bigint) as n_train,
+             cast(ceil(0.4 * n) as bigint) - cast(ceil(0.5 * cast(ceil(0.4 * n) as bigint)) as bigint)
+               as n_valid from r)
+{select}"""
+
+
+_PART_SQL = ("case when rn <= n_train then 'train' when rn <= n_train + n_valid then 'valid' "
+             "else 'test' end")
+
+
+@register("split_60_20_20", _split_sql(f"select doc_id, toxic, {_PART_SQL} as part from s"))
+def split_60_20_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two seeded splits (0.4, then 0.5 of the rest): train/valid/test labels."""
+    df = churn_clean_frame(spark, sf_dir).select("doc_id", "toxic")
+    return prep.split_three(df, "doc_id", seed=12345)
+
+
+@register("dense_ordinal", CHURN_SQL + """
+select row_number() over (order by doc_id) - 1 as idx, doc_id from clean
+""")
+def dense_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reset_index(drop=True)``: a dense 0-based ordinal in key order."""
+    df = churn_clean_frame(spark, sf_dir).select("doc_id")
+    ranked = ordered.ordered_index(df, ["doc_id"])
+    return ranked.select((F.col("__rank") - 1).alias("idx"), "doc_id")
+
+
+@register("balanced_weights", CHURN_SQL + """
+select doc_id, toxic, cast(count(*) over () as double)
+       / cast(count(*) over (partition by toxic) * (select count(distinct toxic) from clean) as double)
+       as class_weight from clean
+""")
+def balanced_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``class_weight='balanced'``: n / (k * n_class) per row."""
+    df = churn_clean_frame(spark, sf_dir).select("doc_id", "toxic")
+    return prep.balanced_weights(df, "toxic")
