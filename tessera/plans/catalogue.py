@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.missing import exact_sum
+from tessera.functions import arrays
 from tessera.operators import frame, ordered, prep, profile
 from tessera.plans import fixtures as fx
 
@@ -294,3 +295,131 @@ def balanced_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``class_weight='balanced'``: n / (k * n_class) per row."""
     df = churn_clean_frame(spark, sf_dir).select("doc_id", "toxic")
     return prep.balanced_weights(df, "toxic")
+
+
+# ----------------------------------------------------------------- arrays --
+
+def _embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.load(spark, sf_dir, "embeddings", "vec_id", "embedding")
+
+
+@register("array_slice", """
+select vec_id, embedding[1] as first, embedding[2:4] as middle,
+       list_reverse(embedding) as reversed from embeddings
+""")
+def array_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``a[0]``, ``a[1:4]``, ``a[::-1]`` on every vector."""
+    e = F.col("embedding")
+    return _embeddings(spark, sf_dir).select(
+        "vec_id", arrays.element(e, 0).alias("first"), arrays.slice0(e, 1, 4).alias("middle"),
+        arrays.reverse(e).alias("reversed"))
+
+
+@register("array_add", """
+select vec_id, [cast(embedding[i] as double) + cast(embedding[len(embedding) + 1 - i] as double)
+                for i in range(1, len(embedding) + 1)] as added from embeddings
+""")
+def array_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``arr1 + arr2`` elementwise: each vector plus its reverse."""
+    e = F.col("embedding")
+    return _embeddings(spark, sf_dir).select("vec_id", arrays.add(e, F.reverse(e)).alias("added"))
+
+
+@register("array_scale", """
+select vec_id, [cast(x as double) * cast(2.0 as double) for x in embedding] as scaled
+from embeddings
+""")
+def array_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``arr * 2``."""
+    return _embeddings(spark, sf_dir).select(
+        "vec_id", arrays.scale("embedding", 2).alias("scaled"))
+
+
+@register("axis_mean", """
+select vec_id, [(cast(embedding[i * 4 + 1] as double) + cast(embedding[i * 4 + 2] as double)
+                 + cast(embedding[i * 4 + 3] as double) + cast(embedding[i * 4 + 4] as double))
+                / cast(4 as double) for i in range(0, 16)] as gray
+from embeddings
+""")
+def axis_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``np.mean(image, axis=2)``: 64 values = 16 pixels x 4 channels."""
+    return _embeddings(spark, sf_dir).select(
+        "vec_id", arrays.axis_mean("embedding", 4).alias("gray"))
+
+
+@register("array_build", """
+select vec_id, 2 as n_dims, cast(len(embedding) / 4 as int) as n_rows, 4 as n_cols,
+       'float' as dtype,
+       [cast(0 as double) for x in embedding] as zeros,
+       [[cast(1 as double) for j in range(4)] for i in range(cast(len(embedding) / 4 as int))] as ones,
+       [cast(k as bigint) for k in range(0, len(embedding), 2)] as evens
+from embeddings
+""")
+def array_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shape facts (ndim, shape, dtype) of each vector seen as pixels x
+    channels, and zeros / ones / arange arrays of matching size."""
+    e = F.col("embedding")
+    m = arrays.reshape(e, 4)
+    return _embeddings(spark, sf_dir).select(
+        "vec_id", F.lit(2).alias("n_dims"), F.size(m).alias("n_rows"),
+        F.size(m[0]).alias("n_cols"),
+        F.lit(spark.read.parquet(fx.table_path(sf_dir, "embeddings")).schema["embedding"]
+              .dataType.elementType.simpleString()).alias("dtype"),
+        arrays.zeros(F.size(e)).alias("zeros"), arrays.ones(F.size(m), 4).alias("ones"),
+        arrays.arange(0, F.size(e), 2).alias("evens"))
+
+
+@register("range_square", """
+select p_partkey, p_partkey * p_partkey as key_sq, cast(p_size as bigint) * p_size as size_sq
+from part
+""")
+def range_square(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``arr ** 2`` over whole columns (integral stays integral)."""
+    p = fx.load(spark, sf_dir, "part", "p_partkey", "p_size")
+    return p.select("p_partkey", arrays.square("p_partkey").alias("key_sq"),
+                    arrays.square(F.col("p_size").cast("long")).alias("size_sq"))
+
+
+@register("ratio_square", """
+select p_partkey, p_retailprice / (cast(p_size as double) * p_size) as ratio from part
+""")
+def ratio_square(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``weight / height ** 2`` (BMI form): price per squared size."""
+    p = fx.load(spark, sf_dir, "part", "p_partkey", "p_retailprice", "p_size")
+    size = F.col("p_size").cast("double")
+    return p.select("p_partkey", F.try_divide(F.col("p_retailprice"), size * F.col("p_size"))
+                    .alias("ratio"))
+
+
+@register("tally", """
+select count_if(event_type = 'click') as heads, count_if(event_type = 'view') as tails from events
+""")
+def tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coin-toss tally: two conditional counts in one pass."""
+    ev = fx.load(spark, sf_dir, "events", "event_type")
+    return frame.count_where(ev, {"heads": F.col("event_type") == "click",
+                                  "tails": F.col("event_type") == "view"})
+
+
+_COIN_SQL = """
+with flips as (
+  select event_id, (instr('0123456789abcdef',
+                          substr(md5('42:' || cast(event_id as varchar)), 32, 1)) - 1) % 2 as flip
+  from events)
+"""
+
+
+@register("random_coin", _COIN_SQL + "select event_id, flip from flips")
+def random_coin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``randint(0, 2, size=n)``: one seeded, partition-independent draw per event."""
+    ev = fx.load(spark, sf_dir, "events", "event_id")
+    return ev.select("event_id", arrays.coin(F.col("event_id"), seed=42).alias("flip"))
+
+
+@register("coin_tally", _COIN_SQL + """
+select count_if(flip = 0) as heads, count_if(flip = 1) as tails from flips
+""")
+def coin_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tally of the seeded draws (the reference's loop of ``if``/``elif``)."""
+    flips = random_coin(spark, sf_dir)
+    return frame.count_where(flips, {"heads": F.col("flip") == 0, "tails": F.col("flip") == 1})

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.frame import broadcast_if_bounded
-from tessera.sources.tables import load
+from tessera.sources.tables import load, table_path  # noqa: F401
 
 # The stand-in column mapping (reference name -> table column).
 SALES_COLUMNS = {
