@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.missing import exact_sum
 from tessera.functions import arrays
-from tessera.operators import frame, ordered, prep, profile
+from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -423,3 +423,128 @@ def coin_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tally of the seeded draws (the reference's loop of ``if``/``elif``)."""
     flips = random_coin(spark, sf_dir)
     return frame.count_where(flips, {"heads": F.col("flip") == 0, "tails": F.col("flip") == 1})
+
+
+# ---------------------------------------------------------------- metrics --
+
+SCORED_SQL = """
+with scored as (
+  select event_id, cast(event_type = 'purchase' as int) as y,
+         least(cast(floor(value / 2) as int), 100) / cast(100 as double) as score from events)
+"""
+# The reference's operating threshold and its two sweep grids.
+THRESHOLD = 0.36
+SWEEP_TREE = (0.0, 0.9, 0.02)     # np.arange(0, 0.9, 0.02): 45 points
+SWEEP_FOREST = (0.0, 0.8, 0.02)   # np.arange(0, 0.8, 0.02): 40 points
+
+
+def _ratio_sql(num: str, den: str) -> str:
+    return f"case when {den} > 0 then cast({num} as double) / cast({den} as double) else 0.0 end"
+
+
+@register("confusion", SCORED_SQL + f"""
+select count_if(y = 1 and score > cast({THRESHOLD} as double)) as tp,
+       count_if(y = 0 and score > cast({THRESHOLD} as double)) as fp,
+       count_if(y = 0 and not score > cast({THRESHOLD} as double)) as tn,
+       count_if(y = 1 and not score > cast({THRESHOLD} as double)) as fn from scored
+""")
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion counts of ``score > 0.36``."""
+    s = fx.scored(spark, sf_dir)
+    return metrics.confusion(s, "y", F.col("score") > THRESHOLD)
+
+
+@register("f1", SCORED_SQL + f"""
+, c as (select count_if(y = 1 and score > cast({THRESHOLD} as double)) as tp,
+               count_if(y = 0 and score > cast({THRESHOLD} as double)) as fp,
+               count_if(y = 1 and not score > cast({THRESHOLD} as double)) as fn from scored)
+select {_ratio_sql('tp', 'tp + fp')} as precision, {_ratio_sql('tp', 'tp + fn')} as recall,
+       {_ratio_sql('2 * tp', '2 * tp + fp + fn')} as f1 from c
+""")
+def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and F1 of ``score > 0.36``."""
+    s = fx.scored(spark, sf_dir)
+    return metrics.scores(s, "y", F.col("score") > THRESHOLD).select("precision", "recall", "f1")
+
+
+@register("accuracy", SCORED_SQL + """
+select cast(count_if((y = 1) = (score > cast(0.5 as double))) as double) / count(*) as accuracy
+from scored
+""")
+def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``model.score``: share of correct class predictions (score > 0.5)."""
+    s = fx.scored(spark, sf_dir)
+    return metrics.accuracy(s, "y", F.col("score") > 0.5)
+
+
+def _sweep_sql(n: int, select: str) -> str:
+    return SCORED_SQL + f"""
+, t as (select k * cast(0.02 as double) as threshold from range({n}) r(k))
+, c as (select threshold, count_if(y = 1 and score > threshold) as tp,
+               count_if(y = 0 and score > threshold) as fp,
+               count_if(y = 1 and not score > threshold) as fn
+        from t cross join scored group by threshold)
+, m as (select threshold, tp, fp, fn, {_ratio_sql('tp', 'tp + fp')} as precision,
+               {_ratio_sql('tp', 'tp + fn')} as recall,
+               {_ratio_sql('2 * tp', '2 * tp + fp + fn')} as f1 from c)
+{select}"""
+
+
+@register("threshold_sweep", _sweep_sql(45, "select * from m"))
+def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision/recall/F1 at thresholds 0, 0.02, ..., 0.88 (strict ``>``)."""
+    return metrics.threshold_sweep(fx.scored(spark, sf_dir), "y", "score",
+                                   metrics.threshold_grid(*SWEEP_TREE))
+
+
+@register("best_threshold", _sweep_sql(40, "select * from m order by f1 desc, threshold limit 1"))
+def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The F1-best threshold of the 40-point forest sweep."""
+    sweep = metrics.threshold_sweep(fx.scored(spark, sf_dir), "y", "score",
+                                    metrics.threshold_grid(*SWEEP_FOREST))
+    return metrics.best_threshold(sweep)
+
+
+_CUM_SQL = SCORED_SQL + """
+, per as (select score, cast(sum(y) as bigint) as pos, cast(sum(1 - y) as bigint) as neg
+          from scored group by score)
+, cum as (select score, pos, neg,
+                 cast(sum(pos) over (order by score desc) as bigint) as tps,
+                 cast(sum(neg) over (order by score desc) as bigint) as fps from per)
+"""
+
+
+@register("pr_curve", _CUM_SQL + """
+select score as threshold, cast(tps as double) / (tps + fps) as precision,
+       cast(tps as double) / (select max(tps) from cum) as recall from cum
+union all select cast(null as double), cast(1 as double), cast(0 as double)
+""")
+def pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``precision_recall_curve`` as a table."""
+    return metrics.pr_curve(fx.scored(spark, sf_dir), "y", "score")
+
+
+@register("roc_curve", _CUM_SQL + """
+, t as (select max(tps) as p, max(fps) as n from cum)
+, z as (select *, lag(tps) over (order by score desc) as t0, lead(tps) over (order by score desc) as t1,
+               lag(fps) over (order by score desc) as f0, lead(fps) over (order by score desc) as f1
+        from cum)
+select score as threshold, cast(fps as double) / n as fpr, cast(tps as double) / p as tpr
+from z cross join t
+where t0 is null or t1 is null or t1 - 2 * tps + t0 <> 0 or f1 - 2 * fps + f0 <> 0
+union all select cast('Infinity' as double), cast(0 as double), cast(0 as double)
+""")
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``roc_curve`` (collinear points dropped, starting at +inf)."""
+    return metrics.roc_curve(fx.scored(spark, sf_dir), "y", "score")
+
+
+@register("roc_auc", _CUM_SQL + """
+, z as (select tps, fps, coalesce(lag(tps) over (order by score desc), 0) as t0,
+               coalesce(lag(fps) over (order by score desc), 0) as f0 from cum)
+select cast(sum((fps - f0) * (tps + t0)) as double) / 2
+       / (cast(max(tps) as double) * max(fps)) as auc from z
+""")
+def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``roc_auc_score``, exact."""
+    return metrics.roc_auc(fx.scored(spark, sf_dir), "y", "score")
