@@ -17,6 +17,8 @@ from tessera.functions.missing import exact_sum
 from tessera.functions import arrays
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
+from tessera.session import scratch_dir
+from tessera.sources import text_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -548,3 +550,33 @@ select cast(sum((fps - f0) * (tps + t0)) as double) / 2
 def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``roc_auc_score``, exact."""
     return metrics.roc_auc(fx.scored(spark, sf_dir), "y", "score")
+
+
+# ------------------------------------------------------- sources and sinks --
+
+@register("csv_roundtrip", "select * from part")
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``to_csv(index=False)`` then ``read_csv``: part survives unchanged."""
+    part = fx.load(spark, sf_dir, "part")
+    path = scratch_dir(spark, "csv")
+    text_tables.write_csv(part, path)
+    return text_tables.read_csv(spark, path, schema=part.schema)
+
+
+@register("json_roundtrip", "select * from part")
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``to_json`` (lines) then ``read_json``: part survives unchanged."""
+    part = fx.load(spark, sf_dir, "part")
+    path = scratch_dir(spark, "json")
+    text_tables.write_json(part, path, orient="lines")
+    return text_tables.read_json(spark, path, orient="lines", schema=part.schema)
+
+
+@register("json_columns_roundtrip", "select * from part")
+def json_columns_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's default JSON layout ``{"col": {"row": value}}``, written
+    as a folder of parts and read back (full float precision)."""
+    part = fx.load(spark, sf_dir, "part")
+    path = scratch_dir(spark, "jsoncols")
+    text_tables.write_json(part, path, orient="columns", double_precision=15)
+    return text_tables.read_json(spark, path, orient="columns", schema=part.schema)
