@@ -99,7 +99,7 @@ def _offsets(spark: SparkSession, bucketed: DataFrame, order: list[Column],
         for s in sums:
             run[s] += r[f"__t_{s}"] or 0
     out = [rec + (run_n,) + tuple(run[s] for s in sums) for rec in out]
-    fields = [T.StructField(BUCKET, T.LongType()), T.StructField("__off_n", T.LongType())]
+    fields = [T.StructField(BUCKET, T.LongType()), T.StructField("__off_rows", T.LongType())]
     types = {f.name: f.dataType for f in bucketed.schema.fields}
     sum_types = {}
     for s in sums:
@@ -108,7 +108,7 @@ def _offsets(spark: SparkSession, bucketed: DataFrame, order: list[Column],
         fields.append(T.StructField(f"__off_{s}", sum_types[s]))
     for c in lead_cols:
         fields.append(T.StructField(f"__nf_{c}", types[c]))
-    fields.append(T.StructField("tot_n", T.LongType()))
+    fields.append(T.StructField("tot_rows", T.LongType()))
     for s in sums:
         fields.append(T.StructField(f"tot_{s}", sum_types[s]))
     return spark.createDataFrame(out, T.StructType(fields))
@@ -120,7 +120,7 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
                   n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True) -> DataFrame:
     """Global 1-based ``__rank``, running sums ``cum_<s>`` and next-row values
     ``next_<c>`` in the order of ``order_cols``, computed without one-task windows.
-    Grand totals come along as ``tot_n`` and ``tot_<s>``.
+    Grand totals come along as ``tot_rows`` and ``tot_<s>``.
 
     ``hash_col`` names a uniform hex-hash column that leads the order (bucket =
     its first ``hash_digits`` digits); otherwise buckets are range buckets of
@@ -148,10 +148,10 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = bucketed.join(F.broadcast(offs), BUCKET, "left")
     cols = [F.col(c) for c in df.columns]
-    cols.append((F.row_number().over(w) + F.col("__off_n")).alias("__rank"))
+    cols.append((F.row_number().over(w) + F.col("__off_rows")).alias("__rank"))
     for s in sums:
         cols.append((F.sum(s).over(running) + F.col(f"__off_{s}")).alias(f"cum_{s}"))
     for c in lead_cols:
         cols.append(F.coalesce(F.lead(c).over(w), F.col(f"__nf_{c}")).alias(f"next_{c}"))
-    cols += [F.col("tot_n")] + [F.col(f"tot_{s}") for s in sums]
+    cols += [F.col("tot_rows")] + [F.col(f"tot_{s}") for s in sums]
     return out.select(*cols)
