@@ -59,3 +59,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+
+
+def local_path(path: str) -> str:
+    """A ``file:`` URI as a plain path for Python file IO (other schemes unchanged)."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
