@@ -18,7 +18,7 @@ from tessera.functions import arrays
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
 from tessera.session import scratch_dir
-from tessera.sources import text_tables
+from tessera.sources import images, text_tables, workbooks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -580,3 +580,39 @@ def json_columns_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "jsoncols")
     text_tables.write_json(part, path, orient="columns", double_precision=15)
     return text_tables.read_json(spark, path, orient="columns", schema=part.schema)
+
+
+@register("xlsx_roundtrip", "select * from part")
+def xlsx_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``to_excel(sheet_name='Sheet1', index=False)`` then ``read_excel``."""
+    part = fx.load(spark, sf_dir, "part")
+    path = scratch_dir(spark, "xlsx")
+    workbooks.write_xlsx(part, path, sheet_name="Sheet1")
+    return workbooks.read_xlsx(spark, path, sheet_name="Sheet1", schema=part.schema)
+
+
+def _q_sql(i: str) -> str:
+    return f"least(greatest(floor((cast(embedding[{i}] as double) + 1) * 128), 0), 255)"
+
+
+@register("image_gray", f"""
+select vec_id, [cast({_q_sql('i * 4 + 1')} + {_q_sql('i * 4 + 2')} + {_q_sql('i * 4 + 3')}
+                     + {_q_sql('i * 4 + 4')} as double) / 4 for i in range(0, 16)] as gray
+from embeddings
+""")
+def image_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``imread`` + ``np.mean(image, axis=2)`` over a folder of images.
+
+    Each embedding becomes a 4x4 RGBA PNG (64 values quantised to 8 bits),
+    the folder is read back with Spark's image source and every pixel's
+    channel mean is computed.
+    """
+    e = _embeddings(spark, sf_dir).select(
+        "vec_id", F.transform("embedding", images.quantize).alias("px"))
+    path = scratch_dir(spark, "png")
+    images.write_pngs(e.withColumn("name", F.concat(F.lit("vec-"), F.col("vec_id").cast("string"))),
+                      path, "name", "px", width=4, channels=4)
+    img = images.read_images(spark, path)
+    return img.select(
+        F.regexp_extract("image.origin", r"vec-(\d+)\.png$", 1).cast("long").alias("vec_id"),
+        images.gray("image").alias("gray"))

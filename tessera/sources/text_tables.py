@@ -28,6 +28,9 @@ NA_VALUES = (
 )
 
 
+_BOOL_TEXT = ("True", "False", "true", "false", "TRUE", "FALSE")
+
+
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -39,18 +42,22 @@ def na_to_null(df: DataFrame, na_values: Sequence[str] = NA_VALUES) -> DataFrame
 
 
 def infer_types(df: DataFrame) -> T.StructType:
-    """Schema of an all-text frame: BIGINT if every value parses as an integer,
-    DOUBLE if as a number, else STRING.  One aggregate pass over the data."""
+    """Schema of an all-text frame: BOOLEAN if every value is True/False,
+    BIGINT if every value parses as an integer, DOUBLE if as a number, else
+    STRING.  One aggregate pass over the data."""
     aggs = []
     for i, c in enumerate(df.columns):
         aggs += [F.count(_c(c)).alias(f"n{i}"),
+                 F.count_if(_c(c).isin(*_BOOL_TEXT)).alias(f"b{i}"),
                  F.count(F.expr(f"try_cast(`{c}` as bigint)")).alias(f"l{i}"),
                  F.count(F.expr(f"try_cast(`{c}` as double)")).alias(f"d{i}")]
     r = df.agg(*aggs).first()
     fields = []
     for i, c in enumerate(df.columns):
-        n, l_, d = r[f"n{i}"], r[f"l{i}"], r[f"d{i}"]
-        if n > 0 and l_ == n:
+        n, b, l_, d = r[f"n{i}"], r[f"b{i}"], r[f"l{i}"], r[f"d{i}"]
+        if n > 0 and b == n:
+            t = T.BooleanType()
+        elif n > 0 and l_ == n:
             t = T.LongType()
         elif n > 0 and d == n:
             t = T.DoubleType()
