@@ -217,3 +217,127 @@ def cross_validate(spark: SparkSession, train: DataFrame, key: str, estimator: E
 
 def probability_column(df: DataFrame) -> Column:
     return vector_to_array("probability")[1]
+
+
+# ------------------------------------------- tree grid with shared fits --
+
+def tree_nodes(spark: SparkSession, model: Model) -> dict[int, dict]:
+    """Nodes of a fitted tree from its saved form: id -> {feature, threshold,
+    left, right, prediction, count, depth}.  Bounded by the model size."""
+    from tessera.session import scratch_dir
+    path = scratch_dir(spark, "tree")
+    model.write().save(path)
+    rows = spark.read.parquet(path + "/data").select(
+        "id", "prediction", "rawCount", "leftChild", "rightChild",
+        F.col("split.featureIndex").alias("feature"),
+        F.col("split.leftCategoriesOrThreshold").alias("thr")).collect()
+    nodes = {r["id"]: {"feature": r["feature"], "threshold": r["thr"][0] if r["thr"] else None,
+                       "left": r["leftChild"], "right": r["rightChild"],
+                       "prediction": r["prediction"], "count": r["rawCount"]} for r in rows}
+    stack = [(0, 0)]
+    while stack:
+        i, d = stack.pop()
+        nodes[i]["depth"] = d
+        if nodes[i]["left"] >= 0:
+            stack += [(nodes[i]["left"], d + 1), (nodes[i]["right"], d + 1)]
+    return nodes
+
+
+def leaf_of(nodes: Mapping[int, dict], features: str = "features") -> Column:
+    """Column: id of the leaf each row reaches (continuous splits: go left
+    when x[feature] <= threshold), as a JVM-side fold over the tree depth."""
+    n = max(nodes) + 1
+    get = {k: [nodes[i][k] if i in nodes else None for i in range(n)]
+           for k in ("feature", "threshold", "left", "right")}
+    feat = F.array(*[F.lit(v if v is not None else -1).cast("int") for v in get["feature"]])
+    thr = F.array(*[F.lit(v).cast("double") for v in get["threshold"]])
+    left = F.array(*[F.lit(v).cast("int") for v in get["left"]])
+    right = F.array(*[F.lit(v).cast("int") for v in get["right"]])
+    x = vector_to_array(features)
+    depth = max(v["depth"] for v in nodes.values())
+
+    def step(node, _i):
+        at = node + 1
+        go_left = F.element_at(x, F.element_at(feat, at) + 1) <= F.element_at(thr, at)
+        return F.when(F.element_at(left, at) < 0, node).otherwise(
+            F.when(go_left, F.element_at(left, at)).otherwise(F.element_at(right, at)))
+    if depth == 0:
+        return F.lit(0)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+
+
+def _paths(nodes: Mapping[int, dict]) -> dict[int, list[int]]:
+    """Root-to-leaf node ids for every leaf."""
+    out, stack = {}, [(0, [0])]
+    while stack:
+        i, p = stack.pop()
+        if nodes[i]["left"] < 0:
+            out[i] = p
+        else:
+            stack += [(nodes[i]["left"], p + [nodes[i]["left"]]),
+                      (nodes[i]["right"], p + [nodes[i]["right"]])]
+    return out
+
+
+def truncated_prediction(nodes: Mapping[int, dict], path: Sequence[int], max_depth: int,
+                         min_split: int) -> float:
+    """Prediction of the tree grown with ``max_depth`` and ``min_split`` for a
+    row whose full-tree path is ``path``: growth is top-down, so that tree is
+    the full tree with nodes at ``max_depth`` or with fewer than ``min_split``
+    training rows turned into leaves."""
+    for i in path:
+        nd = nodes[i]
+        if nd["left"] < 0 or nd["depth"] >= max_depth or nd["count"] < min_split:
+            return nd["prediction"]
+    return nodes[path[-1]]["prediction"]
+
+
+def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
+                     max_depth: Sequence[int], min_leaf: Sequence[int], min_split: Sequence[int],
+                     k: int = 5, seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM
+                     ) -> DataFrame:
+    """``GridSearchCV(DecisionTreeClassifier(), {max_depth, min_samples_leaf,
+    min_samples_split})`` with k stratified folds and accuracy.
+
+    Trees grow top-down, so for each fold and leaf size one tree of the
+    largest depth is fitted; every (depth, min split) candidate is that tree
+    cut at the depth and at nodes with fewer rows than the min split.  Each
+    fold's validation rows are reduced to (leaf, label, count) by one Spark
+    aggregation; candidates are scored from that table, whose size is bounded
+    by the tree, not by the data.  Fits: k * len(min_leaf) instead of
+    k * |grid|.  Returns (max_depth, min_samples_leaf, min_samples_split,
+    mean_accuracy, rank) with rank 1 = best, ties to the first candidate in
+    grid order.
+    """
+    folds = prep.stratified_folds(train.withColumn("__y", F.col("label").cast("long")),
+                                  key, "__y", k=k, seed=seed).drop("__y").checkpoint(eager=True)
+    deepest = max(max_depth)
+
+    def run(job):
+        f, leaf = job
+        fit_on = folds.filter(F.col("fold") != f)
+        model = tree(deepest, min_leaf=leaf, seed=seed).fit(fit_on)
+        nodes = tree_nodes(spark, model)
+        counts = (folds.filter(F.col("fold") == f)
+                  .groupBy(leaf_of(nodes).alias("leaf"), F.col("label"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+        return f, leaf, nodes, counts
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        fitted = list(pool.map(run, [(f, leaf) for f in range(k) for leaf in min_leaf]))
+    acc: dict[tuple[int, int, int], list[float]] = {}
+    for f, leaf, nodes, counts in fitted:
+        paths = _paths(nodes)
+        total = sum(r["n"] for r in counts)
+        for d in max_depth:
+            for s in min_split:
+                correct = sum(r["n"] for r in counts
+                              if truncated_prediction(nodes, paths[r["leaf"]], d, s) == r["label"])
+                acc.setdefault((d, leaf, s), [0.0] * k)[f] = correct / total
+    order = [(d, leaf, s) for d in max_depth for leaf in min_leaf for s in min_split]
+    means = {c: sum(acc[c]) / k for c in order}
+    ranked = sorted(order, key=lambda c: (-means[c], order.index(c)))
+    rank = {c: i + 1 for i, c in enumerate(ranked)}
+    rows = [(d, leaf, s, means[(d, leaf, s)], rank[(d, leaf, s)]) for d, leaf, s in order]
+    return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
+                                       "min_samples_split long, mean_accuracy double, rank long")
