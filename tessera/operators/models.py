@@ -341,3 +341,14 @@ def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
     rows = [(d, leaf, s, means[(d, leaf, s)], rank[(d, leaf, s)]) for d, leaf, s in order]
     return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
                                        "min_samples_split long, mean_accuracy double, rank long")
+
+
+def save(model: Model, path: str) -> str:
+    """Persist a fitted model (the reference imports ``joblib.dump``)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load(kind: type, path: str) -> Model:
+    """Load a model saved with :func:`save`; ``kind`` is the model class."""
+    return kind.load(path)

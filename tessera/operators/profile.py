@@ -1,9 +1,10 @@
 """Table profiles: ``info()`` (A6) and ``describe()`` (A7).
 
-Both are one aggregate pass over the table (plus one more for quantiles),
-unpivoted to one row per column.  Quantiles are exact: Spark's ``percentile``
-when the column's distinct values are few enough for its value->count map,
-otherwise a distributed selection over value counts (two-level prefix).
+Both are one aggregate pass over the table, unpivoted to one row per column.
+Quantiles are exact: Spark's ``percentile`` inside the same pass when the
+table is small enough for its value->count map (checked with a bounded
+``limit().count()``), otherwise a distributed selection over value counts
+(two-level prefix) per column.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from tessera.operators import ordered
 from tessera.operators.frame import col
 
 QUANTILES = (0.25, 0.5, 0.75)
-# Columns with at most this many distinct values use Spark's exact percentile.
-EXACT_PERCENTILE_NDV = 1_000_000
+# Tables of at most this many rows use Spark's exact ``percentile`` (its final
+# value->count map then holds at most this many entries); larger ones use the
+# distributed selection.
+EXACT_PERCENTILE_ROWS = 5_000_000
 # Standard deviation and interpolated quantiles are reported to 4 decimals.
 ROUND_DIGITS = 4
 
@@ -94,25 +97,24 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     """
     scales = scales or {}
     names = list(columns or numeric_columns(df))
+    small = df.limit(EXACT_PERCENTILE_ROWS + 1).count() <= EXACT_PERCENTILE_ROWS
     aggs = []
     for i, c in enumerate(names):
         v = _clean(df, c)
         mean = exact_mean(v, scales[c]) if c in scales else F.avg(v)
         aggs += [F.count(v).alias(f"n{i}"), mean.alias(f"m{i}"),
                  F.round(F.stddev_samp(v), ROUND_DIGITS).alias(f"s{i}"),
-                 F.min(v).cast("double").alias(f"lo{i}"), F.max(v).cast("double").alias(f"hi{i}"),
-                 F.approx_count_distinct(v).alias(f"d{i}")]
+                 F.min(v).cast("double").alias(f"lo{i}"), F.max(v).cast("double").alias(f"hi{i}")]
+        if small:
+            aggs.append(F.percentile(v, list(quantiles)).alias(f"q{i}"))
     first = df.agg(*aggs).first()
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
-    small = [i for i, _ in enumerate(names) if first[f"d{i}"] <= EXACT_PERCENTILE_NDV]
     qvals: dict[int, list] = {}
-    if small:
-        qrow = df.agg(*[F.percentile(_clean(df, names[i]), list(quantiles)).alias(f"q{i}")
-                        for i in small]).first()
-        for i in small:
-            qvals[i] = list(qrow[f"q{i}"]) if qrow[f"q{i}"] is not None else [None] * len(quantiles)
     for i, c in enumerate(names):
-        if i not in qvals:
+        if small:
+            got = first[f"q{i}"]
+            qvals[i] = list(got) if got is not None else [None] * len(quantiles)
+        else:
             qvals[i] = exact_quantiles(df, c, quantiles, first[f"n{i}"])
     rows = []
     for i, c in enumerate(names):

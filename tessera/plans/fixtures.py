@@ -35,9 +35,9 @@ DIMENSION_BROADCAST_ROWS = 100_000
 
 
 def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n_nationkey, region): nation joined to region, broadcast if small."""
-    region = broadcast_if_bounded(load(spark, sf_dir, "region", "r_regionkey", "r_name"),
-                                  DIMENSION_BROADCAST_ROWS)
+    """(n_nationkey, region): nation joined to region, broadcast if small
+    (one bounded check on the joined result)."""
+    region = load(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = load(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     nr = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     return broadcast_if_bounded(

@@ -67,3 +67,14 @@ def test_coin_is_partition_independent(spark):
     counts = {r["c"]: r["count"] for r in a.groupBy("c").count().collect()}
     assert set(counts) == {0, 1} and sum(counts.values()) == 5000
     assert 2200 < counts[0] < 2800
+
+
+def test_series_and_table_literals(spark):
+    from tessera.sources import literals
+    s = literals.series(spark, [10, 20, 30, 40, 50])
+    assert [tuple(r) for r in s.orderBy("idx").collect()] == [(0, 10), (1, 20), (2, 30), (3, 40),
+                                                              (4, 50)]
+    df = literals.from_columns(spark, {"Name": ["Alice", "Bob", "Charlie"], "Age": [25, 30, 28],
+                                       "City": ["New York", "London", "Paris"]})
+    assert df.columns == ["Name", "Age", "City"] and dict(df.dtypes)["Age"] == "bigint"
+    assert df.count() == 3

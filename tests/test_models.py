@@ -64,3 +64,14 @@ def test_forest_independent_of_input_partitioning(spark):
     pa = sorted(models.predict(ma, df).select("k", "p1").collect())
     pb = sorted(models.predict(mb, df).select("k", "p1").collect())
     assert pa == pb
+
+
+def test_save_and_load(spark):
+    from pyspark.ml.classification import DecisionTreeClassificationModel
+
+    from tessera.session import scratch_dir
+    df = _data(spark, 100)
+    m = models.tree(3, seed=1).fit(df)
+    p = models.save(m, scratch_dir(spark, "model"))
+    back = models.load(DecisionTreeClassificationModel, p)
+    assert back.toDebugString.split("\n", 1)[1] == m.toDebugString.split("\n", 1)[1]

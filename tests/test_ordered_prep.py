@@ -113,3 +113,13 @@ def test_describe_matches_pandas(spark):
         for s, k in [("mean", "mean"), ("min", "min"), ("max", "max"), ("p25", "25%"),
                      ("p50", "50%"), ("p75", "75%"), ("std", "std")]:
             assert abs(got[c][s] - exp.loc[k, c]) < 1e-4
+
+
+def test_describe_large_path_equals_small_path(spark, monkeypatch):
+    rnd = np.random.default_rng(9)
+    pdf = pd.DataFrame({"a": rnd.integers(0, 50, 3000), "b": np.round(rnd.random(3000) * 100, 2)})
+    df = spark.createDataFrame(pdf)
+    small = sorted(map(tuple, profile.describe(df).collect()))
+    monkeypatch.setattr(profile, "EXACT_PERCENTILE_ROWS", 0)
+    large = sorted(map(tuple, profile.describe(df).collect()))
+    assert small == large
