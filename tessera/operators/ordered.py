@@ -117,7 +117,8 @@ def _offsets(spark: SparkSession, bucketed: DataFrame, order: list[Column],
 def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool = False,
                   sums: Sequence[str] = (), lead_cols: Sequence[str] = (),
                   hash_col: str | None = None, hash_digits: int = 3,
-                  n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True) -> DataFrame:
+                  n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True,
+                  only: tuple[str | None, Sequence[int]] | None = None) -> DataFrame:
     """Global 1-based ``__rank``, running sums ``cum_<s>`` and next-row values
     ``next_<c>`` in the order of ``order_cols``, computed without one-task windows.
     Grand totals come along as ``tot_rows`` and ``tot_<s>``.
@@ -125,7 +126,11 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
     ``hash_col`` names a uniform hex-hash column that leads the order (bucket =
     its first ``hash_digits`` digits); otherwise buckets are range buckets of
     the first order column.  Rows that tie on all order columns are ranked in
-    an arbitrary order among themselves.
+    an arbitrary order among themselves.  With ``only=(None, ranks)`` only the
+    buckets holding those 1-based ranks go through the window; with
+    ``only=(s, positions)`` the buckets whose running-``s`` range holds the
+    positions.  The other buckets are dropped before the shuffle: a
+    selection instead of a full ranking.
     """
     spark = df.sparkSession
     first = order_cols[0]
@@ -144,6 +149,18 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
     first_order = F.struct(*[(-F.col(c)) if descending else F.col(c) for c in order_cols]) \
         if lead_cols else F.lit(0)
     offs = _offsets(spark, bucketed, dirs, sums, lead_cols, first_order)
+    if only is not None:
+        measure = "rows" if only[0] is None else only[0]
+        local = offs.collect()
+        starts = sorted((r[BUCKET], r[f"__off_{measure}"]) for r in local)
+        total = local[0][f"tot_{measure}"] if local else 0
+        keep = set()
+        for i, (b, off) in enumerate(starts):
+            end = starts[i + 1][1] if i + 1 < len(starts) else total
+            if any(off < p <= end for p in only[1]):
+                keep.add(b)
+        bucketed = bucketed.filter(F.col(BUCKET).isin(sorted(keep)))
+        offs = offs.filter(F.col(BUCKET).isin(sorted(keep)))
     w = Window.partitionBy(BUCKET).orderBy(*dirs)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = bucketed.join(F.broadcast(offs), BUCKET, "left")

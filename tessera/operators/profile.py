@@ -2,14 +2,15 @@
 
 Both are one aggregate pass over the table, unpivoted to one row per column.
 Quantiles are exact: Spark's ``percentile`` inside the same pass when the
-table is small enough for its value->count map (checked with a bounded
-``limit().count()``), otherwise a distributed selection over value counts
-(two-level prefix) per column.
+table is small enough for its value->count map, otherwise a distributed
+selection over value counts (two-level prefix) that only ranks the buckets
+holding the target positions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +21,12 @@ from tessera.operators import ordered
 from tessera.operators.frame import col
 
 QUANTILES = (0.25, 0.5, 0.75)
-# Tables of at most this many rows use Spark's exact ``percentile`` (its final
-# value->count map then holds at most this many entries); larger ones use the
-# distributed selection.
+# Tables of at most this many rows use Spark's exact ``percentile`` inside the
+# single aggregate pass (its final value->count map then holds at most this
+# many entries; checked with a bounded ``limit().count()``); larger tables use
+# the distributed selection, several columns at once.
 EXACT_PERCENTILE_ROWS = 5_000_000
+SELECTION_THREADS = 4
 # Standard deviation and interpolated quantiles are reported to 4 decimals.
 ROUND_DIGITS = 4
 
@@ -65,8 +68,8 @@ def exact_quantiles(df: DataFrame, name: str, qs: Sequence[float], n: int) -> li
         return [None] * len(qs)
     vc = (df.select(_clean(df, name).cast("double").alias("v")).filter(F.col("v").isNotNull())
           .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    idx = ordered.ordered_index(vc, ["v"], sums=["cnt"])
     targets = sorted({int(p) for q in qs for p in (q * (n - 1) // 1, -(-q * (n - 1) // 1))})
+    idx = ordered.ordered_index(vc, ["v"], sums=["cnt"], only=("cnt", [t + 1 for t in targets]))
     cond = None
     for t in targets:
         hit = (F.col("cum_cnt") - F.col("cnt") <= t) & (F.col("cum_cnt") > t)
@@ -109,13 +112,14 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
             aggs.append(F.percentile(v, list(quantiles)).alias(f"q{i}"))
     first = df.agg(*aggs).first()
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
-    qvals: dict[int, list] = {}
-    for i, c in enumerate(names):
-        if small:
-            got = first[f"q{i}"]
-            qvals[i] = list(got) if got is not None else [None] * len(quantiles)
-        else:
-            qvals[i] = exact_quantiles(df, c, quantiles, first[f"n{i}"])
+    if small:
+        qvals = {i: list(first[f"q{i}"]) if first[f"q{i}"] is not None else [None] * len(quantiles)
+                 for i in range(len(names))}
+    else:
+        with ThreadPoolExecutor(max_workers=SELECTION_THREADS) as pool:
+            sel = {i: pool.submit(exact_quantiles, df, c, quantiles, first[f"n{i}"])
+                   for i, c in enumerate(names)}
+            qvals = {i: f.result() for i, f in sel.items()}
     rows = []
     for i, c in enumerate(names):
         qs = [None if v is None else round(float(v), ROUND_DIGITS) for v in qvals[i]]
