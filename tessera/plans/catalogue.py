@@ -133,18 +133,24 @@ order by price nulls last, l_orderkey, l_linenumber, item_id, discount, quantity
 def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sort_values(price).head(1)`` with a full tie-break.
 
-    The top-1 runs on lineitem alone (``TakeOrderedAndProject``); the region
-    is looked up for the single winning row afterwards.
+    The top-1 runs on lineitem alone (``TakeOrderedAndProject``: each task
+    keeps its best row); the region is then looked up for the winning row
+    only, through a filter pushed into the orders scan.
     """
-    best = frame.top_k(fx.sales(spark, sf_dir), _SALE_ORDER[0], 1, tie_break=_SALE_ORDER[1:])
-    orders = fx.load(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    top = frame.top_k(fx.sales(spark, sf_dir), _SALE_ORDER[0], 1, tie_break=_SALE_ORDER[1:])
+    rows = top.collect()                      # at most k = 1 row
+    best = spark.createDataFrame(rows, top.schema)
+    keys = [r["l_orderkey"] for r in rows]
+    # The order lookup is a pushed-down equality filter (row groups skipped by
+    # their min/max statistics), not a scan joined against the whole table.
+    orders = fx.load(spark, sf_dir, "orders", "o_orderkey", "o_custkey") \
+        .filter(F.col("o_orderkey").isin(keys))
+    orders = frame.broadcast_if_bounded(orders, fx.DIMENSION_BROADCAST_ROWS)
     customer = fx.load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    # ``best`` holds one row (the limit bounds it), so broadcasting it is safe.
-    hit = (orders.join(F.broadcast(best.select("l_orderkey")),
-                       orders.o_orderkey == F.col("l_orderkey"), "left_semi")
-           .join(customer, F.col("o_custkey") == customer.c_custkey)
+    hit = (customer.join(orders, customer.c_custkey == orders.o_custkey)
            .join(fx.nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
            .select("o_orderkey", "region"))
+    hit = frame.broadcast_if_bounded(hit, fx.DIMENSION_BROADCAST_ROWS)
     return best.join(hit, best.l_orderkey == hit.o_orderkey, "left").drop("o_orderkey")
 
 
