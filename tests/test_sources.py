@@ -78,3 +78,71 @@ def test_json_lines_and_records(spark):
 def test_infer_types_all_null_column(spark):
     df = spark.createDataFrame([(None,), ("",)], T.StructType([T.StructField("c", T.StringType())]))
     assert tt.infer_types(tt.na_to_null(df))["c"].dataType == T.StringType()
+
+
+def _shared_strings_workbook(path):
+    """A minimal workbook as spreadsheet programs write it: shared strings,
+    a named sheet that is not the first, a missing cell, a boolean."""
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("[Content_Types].xml", "<Types/>")
+        z.writestr("xl/workbook.xml",
+                   f'<workbook {ns} xmlns:r="{rel}"><sheets>'
+                   '<sheet name="Other" sheetId="1" r:id="rId1"/>'
+                   '<sheet name="Sheet1" sheetId="2" r:id="rId2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Type="x" Target="worksheets/sheet1.xml"/>'
+                   '<Relationship Id="rId2" Type="x" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml",
+                   f'<sst {ns}><si><t>name</t></si><si><t>qty</t></si><si><t>ok</t></si>'
+                   '<si><r><t>Ali</t></r><r><t>ce</t></r></si><si><t>Bob</t></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData/></worksheet>')
+        z.writestr("xl/worksheets/sheet2.xml",
+                   f'<worksheet {ns}><sheetData>'
+                   '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
+                   '<c r="C1" t="s"><v>2</v></c></row>'
+                   '<row r="2"><c r="A2" t="s"><v>3</v></c><c r="B2"><v>3</v></c>'
+                   '<c r="C2" t="b"><v>1</v></c></row>'
+                   '<row r="3"><c r="A3" t="s"><v>4</v></c><c r="C3" t="b"><v>0</v></c></row>'
+                   '</sheetData></worksheet>')
+
+
+def test_xlsx_reads_shared_strings_and_named_sheet(spark):
+    from tessera.sources import workbooks
+    d = local_path(scratch_dir(spark, "wb"))
+    os.makedirs(d)
+    _shared_strings_workbook(os.path.join(d, "book.xlsx"))
+    df = workbooks.read_xlsx(spark, d, sheet_name="Sheet1")
+    assert dict(df.dtypes) == {"name": "string", "qty": "bigint", "ok": "boolean"}
+    assert sorted(map(tuple, df.collect())) == [("Alice", 3, True), ("Bob", None, False)]
+
+
+def test_xlsx_write_splits_large_partitions(spark):
+    from tessera.sources import workbooks
+    df = spark.range(0, 25).selectExpr("id", "cast(id as string) as s", "id % 2 = 0 as even")
+    d = scratch_dir(spark, "wbw")
+    workbooks.write_xlsx(df.coalesce(1), d, rows_per_book=10)
+    files = [f for f in os.listdir(local_path(d)) if f.endswith(".xlsx")]
+    assert len(files) == 3
+    back = workbooks.read_xlsx(spark, d, schema=df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_png_folder_and_gray(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tessera.sources import images
+    px = [10, 20, 60, 0, 30, 30, 30, 255]       # 1 x 2 pixels, RGBA
+    df = spark.createDataFrame([("img-1", px)], "name string, px array<int>")
+    d = scratch_dir(spark, "img")
+    images.write_pngs(df, d, "name", "px", width=2, channels=4)
+    img = images.read_images(spark, d)
+    r = img.select("image.height", "image.width", "image.nChannels",
+                   images.gray("image").alias("g")).first()
+    assert (r["height"], r["width"], r["nChannels"]) == (1, 2, 4)
+    assert r["g"] == [np.mean([10, 20, 60, 0]), np.mean([30, 30, 30, 255])]
+    assert img.select(F.col("image.origin")).first()[0].endswith("img-1.png")
