@@ -1,0 +1 @@
+"""Column-expression helpers: missing-value rules and array maths."""

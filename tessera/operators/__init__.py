@@ -1,0 +1,2 @@
+"""Batch operators: frame ops, profiles, two-level ordering, preparation,
+metrics and models."""

@@ -221,6 +221,19 @@ def probability_column(df: DataFrame) -> Column:
 
 # ------------------------------------------- tree grid with shared fits --
 
+def int_array(values: Sequence[int | None]) -> Column:
+    """An ARRAY<INT> literal built from SQL text: one JVM call, however long."""
+    body = ", ".join("CAST(NULL AS INT)" if v is None else str(int(v)) for v in values)
+    return F.expr(f"array({body})" if values else "CAST(array() AS ARRAY<INT>)")
+
+
+def double_array(values: Sequence[float | None]) -> Column:
+    """An ARRAY<DOUBLE> literal built from SQL text (exact: shortest repr)."""
+    body = ", ".join("CAST(NULL AS DOUBLE)" if v is None else repr(float(v)).upper() + "D"
+                     for v in values)
+    return F.expr(f"array({body})" if values else "CAST(array() AS ARRAY<DOUBLE>)")
+
+
 def tree_nodes(spark: SparkSession, model: Model) -> dict[int, dict]:
     """Nodes of a fitted tree from its saved form: id -> {feature, threshold,
     left, right, prediction, count, depth}.  Bounded by the model size."""
@@ -249,10 +262,10 @@ def leaf_of(nodes: Mapping[int, dict], features: str = "features") -> Column:
     n = max(nodes) + 1
     get = {k: [nodes[i][k] if i in nodes else None for i in range(n)]
            for k in ("feature", "threshold", "left", "right")}
-    feat = F.array(*[F.lit(v if v is not None else -1).cast("int") for v in get["feature"]])
-    thr = F.array(*[F.lit(v).cast("double") for v in get["threshold"]])
-    left = F.array(*[F.lit(v).cast("int") for v in get["left"]])
-    right = F.array(*[F.lit(v).cast("int") for v in get["right"]])
+    feat = int_array([v if v is not None else -1 for v in get["feature"]])
+    thr = double_array(get["threshold"])
+    left = int_array([v if v is not None else -1 for v in get["left"]])
+    right = int_array([v if v is not None else -1 for v in get["right"]])
     x = vector_to_array(features)
     depth = max(v["depth"] for v in nodes.values())
 
@@ -352,3 +365,145 @@ def save(model: Model, path: str) -> str:
 def load(kind: type, path: str) -> Model:
     """Load a model saved with :func:`save`; ``kind`` is the model class."""
     return kind.load(path)
+
+
+# ----------------------------------------- forest grid with shared forests --
+
+def forest_nodes(spark: SparkSession, model: Model) -> list[dict[int, dict]]:
+    """Per tree: id -> {feature, threshold, left, right, count, p1, depth}
+    (``p1`` = share of class 1 at the node).  Bounded by the model size."""
+    from tessera.session import scratch_dir
+    path = scratch_dir(spark, "forest")
+    model.write().save(path)
+    rows = spark.read.parquet(path + "/data").select(
+        "treeID", "nodeData.id", "nodeData.rawCount", "nodeData.leftChild",
+        "nodeData.rightChild", "nodeData.impurityStats",
+        F.col("nodeData.split.featureIndex").alias("feature"),
+        F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr")).collect()
+    trees: dict[int, dict[int, dict]] = {}
+    for r in rows:
+        stats = r["impurityStats"]
+        tot = sum(stats)
+        trees.setdefault(r["treeID"], {})[r["id"]] = {
+            "feature": r["feature"], "threshold": r["thr"][0] if r["thr"] else None,
+            "left": r["leftChild"], "right": r["rightChild"], "count": r["rawCount"],
+            "p1": (stats[1] / tot) if tot > 0 and len(stats) > 1 else 0.0}
+    out = []
+    for t in sorted(trees):
+        nodes = trees[t]
+        stack = [(0, 0)]
+        while stack:
+            i, d = stack.pop()
+            nodes[i]["depth"] = d
+            if nodes[i]["left"] >= 0:
+                stack += [(nodes[i]["left"], d + 1), (nodes[i]["right"], d + 1)]
+        out.append(nodes)
+    return out
+
+
+def forest_votes(trees: Sequence[Mapping[int, dict]], min_splits: Sequence[int],
+                 features: str = "features") -> tuple[Column, dict[int, Column]]:
+    """(leaves, {s: votes}): ``leaves`` is the array of the leaf each row
+    reaches in every tree (to be selected as column ``__leaves``); ``votes[s]``
+    maps it to the per-tree P(class 1) of the forest pruned at nodes with
+    fewer than ``s`` rows (trees in model order).  All trees are walked in
+    one JVM-side expression over flat node arrays (size bounded by the
+    model), built as SQL literals in a single call each."""
+    offsets, flat = [], []
+    for nodes in trees:
+        offsets.append(len(flat))
+        base = len(flat)
+        n = max(nodes) + 1
+        for i in range(n):
+            nd = nodes.get(i)
+            flat.append(None if nd is None else {
+                **nd, "left": nd["left"] + base if nd["left"] >= 0 else -1,
+                "right": nd["right"] + base if nd["right"] >= 0 else -1})
+    feat = int_array([-1 if nd is None or nd["feature"] is None else nd["feature"] for nd in flat])
+    thr = double_array([None if nd is None else nd["threshold"] for nd in flat])
+    left = int_array([-1 if nd is None else nd["left"] for nd in flat])
+    right = int_array([-1 if nd is None else nd["right"] for nd in flat])
+    depth = max(nd["depth"] for nodes in trees for nd in nodes.values())
+    x = vector_to_array(features)
+
+    def step(node, _i):
+        at = node + 1
+        go_left = F.element_at(x, F.element_at(feat, at) + 1) <= F.element_at(thr, at)
+        return F.when(F.element_at(left, at) < 0, node).otherwise(
+            F.when(go_left, F.element_at(left, at)).otherwise(F.element_at(right, at)))
+    roots = int_array(offsets)
+    leaves = F.transform(roots, lambda r: F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))),
+                                                      r, step))
+    out = {}
+    for s in min_splits:
+        p1 = [0.0] * len(flat)
+        for t, nodes in enumerate(trees):
+            for leaf, path in _paths(nodes).items():
+                stop = next((i for i in path if nodes[i]["count"] < s or nodes[i]["left"] < 0),
+                            path[-1])
+                p1[offsets[t] + leaf] = nodes[stop]["p1"]
+        out[s] = _lookup(F.col("__leaves"), double_array(p1))
+    return leaves, out
+
+
+def _lookup(indices: Column, table: Column) -> Column:
+    """``[table[i] for i in indices]`` (0-based indices)."""
+    return F.transform(indices, lambda g: F.element_at(table, g + 1))
+
+
+def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
+                       max_depth: Sequence[int], n_trees: Sequence[int], min_leaf: Sequence[int],
+                       min_split: Sequence[int], k: int = 5, seed: int = 12345,
+                       parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+    """``GridSearchCV(RandomForestClassifier(), {max_depth, n_estimators,
+    min_samples_leaf, min_samples_split})``: k stratified folds, accuracy.
+
+    Forest fits cannot be shared across depth (Spark draws feature subsets in
+    node order), but they can across forest size and min split: for each
+    fold, depth and leaf size one forest of ``max(n_trees)`` trees is fitted;
+    the forest of ``n`` trees is its first ``n`` trees (independent,
+    identically drawn trees, as an unseeded search draws them), and a min
+    split prunes each tree at nodes with fewer training rows.  Every
+    candidate of a fit is scored in one aggregation over the validation fold.
+    Returns (max_depth, min_samples_leaf, min_samples_split, n_estimators,
+    mean_accuracy, rank).
+    """
+    folds = prep.stratified_folds(train.withColumn("__y", F.col("label").cast("long")),
+                                  key, "__y", k=k, seed=seed).drop("__y").checkpoint(eager=True)
+    biggest = max(n_trees)
+
+    def run(job):
+        f, d, leaf = job
+        model = forest(biggest, d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
+        trees = forest_nodes(spark, model)
+        # a min split at or below twice the leaf size never binds
+        eff = sorted({s if s > 2 * leaf else 0 for s in min_split})
+        leaves, votes = forest_votes(trees, eff)
+        # walk the trees once per row, then one vote array per min split
+        valid = (folds.filter(F.col("fold") == f).select("label", leaves.alias("__leaves"))
+                 .select("label", *[votes[s].alias(f"v_{s}") for s in eff]))
+        aggs = [F.count(F.lit(1)).alias("n")]
+        for s in eff:
+            for n in n_trees:
+                mean = F.aggregate(F.slice(f"v_{s}", 1, n), F.lit(0.0), lambda a, v: a + v) / n
+                aggs.append(F.count_if((mean > 0.5) == (F.col("label") == 1.0)).alias(f"c_{s}_{n}"))
+        r = valid.agg(*aggs).first()
+        return {(d, leaf, s, n): r[f"c_{s if s > 2 * leaf else 0}_{n}"] / r["n"]
+                for s in min_split for n in n_trees}, f
+
+    jobs = [(f, d, leaf) for f in range(k) for d in max_depth for leaf in min_leaf]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        results = list(pool.map(run, jobs))
+    acc: dict[tuple, list[float]] = {}
+    for scores, f in results:
+        for c, a in scores.items():
+            acc.setdefault(c, [0.0] * k)[f] = a
+    order = [(d, leaf, s, n) for d in max_depth for leaf in min_leaf for s in min_split
+             for n in n_trees]
+    means = {c: sum(acc[c]) / k for c in order}
+    ranked = sorted(range(len(order)), key=lambda i: (-means[order[i]], i))
+    rank = {order[i]: r + 1 for r, i in enumerate(ranked)}
+    rows = [(*c, means[c], rank[c]) for c in order]
+    return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
+                                       "min_samples_split long, n_estimators long, "
+                                       "mean_accuracy double, rank long")

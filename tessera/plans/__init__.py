@@ -1,0 +1 @@
+"""Stand-in fixtures and the query catalogue (Spark plans + oracle SQL)."""

@@ -1,0 +1,2 @@
+"""Sources and sinks: parquet tables, CSV/JSON, workbook and image folders,
+staged (safe) writes, small literal tables."""

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streams, watermarks, windows over time or stateful
+operators (SURVEY §2.11), so nothing is built here; every operator in
+``tessera.operators`` is a batch DataFrame plan and would run unchanged
+inside ``foreachBatch`` if a stream ever fed it.
+"""

@@ -75,3 +75,24 @@ def test_save_and_load(spark):
     p = models.save(m, scratch_dir(spark, "model"))
     back = models.load(DecisionTreeClassificationModel, p)
     assert back.toDebugString.split("\n", 1)[1] == m.toDebugString.split("\n", 1)[1]
+
+
+def test_forest_votes_match_spark_probability(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = _data(spark, 300)
+    m = models.forest(7, 5, seed=3).fit(df)
+    trees = models.forest_nodes(spark, m)
+    leaves, votes = models.forest_votes(trees, [0])
+    got = m.transform(df).withColumn("__leaves", leaves).select(
+        vector_to_array("probability")[1].alias("p"),
+        F.aggregate(votes[0], F.lit(0.0), lambda a, v: a + v).alias("s"))
+    for r in got.collect():
+        assert abs(r["p"] - r["s"] / 7) < 1e-12
+
+
+def test_forest_grid_search_shape(spark):
+    df = _data(spark, 200)
+    res = models.forest_grid_search(spark, df, "k", max_depth=[2, 4], n_trees=[3, 6],
+                                    min_leaf=[1, 3], min_split=[2, 8], k=3, parallelism=4)
+    rows = res.collect()
+    assert len(rows) == 16 and sorted(r["rank"] for r in rows) == list(range(1, 17))
