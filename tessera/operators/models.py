@@ -507,3 +507,43 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
     return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
                                        "min_samples_split long, n_estimators long, "
                                        "mean_accuracy double, rank long")
+
+
+def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
+                 max_depth: Sequence[int], n_trees: Sequence[int], weighted: bool = False,
+                 seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+    """Seeded forests for every (depth, tree count), scored on ``valid``.
+
+    With a fixed seed, the reference library's forest of n trees is the first
+    n trees of the larger forest (tree seeds are drawn in sequence), so one
+    forest of ``max(n_trees)`` trees per depth serves every tree count: the
+    votes of its first n trees are averaged per row in one aggregation.
+    Returns (max_depth, n_trees, precision, recall, f1, accuracy).
+    """
+    biggest = max(n_trees)
+
+    def run(d):
+        model = forest(biggest, d, weighted=weighted, seed=seed).fit(train)
+        leaves, votes = forest_votes(forest_nodes(spark, model), [0])
+        scored = valid.select("label", leaves.alias("__leaves")).select(
+            "label", votes[0].alias("v"))
+        y = F.col("label") == 1.0
+        aggs = []
+        for n in n_trees:
+            pred = F.aggregate(F.slice("v", 1, n), F.lit(0.0), lambda a, v: a + v) / n > 0.5
+            aggs += [F.count_if(y & pred).alias(f"tp{n}"), F.count_if(~y & pred).alias(f"fp{n}"),
+                     F.count_if(~y & ~pred).alias(f"tn{n}"), F.count_if(y & ~pred).alias(f"fn{n}")]
+        r = scored.agg(*aggs).first()
+        return [(d, n, r[f"tp{n}"], r[f"fp{n}"], r[f"tn{n}"], r[f"fn{n}"]) for n in n_trees]
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = [row for part in pool.map(run, list(max_depth)) for row in part]
+    counts = spark.createDataFrame(rows, "max_depth long, n_trees long, tp long, fp long, "
+                                         "tn long, fn long")
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return counts.select("max_depth", "n_trees",
+                         metrics.precision_col(tp, fp).alias("precision"),
+                         metrics.recall_col(tp, fn).alias("recall"),
+                         metrics.f1_col(tp, fp, fn).alias("f1"),
+                         (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
+                         .alias("accuracy"))

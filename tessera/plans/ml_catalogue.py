@@ -81,14 +81,13 @@ _sweeps: dict[tuple[int, str], DataFrame] = {}
 
 
 def _forest_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """75 balanced forests (computed once per session; the result is 75 rows)."""
+    """75 balanced seeded forests: one 50-tree forest per depth serves all
+    five tree counts (computed once per session; the result is 75 rows)."""
     k = (id(spark), sf_dir)
     if k not in _sweeps:
         s = splits(spark, sf_dir, weights=True)
-        grid = models.product_grid(max_depth=range(1, 16), n_trees=range(10, 60, 10))
-        _sweeps[k] = models.sweep(
-            spark, s["train"], s["valid"], grid,
-            lambda max_depth, n_trees: models.forest(n_trees, max_depth, weighted=True, seed=SEED))
+        _sweeps[k] = models.forest_sweep(spark, s["train"], s["valid"], range(1, 16),
+                                         range(10, 60, 10), weighted=True, seed=SEED)
     return _sweeps[k]
 
 

@@ -96,3 +96,15 @@ def test_forest_grid_search_shape(spark):
                                     min_leaf=[1, 3], min_split=[2, 8], k=3, parallelism=4)
     rows = res.collect()
     assert len(rows) == 16 and sorted(r["rank"] for r in rows) == list(range(1, 17))
+
+
+def test_forest_sweep_matches_forest_votes(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = _data(spark, 240)
+    res = {(r["max_depth"], r["n_trees"]): r for r in
+           models.forest_sweep(spark, df, df, [3], [4, 8], seed=5, parallelism=2).collect()}
+    # the 8-tree forest is the model Spark fits; its accuracy must agree
+    m = models.forest(8, 3, seed=5).fit(df)
+    acc = models.f1_of(models.predict(m, df)).first()["accuracy"]
+    assert res[(3, 8)]["accuracy"] == acc
+    assert set(res) == {(3, 4), (3, 8)}
