@@ -547,3 +547,38 @@ def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                          metrics.f1_col(tp, fp, fn).alias("f1"),
                          (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
                          .alias("accuracy"))
+
+
+def tree_depth_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
+                     max_depth: Sequence[int], min_leaf: int = 1, weighted: bool = False,
+                     seed: int = 12345) -> DataFrame:
+    """Trees of every depth in ``max_depth`` from one fit at the largest depth.
+
+    Growth is top-down, so the tree limited to depth d is the deepest tree
+    cut at depth d.  Validation rows are reduced to (leaf, label, count) in
+    one aggregation; each depth is scored from that table (bounded by the
+    tree).  Returns (max_depth, precision, recall, f1, accuracy).
+    """
+    model = tree(max(max_depth), min_leaf=min_leaf, weighted=weighted, seed=seed).fit(train)
+    nodes = tree_nodes(spark, model)
+    paths = _paths(nodes)
+    counts = (valid.groupBy(leaf_of(nodes).alias("leaf"), F.col("label"))
+              .agg(F.count(F.lit(1)).alias("n")).collect())
+    rows = []
+    for d in max_depth:
+        tp = fp = tn = fn = 0
+        for r in counts:
+            pred = truncated_prediction(nodes, paths[r["leaf"]], d, 0) == 1.0
+            pos = r["label"] == 1.0
+            tp += r["n"] * (pos and pred)
+            fp += r["n"] * (not pos and pred)
+            tn += r["n"] * (not pos and not pred)
+            fn += r["n"] * (pos and not pred)
+        rows.append((d, tp, fp, tn, fn))
+    c = spark.createDataFrame(rows, "max_depth long, tp long, fp long, tn long, fn long")
+    tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
+    return c.select("max_depth", metrics.precision_col(tp, fp).alias("precision"),
+                    metrics.recall_col(tp, fn).alias("recall"),
+                    metrics.f1_col(tp, fp, fn).alias("f1"),
+                    (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
+                    .alias("accuracy"))

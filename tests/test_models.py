@@ -108,3 +108,12 @@ def test_forest_sweep_matches_forest_votes(spark):
     acc = models.f1_of(models.predict(m, df)).first()["accuracy"]
     assert res[(3, 8)]["accuracy"] == acc
     assert set(res) == {(3, 4), (3, 8)}
+
+
+def test_tree_depth_sweep_equals_direct_fits(spark):
+    df = _data(spark, 300)
+    got = {r["max_depth"]: r["accuracy"] for r in
+           models.tree_depth_sweep(spark, df, df, [1, 2, 5], min_leaf=2, seed=1).collect()}
+    for d in (1, 2, 5):
+        m = models.tree(d, min_leaf=2, seed=1).fit(df)
+        assert got[d] == models.f1_of(models.predict(m, df)).first()["accuracy"]
