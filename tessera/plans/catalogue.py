@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.missing import exact_sum
 from tessera.functions import arrays
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
