@@ -142,7 +142,9 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
     if hash_col is not None:
         bucketed = with_hash_bucket(df, hash_col, hash_digits)
     else:
-        splits = range_splits(df, first, n_buckets)
+        # enough buckets that each holds about ROWS_PER_BUCKET rows
+        n_buckets = max(n_buckets, bucket_count(df.count()))
+        splits = range_splits(df, first, n_buckets, accuracy=max(10_000, 4 * n_buckets))
         bucketed = with_range_bucket(df, first, splits, descending)
     dirs = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
             for c in order_cols]
