@@ -114,3 +114,12 @@ def coin(key: Column, seed: int, sides: int = 2) -> Column:
     h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
     digit = F.conv(F.substring(h, 32, 1), 16, 10).cast("int")
     return (digit % sides).cast("int")
+
+
+def randint(key: Column, low: int, high: int, seed: int) -> Column:
+    """``randint(low, high)`` per row (high exclusive) from a row key: 32 bits
+    of ``md5('<seed>:<key>')`` modulo the range — reproducible on any
+    partitioning and after retries."""
+    h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    bits = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    return (F.lit(low) + F.pmod(bits, F.lit(high - low))).cast("long")

@@ -141,3 +141,30 @@ def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int
     out = ranked.join(first, col(target) == F.col("__t"))
     return out.select(*[col(c) for c in df.columns],
                       F.pmod(F.col("__rank") - F.col("__r0"), F.lit(k)).cast("int").alias(fold_col))
+
+
+def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """Drop-first one-hot of a wide string column as a sparse vector.
+
+    For columns with too many categories for boolean columns: Spark's
+    ``StringIndexer`` (labels in descending order, NULL kept as an extra
+    index) and ``OneHotEncoder`` (no category dropped), then ``VectorSlicer``
+    keeps every category but the alphabetically first, in ascending order —
+    the same dimensions as ``get_dummies(drop_first=True)``, NULL all zeros.
+    """
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+    out = output or f"{column}_vec"
+    idx = StringIndexer(inputCol=column, outputCol="__idx", stringOrderType="alphabetDesc",
+                        handleInvalid="keep").fit(df)
+    k = len(idx.labels)
+    enc = OneHotEncoder(inputCols=["__idx"], outputCols=["__oh"], dropLast=False,
+                        handleInvalid="keep").fit(idx.transform(df))
+    coded = enc.transform(idx.transform(df))
+    # index k-1 is the alphabetically first label, index k the NULL slot
+    keep = list(range(k - 2, -1, -1))
+    if not keep:  # one category: no dimension is left after dropping it
+        from pyspark.ml.functions import array_to_vector
+        return coded.drop("__idx", "__oh").withColumn(
+            out, array_to_vector(F.array().cast("array<double>")))
+    sliced = VectorSlicer(inputCol="__oh", outputCol=out, indices=keep).transform(coded)
+    return sliced.drop("__idx", "__oh")

@@ -78,3 +78,10 @@ def test_series_and_table_literals(spark):
                                        "City": ["New York", "London", "Paris"]})
     assert df.columns == ["Name", "Age", "City"] and dict(df.dtypes)["Age"] == "bigint"
     assert df.count() == 3
+
+
+def test_randint_range_and_reproducible(spark):
+    a = spark.range(0, 3000, numPartitions=3).select(arrays.randint(F.col("id"), 5, 9, 1).alias("r"))
+    b = spark.range(0, 3000, numPartitions=1).select(arrays.randint(F.col("id"), 5, 9, 1).alias("r"))
+    assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
+    assert {r[0] for r in a.collect()} == {5, 6, 7, 8}

@@ -123,3 +123,12 @@ def test_describe_large_path_equals_small_path(spark, monkeypatch):
     monkeypatch.setattr(profile, "EXACT_PERCENTILE_ROWS", 0)
     large = sorted(map(tuple, profile.describe(df).collect()))
     assert small == large
+
+
+def test_one_hot_vector_equals_boolean_dummies(spark):
+    rows = [("b", 1), ("a", 2), (None, 3), ("c", 4), ("b", 5)]
+    df = spark.createDataFrame(rows, "g string, x int")
+    dense = {r["x"]: [r["g_b"], r["g_c"]] for r in prep.one_hot(df).collect()}
+    vec = {r["x"]: [bool(v) for v in r["g_vec"].toArray()]
+           for r in prep.one_hot_vector(df, "g").collect()}
+    assert dense == vec
