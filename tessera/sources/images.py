@@ -53,8 +53,12 @@ def write_pngs(df: DataFrame, path: str, id_col: str, pixels_col: str, width: in
         for b in batches:
             for key, px in zip(b[id_col], b[pixels_col]):
                 arr = np.asarray(px, dtype=np.uint8).reshape(-1, width, channels)
-                with open(os.path.join(out_dir, f"{key}.png"), "wb") as f:
+                # named by key and renamed into place: a retried attempt
+                # rewrites the same file, a killed one leaves no partial file
+                tmp = os.path.join(out_dir, f".{key}.{uuid.uuid4().hex}")
+                with open(tmp, "wb") as f:
                     f.write(png_bytes(arr))
+                os.replace(tmp, os.path.join(out_dir, f"{key}.png"))
                 n += 1
         yield pd.DataFrame({"files": [n]})
 

@@ -221,13 +221,17 @@ def write_xlsx(df: DataFrame, path: str, sheet_name: str = "Sheet1",
 
     def write_part(batches):
         import pandas as pd
+        from pyspark import TaskContext
         os.makedirs(out_dir, exist_ok=True)
+        pid = TaskContext.get().partitionId()
         buf: list = []
         written = []
 
         def flush():
-            name = f"part-{uuid.uuid4().hex}.xlsx"
-            tmp = os.path.join(out_dir, "." + name)
+            # named by partition and chunk: a retried or speculative attempt
+            # rewrites the same files (atomic rename) instead of adding copies
+            name = f"part-{pid:05d}-{len(written):04d}.xlsx"
+            tmp = os.path.join(out_dir, f".{name}.{uuid.uuid4().hex}")
             with open(tmp, "wb") as f:
                 f.write(workbook_bytes(columns, buf, sheet_name))
             os.replace(tmp, os.path.join(out_dir, name))
@@ -243,6 +247,9 @@ def write_xlsx(df: DataFrame, path: str, sheet_name: str = "Sheet1",
             flush()
         yield pd.DataFrame(written, columns=["file", "rows"])
 
+    # a fixed row order inside each partition makes the chunks of every attempt
+    # identical, so files from a failed attempt are overwritten, never mixed
+    df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in columns])
     summary = df.mapInPandas(write_part, "file string, rows long")
     summary.agg(F.sum("rows")).collect()
     os.makedirs(out_dir, exist_ok=True)
