@@ -105,8 +105,10 @@ def split_three(df: DataFrame, key: str, seed: int = 12345, test_size: float = 0
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     """(target, n_class, n, k): class sizes with the table size and class count."""
     per = df.groupBy(col(target)).agg(F.count(F.lit(1)).alias("n_class"))
-    per = broadcast_if_bounded(per, MAX_CLASSES)
-    # ``per`` has at most MAX_CLASSES rows: a window over it is bounded.
+    if per.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
+    per = F.broadcast(per)
+    # ``per`` has at most MAX_CLASSES rows (checked): a window over it is bounded.
     w = Window.partitionBy(F.lit(0))
     return per.select(col(target), "n_class", F.sum("n_class").over(w).alias("n"),
                       F.count(F.lit(1)).over(w).alias("k"))
