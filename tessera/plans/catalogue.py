@@ -8,6 +8,7 @@ random draws) have no ``ORACLE`` entry.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
-from tessera.session import scratch_dir
+from tessera.session import scratch_dir, ship_package
 from tessera.sources import images, text_tables, workbooks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +27,11 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)          # Python workers import this package
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn

@@ -40,6 +40,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,3 +69,31 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers (once per application).
+
+    Pandas UDFs and ``mapInPandas`` functions defined in this package are
+    pickled by reference; the executors import them, so the package is zipped
+    on the driver and distributed with ``SparkContext.addPyFile``.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    import tessera
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tessera.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-py-"), "tessera.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "tessera")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
