@@ -404,7 +404,8 @@ def ratio_square(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("tally", """
-select count_if(event_type = 'click') as heads, count_if(event_type = 'view') as tails from events
+select cast(count_if(event_type = 'click') as bigint) as heads,
+       cast(count_if(event_type = 'view') as bigint) as tails from events
 """)
 def tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The coin-toss tally: two conditional counts in one pass."""
@@ -415,8 +416,9 @@ def tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _COIN_SQL = """
 with flips as (
-  select event_id, (instr('0123456789abcdef',
-                          substr(md5('42:' || cast(event_id as varchar)), 32, 1)) - 1) % 2 as flip
+  select event_id, cast((instr('0123456789abcdef',
+                               substr(md5('42:' || cast(event_id as varchar)), 32, 1)) - 1) % 2
+                         as int) as flip
   from events)
 """
 
@@ -429,7 +431,8 @@ def random_coin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("coin_tally", _COIN_SQL + """
-select count_if(flip = 0) as heads, count_if(flip = 1) as tails from flips
+select cast(count_if(flip = 0) as bigint) as heads, cast(count_if(flip = 1) as bigint) as tails
+from flips
 """)
 def coin_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tally of the seeded draws (the reference's loop of ``if``/``elif``)."""
@@ -455,10 +458,10 @@ def _ratio_sql(num: str, den: str) -> str:
 
 
 @register("confusion", SCORED_SQL + f"""
-select count_if(y = 1 and score > cast({THRESHOLD} as double)) as tp,
-       count_if(y = 0 and score > cast({THRESHOLD} as double)) as fp,
-       count_if(y = 0 and not score > cast({THRESHOLD} as double)) as tn,
-       count_if(y = 1 and not score > cast({THRESHOLD} as double)) as fn from scored
+select cast(count_if(y = 1 and score > cast({THRESHOLD} as double)) as bigint) as tp,
+       cast(count_if(y = 0 and score > cast({THRESHOLD} as double)) as bigint) as fp,
+       cast(count_if(y = 0 and not score > cast({THRESHOLD} as double)) as bigint) as tn,
+       cast(count_if(y = 1 and not score > cast({THRESHOLD} as double)) as bigint) as fn from scored
 """)
 def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion counts of ``score > 0.36``."""
@@ -492,9 +495,9 @@ def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sweep_sql(n: int, select: str) -> str:
     return SCORED_SQL + f"""
 , t as (select k * cast(0.02 as double) as threshold from range({n}) r(k))
-, c as (select threshold, count_if(y = 1 and score > threshold) as tp,
-               count_if(y = 0 and score > threshold) as fp,
-               count_if(y = 1 and not score > threshold) as fn
+, c as (select threshold, cast(count_if(y = 1 and score > threshold) as bigint) as tp,
+               cast(count_if(y = 0 and score > threshold) as bigint) as fp,
+               cast(count_if(y = 1 and not score > threshold) as bigint) as fn
         from t cross join scored group by threshold)
 , m as (select threshold, tp, fp, fn, {_ratio_sql('tp', 'tp + fp')} as precision,
                {_ratio_sql('tp', 'tp + fn')} as recall,
