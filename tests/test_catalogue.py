@@ -32,9 +32,20 @@ def con():
     return c
 
 
+_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+         "BOOLEAN": "boolean", "FLOAT": "float"}
+
+
+def _duck_type(t):
+    t = str(t)
+    return f"array<{_duck_type(t[:-2])}>" if t.endswith("[]") else _DUCK.get(t, t.lower())
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF_CHECK)
+    rel = con.sql(entry.oracle_sql()[name])
+    assert dict(sdf.dtypes) == {c: _duck_type(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(cols)
