@@ -97,14 +97,15 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return df
 
 
-def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = False,
+def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True,
               suffixes: tuple[str, str] = ("_x", "_y"),
               broadcast_rows: int | None = None) -> DataFrame:
     """Left equi-join on one named key, with the reference's output shape.
 
     One key column comes out; other columns present on both sides get the
     suffixes.  Duplicate right keys multiply left rows.  With ``null_safe``
-    a NULL key matches a NULL key (``<=>``).  The right side is broadcast only
+    (the default, as in the reference) a NULL key matches a NULL key
+    (``<=>``; still an equi-join for Spark's hash and sort-merge joins).  The right side is broadcast only
     behind a size check; otherwise a sort-merge join with AQE skew splitting.
     """
     overlap = (set(left.columns) & set(right.columns)) - {on}

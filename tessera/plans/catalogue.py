@@ -162,7 +162,8 @@ def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("left_join_products", SALES_SQL + """
 select s.*, p_name, p_brand, p_type, p_size, p_retailprice
-from sales s left join (select * from part where p_size <= 25) p on s.item_id = p.p_partkey
+from sales s left join (select * from part where p_size <= 25) p
+  on s.item_id is not distinct from p.p_partkey
 """)
 def left_join_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sales.merge(products, on=item, how='left')``."""
