@@ -124,13 +124,15 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
         raise ValueError(f"unknown orient {orient!r}")
     files = spark.read.text(path, wholetext=True)
     parsed = files.select(F.from_json("value", "map<string,map<string,string>>").alias("m"))
-    cells = (parsed.select(F.explode("m").alias("col", "cells"))
-             .select("col", F.explode("cells").alias("idx", "v")))
-    names = [r["col"] for r in cells.select("col").distinct().limit(100_001).collect()]
+    cols = parsed.select(F.posexplode("m").alias("pos", "col", "cells"))
+    cells = cols.select("col", F.explode("cells").alias("idx", "v"))
     if schema is not None:
         names = [f.name for f in schema.fields]
     else:
-        names.sort()
+        # column order as written (first position seen); bounded by the width
+        order = (cols.groupBy("col").agg(F.min("pos").alias("pos"))
+                 .limit(100_001).collect())
+        names = [r["col"] for r in sorted(order, key=lambda r: (r["pos"], r["col"]))]
     wide = (cells.groupBy(F.col("idx").cast("long").alias("__idx"))
             .pivot("col", names).agg(F.first("v")))
     text = wide.select(*[_c(n) for n in names])

@@ -146,3 +146,36 @@ def test_png_folder_and_gray(spark):
     assert (r["height"], r["width"], r["nChannels"]) == (1, 2, 4)
     assert r["g"] == [np.mean([10, 20, 60, 0]), np.mean([30, 30, 30, 255])]
     assert img.select(F.col("image.origin")).first()[0].endswith("img-1.png")
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_text = st.text(alphabet=st.characters(blacklist_categories=("Cs", "Cc"), whitelist_characters='\n",;'),
+                min_size=1, max_size=12).filter(lambda t: t.strip() == t and t not in tt.NA_VALUES)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-10**12, 10**12), _text,
+                          st.floats(min_value=-1e300, max_value=1e300, width=64)),
+                min_size=1, max_size=20))
+def test_csv_and_json_roundtrip_property(spark, rows):
+    df = spark.createDataFrame(rows, "k bigint, s string, x double")
+    for kind in ("csv", "json", "jsoncols"):
+        d = scratch_dir(spark, kind)
+        if kind == "csv":
+            tt.write_csv(df, d)
+            back = tt.read_csv(spark, d, schema=df.schema)
+        elif kind == "json":
+            tt.write_json(df, d)
+            back = tt.read_json(spark, d, orient="lines", schema=df.schema)
+        else:
+            tt.write_json(df, d, orient="columns", double_precision=15)
+            back = tt.read_json(spark, d, orient="columns", schema=df.schema)
+        got = sorted(map(tuple, back.collect()), key=repr)
+        exp = sorted(map(tuple, df.collect()), key=repr)
+        if kind == "jsoncols":   # pandas writes 15 significant digits
+            assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in exp]
+            assert all(abs(g[2] - e[2]) <= 1e-14 * max(1.0, abs(e[2])) for g, e in zip(got, exp))
+        else:
+            assert got == exp
