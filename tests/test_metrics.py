@@ -93,3 +93,23 @@ def test_confusion_and_accuracy(spark):
     assert (r["tp"], r["fp"], r["tn"], r["fn"]) == (1, 1, 1, 1)
     assert r["precision"] == 0.5 and r["recall"] == 0.5 and r["f1"] == 0.5
     assert metrics.accuracy(df, "y", F.col("score") > 0.5).first()["accuracy"] == 0.5
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 20)), min_size=2, max_size=200)
+       .filter(lambda r: len({y for y, _ in r}) == 2))
+def test_curve_properties(spark, rows):
+    df = spark.createDataFrame([(y, s / 20) for y, s in rows], "y int, score double")
+    roc = sorted(metrics.roc_curve(df, "y", "score").collect(), key=lambda r: -r["threshold"])
+    assert roc[0]["fpr"] == 0 and roc[0]["tpr"] == 0 and roc[-1]["fpr"] == 1 and roc[-1]["tpr"] == 1
+    assert all(a["fpr"] <= b["fpr"] and a["tpr"] <= b["tpr"] for a, b in zip(roc, roc[1:]))
+    auc = metrics.roc_auc(df, "y", "score").first()["auc"]
+    # AUC = P(score_pos > score_neg) + P(tie) / 2 (Mann-Whitney)
+    pos = [s for y, s in rows if y == 1]
+    neg = [s for y, s in rows if y == 0]
+    mw = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert 0 <= auc <= 1 and math.isclose(auc, mw, rel_tol=1e-12)
