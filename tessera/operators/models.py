@@ -45,6 +45,9 @@ MAX_DEPTH = 30          # Spark's limit; stands for "unlimited"
 FOREST_TREES = 100      # the reference library's default forest size
 ROWS_PER_PARTITION = 500_000
 DEFAULT_PARALLELISM = 8
+# Forests with more nodes than this are not walked as literal node arrays;
+# their candidates are fitted one by one instead.
+MAX_LITERAL_NODES = 2_000_000
 
 # Estimators by the reference's names (imported there; the classifier and
 # regressor trees and the classifier forest are the ones it calls).
@@ -476,6 +479,9 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
         f, d, leaf = job
         model = forest(biggest, d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
         trees = forest_nodes(spark, model)
+        if sum(len(t) for t in trees) > MAX_LITERAL_NODES:
+            raise ValueError("forests too large for the shared-forest search; "
+                             "use cross_validate on a smaller grid")
         # a min split at or below twice the leaf size never binds
         eff = sorted({s if s > 2 * leaf else 0 for s in min_split})
         leaves, votes = forest_votes(trees, eff)
@@ -509,6 +515,11 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
                                        "mean_accuracy double, rank long")
 
 
+def _confusion_counts(pred: DataFrame) -> tuple[int, int, int, int]:
+    r = metrics.confusion(pred, "label", F.col("pred")).first()
+    return r["tp"], r["fp"], r["tn"], r["fn"]
+
+
 def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                  max_depth: Sequence[int], n_trees: Sequence[int], weighted: bool = False,
                  seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
@@ -524,7 +535,12 @@ def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
 
     def run(d):
         model = forest(biggest, d, weighted=weighted, seed=seed).fit(train)
-        leaves, votes = forest_votes(forest_nodes(spark, model), [0])
+        trees = forest_nodes(spark, model)
+        if sum(len(t) for t in trees) > MAX_LITERAL_NODES:
+            return [(d, n, *_confusion_counts(
+                predict(forest(n, d, weighted=weighted, seed=seed).fit(train), valid)))
+                for n in n_trees]
+        leaves, votes = forest_votes(trees, [0])
         scored = valid.select("label", leaves.alias("__leaves")).select(
             "label", votes[0].alias("v"))
         y = F.col("label") == 1.0

@@ -117,3 +117,13 @@ def test_tree_depth_sweep_equals_direct_fits(spark):
     for d in (1, 2, 5):
         m = models.tree(d, min_leaf=2, seed=1).fit(df)
         assert got[d] == models.f1_of(models.predict(m, df)).first()["accuracy"]
+
+
+def test_forest_sweep_fallback_for_large_forests(spark, monkeypatch):
+    df = _data(spark, 200)
+    fast = sorted(map(tuple, models.forest_sweep(spark, df, df, [2], [3], seed=5,
+                                                 parallelism=1).collect()))
+    monkeypatch.setattr(models, "MAX_LITERAL_NODES", 0)
+    slow = sorted(map(tuple, models.forest_sweep(spark, df, df, [2], [3], seed=5,
+                                                 parallelism=1).collect()))
+    assert len(slow) == 1 and slow[0][:2] == fast[0][:2]
