@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import arrays
+from tessera.functions import arrays, formatting
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
 from tessera.session import scratch_dir, ship_package
@@ -630,3 +630,15 @@ def image_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return img.select(
         F.regexp_extract("image.origin", r"vec-(\d+)\.png$", 1).cast("long").alias("vec_id"),
         images.gray("image").alias("gray"))
+
+
+@register("sweep_report", _sweep_sql(45, """
+select threshold, printf('Threshold = %.2f | Precision = %.3f, Recall = %.3f',
+                         threshold, precision, recall) as line, f1 from m"""))
+def sweep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep printed as the reference prints it: one text line and the
+    F1 per threshold."""
+    sweep = metrics.threshold_sweep(fx.scored(spark, sf_dir), "y", "score",
+                                    metrics.threshold_grid(*SWEEP_TREE))
+    return sweep.select("threshold", formatting.sweep_line("threshold", "precision", "recall")
+                        .alias("line"), "f1")
