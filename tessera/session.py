@@ -35,6 +35,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "12g"))
         .getOrCreate()
     )
