@@ -113,3 +113,12 @@ def test_curve_properties(spark, rows):
     neg = [s for y, s in rows if y == 0]
     mw = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert 0 <= auc <= 1 and math.isclose(auc, mw, rel_tol=1e-12)
+
+
+def test_auc_agrees_with_spark_evaluator(sample):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df, _, _ = sample
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    spark_auc = ev.evaluate(df.select(F.col("score"), F.col("y").cast("double").alias("label")))
+    ours = metrics.roc_auc(df, "y", "score").first()["auc"]
+    assert math.isclose(ours, spark_auc, rel_tol=1e-12)
