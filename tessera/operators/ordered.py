@@ -174,3 +174,29 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
         cols.append(F.coalesce(F.lead(c).over(w), F.col(f"__nf_{c}")).alias(f"next_{c}"))
     cols += [F.col("tot_rows")] + [F.col(f"tot_{s}") for s in sums]
     return out.select(*cols)
+
+
+def row_index(df: DataFrame, name: str = "__idx") -> DataFrame:
+    """Dense 0-based position of every row in the frame's current order
+    (partition by partition), without a shuffle or a window.
+
+    ``monotonically_increasing_id`` packs (partition, row in partition); the
+    frame is checkpointed so that the packing is fixed, the rows per
+    partition are counted (one small row per partition), prefixed on the
+    driver and broadcast back: position = rows of earlier partitions + row.
+    """
+    spark = df.sparkSession
+    mid = "__mid"
+    fixed = df.withColumn(mid, F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftrightunsigned(F.col(mid), 33)
+    counts = sorted((r["p"], r["n"]) for r in fixed.groupBy(part.alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, run = [], 0
+    for p, n in counts:
+        offsets.append((p, run))
+        run += n
+    offs = spark.createDataFrame(offsets, "__p long, __off long")
+    within = F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
+    out = fixed.join(F.broadcast(offs), part == F.col("__p"), "left")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      (F.col("__off") + within).alias(name))

@@ -142,8 +142,8 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
 def write_json(df: DataFrame, path: str, orient: str = "lines",
                double_precision: int = 10) -> str:
     """``to_json``.  ``lines``: one object per row.  ``columns`` (the
-    reference's default layout): rows get a global 0-based index (two-level
-    prefix, no single task), then every partition writes its own
+    reference's default layout): rows get a global 0-based index (partition
+    offsets, no shuffle), then every partition writes its own
     ``{"col": {"<index>": value}}`` object with pandas inside the task, so the
     layout scales as a folder of parts.  ``double_precision`` is pandas' float
     digit count (its default, 10, rounds)."""
@@ -152,8 +152,7 @@ def write_json(df: DataFrame, path: str, orient: str = "lines",
     if orient != "columns":
         raise ValueError(f"unknown orient {orient!r}")
     from tessera.operators import ordered
-    idx = ordered.ordered_index(df.withColumn("__mid", F.monotonically_increasing_id()), ["__mid"])
-    rows = idx.select((F.col("__rank") - 1).alias("__idx"), *[_c(c) for c in df.columns])
+    rows = ordered.row_index(df, "__idx").select("__idx", *[_c(c) for c in df.columns])
 
     def to_text(batches):
         import pandas as pd

@@ -132,3 +132,12 @@ def test_one_hot_vector_equals_boolean_dummies(spark):
     vec = {r["x"]: [bool(v) for v in r["g_vec"].toArray()]
            for r in prep.one_hot_vector(df, "g").collect()}
     assert dense == vec
+
+
+def test_row_index_dense_and_in_order(spark):
+    df = spark.range(0, 2500, numPartitions=6).select((F.col("id") * 3).alias("v"))
+    got = ordered.row_index(df, "i").collect()
+    assert sorted(r["i"] for r in got) == list(range(2500))
+    # positions follow the frame's order: v increases with the index here
+    by_idx = [r["v"] for r in sorted(got, key=lambda r: r["i"])]
+    assert by_idx == sorted(by_idx)
