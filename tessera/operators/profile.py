@@ -1,10 +1,12 @@
 """Table profiles: ``info()`` (A6) and ``describe()`` (A7).
 
 Both are one aggregate pass over the table, unpivoted to one row per column.
-Quantiles are exact: Spark's ``percentile`` inside the same pass when the
-table is small enough for its value->count map, otherwise a distributed
-selection over value counts (two-level prefix) that only ranks the buckets
-holding the target positions.
+Quantiles are exact.  Up to ``EXACT_PERCENTILE_ROWS`` rows: approximate
+percentiles bracket each target rank, and only the few values inside the
+brackets come back (three scans for all columns together; a bracket that
+misses is detected and that column falls back).  Larger tables: a
+distributed selection over value counts (two-level prefix) that only ranks
+the buckets holding the target positions.
 """
 
 from __future__ import annotations
@@ -21,10 +23,10 @@ from tessera.operators import ordered
 from tessera.operators.frame import col
 
 QUANTILES = (0.25, 0.5, 0.75)
-# Tables of at most this many rows use Spark's exact ``percentile`` inside the
-# single aggregate pass (its final value->count map then holds at most this
-# many entries; checked with a bounded ``limit().count()``); larger tables use
-# the distributed selection, several columns at once.
+# Tables of at most this many rows (checked with a bounded ``limit().count()``)
+# use bracketed selection, whose driver-side window is then at most a few
+# thousand values per quantile; larger tables use the distributed selection,
+# several columns at once.
 EXACT_PERCENTILE_ROWS = 5_000_000
 SELECTION_THREADS = 4
 # Standard deviation and interpolated quantiles are reported to 4 decimals.
@@ -89,6 +91,95 @@ def exact_quantiles(df: DataFrame, name: str, qs: Sequence[float], n: int) -> li
     return out
 
 
+def bracketed_quantiles(df: DataFrame, names: Sequence[str], counts: Sequence[int],
+                        qs: Sequence[float], accuracy: int = 10_000) -> dict[int, list]:
+    """Exact interpolated quantiles of several columns in three scans.
+
+    For every target rank an approximate percentile run (rank error about
+    n / accuracy) gives a bracket [L, U] around it; one scan counts the rows
+    below each L, another brings back the (value, count) pairs inside the
+    brackets — a few thousand at most — and the exact values are read off.
+    A bracket that misses its rank (checked, not assumed) sends that column
+    to the distributed selection instead.
+    """
+    cols = {i: _clean(df, c).cast("double") for i, c in enumerate(names)}
+    targets = {i: sorted({int(p) for q in qs for p in (q * (n - 1) // 1, -(-q * (n - 1) // 1))})
+               for i, n in enumerate(counts) if n > 0}
+    pcts, where = [], []
+    for i, ranks in targets.items():
+        n = counts[i]
+        slack = 2 * (n / accuracy + 1)
+        for r in ranks:
+            where.append((i, r, len(pcts)))
+            pcts += [max(0.0, (r - slack) / n), min(1.0, (r + slack + 1) / n)]
+    if not pcts:
+        return {i: [None] * len(qs) for i in range(len(names))}
+    by_col: dict[int, list[float]] = {}
+    for i, _r, k in where:
+        by_col.setdefault(i, []).extend([pcts[k], pcts[k + 1]])
+    approx = df.agg(*[F.percentile_approx(cols[i], p, accuracy).alias(f"a{i}")
+                      for i, p in by_col.items()]).first()
+    bounds = {}
+    pos = {i: 0 for i in by_col}
+    for i, r, _k in where:
+        a = approx[f"a{i}"]
+        lo, hi = a[pos[i]], a[pos[i] + 1]
+        pos[i] += 2
+        bounds[(i, r)] = (lo, hi)
+    below = df.agg(*[F.count_if(cols[i] < lo).alias(f"b{i}_{r}")
+                     for (i, r), (lo, _hi) in bounds.items()]).first()
+    # one scan: every (column, value) inside one of that column's brackets
+    keep = None
+    for i in by_col:
+        cond = None
+        for r in targets[i]:
+            lo, hi = bounds[(i, r)]
+            c = F.col("p.v").between(lo, hi)
+            cond = c if cond is None else cond | c
+        keep = (F.when(F.col("p.i") == i, cond) if keep is None
+                else keep.when(F.col("p.i") == i, cond))
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), cols[i].alias("v")) for i in by_col]))
+    pairs = (df.select(cells.alias("p")).filter(keep.otherwise(F.lit(False)))
+             .groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
+             .agg(F.count(F.lit(1)).alias("c")).collect())
+    counts_in: dict[int, list] = {}
+    for row in pairs:
+        counts_in.setdefault(row["i"], []).append((row["v"], row["c"]))
+    for i in counts_in:
+        counts_in[i].sort()
+    out: dict[int, list] = {}
+    for i, n in enumerate(counts):
+        if n == 0:
+            out[i] = [None] * len(qs)
+            continue
+        at, ok = {}, True
+        for r in targets[i]:
+            run = below[f"b{i}_{r}"]
+            if run > r:
+                ok = False
+                break
+            for v, c in counts_in.get(i, []):
+                if v < bounds[(i, r)][0] or v > bounds[(i, r)][1]:
+                    continue
+                if run <= r < run + c:
+                    at[r] = v
+                    break
+                run += c
+            if r not in at:
+                ok = False
+                break
+        if not ok:
+            out[i] = exact_quantiles(df, names[i], qs, n)
+            continue
+        vals = []
+        for q in qs:
+            p = q * (n - 1)
+            lo, hi = int(p // 1), int(-(-p // 1))
+            vals.append(at[lo] if lo == hi else (hi - p) * at[lo] + (p - lo) * at[hi])
+        out[i] = vals
+    return out
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              scales: Mapping[str, int] | None = None,
              quantiles: Sequence[float] = QUANTILES) -> DataFrame:
@@ -108,16 +199,14 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         aggs += [F.count(v).alias(f"n{i}"), mean.alias(f"m{i}"),
                  F.round(F.stddev_samp(v), ROUND_DIGITS).alias(f"s{i}"),
                  F.min(v).cast("double").alias(f"lo{i}"), F.max(v).cast("double").alias(f"hi{i}")]
-        if small:
-            aggs.append(F.percentile(v, list(quantiles)).alias(f"q{i}"))
     first = df.agg(*aggs).first()
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
+    counts = [first[f"n{i}"] for i in range(len(names))]
     if small:
-        qvals = {i: list(first[f"q{i}"]) if first[f"q{i}"] is not None else [None] * len(quantiles)
-                 for i in range(len(names))}
+        qvals = bracketed_quantiles(df, names, counts, quantiles)
     else:
         with ThreadPoolExecutor(max_workers=SELECTION_THREADS) as pool:
-            sel = {i: pool.submit(exact_quantiles, df, c, quantiles, first[f"n{i}"])
+            sel = {i: pool.submit(exact_quantiles, df, c, quantiles, counts[i])
                    for i, c in enumerate(names)}
             qvals = {i: f.result() for i, f in sel.items()}
     rows = []

@@ -141,3 +141,16 @@ def test_row_index_dense_and_in_order(spark):
     # positions follow the frame's order: v increases with the index here
     by_idx = [r["v"] for r in sorted(got, key=lambda r: r["i"])]
     assert by_idx == sorted(by_idx)
+
+
+def test_bracketed_quantiles_match_pandas(spark):
+    rnd = np.random.default_rng(21)
+    a = np.round(rnd.lognormal(3, 1, 40000), 2)
+    a[:15000] = 12.5                       # a third of the rows share one value
+    b = rnd.integers(0, 1_000_000, 40000).astype(float)
+    pdf = pd.DataFrame({"a": a, "b": b})
+    got = profile.bracketed_quantiles(spark.createDataFrame(pdf), ["a", "b"], [40000, 40000],
+                                      [0.25, 0.5, 0.75], accuracy=500)
+    for i, c in enumerate(["a", "b"]):
+        exp = pdf[c].quantile([0.25, 0.5, 0.75]).tolist()
+        assert [round(x, 6) for x in got[i]] == [round(x, 6) for x in exp]
