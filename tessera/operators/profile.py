@@ -23,8 +23,8 @@ from tessera.operators import ordered
 from tessera.operators.frame import col
 
 QUANTILES = (0.25, 0.5, 0.75)
-# Tables of at most this many rows (checked with a bounded ``limit().count()``)
-# use bracketed selection, whose driver-side window is then at most a few
+# Tables of at most this many rows (counted in the first pass) use
+# bracketed selection, whose driver-side window is then at most a few
 # thousand values per quantile; larger tables use the distributed selection,
 # several columns at once.
 EXACT_PERCENTILE_ROWS = 5_000_000
@@ -191,8 +191,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     """
     scales = scales or {}
     names = list(columns or numeric_columns(df))
-    small = df.limit(EXACT_PERCENTILE_ROWS + 1).count() <= EXACT_PERCENTILE_ROWS
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(names):
         v = _clean(df, c)
         mean = exact_mean(v, scales[c]) if c in scales else F.avg(v)
@@ -200,6 +199,7 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                  F.round(F.stddev_samp(v), ROUND_DIGITS).alias(f"s{i}"),
                  F.min(v).cast("double").alias(f"lo{i}"), F.max(v).cast("double").alias(f"hi{i}")]
     first = df.agg(*aggs).first()
+    small = first["__rows"] <= EXACT_PERCENTILE_ROWS
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
     counts = [first[f"n{i}"] for i in range(len(names))]
     if small:
