@@ -127,3 +127,13 @@ def test_forest_sweep_fallback_for_large_forests(spark, monkeypatch):
     slow = sorted(map(tuple, models.forest_sweep(spark, df, df, [2], [3], seed=5,
                                                  parallelism=1).collect()))
     assert len(slow) == 1 and slow[0][:2] == fast[0][:2]
+
+
+def test_cross_validate_with_stratified_folds(spark):
+    df = _data(spark, 240)
+    table, best = models.cross_validate(spark, df, "k", models.tree(seed=1),
+                                        {"maxDepth": [1, 3]}, k=3, parallelism=2)
+    rows = table.collect()
+    assert len(rows) == 2 and all(0 <= r["accuracy"] <= 1 for r in rows)
+    top = max(rows, key=lambda r: r["accuracy"])
+    assert best.getOrDefault("maxDepth") == top["maxDepth"]
