@@ -130,23 +130,16 @@ def head_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SALE_ORDER = ["price", "l_orderkey", "l_linenumber", "item_id", "discount", "quantity"]
 
 
-@register("cheapest_sale", SALES_SQL + """
-select * from sales
-order by price nulls last, l_orderkey, l_linenumber, item_id, discount, quantity limit 1
-""")
-def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sort_values(price).head(1)`` with a full tie-break.
+def _with_regions(spark: SparkSession, sf_dir: str, top: DataFrame) -> DataFrame:
+    """Attach the region to a top-k result of at most k rows (k is the limit).
 
-    The top-1 runs on lineitem alone (``TakeOrderedAndProject``: each task
-    keeps its best row); the region is then looked up for the winning row
-    only, through a filter pushed into the orders scan.
+    The k rows are collected (bounded by the limit) and their order keys are
+    pushed into the orders scan as an ``IN`` filter (row groups skipped by
+    their statistics), instead of joining the whole orders table.
     """
-    top = frame.top_k(fx.sales(spark, sf_dir), _SALE_ORDER[0], 1, tie_break=_SALE_ORDER[1:])
-    rows = top.collect()                      # at most k = 1 row
+    rows = top.collect()
     best = spark.createDataFrame(rows, top.schema)
-    keys = [r["l_orderkey"] for r in rows]
-    # The order lookup is a pushed-down equality filter (row groups skipped by
-    # their min/max statistics), not a scan joined against the whole table.
+    keys = sorted({r["l_orderkey"] for r in rows if r["l_orderkey"] is not None})
     orders = fx.load(spark, sf_dir, "orders", "o_orderkey", "o_custkey") \
         .filter(F.col("o_orderkey").isin(keys))
     orders = frame.broadcast_if_bounded(orders, fx.DIMENSION_BROADCAST_ROWS)
@@ -158,6 +151,21 @@ def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.join(hit, best.l_orderkey == hit.o_orderkey, "left").drop("o_orderkey")
 
 
+@register("cheapest_sale", SALES_SQL + """
+select * from sales
+order by price nulls last, l_orderkey, l_linenumber, item_id, discount, quantity limit 1
+""")
+def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sort_values(price).head(1)`` with a full tie-break.
+
+    The top-1 runs on lineitem alone (``TakeOrderedAndProject``: each task
+    keeps its best row); the region is then looked up for the winning row
+    only, through a filter pushed into the orders scan.
+    """
+    top = frame.top_k(fx.sales(spark, sf_dir), _SALE_ORDER[0], 1, tie_break=_SALE_ORDER[1:])
+    return _with_regions(spark, sf_dir, top)
+
+
 # ------------------------------------------------------------------ joins --
 
 @register("left_join_products", SALES_SQL + """
@@ -642,3 +650,41 @@ def sweep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     metrics.threshold_grid(*SWEEP_TREE))
     return sweep.select("threshold", formatting.sweep_line("threshold", "precision", "recall")
                         .alias("line"), "f1")
+
+
+_SALE_KEY = ["l_orderkey", "l_linenumber", "item_id", "price", "discount", "quantity"]
+
+
+@register("sales_head", SALES_SQL + """
+select * from sales order by l_orderkey, l_linenumber, item_id, price, discount, quantity limit 5
+""")
+def sales_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales.head()`` in key order (a table has no file order in Spark): the
+    top-5 is found on lineitem alone, then the 5 rows get their region."""
+    top = frame.top_k(fx.sales(spark, sf_dir), _SALE_KEY, 5)
+    return frame.top_k(_with_regions(spark, sf_dir, top), _SALE_KEY, 5)
+
+
+@register("left_join_head", SALES_SQL + """
+select s.*, p_name, p_brand, p_type, p_size, p_retailprice
+from sales s left join (select * from part where p_size <= 25) p
+  on s.item_id is not distinct from p.p_partkey
+order by l_orderkey, l_linenumber, s.item_id, price, discount, quantity,
+         p_name, p_brand, p_type, p_size, p_retailprice limit 10
+""")
+def left_join_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``full.head(10)`` of the left join, in key order.
+
+    A left join keeps every left row at least once, so the first 10 joined
+    rows come from the first 10 left rows: the top-10 runs on lineitem, only
+    those rows are joined (their keys pushed into the part scan), and the
+    result is cut to 10 again.
+    """
+    left = _with_regions(spark, sf_dir, frame.top_k(fx.sales(spark, sf_dir), _SALE_KEY, 10))
+    keys = sorted({r["item_id"] for r in left.select("item_id").collect()
+                   if r["item_id"] is not None})          # at most 10 keys
+    products = fx.products(spark, sf_dir, half=True).filter(F.col("item_id").isin(keys))
+    joined = frame.left_join(left, products, "item_id",
+                             broadcast_rows=fx.DIMENSION_BROADCAST_ROWS)
+    order = _SALE_KEY + ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+    return frame.top_k(joined, order, 10)
