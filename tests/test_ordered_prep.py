@@ -154,3 +154,15 @@ def test_bracketed_quantiles_match_pandas(spark):
     for i, c in enumerate(["a", "b"]):
         exp = pdf[c].quantile([0.25, 0.5, 0.75]).tolist()
         assert [round(x, 6) for x in got[i]] == [round(x, 6) for x in exp]
+
+
+def test_bracketed_quantiles_take_no_fallback(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(profile, "exact_quantiles", lambda *a, **k: calls.append(a) or [0, 0, 0])
+    rnd = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": np.round(rnd.normal(50, 9, 20000), 1)})
+    got = profile.bracketed_quantiles(spark.createDataFrame(pdf), ["a"], [20000],
+                                      [0.25, 0.5, 0.75], accuracy=1000)
+    assert not calls
+    assert [round(x, 6) for x in got[0]] == \
+        [round(x, 6) for x in pdf["a"].quantile([0.25, 0.5, 0.75]).tolist()]
