@@ -206,3 +206,11 @@ def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     s = splits(spark, sf_dir)
     return models.forest_grid_search(spark, s["train"], KEY, **FOREST_GRID, k=5, seed=SEED)
+
+
+@register("ml_predictions")
+def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predict`` and ``predict_proba[:, 1]`` of the unweighted tuned forest
+    for every test row: (doc_id, label, prediction, p1)."""
+    s, m = _tuned_forest(spark, sf_dir, False)
+    return models.predict(m, s["test"]).select(KEY, "label", "prediction", "p1")
