@@ -60,3 +60,11 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["item_id", "price_mean", "price_sum", "discount_max"]
     assert df.count() > 0
+
+
+def test_contract_consistency():
+    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(qs)
+    assert all(callable(f) and (f.__doc__ or "").strip() for f in qs.values())
+    # queries without SQL are exactly the model queries (rows-only checks)
+    assert {n for n in qs if n not in sql} == {n for n in qs if n.startswith("ml_")}
