@@ -79,6 +79,7 @@ select item_id, {_exact_mean_sql('price')} as price_mean
 from sales where item_id is not null group by item_id
 """)
 def mean_by_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``groupby(item)[price].mean()``."""
     return frame.group_agg(fx.sales(spark, sf_dir), "item_id", {"price": "mean"}, scales=MONEY)
 
 
@@ -112,6 +113,7 @@ def sum_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 select {_exact_sum_sql('quantity')} as quantity_sum from sales
 """)
 def total_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales[quantity].sum()``."""
     return frame.total(fx.sales(spark, sf_dir), {"quantity": "sum"}, scales=MONEY)
 
 
@@ -249,6 +251,7 @@ def churn_clean_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("churn_clean", CHURN_SQL + "select * from clean")
 def churn_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased names, ``dropna()`` over all columns, free text dropped."""
     return churn_clean_frame(spark, sf_dir)
 
 
