@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions import arrays, formatting
 from tessera.operators import frame, metrics, ordered, prep, profile
 from tessera.plans import fixtures as fx
-from tessera.session import scratch_dir, ship_package
+from tessera.session import ensure_checkpoint_dir, scratch_dir, ship_package
 from tessera.sources import images, text_tables, workbooks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def register(name: str, sql: str | None = None):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)          # Python workers import this package
+            ensure_checkpoint_dir(spark)  # checkpoint() needs one; kept if already set
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:
