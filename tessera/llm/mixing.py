@@ -4,18 +4,21 @@ Sources get weights and share a budget of words; a source whose target would
 pass its limit stops there and the excess is shared again by weight.  Every
 document of a source then has the same copy rate (target / source size): its
 whole part is certain, its fraction is a copy probability.  Dependent rounding
-makes the fractions integral in pairs: of two fractions one takes mass from
-the other until one is 0 or 1, at random so that each keeps its expectation.
-A duel's loser is settled, the winner's residual meets the next.
+makes the fractions integral in pairs: of two documents one takes words from
+the other until one fraction is 0 or 1, at random so that each keeps its
+expectation.  What became integral is settled, the residual meets the next.
+The words of a source stay the same in every duel, so that the source misses
+its target by half of its last residual document at most.
 
 The reduction is a tree: level 0 plays the duels inside blocks of documents of
-one source and similar size (so that a transfer of mass moves few words), each
-higher level plays the residuals of ``BLOCK`` blocks below, up to one residual
+one source and similar size, each higher level plays the residuals of ``BLOCK`` blocks below, up to one residual
 per source.  Blocks hold about ``BLOCK`` rows however large the source is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -93,34 +96,50 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float
                         F.least(limit, F.lit(level) * F.col("weight")).alias("target"))
 
 
-_ITEM = "struct<doc_id:bigint,source:string,size:bigint,repeats:bigint,source_size:bigint,target:double,whole:bigint,p:double>"
+_ITEM = ("struct<doc_id:bigint,source:string,size:bigint,mark:bigint,repeats:bigint,"
+         "source_size:bigint,target:double,whole:bigint,sure:bigint,p:double>")
 _STATE = f"struct<held:{_ITEM},done:array<{_ITEM}>>"
 
 
 def _duel(state: Column, item: Column, seed: int) -> Column:
-    """One duel of the held residual with the next item; what becomes integral joins ``done``."""
+    """One duel of the held residual with the next item; what becomes integral joins ``done``.
+
+    Words move from one to the other until a fraction is 0 or 1: ``up`` words
+    into the held one or ``down`` words out of it, at random so that both keep
+    their expectation.  The words of the pair stay the same either way.
+    """
     a, b = state["held"], item
-    s = a["p"] + b["p"]
-    u = unit(seed, a["doc_id"], a["size"], b["doc_id"], b["size"])
-    small = s < 1
-    # the held item keeps the residual in the first case, the next one in the second
-    keeps_a = F.when(small, u * s < a["p"]).otherwise(u * (2 - s) < 1 - a["p"])
-    residual = F.when(small, s).otherwise(s - 1)
-    settled = F.when(small, F.lit(0.0)).otherwise(F.lit(1.0))
-    winner = F.when(keeps_a, a).otherwise(b).withField("p", residual)
-    loser = F.when(keeps_a, b).otherwise(a).withField("p", settled)
-    first = F.struct(item.alias("held"), state["done"].alias("done"))
-    next_ = F.struct(winner.alias("held"), F.concat(state["done"], F.array(loser)).alias("done"))
-    settled_already = (a["p"] < NEAR) | (a["p"] > 1 - NEAR)
-    push = F.struct(item.alias("held"), F.concat(state["done"], F.array(
-        a.withField("p", F.round(a["p"])))).alias("done"))
-    return (F.when(a["doc_id"].isNull() & a["p"].isNull(), first).when(settled_already, push)
-            .otherwise(next_).cast(_STATE))
+    integral = lambda x: (x["p"] < NEAR) | (x["p"] > 1 - NEAR)
+    closed = lambda x: x.withField("p", F.round(x["p"]))
+    push = lambda held, done: F.struct(
+        held.alias("held"), F.concat(state["done"], F.array(done)).alias("done"))
+
+    def play(w: Column) -> Column:
+        moved = F.when(w["u"] * (w["up"] + w["down"]) < w["down"], w["up"]).otherwise(-w["down"])
+        return _let(moved, lambda m: _let(
+            F.struct(a.withField("p", a["p"] + m / a["size"]).alias("a"),
+                     b.withField("p", b["p"] - m / b["size"]).alias("b")),
+            lambda n: F.when(integral(n["a"]), push(n["b"], closed(n["a"]))).otherwise(
+                push(n["a"], closed(n["b"])))))
+
+    words = F.struct(F.least((1 - a["p"]) * a["size"], b["p"] * b["size"]).alias("up"),
+                     F.least(a["p"] * a["size"], (1 - b["p"]) * b["size"]).alias("down"),
+                     unit(seed, a["doc_id"], a["mark"], b["doc_id"], b["mark"]).alias("u"))
+    return (F.when(a["p"].isNull(), F.struct(b.alias("held"), state["done"].alias("done")))
+            .when(integral(a), push(b, closed(a)))
+            .when(integral(b), push(a, closed(b)))
+            .otherwise(_let(words, play)).cast(_STATE))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _play(level: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    """Play all duels of each group of ``keys`` over its items in order of size: (keys, held, done)."""
-    items = F.sort_array(F.collect_list(F.struct("item.size", F.xxhash64("item.doc_id").alias("h"), "item")))
+    """Play all duels of each group of ``keys`` over its items, largest first: (keys, held, done)."""
+    items = F.sort_array(F.collect_list(F.struct("item.size", F.xxhash64("item.doc_id", "item.mark").alias("h"), "item")),
+                         asc=False)
     empty = F.struct(F.lit(None).cast(_ITEM).alias("held"), F.array().cast(f"array<{_ITEM}>").alias("done"))
     played = level.groupBy(*keys).agg(items.alias("items")).select(
         *keys, F.aggregate(F.col("items.item"), empty.cast(_STATE),
@@ -131,9 +150,11 @@ def _play(level: DataFrame, keys: list[str], seed: int) -> DataFrame:
 def copies(items: DataFrame, shares: DataFrame, seed: int = 7) -> DataFrame:
     """Integral copies of each item.
 
-    ``items``: (doc_id, source, size, repeats), each combination once.
+    ``items``: (doc_id, source, size, mark, repeats), each combination once.
     ``shares``: (source, source_size, target).  Returns the items with
-    ``copies``, ``source_size`` and ``target``; items of size 0 get 0 copies.
+    ``source_size``, ``target``, ``whole`` and ``extra``: each of an item's
+    ``repeats`` equal rows gets ``whole`` copies and ``extra`` of them one
+    more.  Items of size 0 get no copies.
     """
     # sizes within a factor of 2^(1/4) form a stratum; a stratum has as many blocks as its rows need
     stratum = F.when(F.col("size") > 0, F.floor(4 * F.log2(F.col("size")))).otherwise(-1).cast("int")
@@ -151,15 +172,19 @@ def copies(items: DataFrame, shares: DataFrame, seed: int = 7) -> DataFrame:
                                     "source_size", "target"), "mix-plan")
     nodes = int(plan.agg(F.max(F.col("before") + F.col("blocks"))).first()[0] or 0)
 
-    joined = salted_left_join(named(items), plan, ["source", "known", "stratum"], F.xxhash64("doc_id", "size"))
-    node = F.col("before") + F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("blocks"))
+    joined = salted_left_join(named(items), plan, ["source", "known", "stratum"], F.xxhash64("doc_id", "mark"))
+    node = F.col("before") + F.pmod(F.xxhash64(F.lit(seed), "doc_id", "mark"), F.col("blocks"))
     rate = F.when(F.col("size") > 0, F.col("rate")).otherwise(0.0)
     whole = F.floor(rate + NEAR)
-    fraction = F.when(rate - whole < NEAR, 0.0).otherwise(rate - whole)
+    # of an item's equal rows a whole number is sure of a further copy; the rest of the fraction plays
+    together = F.when(rate - whole < NEAR, 0.0).otherwise((rate - whole) * F.col("repeats"))
+    sure = F.floor(together + NEAR)
+    fraction = F.when(together - sure < NEAR, 0.0).otherwise(together - sure)
     level = joined.select(
         "source", "known", node.alias("node"),
-        F.struct("doc_id", F.when(F.col("known"), F.col("source")).alias("source"), "size", "repeats",
-                 "source_size", "target", whole.cast("long").alias("whole"), fraction.alias("p")).alias("item"))
+        F.struct("doc_id", F.when(F.col("known"), F.col("source")).alias("source"), "size", "mark", "repeats",
+                 "source_size", "target", whole.cast("long").alias("whole"), sure.cast("long").alias("sure"),
+                 fraction.alias("p")).alias("item"))
 
     settled = []
     step = 0
@@ -172,53 +197,64 @@ def copies(items: DataFrame, shares: DataFrame, seed: int = 7) -> DataFrame:
         nodes = -(-nodes // BLOCK)
         level = played.select("source", "known", F.floor(F.col("node") / BLOCK).alias("node"),
                               F.col("held").alias("item"))
-    # the last residual of each source is decided by its own probability
-    last = F.when(unit(seed - 1, F.col("held.doc_id"), F.col("held.size")) < F.col("held.p"), 1.0).otherwise(0.0)
+    # the last residual of each source goes to the nearer side: its words are all that the target is missed by
+    last = F.round("held.p")
     settled.append(played.select(F.col("held").withField("p", last).alias("item")))
     everything = settled[0]
     for more in settled[1:]:
         everything = everything.union(more)
-    flat = everything.select("item.*").withColumn(
-        "copies", F.col("whole") + F.round("p").cast("long")).drop("whole", "p")
-    return flat
+    return everything.select("item.*").withColumn("extra", F.col("sure") + F.round("p").cast("long")).drop("sure", "p")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: float = MOST_COPIES,
           seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, repeats, copies, source_size, target): the mix, a row per distinct item.
+    """(doc_id, source, size, mark, repeats, source_size, target, whole, extra): a row per distinct item.
 
-    ``repeats`` counts rows equal in id, source and size; all of them get the
-    same ``copies``, so a repeated row stays whole.  A null or empty text has
-    size 0 and is not taken.  Null is a source of its own, last in order; a
-    null id is an id like any other.  An empty table gives an empty result;
-    extra columns are ignored.
+    ``repeats`` counts rows equal in id, source and text (``mark`` is the
+    text's hash); each gets ``whole`` copies and ``extra`` of them one more.
+    A null or empty text has size 0 and is not taken.  Null is a source of its
+    own, last in order; a null id is an id like any other.  An empty table
+    gives an empty result; extra columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(F.col(text_col)).alias("size"))
-    items = materialize(rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("repeats")),
+                       word_count(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("mark"))
+    items = materialize(rows.groupBy("doc_id", "source", "size", "mark").agg(F.count(F.lit(1)).alias("repeats")),
                         "mix-items")
     sizes = items.groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("source_size"))
     shares = materialize(targets(sizes, weights, budget, most), "mix-shares")
-    # repeats weigh in the words of their source, not in the duels: expectations hold all the same
     return copies(items, shares, seed)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: (doc_id, source, size, copies, source_size, target, taken)."""
-    out = mixed(docs, **options)
-    return out.withColumn("one", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(
-        "doc_id", "source", "size", "copies", "source_size", "target",
-        (F.col("copies") * F.col("size")).alias("taken"))
+    rows = mixed(docs, **options).withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats"))))
+    copies_of = F.col("whole") + (F.col("row") <= F.col("extra")).cast("long")
+    return rows.select("doc_id", "source", "size", copies_of.alias("copies"), "source_size", "target",
+                       (copies_of * F.col("size")).alias("taken"))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it (same columns as ``docs``)."""
-    got = mixed(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies")
-    sized = docs.withColumn("__words", word_count(F.col("text")))
-    match = (sized["doc_id"].eqNullSafe(got["__id"]) & sized["source"].eqNullSafe(got["__source"])
-             & (sized["__words"] == got["__size"]))
-    return sized.join(got, match).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *[sized[c] for c in docs.columns])
-
+    """The documents (columns doc_id, text, source and any others), each as often as the mix takes it."""
+    got = materialize(mixed(docs, **options).where("whole > 0 or extra > 0").select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"),
+        "repeats", "whole", "extra"), "mix-copies")
+    marked = docs.withColumn("__hash", F.xxhash64("text"))
+    match = (marked["doc_id"].eqNullSafe(got["__id"]) & marked["source"].eqNullSafe(got["__source"])
+             & (marked["__hash"] == got["__mark"]))
+
+    def taken(rows: DataFrame, times: Column) -> DataFrame:
+        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select(
+            *[f"__doc.{c}" for c in docs.columns])
+
+    joined = marked.join(got, match).select(
+        F.struct(*[marked[c] for c in docs.columns]).alias("__doc"), "__id", "__source", "__mark",
+        F.col("repeats").alias("__repeats"), F.col("whole").alias("__whole"), F.col("extra").alias("__extra"))
+    single = taken(joined.where("__repeats = 1"), F.col("__whole") + F.col("__extra"))
+    if got.where("repeats > 1").isEmpty():
+        return single
+    # equal rows: one of them stands for all, as often as all of them are taken
+    many = joined.where("__repeats > 1").groupBy("__id", "__source", "__mark").agg(
+        F.first("__doc").alias("__doc"), F.first(
+            F.col("__whole") * F.col("__repeats") + F.col("__extra")).alias("__times"))
+    return single.union(taken(many, F.col("__times")))
