@@ -128,7 +128,7 @@ def _duel(state: Column, item: Column, seed: int) -> Column:
     return (F.when(a["p"].isNull(), F.struct(b.alias("held"), state["done"].alias("done")))
             .when(integral(a), push(b, closed(a)))
             .when(integral(b), push(a, closed(b)))
-            .otherwise(_let(words, play)).cast(_STATE))
+            .otherwise(_let(words, play)))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
