@@ -20,19 +20,19 @@ def as_double(a: Column | str) -> Column:
 
 
 def add(a: Column | str, b: Column | str, strict: bool = True) -> Column:
-    """Elementwise sum.  ``zip_with`` pads the shorter array with NULL;
+    """Elementwise sum; integers stay integers.  ``zip_with`` pads the shorter array with NULL;
     ``strict`` raises instead, as the reference does on unequal shapes."""
     a, b = _c(a), _c(b)
-    out = F.zip_with(a, b, lambda x, y: x.cast("double") + y.cast("double"))
+    out = F.zip_with(a, b, lambda x, y: x + y)
     if not strict:
         return out
     return F.when(F.size(a) == F.size(b), out).otherwise(
         F.raise_error(F.lit("operands could not be broadcast together: unequal lengths")))
 
 
-def scale(a: Column | str, k: float) -> Column:
-    """Elementwise product with a scalar."""
-    return F.transform(_c(a), lambda x: x.cast("double") * F.lit(float(k)))
+def scale(a: Column | str, k: int | float) -> Column:
+    """Elementwise product with a scalar; integers times an integer stay integers."""
+    return F.transform(_c(a), lambda x: x * F.lit(k))
 
 
 def square(c: Column | str) -> Column:
@@ -117,9 +117,9 @@ def coin(key: Column, seed: int, sides: int = 2) -> Column:
 
 
 def randint(key: Column, low: int, high: int, seed: int) -> Column:
-    """``randint(low, high)`` per row (high exclusive) from a row key: 32 bits
+    """``randint(low, high)`` per row (high exclusive) from a row key: 60 bits
     of ``md5('<seed>:<key>')`` modulo the range — reproducible on any
     partitioning and after retries."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
-    bits = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    bits = F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
     return (F.lit(low) + F.pmod(bits, F.lit(high - low))).cast("long")

@@ -85,28 +85,15 @@ def shape(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ joins --
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably holds at most ``max_rows``.
-
-    The check is a ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is passed, so it costs little even on a large table.  Above the
-    bound the frame is returned unchanged and Catalyst/AQE pick a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True,
-              suffixes: tuple[str, str] = ("_x", "_y"),
-              broadcast_rows: int | None = None) -> DataFrame:
+              suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left equi-join on one named key, with the reference's output shape.
 
     One key column comes out; other columns present on both sides get the
     suffixes.  Duplicate right keys multiply left rows.  With ``null_safe``
     (the default, as in the reference) a NULL key matches a NULL key
-    (``<=>``; still an equi-join for Spark's hash and sort-merge joins).  The right side is broadcast only
-    behind a size check; otherwise a sort-merge join with AQE skew splitting.
+    (``<=>``; still an equi-join for Spark's hash and sort-merge joins).  Catalyst
+    picks the join by the sizes in bytes; AQE splits skewed partitions.
     """
     overlap = (set(left.columns) & set(right.columns)) - {on}
     lsel = [col(c).alias(c + suffixes[0]) if c in overlap else col(c) for c in left.columns]
@@ -116,8 +103,6 @@ def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True
         for c in right.columns if c != on]
     l2 = left.select(*lsel)
     r2 = right.select(*rsel)
-    if broadcast_rows is not None:
-        r2 = broadcast_if_bounded(r2, broadcast_rows)
     cond = l2[on].eqNullSafe(r2[rkey]) if null_safe else l2[on] == r2[rkey]
     return l2.join(r2, cond, "left").drop(rkey)
 

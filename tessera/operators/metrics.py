@@ -78,7 +78,9 @@ def threshold_sweep(df: DataFrame, label: str, score: str,
     thr = sorted(float(t) for t in thresholds)
     spark = df.sparkSession
     arr = F.array(*[F.lit(t) for t in thr])
-    binned = df.select(F.size(F.filter(arr, lambda t: t < F.col(score))).alias("b"),
+    # NaN is above no threshold, as in the reference
+    value = F.when(~F.isnan(F.col(score).cast("double")), F.col(score))
+    binned = df.select(F.size(F.filter(arr, lambda t: t < value)).alias("b"),
                        F.col(label).cast("long").alias("y"))
     per_bin = binned.groupBy("b").agg(F.sum("y").alias("pos"),
                                       F.sum(1 - F.col("y")).alias("neg"))

@@ -45,9 +45,8 @@ MAX_DEPTH = 30          # Spark's limit; stands for "unlimited"
 FOREST_TREES = 100      # the reference library's default forest size
 ROWS_PER_PARTITION = 500_000
 DEFAULT_PARALLELISM = 8
-# Forests with more nodes than this are not walked as literal node arrays;
-# their candidates are fitted one by one instead.
-MAX_LITERAL_NODES = 2_000_000
+# Split candidates per feature, unless the caller says otherwise.
+MAX_BINS = 32
 
 # Estimators by the reference's names (imported there; the classifier and
 # regressor trees and the classifier forest are the ones it calls).
@@ -104,9 +103,18 @@ def prepared_splits(df: DataFrame, key: str, label: str, seed: int = 12345,
 
 # ------------------------------------------------------------- estimators --
 
+def depth_limit(max_depth: int | None) -> int:
+    """Spark's depth limit: None stands for unlimited (``MAX_DEPTH``); a larger number raises."""
+    if max_depth is None:
+        return MAX_DEPTH
+    if not 0 <= max_depth <= MAX_DEPTH:
+        raise ValueError(f"depth {max_depth} is not between 0 and {MAX_DEPTH}")
+    return max_depth
+
+
 def tree(max_depth: int | None = None, min_leaf: int = 1, weighted: bool = False,
-         seed: int = 12345, max_bins: int = 32) -> DecisionTreeClassifier:
-    est = DecisionTreeClassifier(maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+         seed: int = 12345, max_bins: int = MAX_BINS) -> DecisionTreeClassifier:
+    est = DecisionTreeClassifier(maxDepth=depth_limit(max_depth),
                                  minInstancesPerNode=min_leaf, seed=seed, maxBins=max_bins)
     if weighted:
         est.setWeightCol("weight")
@@ -114,14 +122,14 @@ def tree(max_depth: int | None = None, min_leaf: int = 1, weighted: bool = False
 
 
 def tree_regressor(max_depth: int | None = None, min_leaf: int = 1,
-                   seed: int = 12345) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+                   seed: int = 12345, max_bins: int = MAX_BINS) -> DecisionTreeRegressor:
+    return DecisionTreeRegressor(maxDepth=depth_limit(max_depth), maxBins=max_bins,
                                  minInstancesPerNode=min_leaf, seed=seed)
 
 
 def forest(n_trees: int = FOREST_TREES, max_depth: int | None = None, min_leaf: int = 1,
-           weighted: bool = False, seed: int = 12345) -> RandomForestClassifier:
-    est = RandomForestClassifier(numTrees=n_trees, maxDepth=min(max_depth or MAX_DEPTH, MAX_DEPTH),
+           weighted: bool = False, seed: int = 12345, max_bins: int = MAX_BINS) -> RandomForestClassifier:
+    est = RandomForestClassifier(numTrees=n_trees, maxDepth=depth_limit(max_depth), maxBins=max_bins,
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
                                  bootstrap=True, seed=seed)
     if weighted:
@@ -479,9 +487,6 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
         f, d, leaf = job
         model = forest(biggest, d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
         trees = forest_nodes(spark, model)
-        if sum(len(t) for t in trees) > MAX_LITERAL_NODES:
-            raise ValueError("forests too large for the shared-forest search; "
-                             "use cross_validate on a smaller grid")
         # a min split at or below twice the leaf size never binds
         eff = sorted({s if s > 2 * leaf else 0 for s in min_split})
         leaves, votes = forest_votes(trees, eff)
@@ -520,81 +525,47 @@ def _confusion_counts(pred: DataFrame) -> tuple[int, int, int, int]:
     return r["tp"], r["fp"], r["tn"], r["fn"]
 
 
+def _sweep_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """(names..., precision, recall, f1, accuracy) from rows (names..., tp, fp, tn, fn)."""
+    schema = ", ".join(f"{n} long" for n in (*names, "tp", "fp", "tn", "fn"))
+    counts = spark.createDataFrame(rows, schema)
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return counts.select(*names,
+                         metrics.precision_col(tp, fp).alias("precision"),
+                         metrics.recall_col(tp, fn).alias("recall"),
+                         metrics.f1_col(tp, fp, fn).alias("f1"),
+                         (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
+                         .alias("accuracy"))
+
+
 def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                  max_depth: Sequence[int], n_trees: Sequence[int], weighted: bool = False,
                  seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
-    """Seeded forests for every (depth, tree count), scored on ``valid``.
+    """Seeded forests for every (depth, tree count), each fitted and scored on ``valid``.
 
-    With a fixed seed, the reference library's forest of n trees is the first
-    n trees of the larger forest (tree seeds are drawn in sequence), so one
-    forest of ``max(n_trees)`` trees per depth serves every tree count: the
-    votes of its first n trees are averaged per row in one aggregation.
     Returns (max_depth, n_trees, precision, recall, f1, accuracy).
     """
-    biggest = max(n_trees)
-
-    def run(d):
-        model = forest(biggest, d, weighted=weighted, seed=seed).fit(train)
-        trees = forest_nodes(spark, model)
-        if sum(len(t) for t in trees) > MAX_LITERAL_NODES:
-            return [(d, n, *_confusion_counts(
-                predict(forest(n, d, weighted=weighted, seed=seed).fit(train), valid)))
-                for n in n_trees]
-        leaves, votes = forest_votes(trees, [0])
-        scored = valid.select("label", leaves.alias("__leaves")).select(
-            "label", votes[0].alias("v"))
-        y = F.col("label") == 1.0
-        aggs = []
-        for n in n_trees:
-            pred = F.aggregate(F.slice("v", 1, n), F.lit(0.0), lambda a, v: a + v) / n > 0.5
-            aggs += [F.count_if(y & pred).alias(f"tp{n}"), F.count_if(~y & pred).alias(f"fp{n}"),
-                     F.count_if(~y & ~pred).alias(f"tn{n}"), F.count_if(y & ~pred).alias(f"fn{n}")]
-        r = scored.agg(*aggs).first()
-        return [(d, n, r[f"tp{n}"], r[f"fp{n}"], r[f"tn{n}"], r[f"fn{n}"]) for n in n_trees]
+    def run(candidate):
+        d, n = candidate
+        model = forest(n, d, weighted=weighted, seed=seed).fit(train)
+        return (d, n, *_confusion_counts(predict(model, valid)))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = [row for part in pool.map(run, list(max_depth)) for row in part]
-    counts = spark.createDataFrame(rows, "max_depth long, n_trees long, tp long, fp long, "
-                                         "tn long, fn long")
-    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
-    return counts.select("max_depth", "n_trees",
-                         metrics.precision_col(tp, fp).alias("precision"),
-                         metrics.recall_col(tp, fn).alias("recall"),
-                         metrics.f1_col(tp, fp, fn).alias("f1"),
-                         (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
-                         .alias("accuracy"))
+        rows = list(pool.map(run, [(d, n) for d in max_depth for n in n_trees]))
+    return _sweep_table(spark, rows, ("max_depth", "n_trees"))
 
 
 def tree_depth_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                      max_depth: Sequence[int], min_leaf: int = 1, weighted: bool = False,
-                     seed: int = 12345) -> DataFrame:
-    """Trees of every depth in ``max_depth`` from one fit at the largest depth.
+                     seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+    """Trees of every depth in ``max_depth``, each fitted and scored on ``valid``.
 
-    Growth is top-down, so the tree limited to depth d is the deepest tree
-    cut at depth d.  Validation rows are reduced to (leaf, label, count) in
-    one aggregation; each depth is scored from that table (bounded by the
-    tree).  Returns (max_depth, precision, recall, f1, accuracy).
+    Returns (max_depth, precision, recall, f1, accuracy).
     """
-    model = tree(max(max_depth), min_leaf=min_leaf, weighted=weighted, seed=seed).fit(train)
-    nodes = tree_nodes(spark, model)
-    paths = _paths(nodes)
-    counts = (valid.groupBy(leaf_of(nodes).alias("leaf"), F.col("label"))
-              .agg(F.count(F.lit(1)).alias("n")).collect())
-    rows = []
-    for d in max_depth:
-        tp = fp = tn = fn = 0
-        for r in counts:
-            pred = truncated_prediction(nodes, paths[r["leaf"]], d, 0) == 1.0
-            pos = r["label"] == 1.0
-            tp += r["n"] * (pos and pred)
-            fp += r["n"] * (not pos and pred)
-            tn += r["n"] * (not pos and not pred)
-            fn += r["n"] * (pos and not pred)
-        rows.append((d, tp, fp, tn, fn))
-    c = spark.createDataFrame(rows, "max_depth long, tp long, fp long, tn long, fn long")
-    tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
-    return c.select("max_depth", metrics.precision_col(tp, fp).alias("precision"),
-                    metrics.recall_col(tp, fn).alias("recall"),
-                    metrics.f1_col(tp, fp, fn).alias("f1"),
-                    (F.when(tp + fp + tn + fn > 0, (tp + tn).cast("double") / (tp + fp + tn + fn)))
-                    .alias("accuracy"))
+    def run(d):
+        model = tree(d, min_leaf=min_leaf, weighted=weighted, seed=seed).fit(train)
+        return (d, *_confusion_counts(predict(model, valid)))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = list(pool.map(run, list(max_depth)))
+    return _sweep_table(spark, rows, ("max_depth",))

@@ -29,12 +29,11 @@ BUCKET = "__bucket"
 DEFAULT_BUCKETS = 256
 # Target number of rows per bucket when the bucket count is derived from size.
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 65_536
 
 
 def bucket_count(n_rows: int) -> int:
     """Buckets so that each holds about ``ROWS_PER_BUCKET`` rows (at least 16)."""
-    return int(min(MAX_BUCKETS, max(16, math.ceil(n_rows / ROWS_PER_BUCKET))))
+    return max(16, math.ceil(n_rows / ROWS_PER_BUCKET))
 
 
 def range_splits(df: DataFrame, column: str, n_buckets: int = DEFAULT_BUCKETS,

@@ -12,43 +12,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import ordered
-from tessera.operators.frame import broadcast_if_bounded, col
+from tessera.operators.frame import col
 
-# A category list larger than this is refused (use Spark's OneHotEncoder).
-MAX_CATEGORIES = 1_000
-# Class tables are broadcast only below this many classes.
-MAX_CLASSES = 10_000
 
 
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def categories(df: DataFrame, columns: Sequence[str], cap: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct non-null values per column, in one distributed ``distinct``.
 
-    At most ``cap`` values per column reach the driver: the distinct pairs
-    are limited to ``cap * len(columns) + 1`` rows and any column over the cap
-    raises instead of being cut short.
+    The values become column names, so they come to the driver whatever their
+    number; ``one_hot_vector`` is the form for very wide columns.
     """
     if not columns:
         return {}
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), col(c).alias("v")) for c in columns]))
     distinct = (df.select(pairs.alias("p")).select("p.k", "p.v")
                 .filter(F.col("v").isNotNull()).distinct())
-    rows = distinct.limit(cap * len(columns) + 1).collect()
+    rows = distinct.collect()
     out: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         out[r["k"]].append(r["v"])
-    for c, vals in out.items():
-        if len(vals) > cap:
-            raise ValueError(f"column {c!r} has more than {cap} categories")
+    for vals in out.values():
         vals.sort()
     return out
 
 
-def one_hot(df: DataFrame, columns: Sequence[str] | None = None, drop_first: bool = True,
-            cap: int = MAX_CATEGORIES) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str] | None = None, drop_first: bool = True) -> DataFrame:
     """``get_dummies``: string columns become ``<col>_<value>`` booleans.
 
     Categories are sorted; with ``drop_first`` the first is left out; a NULL
@@ -56,7 +48,7 @@ def one_hot(df: DataFrame, columns: Sequence[str] | None = None, drop_first: boo
     dummies are appended, column by column.
     """
     columns = list(columns if columns is not None else string_columns(df))
-    cats = categories(df, columns, cap)
+    cats = categories(df, columns)
     keep = [col(c) for c in df.columns if c not in columns]
     dummies = []
     for c in columns:
@@ -105,10 +97,7 @@ def split_three(df: DataFrame, key: str, seed: int = 12345, test_size: float = 0
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     """(target, n_class, n, k): class sizes with the table size and class count."""
     per = df.groupBy(col(target)).agg(F.count(F.lit(1)).alias("n_class"))
-    if per.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"{target!r} has more than {MAX_CLASSES} classes")
-    per = F.broadcast(per)
-    # ``per`` has at most MAX_CLASSES rows (checked): a window over it is bounded.
+    # one row per class: the window sees the class table only
     w = Window.partitionBy(F.lit(0))
     return per.select(col(target), "n_class", F.sum("n_class").over(w).alias("n"),
                       F.count(F.lit(1)).over(w).alias("k"))
@@ -120,7 +109,7 @@ def balanced_weights(df: DataFrame, target: str, weight_col: str = "class_weight
     w = cc.select(col(target).alias("__t"),
                   (F.col("n").cast("double") / (F.col("k") * F.col("n_class")).cast("double"))
                   .alias(weight_col))
-    return df.join(F.broadcast(w), col(target).eqNullSafe(F.col("__t")), "left").drop("__t")
+    return df.join(w, col(target).eqNullSafe(F.col("__t")), "left").drop("__t")
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = 12345,
@@ -139,7 +128,6 @@ def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int
     hashed = df.withColumn(hc, F.concat(code, hash_rank_key(key, seed)))
     ranked = ordered.ordered_index(hashed, [hc, key], hash_col=hc, hash_digits=8 + hash_digits(n))
     first = ranked.groupBy(col(target).alias("__t")).agg(F.min("__rank").alias("__r0"))
-    first = broadcast_if_bounded(first, MAX_CLASSES)
     out = ranked.join(first, col(target) == F.col("__t"))
     return out.select(*[col(c) for c in df.columns],
                       F.pmod(F.col("__rank") - F.col("__r0"), F.lit(k)).cast("int").alias(fold_col))

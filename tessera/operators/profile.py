@@ -1,34 +1,24 @@
 """Table profiles: ``info()`` (A6) and ``describe()`` (A7).
 
 Both are one aggregate pass over the table, unpivoted to one row per column.
-Quantiles are exact.  Up to ``EXACT_PERCENTILE_ROWS`` rows: approximate
-percentiles bracket each target rank, and only the few values inside the
-brackets come back (three scans for all columns together; a bracket that
-misses is detected and that column falls back).  Larger tables: a
-distributed selection over value counts (two-level prefix) that only ranks
-the buckets holding the target positions.
+Quantiles are exact: ranges of values are narrowed scan by scan, all columns
+together, the same way for every size of table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.missing import exact_mean, is_floating, is_numeric, nan_as_null
-from tessera.operators import ordered
 from tessera.operators.frame import col
 
 QUANTILES = (0.25, 0.5, 0.75)
-# Tables of at most this many rows (counted in the first pass) use
-# bracketed selection, whose driver-side window is then at most a few
-# thousand values per quantile; larger tables use the distributed selection,
-# several columns at once.
-EXACT_PERCENTILE_ROWS = 5_000_000
-SELECTION_THREADS = 4
+# Parts into which a scan cuts a value range.
+BUCKETS = 1_024
 # Standard deviation and interpolated quantiles are reported to 4 decimals.
 ROUND_DIGITS = 4
 
@@ -58,125 +48,51 @@ def _clean(df: DataFrame, name: str):
     return nan_as_null(c) if is_floating(df.schema[name].dataType) else c
 
 
-def exact_quantiles(df: DataFrame, name: str, qs: Sequence[float], n: int) -> list[float | None]:
-    """Linear-interpolated quantiles (pandas' default) by distributed selection.
+def exact_quantiles(df: DataFrame, names: Sequence[str], bounds: Sequence[tuple],
+                    counts: Sequence[int], qs: Sequence[float]) -> list[list[float | None]]:
+    """Exact, linearly interpolated quantiles (pandas' default) of several columns.
 
-    Value counts are computed per distinct value (partial aggregation keeps a
-    hot value to one row per task), ranked with the two-level prefix, and only
-    the rows whose rank range covers a target position are brought back —
-    at most two per quantile.
+    Each wanted rank starts with its column's whole range [min, max].  A scan
+    counts the values of every open range in ``BUCKETS`` equal parts, with each
+    part's least and greatest value; the part that holds the rank is the next
+    range, until one value is left.  All columns share the scans; how many there
+    are depends on how close the values lie, not on the number of rows.  The
+    driver sees at most ``BUCKETS`` rows per open range.
     """
-    if n == 0:
-        return [None] * len(qs)
-    vc = (df.select(_clean(df, name).cast("double").alias("v")).filter(F.col("v").isNotNull())
-          .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    targets = sorted({int(p) for q in qs for p in (q * (n - 1) // 1, -(-q * (n - 1) // 1))})
-    idx = ordered.ordered_index(vc, ["v"], sums=["cnt"], only=("cnt", [t + 1 for t in targets]))
-    cond = None
-    for t in targets:
-        hit = (F.col("cum_cnt") - F.col("cnt") <= t) & (F.col("cum_cnt") > t)
-        cond = hit if cond is None else cond | hit
-    found = idx.filter(cond).select("v", "cnt", "cum_cnt").collect()
-    at = {}
-    for t in targets:
-        for r in found:
-            if r["cum_cnt"] - r["cnt"] <= t < r["cum_cnt"]:
-                at[t] = r["v"]
+    value = [_clean(df, c).cast("double") for c in names]
+    spans = {(i, r): (*bounds[i], 0) for i, n in enumerate(counts) if n > 0
+             for q in qs for r in (int(q * (n - 1) // 1), int(-(-q * (n - 1) // 1)))}
+    while open_ := sorted({(i, lo, hi) for (i, _), (lo, hi, _) in spans.items() if lo < hi}):
+        cells = []
+        for k, (i, lo, hi) in enumerate(open_):
+            v = value[i]
+            share = (v * 0.5 - F.lit(lo * 0.5)) / F.lit(hi * 0.5 - lo * 0.5)
+            part = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+            cells.append(F.when(v.between(lo, hi), F.struct(F.lit(k).alias("k"), part.alias("part"), v.alias("v"))))
+        rows = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).groupBy("c.k", "c.part")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi")).collect())
+        parts: dict[int, list] = {}
+        for r in sorted(rows, key=lambda r: (r["k"], r["part"])):
+            parts.setdefault(r["k"], []).append(r)
+        for (i, rank), (lo, hi, below) in spans.items():
+            if lo < hi:
+                for r in parts[open_.index((i, lo, hi))]:
+                    if rank < below + r["n"]:
+                        spans[i, rank] = (r["lo"], r["hi"], below)
+                        break
+                    below += r["n"]
     out = []
-    for q in qs:
-        pos = q * (n - 1)
-        lo, hi = int(pos // 1), int(-(-pos // 1))
-        a, b = at[lo], at[hi]
-        out.append(a if lo == hi else (hi - pos) * a + (pos - lo) * b)
-    return out
-
-
-def bracketed_quantiles(df: DataFrame, names: Sequence[str], counts: Sequence[int],
-                        qs: Sequence[float], accuracy: int = 10_000) -> dict[int, list]:
-    """Exact interpolated quantiles of several columns in three scans.
-
-    For every target rank an approximate percentile run (rank error about
-    n / accuracy) gives a bracket [L, U] around it; one scan counts the rows
-    below each L, another brings back the (value, count) pairs inside the
-    brackets — a few thousand at most — and the exact values are read off.
-    A bracket that misses its rank (checked, not assumed) sends that column
-    to the distributed selection instead.
-    """
-    cols = {i: _clean(df, c).cast("double") for i, c in enumerate(names)}
-    targets = {i: sorted({int(p) for q in qs for p in (q * (n - 1) // 1, -(-q * (n - 1) // 1))})
-               for i, n in enumerate(counts) if n > 0}
-    pcts, where = [], []
-    for i, ranks in targets.items():
-        n = counts[i]
-        slack = 2 * (n / accuracy + 1)
-        for r in ranks:
-            where.append((i, r, len(pcts)))
-            pcts += [max(0.0, (r - slack) / n), min(1.0, (r + slack + 1) / n)]
-    if not pcts:
-        return {i: [None] * len(qs) for i in range(len(names))}
-    by_col: dict[int, list[float]] = {}
-    for i, _r, k in where:
-        by_col.setdefault(i, []).extend([pcts[k], pcts[k + 1]])
-    approx = df.agg(*[F.percentile_approx(cols[i], p, accuracy).alias(f"a{i}")
-                      for i, p in by_col.items()]).first()
-    bounds = {}
-    pos = {i: 0 for i in by_col}
-    for i, r, _k in where:
-        a = approx[f"a{i}"]
-        lo, hi = a[pos[i]], a[pos[i] + 1]
-        pos[i] += 2
-        bounds[(i, r)] = (lo, hi)
-    below = df.agg(*[F.count_if(cols[i] < lo).alias(f"b{i}_{r}")
-                     for (i, r), (lo, _hi) in bounds.items()]).first()
-    # one scan: every (column, value) inside one of that column's brackets
-    keep = None
-    for i in by_col:
-        cond = None
-        for r in targets[i]:
-            lo, hi = bounds[(i, r)]
-            c = F.col("p.v").between(lo, hi)
-            cond = c if cond is None else cond | c
-        keep = (F.when(F.col("p.i") == i, cond) if keep is None
-                else keep.when(F.col("p.i") == i, cond))
-    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), cols[i].alias("v")) for i in by_col]))
-    pairs = (df.select(cells.alias("p")).filter(keep.otherwise(F.lit(False)))
-             .groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v"))
-             .agg(F.count(F.lit(1)).alias("c")).collect())
-    counts_in: dict[int, list] = {}
-    for row in pairs:
-        counts_in.setdefault(row["i"], []).append((row["v"], row["c"]))
-    for i in counts_in:
-        counts_in[i].sort()
-    out: dict[int, list] = {}
     for i, n in enumerate(counts):
-        if n == 0:
-            out[i] = [None] * len(qs)
-            continue
-        at, ok = {}, True
-        for r in targets[i]:
-            run = below[f"b{i}_{r}"]
-            if run > r:
-                ok = False
-                break
-            for v, c in counts_in.get(i, []):
-                if v < bounds[(i, r)][0] or v > bounds[(i, r)][1]:
-                    continue
-                if run <= r < run + c:
-                    at[r] = v
-                    break
-                run += c
-            if r not in at:
-                ok = False
-                break
-        if not ok:
-            out[i] = exact_quantiles(df, names[i], qs, n)
+        if not n:
+            out.append([None] * len(qs))
             continue
-        vals = []
+        line = []
         for q in qs:
             p = q * (n - 1)
             lo, hi = int(p // 1), int(-(-p // 1))
-            vals.append(at[lo] if lo == hi else (hi - p) * at[lo] + (p - lo) * at[hi])
-        out[i] = vals
+            a, b = spans[i, lo][0], spans[i, hi][0]
+            line.append(a if lo == hi else (hi - p) * a + (p - lo) * b)
+        out.append(line)
     return out
 
 
@@ -199,16 +115,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
                  F.round(F.stddev_samp(v), ROUND_DIGITS).alias(f"s{i}"),
                  F.min(v).cast("double").alias(f"lo{i}"), F.max(v).cast("double").alias(f"hi{i}")]
     first = df.agg(*aggs).first()
-    small = first["__rows"] <= EXACT_PERCENTILE_ROWS
     qnames = [f"p{int(round(q * 100))}" for q in quantiles]
     counts = [first[f"n{i}"] for i in range(len(names))]
-    if small:
-        qvals = bracketed_quantiles(df, names, counts, quantiles)
-    else:
-        with ThreadPoolExecutor(max_workers=SELECTION_THREADS) as pool:
-            sel = {i: pool.submit(exact_quantiles, df, c, quantiles, counts[i])
-                   for i, c in enumerate(names)}
-            qvals = {i: f.result() for i, f in sel.items()}
+    bounds = [(first[f"lo{i}"], first[f"hi{i}"]) for i in range(len(names))]
+    qvals = exact_quantiles(df, names, bounds, counts, quantiles)
     rows = []
     for i, c in enumerate(names):
         qs = [None if v is None else round(float(v), ROUND_DIGITS) for v in qvals[i]]

@@ -136,22 +136,18 @@ _SALE_ORDER = ["price", "l_orderkey", "l_linenumber", "item_id", "discount", "qu
 def _with_regions(spark: SparkSession, sf_dir: str, top: DataFrame) -> DataFrame:
     """Attach the region to a top-k result of at most k rows (k is the limit).
 
-    The k rows are collected (bounded by the limit) and their order keys are
-    pushed into the orders scan as an ``IN`` filter (row groups skipped by
-    their statistics), instead of joining the whole orders table.
+    The k rows go to the lookups as broadcast join sides (k is the bound), so
+    orders and customer are scanned once and never shuffled.  Nothing runs
+    before the result is asked for.
     """
-    rows = top.collect()
-    best = spark.createDataFrame(rows, top.schema)
-    keys = sorted({r["l_orderkey"] for r in rows if r["l_orderkey"] is not None})
+    keys = top.select(F.col("l_orderkey").alias("__key")).distinct()
     orders = fx.load(spark, sf_dir, "orders", "o_orderkey", "o_custkey") \
-        .filter(F.col("o_orderkey").isin(keys))
-    orders = frame.broadcast_if_bounded(orders, fx.DIMENSION_BROADCAST_ROWS)
+        .join(F.broadcast(keys), F.col("o_orderkey") == F.col("__key"), "left_semi")
     customer = fx.load(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     hit = (customer.join(orders, customer.c_custkey == orders.o_custkey)
            .join(fx.nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
            .select("o_orderkey", "region"))
-    hit = frame.broadcast_if_bounded(hit, fx.DIMENSION_BROADCAST_ROWS)
-    return best.join(hit, best.l_orderkey == hit.o_orderkey, "left").drop("o_orderkey")
+    return top.join(hit, top.l_orderkey == hit.o_orderkey, "left").drop("o_orderkey")
 
 
 @register("cheapest_sale", SALES_SQL + """
@@ -173,14 +169,13 @@ def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("left_join_products", SALES_SQL + """
 select s.*, p_name, p_brand, p_type, p_size, p_retailprice
-from sales s left join (select * from part where p_size <= 25) p
+from sales s left join part p
   on s.item_id is not distinct from p.p_partkey
 """)
 def left_join_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sales.merge(products, on=item, how='left')``."""
     return frame.left_join(fx.sales(spark, sf_dir, with_region=True),
-                           fx.products(spark, sf_dir, half=True), "item_id",
-                           broadcast_rows=fx.DIMENSION_BROADCAST_ROWS)
+                           fx.products(spark, sf_dir), "item_id")
 
 
 # ---------------------------------------------------------------- profile --
@@ -347,7 +342,7 @@ select vec_id, [cast(embedding[i] as double) + cast(embedding[len(embedding) + 1
 def array_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``arr1 + arr2`` elementwise: each vector plus its reverse."""
     e = F.col("embedding")
-    return _embeddings(spark, sf_dir).select("vec_id", arrays.add(e, F.reverse(e)).alias("added"))
+    return _embeddings(spark, sf_dir).select("vec_id", arrays.add(arrays.as_double(e), arrays.as_double(F.reverse(e))).alias("added"))
 
 
 @register("array_scale", """
@@ -357,7 +352,7 @@ from embeddings
 def array_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``arr * 2``."""
     return _embeddings(spark, sf_dir).select(
-        "vec_id", arrays.scale("embedding", 2).alias("scaled"))
+        "vec_id", arrays.scale(arrays.as_double("embedding"), 2.0).alias("scaled"))
 
 
 @register("axis_mean", """
@@ -671,7 +666,7 @@ def sales_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("left_join_head", SALES_SQL + """
 select s.*, p_name, p_brand, p_type, p_size, p_retailprice
-from sales s left join (select * from part where p_size <= 25) p
+from sales s left join part p
   on s.item_id is not distinct from p.p_partkey
 order by l_orderkey, l_linenumber, s.item_id, price, discount, quantity,
          p_name, p_brand, p_type, p_size, p_retailprice limit 10
@@ -681,14 +676,12 @@ def left_join_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A left join keeps every left row at least once, so the first 10 joined
     rows come from the first 10 left rows: the top-10 runs on lineitem, only
-    those rows are joined (their keys pushed into the part scan), and the
+    those rows are joined (part is cut to their keys first), and the
     result is cut to 10 again.
     """
     left = _with_regions(spark, sf_dir, frame.top_k(fx.sales(spark, sf_dir), _SALE_KEY, 10))
-    keys = sorted({r["item_id"] for r in left.select("item_id").collect()
-                   if r["item_id"] is not None})          # at most 10 keys
-    products = fx.products(spark, sf_dir, half=True).filter(F.col("item_id").isin(keys))
-    joined = frame.left_join(left, products, "item_id",
-                             broadcast_rows=fx.DIMENSION_BROADCAST_ROWS)
+    keys = left.select("item_id").distinct()  # at most 10 rows
+    products = fx.products(spark, sf_dir).join(F.broadcast(keys), "item_id", "left_semi")
+    joined = frame.left_join(left, products, "item_id")
     order = _SALE_KEY + ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
     return frame.top_k(joined, order, 10)

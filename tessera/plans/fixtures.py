@@ -2,7 +2,7 @@
 
 * ``sales``    one row per lineitem: item_id, price, discount, quantity, and,
                when asked, the region of the order's customer.
-* ``products`` part, optionally only ``p_size <= 25`` so that joins miss.
+* ``products`` part.
 * ``churn``    documents LEFT JOIN labels (target ``toxic``; unlabeled rows
                are the missing values).
 * ``scored``   events with a 0/1 label and a score in [0, 1] on a 0.01 grid.
@@ -19,7 +19,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.frame import broadcast_if_bounded
 from tessera.sources.tables import load, table_path  # noqa: F401
 
 # The stand-in column mapping (reference name -> table column).
@@ -30,18 +29,14 @@ SALES_COLUMNS = {
     "quantity": "l_quantity",
 }
 
-# Dimension tables at most this many rows are broadcast (nation x region).
-DIMENSION_BROADCAST_ROWS = 100_000
 
 
 def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n_nationkey, region): nation joined to region, broadcast if small
-    (one bounded check on the joined result)."""
+    """(n_nationkey, region): nation joined to region."""
     region = load(spark, sf_dir, "region", "r_regionkey", "r_name")
     nation = load(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     nr = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-    return broadcast_if_bounded(
-        nr.select("n_nationkey", F.col("r_name").alias("region")), DIMENSION_BROADCAST_ROWS)
+    return nr.select("n_nationkey", F.col("r_name").alias("region"))
 
 
 def order_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,11 +88,9 @@ def region_rollup(spark: SparkSession, sf_dir: str, measures: Mapping[str, Colum
             .groupBy("region").agg(*resum))
 
 
-def products(spark: SparkSession, sf_dir: str, half: bool = True) -> DataFrame:
-    """Part as the products table, keyed ``item_id``; ``half`` keeps p_size <= 25."""
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part as the products table, keyed ``item_id``."""
     part = load(spark, sf_dir, "part")
-    if half:
-        part = part.filter(F.col("p_size") <= 25)
     return part.withColumnRenamed("p_partkey", "item_id")
 
 

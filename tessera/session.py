@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return registered
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.sparkContext.setCheckpointDir(current)
     return current

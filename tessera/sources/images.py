@@ -69,8 +69,12 @@ def write_pngs(df: DataFrame, path: str, id_col: str, pixels_col: str, width: in
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of images as Spark's image rows (undecodable files dropped)."""
-    return spark.read.format("image").option("dropInvalid", True).load(path)
+    """A folder of images as Spark's image rows; a file that cannot be decoded raises."""
+    image = F.col("image")
+    bad = F.raise_error(F.concat(F.lit("cannot decode image "), F.coalesce(image["origin"], F.lit("?"))))
+    rows = spark.read.format("image").option("dropInvalid", False).load(path)
+    broken = image["height"].isNull() | (image["height"] <= 0)
+    return rows.select(F.when(~broken, image).otherwise(bad.cast(rows.schema["image"].dataType)).alias("image"))
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -28,6 +28,9 @@ NA_VALUES = (
 )
 
 
+# Spark also reads "1d" and "2f" as numbers; the reference keeps them as text.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^[+-]?(inf|Infinity|infinity)$"
+
 _BOOL_TEXT = ("True", "False", "true", "false", "TRUE", "FALSE")
 
 
@@ -50,7 +53,8 @@ def infer_types(df: DataFrame) -> T.StructType:
         aggs += [F.count(_c(c)).alias(f"n{i}"),
                  F.count_if(_c(c).isin(*_BOOL_TEXT)).alias(f"b{i}"),
                  F.count(F.expr(f"try_cast(`{c}` as bigint)")).alias(f"l{i}"),
-                 F.count(F.expr(f"try_cast(`{c}` as double)")).alias(f"d{i}")]
+                 F.count_if(_c(c).rlike(NUMBER) & F.expr(f"try_cast(`{c}` as double)").isNotNull())
+                 .alias(f"d{i}")]
     r = df.agg(*aggs).first()
     fields = []
     for i, c in enumerate(df.columns):
@@ -100,7 +104,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     out = df.coalesce(1) if single_file else df
 
     def write(w, p):
-        w.option("header", True).option("escape", '"').option("quote", '"').csv(p)
+        (w.option("header", True).option("escape", '"').option("quote", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(p))
     return staged_write(out, path, write)
 
 
@@ -123,32 +128,33 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
     if orient != "columns":
         raise ValueError(f"unknown orient {orient!r}")
     files = spark.read.text(path, wholetext=True)
-    parsed = files.select(F.from_json("value", "map<string,map<string,string>>").alias("m"))
-    cols = parsed.select(F.posexplode("m").alias("pos", "col", "cells"))
-    cells = cols.select("col", F.explode("cells").alias("idx", "v"))
+    parsed = files.select(F.col("_metadata.file_path").alias("__file"),
+                          F.from_json("value", "map<string,map<string,string>>").alias("m"))
+    cols = parsed.select("__file", F.posexplode("m").alias("pos", "col", "cells"))
+    cells = cols.select("__file", "col", F.explode("cells").alias("idx", "v"))
     if schema is not None:
         names = [f.name for f in schema.fields]
     else:
-        # column order as written (first position seen); bounded by the width
-        order = (cols.groupBy("col").agg(F.min("pos").alias("pos"))
-                 .limit(100_001).collect())
+        # column order as written (first position seen); one row per column
+        order = cols.groupBy("col").agg(F.min("pos").alias("pos")).collect()
         names = [r["col"] for r in sorted(order, key=lambda r: (r["pos"], r["col"]))]
-    wide = (cells.groupBy(F.col("idx").cast("long").alias("__idx"))
+    # the row index of one file says nothing about the rows of another
+    wide = (cells.groupBy("__file", F.col("idx").cast("long").alias("__idx"))
             .pivot("col", names).agg(F.first("v")))
     text = wide.select(*[_c(n) for n in names])
-    return typed(text, schema, NA_VALUES)
+    return typed(text, schema, ())  # only JSON null is missing
 
 
 def write_json(df: DataFrame, path: str, orient: str = "lines",
                double_precision: int = 10) -> str:
     """``to_json``.  ``lines``: one object per row.  ``columns`` (the
     reference's default layout): rows get a global 0-based index (partition
-    offsets, no shuffle), then every partition writes its own
+    offsets, no shuffle), then every batch writes its own
     ``{"col": {"<index>": value}}`` object with pandas inside the task, so the
     layout scales as a folder of parts.  ``double_precision`` is pandas' float
     digit count (its default, 10, rounds)."""
     if orient == "lines":
-        return staged_write(df, path, lambda w, p: w.json(p))
+        return staged_write(df, path, lambda w, p: w.option("ignoreNullFields", False).json(p))
     if orient != "columns":
         raise ValueError(f"unknown orient {orient!r}")
     from tessera.operators import ordered
@@ -156,12 +162,15 @@ def write_json(df: DataFrame, path: str, orient: str = "lines",
 
     def to_text(batches):
         import pandas as pd
-        parts = [b for b in batches]
-        if not parts:
-            return
-        pdf = pd.concat(parts).set_index("__idx")
-        pdf.index.name = None
-        yield pd.DataFrame({"value": [pdf.to_json(orient="columns",
-                                                  double_precision=double_precision)]})
-    text = rows.mapInPandas(to_text, "value string")
+        import pyarrow as pa
+        # nullable whole numbers and booleans stay what they are
+        kinds = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.int16(): pd.Int16Dtype(),
+                 pa.int8(): pd.Int8Dtype(), pa.bool_(): pd.BooleanDtype()}
+        for b in batches:
+            if b.num_rows:
+                pdf = pa.Table.from_batches([b]).to_pandas(types_mapper=kinds.get).set_index("__idx")
+                pdf.index.name = None
+                text = pdf.to_json(orient="columns", double_precision=double_precision)
+                yield pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
+    text = rows.mapInArrow(to_text, "value string")
     return staged_write(text, path, lambda w, p: w.text(p))

@@ -97,7 +97,7 @@ def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
             for c in el.iter(f"{_NS}c"):
                 t = c.get("t", "n")
                 if t == "inlineStr":
-                    val = "".join(x.text or "" for x in c.iter(f"{_NS}t"))
+                    val = _decoded("".join(x.text or "" for x in c.iter(f"{_NS}t")))
                 else:
                     v = c.find(f"{_NS}v")
                     val = None if v is None else v.text
@@ -173,6 +173,14 @@ def _workbook_xml(sheet_name: str) -> str:
             'r:id="rId1"/></sheets></workbook>')
 
 
+_CODE = re.compile(r"[\x00-\x08\x0b-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
+_CODED = re.compile(r"_x([0-9A-Fa-f]{4})_")
+
+
+def _decoded(text: str) -> str:
+    return _CODED.sub(lambda m: chr(int(m[1], 16)), text)
+
+
 def _cell(ref: str, v) -> str:
     import math
     if v is None:
@@ -186,6 +194,8 @@ def _cell(ref: str, v) -> str:
             return ""
         return f'<c r="{ref}"><v>{v!r}</v></c>'
     text = v.isoformat(sep=" ") if hasattr(v, "isoformat") else str(v)
+    # characters that XML cannot hold, and what looks like their code
+    text = _CODE.sub(lambda m: f"_x{ord(m[0][0]):04X}_" + m[0][1:], text)
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
 
 

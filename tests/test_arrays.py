@@ -9,7 +9,12 @@ from tessera.functions import arrays
 def test_add_and_scale(spark):
     df = spark.createDataFrame([([1, 2, 3], [4, 5, 6])], "a array<bigint>, b array<bigint>")
     r = df.select(arrays.add("a", "b").alias("s"), arrays.scale("a", 2).alias("m")).first()
+    # The stated array results; whole numbers stay whole numbers
     assert r["s"] == [5, 7, 9] and r["m"] == [2, 4, 6]
+    assert all(type(x) is int for x in r["s"] + r["m"])
+    big = spark.createDataFrame([([9007199254740993], [0])], "a array<bigint>, b array<bigint>")
+    assert big.select(arrays.add("a", "b").alias("s")).first()["s"] == [9007199254740993]
+    assert df.select(arrays.scale("a", 0.5).alias("h")).first()["h"] == [0.5, 1.0, 1.5]
 
 
 def test_unequal_lengths_raise(spark):

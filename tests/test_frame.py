@@ -90,15 +90,6 @@ def test_top_k_nulls_last_and_tie_break(spark):
     assert "TakeOrderedAndProject" in plan
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan_s = big.join(frame.broadcast_if_bounded(small, 100), "id")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Broadcast" in plan_s
-    assert frame.broadcast_if_bounded(big, 100) is big
-
-
 def test_empty_table_aggregates(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert frame.group_agg(df, "k", {"v": "sum"}).count() == 0

@@ -3,6 +3,8 @@ import numpy as np
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import pytest
+
 from tessera.operators import models
 
 
@@ -119,14 +121,24 @@ def test_tree_depth_sweep_equals_direct_fits(spark):
         assert got[d] == models.f1_of(models.predict(m, df)).first()["accuracy"]
 
 
-def test_forest_sweep_fallback_for_large_forests(spark, monkeypatch):
+def test_forest_sweep_rows_equal_direct_fits_for_every_tree_count(spark):
     df = _data(spark, 200)
-    fast = sorted(map(tuple, models.forest_sweep(spark, df, df, [2], [3], seed=5,
-                                                 parallelism=1).collect()))
-    monkeypatch.setattr(models, "MAX_LITERAL_NODES", 0)
-    slow = sorted(map(tuple, models.forest_sweep(spark, df, df, [2], [3], seed=5,
-                                                 parallelism=1).collect()))
-    assert len(slow) == 1 and slow[0][:2] == fast[0][:2]
+    got = {(r["max_depth"], r["n_trees"]): r["accuracy"] for r in
+           models.forest_sweep(spark, df, df, [2, 4], [3, 7], seed=5, parallelism=2).collect()}
+    for (d, n), accuracy in got.items():
+        m = models.forest(n, d, seed=5).fit(df)
+        assert accuracy == models.f1_of(models.predict(m, df)).first()["accuracy"]
+    assert len(got) == 4
+
+
+def test_depth_limits():
+    assert models.tree(None).getMaxDepth() == models.MAX_DEPTH and models.tree(0).getMaxDepth() == 0
+    for make in (models.tree, models.tree_regressor):
+        with pytest.raises(ValueError):
+            make(31)
+    with pytest.raises(ValueError):
+        models.forest(5, 31)
+    assert models.forest(5, 3, max_bins=64).getMaxBins() == 64
 
 
 def test_cross_validate_with_stratified_folds(spark):

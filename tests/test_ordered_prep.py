@@ -85,16 +85,6 @@ def test_balanced_weights(spark):
     assert w == {1: 10 / (2 * 2), 0: 10 / (2 * 8)}
 
 
-def test_distributed_quantiles_match_pandas(spark):
-    rnd = np.random.default_rng(5)
-    vals = np.round(rnd.normal(100, 20, 4001), 2)
-    vals[:500] = 77.0  # a hot value
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = profile.exact_quantiles(df, "v", [0.25, 0.5, 0.75], len(vals))
-    exp = pd.Series(vals).quantile([0.25, 0.5, 0.75]).tolist()
-    assert [round(g, 6) for g in got] == [round(e, 6) for e in exp]
-
-
 def test_describe_edge_cases(spark):
     one = spark.createDataFrame([(5.0, None)], "x double, y double")
     r = {row["column_name"]: row for row in profile.describe(one).collect()}
@@ -115,14 +105,17 @@ def test_describe_matches_pandas(spark):
             assert abs(got[c][s] - exp.loc[k, c]) < 1e-4
 
 
-def test_describe_large_path_equals_small_path(spark, monkeypatch):
+def test_describe_quantiles_equal_pandas_on_hard_values(spark):
     rnd = np.random.default_rng(9)
-    pdf = pd.DataFrame({"a": rnd.integers(0, 50, 3000), "b": np.round(rnd.random(3000) * 100, 2)})
+    pdf = pd.DataFrame({"a": rnd.integers(0, 50, 3001), "b": np.round(rnd.random(3001) * 100, 2),
+                        "hot": np.where(rnd.random(3001) < 0.6, 7.0, rnd.normal(0, 1e6, 3001)),
+                        "wide": 10.0 ** rnd.integers(-200, 200, 3001), "one": np.full(3001, 3.5)})
     df = spark.createDataFrame(pdf)
-    small = sorted(map(tuple, profile.describe(df).collect()))
-    monkeypatch.setattr(profile, "EXACT_PERCENTILE_ROWS", 0)
-    large = sorted(map(tuple, profile.describe(df).collect()))
-    assert small == large
+    names = list(pdf.columns)
+    bounds = [(float(pdf[c].min()), float(pdf[c].max())) for c in names]
+    got = profile.exact_quantiles(df, names, bounds, [3001] * 5, (0.25, 0.5, 0.75, 0.999))
+    for c, line in zip(names, got):
+        assert np.allclose(line, pdf[c].quantile([0.25, 0.5, 0.75, 0.999]), rtol=1e-12)
 
 
 def test_one_hot_vector_equals_boolean_dummies(spark):
@@ -141,28 +134,3 @@ def test_row_index_dense_and_in_order(spark):
     # positions follow the frame's order: v increases with the index here
     by_idx = [r["v"] for r in sorted(got, key=lambda r: r["i"])]
     assert by_idx == sorted(by_idx)
-
-
-def test_bracketed_quantiles_match_pandas(spark):
-    rnd = np.random.default_rng(21)
-    a = np.round(rnd.lognormal(3, 1, 40000), 2)
-    a[:15000] = 12.5                       # a third of the rows share one value
-    b = rnd.integers(0, 1_000_000, 40000).astype(float)
-    pdf = pd.DataFrame({"a": a, "b": b})
-    got = profile.bracketed_quantiles(spark.createDataFrame(pdf), ["a", "b"], [40000, 40000],
-                                      [0.25, 0.5, 0.75], accuracy=500)
-    for i, c in enumerate(["a", "b"]):
-        exp = pdf[c].quantile([0.25, 0.5, 0.75]).tolist()
-        assert [round(x, 6) for x in got[i]] == [round(x, 6) for x in exp]
-
-
-def test_bracketed_quantiles_take_no_fallback(spark, monkeypatch):
-    calls = []
-    monkeypatch.setattr(profile, "exact_quantiles", lambda *a, **k: calls.append(a) or [0, 0, 0])
-    rnd = np.random.default_rng(4)
-    pdf = pd.DataFrame({"a": np.round(rnd.normal(50, 9, 20000), 1)})
-    got = profile.bracketed_quantiles(spark.createDataFrame(pdf), ["a"], [20000],
-                                      [0.25, 0.5, 0.75], accuracy=1000)
-    assert not calls
-    assert [round(x, 6) for x in got[0]] == \
-        [round(x, 6) for x in pdf["a"].quantile([0.25, 0.5, 0.75]).tolist()]

@@ -179,3 +179,27 @@ def test_csv_and_json_roundtrip_property(spark, rows):
             assert all(abs(g[2] - e[2]) <= 1e-14 * max(1.0, abs(e[2])) for g, e in zip(got, exp))
         else:
             assert got == exp
+
+
+def test_json_columns_of_two_files_keep_all_rows(spark, tmp_path):
+    import pandas as pd
+    for i in range(2):
+        pd.DataFrame({"a": [i, 2, 3], "s": ["None", "NA", ""]}).to_json(tmp_path / f"{i}.json")
+    rows = tt.read_json(spark, str(tmp_path)).collect()
+    assert len(rows) == 6 and sorted(r["s"] for r in rows) == ["", "", "NA", "NA", "None", "None"]
+
+
+def test_csv_keeps_codes_and_spaces(spark, tmp_path):
+    frame = spark.createDataFrame([("1d", "  a ", 1), ("2f", "b", 2)], "code string, s string, n int")
+    path = tt.write_csv(frame, str(tmp_path / "out"))
+    rows = sorted(map(tuple, tt.read_csv(spark, path).collect()))
+    assert rows == [("1d", "  a ", 1), ("2f", "b", 2)]
+
+
+def test_json_keeps_nullable_integers_and_null_columns(spark, tmp_path):
+    frame = spark.createDataFrame([(9007199254740993, None, "x"), (None, None, "y")], "n long, e string, s string")
+    path = tt.write_json(frame, str(tmp_path / "c"), orient="columns")
+    back = tt.read_json(spark, path, schema=frame.schema).collect()
+    assert {r["s"]: r["n"] for r in back} == {"x": 9007199254740993, "y": None}
+    path = tt.write_json(frame, str(tmp_path / "l"))
+    assert "e" in spark.read.json(path).columns
