@@ -36,6 +36,8 @@ from tessera.session import scratch_dir
 REVISIT_BYTES = 100
 #: Bytes of records after which a task begins its next archive, and of one range read, about.
 ARCHIVE_BYTES, RUN_BYTES = 64 << 20, 2 << 20
+#: Runs that one reading task takes, about.
+RUNS_PER_TASK = 4
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 
 #: Signatures and layouts of the ZIP format.
@@ -313,7 +315,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 
     runs = materialize(index_runs(manifest), "warc-runs")
     # runs are alike in size: deal them out evenly, whatever archive they lie in
-    return runs.repartition("uri", "offset").mapInArrow(
+    parts = max(1, -(-runs.count() // RUNS_PER_TASK))
+    return runs.repartition(parts, "uri", "offset").mapInArrow(
         run, "record_id string, record_type string, target_uri string, refers_to string, "
              "payload_digest string, payload binary")
 
