@@ -143,7 +143,7 @@ def fit(x: np.ndarray, y: np.ndarray, directions: tuple[int, ...], trees: int =
     edges = [np.unique(np.quantile(col, np.linspace(0, 1, bins + 1)[1:-1])) for col in x.T] if len(x) else []
     binned = np.column_stack([np.searchsorted(e, c) for e, c in zip(edges, x.T)]) if len(x) else None
     f = np.full(len(y), base)
-    for _ in range(trees if 0 < share < 1 else 0):
+    for _ in range(trees if len(y) and 0 < share < 1 else 0):
         p = 1 / (1 + np.exp(-f))
         g, h = y - p, p * (1 - p)
         roots.append(len(nodes))
