@@ -10,7 +10,9 @@ reference's workflow reproducible at scale:
   gives the same model on any cluster size;
 * sweeps fit candidates concurrently from a driver thread pool (each fit is
   a set of cluster jobs) and return a DataFrame of (params..., metric);
-* grid search is ``CrossValidator`` with a stratified ``foldCol``.
+* grid search uses stratified folds; candidates that differ only in where
+  growth stops share a fit: Spark's ``leafCol`` gives each row's leaf, and the
+  leaf's value under every cut comes from the model's node table.
 
 Library defaults of the reference that differ from Spark's are restated:
 forests have 100 trees and unlimited depth (Spark allows at most 30), and
@@ -35,7 +37,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +45,7 @@ from tessera.operators import metrics, prep
 
 MAX_DEPTH = 30          # Spark's limit; stands for "unlimited"
 FOREST_TREES = 100      # the reference library's default forest size
-ROWS_PER_PARTITION = 500_000
+ROWS_PER_PARTITION = 20_000
 DEFAULT_PARALLELISM = 8
 # Split candidates per feature, unless the caller says otherwise.
 MAX_BINS = 32
@@ -85,19 +87,18 @@ def fixed_layout(df: DataFrame, key: str, n_rows: int) -> DataFrame:
     return df.repartition(n_parts, key).sortWithinPartitions(key).checkpoint(eager=True)
 
 
-def prepared_splits(df: DataFrame, key: str, label: str, seed: int = 12345,
-                    weights: bool = False) -> dict[str, DataFrame]:
-    """train / valid / test frames ready for ``fit`` (features, label[, weight])."""
+def prepared_splits(df: DataFrame, key: str, label: str, seed: int = 12345) -> dict[str, DataFrame]:
+    """train / valid / test frames ready for ``fit``: (key, features, label), and
+    in train the balanced class ``weight`` (read by weighted estimators only)."""
     feats = feature_columns(df, [key, label])
-    parts = prep.split_three(df, key, seed=seed)
-    parts = parts.checkpoint(eager=True)
+    parts = prep.split_three(df, key, seed=seed).checkpoint(eager=True)
+    sizes = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
     out = {}
     for name in ("train", "valid", "test"):
-        p = parts.filter(F.col("part") == name).drop("part")
-        a = assemble(p, feats, label, keep=[key])
-        if weights and name == "train":
+        a = assemble(parts.filter(F.col("part") == name), feats, label, keep=[key])
+        if name == "train":
             a = prep.balanced_weights(a, "label", "weight")
-        out[name] = fixed_layout(a, key, a.count())
+        out[name] = fixed_layout(a, key, sizes.get(name, 0))
     return out
 
 
@@ -128,10 +129,11 @@ def tree_regressor(max_depth: int | None = None, min_leaf: int = 1,
 
 
 def forest(n_trees: int = FOREST_TREES, max_depth: int | None = None, min_leaf: int = 1,
-           weighted: bool = False, seed: int = 12345, max_bins: int = MAX_BINS) -> RandomForestClassifier:
+           weighted: bool = False, seed: int = 12345, max_bins: int = MAX_BINS,
+           bootstrap: bool = True) -> RandomForestClassifier:
     est = RandomForestClassifier(numTrees=n_trees, maxDepth=depth_limit(max_depth), maxBins=max_bins,
                                  minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt",
-                                 bootstrap=True, seed=seed)
+                                 bootstrap=bootstrap, seed=seed)
     if weighted:
         est.setWeightCol("weight")
     return est
@@ -165,7 +167,7 @@ def f1_of(pred: DataFrame) -> DataFrame:
 
 def sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
           grid: Sequence[Mapping[str, object]], build: Callable[..., Estimator],
-          metric: str = "f1", parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
+          parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
     """Fit one model per parameter set (concurrently) and score it on ``valid``.
 
     Returns a DataFrame with the parameters and (precision, recall, f1,
@@ -226,94 +228,84 @@ def cross_validate(spark: SparkSession, train: DataFrame, key: str, estimator: E
     return spark.createDataFrame(rows, T.StructType(fields)), cvm.bestModel
 
 
-def probability_column(df: DataFrame) -> Column:
-    return vector_to_array("probability")[1]
+# ------------------------------------------------- grids with shared fits --
 
+# A cut (max depth or None, min split): where growth would have stopped.
+Cut = tuple[int | None, int]
+LEAF = "__leaf"
 
-# ------------------------------------------- tree grid with shared fits --
 
-def int_array(values: Sequence[int | None]) -> Column:
-    """An ARRAY<INT> literal built from SQL text: one JVM call, however long."""
-    body = ", ".join("CAST(NULL AS INT)" if v is None else str(int(v)) for v in values)
-    return F.expr(f"array({body})" if values else "CAST(array() AS ARRAY<INT>)")
+def leaf_values(spark: SparkSession, model: Model, cuts: Sequence[Cut]) -> list[tuple[int, int, list[float]]]:
+    """(tree, leaf, P(class 1) under every cut) for each leaf of a tree or forest.
 
-
-def double_array(values: Sequence[float | None]) -> Column:
-    """An ARRAY<DOUBLE> literal built from SQL text (exact: shortest repr)."""
-    body = ", ".join("CAST(NULL AS DOUBLE)" if v is None else repr(float(v)).upper() + "D"
-                     for v in values)
-    return F.expr(f"array({body})" if values else "CAST(array() AS ARRAY<DOUBLE>)")
-
-
-def tree_nodes(spark: SparkSession, model: Model) -> dict[int, dict]:
-    """Nodes of a fitted tree from its saved form: id -> {feature, threshold,
-    left, right, prediction, count, depth}.  Bounded by the model size."""
+    Growth is top-down, so the tree grown with a smaller depth or a larger min
+    split is the fitted tree with nodes at that depth, or with fewer rows, made
+    leaves.  Leaves are numbered as ``leafCol`` does: in the order of node ids.
+    The node table of a model holds at most ``trees * 2 ** (depth + 1)`` rows,
+    whatever the size of the data.
+    """
     from tessera.session import scratch_dir
-    path = scratch_dir(spark, "tree")
+    path = scratch_dir(spark, "model")
     model.write().save(path)
-    rows = spark.read.parquet(path + "/data").select(
-        "id", "prediction", "rawCount", "leftChild", "rightChild",
-        F.col("split.featureIndex").alias("feature"),
-        F.col("split.leftCategoriesOrThreshold").alias("thr")).collect()
-    nodes = {r["id"]: {"feature": r["feature"], "threshold": r["thr"][0] if r["thr"] else None,
-                       "left": r["leftChild"], "right": r["rightChild"],
-                       "prediction": r["prediction"], "count": r["rawCount"]} for r in rows}
-    stack = [(0, 0)]
-    while stack:
-        i, d = stack.pop()
-        nodes[i]["depth"] = d
-        if nodes[i]["left"] >= 0:
-            stack += [(nodes[i]["left"], d + 1), (nodes[i]["right"], d + 1)]
-    return nodes
-
-
-def leaf_of(nodes: Mapping[int, dict], features: str = "features") -> Column:
-    """Column: id of the leaf each row reaches (continuous splits: go left
-    when x[feature] <= threshold), as a JVM-side fold over the tree depth."""
-    n = max(nodes) + 1
-    get = {k: [nodes[i][k] if i in nodes else None for i in range(n)]
-           for k in ("feature", "threshold", "left", "right")}
-    feat = int_array([v if v is not None else -1 for v in get["feature"]])
-    thr = double_array(get["threshold"])
-    left = int_array([v if v is not None else -1 for v in get["left"]])
-    right = int_array([v if v is not None else -1 for v in get["right"]])
-    x = vector_to_array(features)
-    depth = max(v["depth"] for v in nodes.values())
-
-    def step(node, _i):
-        at = node + 1
-        go_left = F.element_at(x, F.element_at(feat, at) + 1) <= F.element_at(thr, at)
-        return F.when(F.element_at(left, at) < 0, node).otherwise(
-            F.when(go_left, F.element_at(left, at)).otherwise(F.element_at(right, at)))
-    if depth == 0:
-        return F.lit(0)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
-
-
-def _paths(nodes: Mapping[int, dict]) -> dict[int, list[int]]:
-    """Root-to-leaf node ids for every leaf."""
-    out, stack = {}, [(0, [0])]
-    while stack:
-        i, p = stack.pop()
-        if nodes[i]["left"] < 0:
-            out[i] = p
-        else:
-            stack += [(nodes[i]["left"], p + [nodes[i]["left"]]),
-                      (nodes[i]["right"], p + [nodes[i]["right"]])]
+    saved = spark.read.parquet(path + "/data")
+    nodes = (saved.select("treeID", "nodeData.*") if "nodeData" in saved.columns
+             else saved.withColumn("treeID", F.lit(0)))
+    rows = nodes.select("treeID", "id", "leftChild", "rightChild", "rawCount", "impurityStats").collect()
+    above: dict[tuple[int, int], list] = {}
+    leaves: dict[int, int] = {}
+    out = []
+    for r in sorted(rows, key=lambda r: (r["treeID"], r["id"])):
+        t = r["treeID"]
+        stats = r["impurityStats"]
+        share = stats[1] / sum(stats) if len(stats) > 1 and sum(stats) > 0 else 0.0
+        line = above.pop((t, r["id"]), []) + [(r["rawCount"], share)]
+        if r["leftChild"] >= 0:
+            above[t, r["leftChild"]] = above[t, r["rightChild"]] = line
+            continue
+        values = [next((v for depth, (n, v) in enumerate(line)
+                        if n < min_split or depth == max_depth), share) for max_depth, min_split in cuts]
+        leaves[t] = leaves.get(t, -1) + 1
+        out.append((t, leaves[t], values))
     return out
 
 
-def truncated_prediction(nodes: Mapping[int, dict], path: Sequence[int], max_depth: int,
-                         min_split: int) -> float:
-    """Prediction of the tree grown with ``max_depth`` and ``min_split`` for a
-    row whose full-tree path is ``path``: growth is top-down, so that tree is
-    the full tree with nodes at ``max_depth`` or with fewer than ``min_split``
-    training rows turned into leaves."""
-    for i in path:
-        nd = nodes[i]
-        if nd["left"] < 0 or nd["depth"] >= max_depth or nd["count"] < min_split:
-            return nd["prediction"]
-    return nodes[path[-1]]["prediction"]
+def leaf_ids(model: Model, df: DataFrame) -> DataFrame:
+    """``df`` with ``__leaf``: the leaf that each row reaches in every tree (array)."""
+    model.setLeafCol(LEAF)
+    out = model.transform(df)
+    forest_like = hasattr(model, "trees")
+    leaf = vector_to_array(LEAF) if forest_like else F.array(LEAF)
+    return out.select(*df.columns, leaf.alias(LEAF))
+
+
+def cut_probabilities(spark: SparkSession, model: Model, df: DataFrame, key: str, cuts: Sequence[Cut],
+                      n_trees: Sequence[int] = (1,)) -> DataFrame:
+    """(key, label, p_<i>_<n>): P(class 1) under cut i by the first n trees.
+
+    Every row is dealt to its leaves, which meet the (broadcast, bounded) leaf
+    table; the leaves of a row lie together, so they are summed before the shuffle.
+    """
+    table = spark.createDataFrame(leaf_values(spark, model, cuts), "tree int, leaf int, p array<double>")
+    dealt = leaf_ids(model, df).select(key, "label", F.posexplode(LEAF).alias("tree", "at")).select(
+        key, "label", "tree", F.col("at").cast("int").alias("leaf"))
+    met = dealt.join(F.broadcast(table), ["tree", "leaf"])
+    return met.groupBy(key, "label").agg(*[
+        (F.sum(F.when(F.col("tree") < n, F.col("p")[i])) / n).alias(f"p_{i}_{n}")
+        for i in range(len(cuts)) for n in n_trees])
+
+
+def _folds(train: DataFrame, key: str, k: int, seed: int) -> DataFrame:
+    return prep.stratified_folds(train.withColumn("__y", F.col("label").cast("long")),
+                                 key, "__y", k=k, seed=seed).drop("__y").checkpoint(eager=True)
+
+
+def _ranked(spark: SparkSession, names: Sequence[str], order: Sequence[tuple],
+            accuracy: Mapping[tuple, Sequence[float]]) -> DataFrame:
+    """(names..., mean_accuracy, rank): rank 1 = best, ties to the first in ``order``."""
+    means = [sum(accuracy[c]) / len(accuracy[c]) for c in order]
+    rank = {i: r + 1 for r, i in enumerate(sorted(range(len(order)), key=lambda i: (-means[i], i)))}
+    schema = ", ".join(f"{n} long" for n in names) + ", mean_accuracy double, rank long"
+    return spark.createDataFrame([(*c, means[i], rank[i]) for i, c in enumerate(order)], schema)
 
 
 def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
@@ -323,143 +315,35 @@ def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
     """``GridSearchCV(DecisionTreeClassifier(), {max_depth, min_samples_leaf,
     min_samples_split})`` with k stratified folds and accuracy.
 
-    Trees grow top-down, so for each fold and leaf size one tree of the
-    largest depth is fitted; every (depth, min split) candidate is that tree
-    cut at the depth and at nodes with fewer rows than the min split.  Each
-    fold's validation rows are reduced to (leaf, label, count) by one Spark
-    aggregation; candidates are scored from that table, whose size is bounded
-    by the tree, not by the data.  Fits: k * len(min_leaf) instead of
-    k * |grid|.  Returns (max_depth, min_samples_leaf, min_samples_split,
-    mean_accuracy, rank) with rank 1 = best, ties to the first candidate in
-    grid order.
+    For each fold and leaf size one tree of the largest depth is fitted; every
+    (depth, min split) candidate is a cut of it.  A fold's validation rows are
+    reduced to (leaf, label, count) by one aggregation, and the candidates are
+    scored from that table, whose size is bounded by the tree.  Fits:
+    k * len(min_leaf) instead of k * |grid|.  Returns (max_depth,
+    min_samples_leaf, min_samples_split, mean_accuracy, rank) with rank 1 =
+    best, ties to the first candidate in grid order.
     """
-    folds = prep.stratified_folds(train.withColumn("__y", F.col("label").cast("long")),
-                                  key, "__y", k=k, seed=seed).drop("__y").checkpoint(eager=True)
-    deepest = max(max_depth)
+    folds = _folds(train, key, k, seed)
+    cuts = [(d, s) for d in max_depth for s in min_split]
 
     def run(job):
         f, leaf = job
-        fit_on = folds.filter(F.col("fold") != f)
-        model = tree(deepest, min_leaf=leaf, seed=seed).fit(fit_on)
-        nodes = tree_nodes(spark, model)
-        counts = (folds.filter(F.col("fold") == f)
-                  .groupBy(leaf_of(nodes).alias("leaf"), F.col("label"))
+        model = tree(max(max_depth), min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
+        values = {at: v for _, at, v in leaf_values(spark, model, cuts)}
+        counts = (leaf_ids(model, folds.filter(F.col("fold") == f))
+                  .groupBy(F.col(LEAF)[0].cast("int").alias("leaf"), "label")
                   .agg(F.count(F.lit(1)).alias("n")).collect())
-        return f, leaf, nodes, counts
+        total = sum(r["n"] for r in counts)
+        return [sum(r["n"] for r in counts if (values[r["leaf"]][i] > 0.5) == (r["label"] == 1.0)) / total
+                for i in range(len(cuts))]
 
+    jobs = [(f, leaf) for f in range(k) for leaf in min_leaf]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fitted = list(pool.map(run, [(f, leaf) for f in range(k) for leaf in min_leaf]))
-    acc: dict[tuple[int, int, int], list[float]] = {}
-    for f, leaf, nodes, counts in fitted:
-        paths = _paths(nodes)
-        total = sum(r["n"] for r in counts)
-        for d in max_depth:
-            for s in min_split:
-                correct = sum(r["n"] for r in counts
-                              if truncated_prediction(nodes, paths[r["leaf"]], d, s) == r["label"])
-                acc.setdefault((d, leaf, s), [0.0] * k)[f] = correct / total
+        scored = dict(zip(jobs, pool.map(run, jobs)))
+    accuracy = {(d, leaf, s): [scored[f, leaf][i] for f in range(k)]
+                for leaf in min_leaf for i, (d, s) in enumerate(cuts)}
     order = [(d, leaf, s) for d in max_depth for leaf in min_leaf for s in min_split]
-    means = {c: sum(acc[c]) / k for c in order}
-    ranked = sorted(order, key=lambda c: (-means[c], order.index(c)))
-    rank = {c: i + 1 for i, c in enumerate(ranked)}
-    rows = [(d, leaf, s, means[(d, leaf, s)], rank[(d, leaf, s)]) for d, leaf, s in order]
-    return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
-                                       "min_samples_split long, mean_accuracy double, rank long")
-
-
-def save(model: Model, path: str) -> str:
-    """Persist a fitted model (the reference imports ``joblib.dump``)."""
-    model.write().overwrite().save(path)
-    return path
-
-
-def load(kind: type, path: str) -> Model:
-    """Load a model saved with :func:`save`; ``kind`` is the model class."""
-    return kind.load(path)
-
-
-# ----------------------------------------- forest grid with shared forests --
-
-def forest_nodes(spark: SparkSession, model: Model) -> list[dict[int, dict]]:
-    """Per tree: id -> {feature, threshold, left, right, count, p1, depth}
-    (``p1`` = share of class 1 at the node).  Bounded by the model size."""
-    from tessera.session import scratch_dir
-    path = scratch_dir(spark, "forest")
-    model.write().save(path)
-    rows = spark.read.parquet(path + "/data").select(
-        "treeID", "nodeData.id", "nodeData.rawCount", "nodeData.leftChild",
-        "nodeData.rightChild", "nodeData.impurityStats",
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr")).collect()
-    trees: dict[int, dict[int, dict]] = {}
-    for r in rows:
-        stats = r["impurityStats"]
-        tot = sum(stats)
-        trees.setdefault(r["treeID"], {})[r["id"]] = {
-            "feature": r["feature"], "threshold": r["thr"][0] if r["thr"] else None,
-            "left": r["leftChild"], "right": r["rightChild"], "count": r["rawCount"],
-            "p1": (stats[1] / tot) if tot > 0 and len(stats) > 1 else 0.0}
-    out = []
-    for t in sorted(trees):
-        nodes = trees[t]
-        stack = [(0, 0)]
-        while stack:
-            i, d = stack.pop()
-            nodes[i]["depth"] = d
-            if nodes[i]["left"] >= 0:
-                stack += [(nodes[i]["left"], d + 1), (nodes[i]["right"], d + 1)]
-        out.append(nodes)
-    return out
-
-
-def forest_votes(trees: Sequence[Mapping[int, dict]], min_splits: Sequence[int],
-                 features: str = "features") -> tuple[Column, dict[int, Column]]:
-    """(leaves, {s: votes}): ``leaves`` is the array of the leaf each row
-    reaches in every tree (to be selected as column ``__leaves``); ``votes[s]``
-    maps it to the per-tree P(class 1) of the forest pruned at nodes with
-    fewer than ``s`` rows (trees in model order).  All trees are walked in
-    one JVM-side expression over flat node arrays (size bounded by the
-    model), built as SQL literals in a single call each."""
-    offsets, flat = [], []
-    for nodes in trees:
-        offsets.append(len(flat))
-        base = len(flat)
-        n = max(nodes) + 1
-        for i in range(n):
-            nd = nodes.get(i)
-            flat.append(None if nd is None else {
-                **nd, "left": nd["left"] + base if nd["left"] >= 0 else -1,
-                "right": nd["right"] + base if nd["right"] >= 0 else -1})
-    feat = int_array([-1 if nd is None or nd["feature"] is None else nd["feature"] for nd in flat])
-    thr = double_array([None if nd is None else nd["threshold"] for nd in flat])
-    left = int_array([-1 if nd is None else nd["left"] for nd in flat])
-    right = int_array([-1 if nd is None else nd["right"] for nd in flat])
-    depth = max(nd["depth"] for nodes in trees for nd in nodes.values())
-    x = vector_to_array(features)
-
-    def step(node, _i):
-        at = node + 1
-        go_left = F.element_at(x, F.element_at(feat, at) + 1) <= F.element_at(thr, at)
-        return F.when(F.element_at(left, at) < 0, node).otherwise(
-            F.when(go_left, F.element_at(left, at)).otherwise(F.element_at(right, at)))
-    roots = int_array(offsets)
-    leaves = F.transform(roots, lambda r: F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))),
-                                                      r, step))
-    out = {}
-    for s in min_splits:
-        p1 = [0.0] * len(flat)
-        for t, nodes in enumerate(trees):
-            for leaf, path in _paths(nodes).items():
-                stop = next((i for i in path if nodes[i]["count"] < s or nodes[i]["left"] < 0),
-                            path[-1])
-                p1[offsets[t] + leaf] = nodes[stop]["p1"]
-        out[s] = _lookup(F.col("__leaves"), double_array(p1))
-    return leaves, out
-
-
-def _lookup(indices: Column, table: Column) -> Column:
-    """``[table[i] for i in indices]`` (0-based indices)."""
-    return F.transform(indices, lambda g: F.element_at(table, g + 1))
+    return _ranked(spark, ("max_depth", "min_samples_leaf", "min_samples_split"), order, accuracy)
 
 
 def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
@@ -469,56 +353,67 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
     """``GridSearchCV(RandomForestClassifier(), {max_depth, n_estimators,
     min_samples_leaf, min_samples_split})``: k stratified folds, accuracy.
 
-    Forest fits cannot be shared across depth (Spark draws feature subsets in
-    node order), but they can across forest size and min split: for each
-    fold, depth and leaf size one forest of ``max(n_trees)`` trees is fitted;
-    the forest of ``n`` trees is its first ``n`` trees (independent,
-    identically drawn trees, as an unseeded search draws them), and a min
-    split prunes each tree at nodes with fewer training rows.  Every
-    candidate of a fit is scored in one aggregation over the validation fold.
-    Returns (max_depth, min_samples_leaf, min_samples_split, n_estimators,
-    mean_accuracy, rank).
+    Spark draws feature subsets in node order, so depths cannot share a fit;
+    forest sizes and min splits can: for each fold, depth and leaf size one
+    forest of ``max(n_trees)`` trees is fitted, the forest of ``n`` trees is its
+    first ``n`` (independent, identically drawn trees, as an unseeded search
+    draws them), and a min split over twice the leaf size cuts each tree (a
+    smaller one never binds).  All candidates of a fit are scored in one
+    aggregation over the validation fold.  Returns (max_depth,
+    min_samples_leaf, min_samples_split, n_estimators, mean_accuracy, rank).
     """
-    folds = prep.stratified_folds(train.withColumn("__y", F.col("label").cast("long")),
-                                  key, "__y", k=k, seed=seed).drop("__y").checkpoint(eager=True)
-    biggest = max(n_trees)
+    folds = _folds(train, key, k, seed)
 
     def run(job):
         f, d, leaf = job
-        model = forest(biggest, d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
-        trees = forest_nodes(spark, model)
-        # a min split at or below twice the leaf size never binds
-        eff = sorted({s if s > 2 * leaf else 0 for s in min_split})
-        leaves, votes = forest_votes(trees, eff)
-        # walk the trees once per row, then one vote array per min split
-        valid = (folds.filter(F.col("fold") == f).select("label", leaves.alias("__leaves"))
-                 .select("label", *[votes[s].alias(f"v_{s}") for s in eff]))
-        aggs = [F.count(F.lit(1)).alias("n")]
-        for s in eff:
-            for n in n_trees:
-                mean = F.aggregate(F.slice(f"v_{s}", 1, n), F.lit(0.0), lambda a, v: a + v) / n
-                aggs.append(F.count_if((mean > 0.5) == (F.col("label") == 1.0)).alias(f"c_{s}_{n}"))
-        r = valid.agg(*aggs).first()
-        return {(d, leaf, s, n): r[f"c_{s if s > 2 * leaf else 0}_{n}"] / r["n"]
-                for s in min_split for n in n_trees}, f
+        model = forest(max(n_trees), d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
+        binding = sorted({s if s > 2 * leaf else 0 for s in min_split})
+        p = cut_probabilities(spark, model, folds.filter(F.col("fold") == f).select(key, "features", "label"),
+                              key, [(None, s) for s in binding], n_trees)
+        hits = p.agg(F.count(F.lit(1)).alias("n"), *[
+            F.count_if((F.col(c) > 0.5) == (F.col("label") == 1.0)).alias(c) for c in p.columns if c[:2] == "p_"])
+        r = hits.first()
+        at = {s: binding.index(s if s > 2 * leaf else 0) for s in min_split}
+        return {(d, leaf, s, n): r[f"p_{at[s]}_{n}"] / r["n"] for s in min_split for n in n_trees}
 
     jobs = [(f, d, leaf) for f in range(k) for d in max_depth for leaf in min_leaf]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, jobs))
-    acc: dict[tuple, list[float]] = {}
-    for scores, f in results:
-        for c, a in scores.items():
-            acc.setdefault(c, [0.0] * k)[f] = a
-    order = [(d, leaf, s, n) for d in max_depth for leaf in min_leaf for s in min_split
-             for n in n_trees]
-    means = {c: sum(acc[c]) / k for c in order}
-    ranked = sorted(range(len(order)), key=lambda i: (-means[order[i]], i))
-    rank = {order[i]: r + 1 for r, i in enumerate(ranked)}
-    rows = [(*c, means[c], rank[c]) for c in order]
-    return spark.createDataFrame(rows, "max_depth long, min_samples_leaf long, "
-                                       "min_samples_split long, n_estimators long, "
-                                       "mean_accuracy double, rank long")
+        scored = list(pool.map(run, jobs))
+    order = [(d, leaf, s, n) for d in max_depth for leaf in min_leaf for s in min_split for n in n_trees]
+    accuracy: dict[tuple, list[float]] = {c: [] for c in order}
+    for one in scored:
+        for c, a in one.items():
+            accuracy[c].append(a)
+    return _ranked(spark, ("max_depth", "min_samples_leaf", "min_samples_split", "n_estimators"), order, accuracy)
+
+
+def refit_best(spark: SparkSession, table: DataFrame, train: DataFrame, df: DataFrame, key: str,
+               seed: int = 12345) -> DataFrame:
+    """(key, label, p1, pred) of ``df`` by the best candidate of a grid table,
+    fitted on all of ``train`` (``GridSearchCV(refit=True)``)."""
+    best = table.filter(F.col("rank") == 1).first()
+    d, leaf, s = best["max_depth"], best["min_samples_leaf"], best["min_samples_split"]
+    n = best["n_estimators"] if "n_estimators" in table.columns else 1
+    est = forest(n, d, min_leaf=leaf, seed=seed) if "n_estimators" in table.columns \
+        else tree(d, min_leaf=leaf, seed=seed)
+    p = cut_probabilities(spark, est.fit(train), df.select(key, "features", "label"), key, [(d, s)], [n])
+    return p.select(key, "label", F.col(f"p_0_{n}").alias("p1"), (F.col(f"p_0_{n}") > 0.5).alias("pred"))
+
+
+# ------------------------------------------------------------- persistence --
+
+def save(model: Model, path: str) -> str:
+    """Persist a fitted model (the reference imports ``joblib.dump``)."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load(kind: type, path: str) -> Model:
+    """Load a model saved with :func:`save`; ``kind`` is the model class."""
+    return kind.load(path)
+
 
+# ------------------------------------------------------ sweeps, one fit each --
 
 def _confusion_counts(pred: DataFrame) -> tuple[int, int, int, int]:
     r = metrics.confusion(pred, "label", F.col("pred")).first()

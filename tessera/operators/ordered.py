@@ -3,8 +3,9 @@
 ``Window.orderBy(x)`` without ``partitionBy`` moves every row into one task.
 Global ranks and running sums are instead computed in two levels:
 
-1. every row gets an order-preserving bucket (a range bucket of the order
-   column from approximate quantiles, or a prefix of a uniform hash);
+1. every row gets an order-preserving bucket (its range of the order columns,
+   all of them, so that one hot value is spread by its tie-breaks; or a prefix
+   of a uniform hash);
 2. per-bucket totals are aggregated (one small row per bucket), and their
    prefix sums are taken on the driver — the bucket table is bounded by the
    bucket count, a parameter, not by the data;
@@ -20,13 +21,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "__bucket"
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 64
 # Target number of rows per bucket when the bucket count is derived from size.
 ROWS_PER_BUCKET = 2_000_000
 
@@ -36,36 +36,15 @@ def bucket_count(n_rows: int) -> int:
     return max(16, math.ceil(n_rows / ROWS_PER_BUCKET))
 
 
-def range_splits(df: DataFrame, column: str, n_buckets: int = DEFAULT_BUCKETS,
-                 accuracy: int = 10_000) -> list[float]:
-    """Sorted distinct split points that cut ``column`` into about equal buckets."""
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), qs, accuracy)).first()
-    vals = row[0] or []
-    return sorted({float(v) for v in vals if v is not None and not math.isnan(v)})
+def with_range_bucket(df: DataFrame, order: Sequence[Column], n_buckets: int) -> DataFrame:
+    """Add ``__bucket``: the range of ``order`` that the row falls in.
 
-
-def with_range_bucket(df: DataFrame, column: str, splits: Sequence[float],
-                      descending: bool = False) -> DataFrame:
-    """Add ``__bucket``: the range bucket of ``column`` (ascending or descending order).
-
-    ``Bucketizer`` does a binary search in the JVM per row.  Bucket numbers
-    grow in processing order, so for a descending order they are flipped.
+    Spark's range partitioner cuts any orderable types, on all columns together,
+    from a sample; the ranges are written down at once, because another run
+    would be free to cut elsewhere.
     """
-    edges = [-math.inf] + list(splits) + [math.inf]
-    tmp = "__bucket_src"
-    b = Bucketizer(splits=edges, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep")
-    out = b.transform(df.withColumn(tmp, F.col(column).cast("double"))).drop(tmp)
-    nb = len(edges) - 1
-    idx = F.col(BUCKET).cast("long")
-    # NaN lands in the extra bucket ``nb`` (Spark sorts NaN above every
-    # number); NULL goes first when ascending and last when descending.
-    if descending:
-        idx = F.when(idx == nb, F.lit(-1)).otherwise(F.lit(nb - 1) - idx)
-        idx = F.coalesce(idx, F.lit(nb + 1))
-    else:
-        idx = F.coalesce(idx, F.lit(-2))
-    return out.withColumn(BUCKET, idx)
+    return (df.repartitionByRange(n_buckets, *order)
+            .withColumn(BUCKET, F.spark_partition_id().cast("long")).checkpoint(eager=True))
 
 
 def with_hash_bucket(df: DataFrame, hex_col: str, digits: int) -> DataFrame:
@@ -77,14 +56,16 @@ def with_hash_bucket(df: DataFrame, hex_col: str, digits: int) -> DataFrame:
     return df.withColumn(BUCKET, F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("long"))
 
 
-def _offsets(spark: SparkSession, bucketed: DataFrame, order: list[Column],
-             sums: Sequence[str], lead_cols: Sequence[str], first_order: Column) -> DataFrame:
+def _offsets(spark: SparkSession, bucketed: DataFrame, order_cols: Sequence[str], descending: bool,
+             sums: Sequence[str], lead_cols: Sequence[str]) -> DataFrame:
     """Per-bucket offsets (sums of all earlier buckets) and the first row's
     values of the next bucket; the bucket table is small by construction."""
     aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(s).alias(f"__t_{s}") for s in sums]
     for c in lead_cols:
-        # first row of the bucket in processing order (min of the sort struct)
-        aggs.append(F.min_by(F.col(c), first_order).alias(f"__f_{c}"))
+        # first row of the bucket in processing order: NULL is the least of any
+        # type, so it comes last when descending
+        pick = F.max_by if descending else F.min_by
+        aggs.append(pick(F.col(c), F.struct(*order_cols)).alias(f"__f_{c}"))
     rows = sorted(bucketed.groupBy(BUCKET).agg(*aggs).collect(), key=lambda r: r[BUCKET])
     out = []
     run_n = 0
@@ -124,7 +105,7 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
 
     ``hash_col`` names a uniform hex-hash column that leads the order (bucket =
     its first ``hash_digits`` digits); otherwise buckets are range buckets of
-    the first order column.  Rows that tie on all order columns are ranked in
+    the order columns, of any orderable type.  Rows that tie on all order columns are ranked in
     an arbitrary order among themselves.  With ``only=(None, ranks)`` only the
     buckets holding those 1-based ranks go through the window; with
     ``only=(s, positions)`` the buckets whose running-``s`` range holds the
@@ -132,24 +113,19 @@ def ordered_index(df: DataFrame, order_cols: Sequence[str], *, descending: bool
     selection instead of a full ranking.
     """
     spark = df.sparkSession
-    first = order_cols[0]
     if materialize:
-        # The input feeds three jobs (splits, bucket totals, final window);
+        # The input feeds several jobs (sizes, bucket totals, final window);
         # checkpointing it to the shared folder computes it once and cuts
         # the lineage, so a lost executor does not replay the whole plan.
         df = df.checkpoint(eager=True)
+    dirs = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
+            for c in order_cols]
     if hash_col is not None:
         bucketed = with_hash_bucket(df, hash_col, hash_digits)
     else:
         # enough buckets that each holds about ROWS_PER_BUCKET rows
-        n_buckets = max(n_buckets, bucket_count(df.count()))
-        splits = range_splits(df, first, n_buckets, accuracy=max(10_000, 4 * n_buckets))
-        bucketed = with_range_bucket(df, first, splits, descending)
-    dirs = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
-            for c in order_cols]
-    first_order = F.struct(*[(-F.col(c)) if descending else F.col(c) for c in order_cols]) \
-        if lead_cols else F.lit(0)
-    offs = _offsets(spark, bucketed, dirs, sums, lead_cols, first_order)
+        bucketed = with_range_bucket(df, dirs, max(n_buckets, bucket_count(df.count())))
+    offs = _offsets(spark, bucketed, order_cols, descending, sums, lead_cols)
     if only is not None:
         measure = "rows" if only[0] is None else only[0]
         local = offs.collect()

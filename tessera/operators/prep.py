@@ -83,12 +83,13 @@ def split_three(df: DataFrame, key: str, seed: int = 12345, test_size: float = 0
     splits: test = ceil(0.4 n), then its half (ceil) is test and the rest
     valid.  ``key`` must identify rows.
     """
+    df = df.checkpoint(eager=True)  # counted, prefixed and ranked: computed once
     n = df.count()
     n_train, n_rest = split_sizes(n, test_size)
     n_valid, _ = split_sizes(n_rest, second_test_size)
     h = "__h"
     ranked = ordered.ordered_index(df.withColumn(h, hash_rank_key(key, seed)), [h, key],
-                                   hash_col=h, hash_digits=hash_digits(n))
+                                   hash_col=h, hash_digits=hash_digits(n), materialize=False)
     part = (F.when(F.col("__rank") <= n_train, "train")
             .when(F.col("__rank") <= n_train + n_valid, "valid").otherwise("test"))
     return ranked.select(*[col(c) for c in df.columns], part.alias(label))
@@ -122,15 +123,20 @@ def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int
     fold: every fold gets the same share of each class (within one row).
     ``target`` must hold non-negative integer class labels.
     """
+    df = df.checkpoint(eager=True)
     n = df.count()
     hc = "__hc"
     code = F.lpad(F.hex(col(target).cast("long")), 8, "0")
     hashed = df.withColumn(hc, F.concat(code, hash_rank_key(key, seed)))
-    ranked = ordered.ordered_index(hashed, [hc, key], hash_col=hc, hash_digits=8 + hash_digits(n))
-    first = ranked.groupBy(col(target).alias("__t")).agg(F.min("__rank").alias("__r0"))
+    ranked = ordered.ordered_index(hashed, [hc, key], hash_col=hc, hash_digits=8 + hash_digits(n),
+                                   materialize=False)
+    # rows of smaller classes: a running sum over the class table (one row per class)
+    before = Window.partitionBy(F.lit(0)).orderBy("__t").rowsBetween(Window.unboundedPreceding, -1)
+    first = df.groupBy(col(target).alias("__t")).count().select(
+        "__t", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__r0"))
     out = ranked.join(first, col(target) == F.col("__t"))
     return out.select(*[col(c) for c in df.columns],
-                      F.pmod(F.col("__rank") - F.col("__r0"), F.lit(k)).cast("int").alias(fold_col))
+                      F.pmod(F.col("__rank") - 1 - F.col("__r0"), F.lit(k)).cast("int").alias(fold_col))
 
 
 def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:

@@ -218,7 +218,7 @@ _CHURN_COLS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("s
     for i, (c, t) in enumerate(_CHURN_COLS)))
 def table_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``churn.info()``: non-null count and type per column."""
-    return profile.info(fx.churn(spark, sf_dir))
+    return profile.info(fx.churn(spark, sf_dir, with_text=False))
 
 
 @register("shape_of", CHURN_SQL + f"""
@@ -228,7 +228,7 @@ where doc_id is not null and text is not null and lang is not null and source is
 """)
 def shape_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``df.dropna().shape``."""
-    return frame.shape(frame.drop_missing(fx.churn(spark, sf_dir)))
+    return frame.shape(frame.drop_missing(fx.churn(spark, sf_dir, with_text=False)))
 
 
 @register("null_share", CHURN_SQL + "\nunion all\n".join(
@@ -236,12 +236,12 @@ def shape_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"from churn" for c, _ in _CHURN_COLS))
 def null_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``df[c].isna().sum() / len(df)`` for every column in one pass."""
-    return frame.null_share(fx.churn(spark, sf_dir))
+    return frame.null_share(fx.churn(spark, sf_dir, with_text=False))
 
 
 def churn_clean_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-case names, drop rows with any missing value, drop the free text."""
-    df = frame.lower_case_columns(fx.churn(spark, sf_dir))
+    df = frame.lower_case_columns(fx.churn(spark, sf_dir, with_text=False))
     return frame.drop_columns(frame.drop_missing(df), ["text"])
 
 

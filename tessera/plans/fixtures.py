@@ -4,7 +4,8 @@
                when asked, the region of the order's customer.
 * ``products`` part.
 * ``churn``    documents LEFT JOIN labels (target ``toxic``; unlabeled rows
-               are the missing values).
+               are the missing values); for the models, text features with
+               target ``poor``.
 * ``scored``   events with a 0/1 label and a score in [0, 1] on a 0.01 grid.
 
 Region lookups go orders -> customer -> nation -> region.  These are key
@@ -95,14 +96,37 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
-    """documents LEFT JOIN labels: doc_id, [text,] lang, source, n_chars, quality, toxic."""
-    cols = ["doc_id", "text", "lang", "source", "n_chars"] if with_text else \
-        ["doc_id", "lang", "source", "n_chars"]
-    docs = load(spark, sf_dir, "documents", *cols)
+    """documents LEFT JOIN labels: doc_id, text, lang, source, n_chars, quality, toxic.
+
+    Without the text, an empty string stands for every text that is present:
+    types and missing values stay as they are, and no text crosses the join.
+    """
+    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    if not with_text:
+        docs = docs.withColumn("text", F.when(F.col("text").isNotNull(), F.lit("")))
     labels = load(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left")
 
 
+def text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling table: doc_id, lang, source, n_chars, n_words, distinct_pct,
+    symbol_pct (whole percents of the words), poor (1 if quality is 0).
+
+    Rows with any missing value are dropped, as in ``churn_clean``; the text is
+    reduced to its features before the join with the labels.
+    """
+    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    symbols = F.filter("w", lambda w: w.rlike(r"[#*$%&|<>]"))
+    n = F.greatest(F.size("w"), F.lit(1))
+    percent = lambda part: F.floor(F.size(part) * 100 / n)
+    feats = (docs.na.drop("any").withColumn("w", words)
+             .select("doc_id", "lang", "source", "n_chars", F.size("w").cast("long").alias("n_words"),
+                     percent(F.array_distinct("w")).alias("distinct_pct"), percent(symbols).alias("symbol_pct")))
+    labels = load(spark, sf_dir, "labels", "doc_id", "quality", "toxic").na.drop("any")
+    return feats.join(labels, "doc_id").select(*feats.columns, (F.col("quality") == 0).cast("int").alias("poor"))
+
+
 SCORE_EXPR = "least(cast(floor(value / 2) as int), 100) / 100D"
 
 

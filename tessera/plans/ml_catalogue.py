@@ -1,40 +1,155 @@
-"""Model queries of the churn workflow (rows-only checks: no SQL form).
+"""Model queries of the churn workflow.
 
-The data are the cleaned, one-hot encoded churn table (target ``toxic``)
-split 60/20/20 by hash rank.  Parameters are the reference's.
+The data are the labelled documents described by numbers taken from their texts
+(target ``poor``), one-hot encoded and split 60/20/20 by hash rank.  Parameters
+are the reference's.  Depth-1 models have an SQL form; deeper ones are checked
+by unit tests and rows only.  Every query prepares its data and fits its models
+anew: nothing is kept between queries.
 """
 
 from __future__ import annotations
 
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import metrics, models
 from tessera.operators import prep as prep_ops
-from tessera.plans.catalogue import SWEEP_FOREST, SWEEP_TREE, THRESHOLD, churn_clean_frame, register
-
-KEY, TARGET, SEED = "doc_id", "toxic", 12345
+from tessera.plans import fixtures as fx
+from tessera.plans.catalogue import SWEEP_FOREST, SWEEP_TREE, THRESHOLD, register
 
-_lock = threading.Lock()
-_splits: dict[tuple[int, str, bool], dict[str, DataFrame]] = {}
+KEY, TARGET, SEED = "doc_id", "poor", 12345
 
 
-def splits(spark: SparkSession, sf_dir: str, weights: bool = False) -> dict[str, DataFrame]:
-    """train / valid / test for the churn table, prepared once per session."""
-    k = (id(spark), sf_dir, weights)
-    with _lock:
-        if k not in _splits:
-            encoded = prep_ops.one_hot(churn_clean_frame(spark, sf_dir))
-            _splits[k] = models.prepared_splits(encoded, KEY, TARGET, seed=SEED, weights=weights)
-        return _splits[k]
+def splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """train (with balanced weights) / valid / test of the modelling table."""
+    encoded = prep_ops.one_hot(fx.text_features(spark, sf_dir))
+    return models.prepared_splits(encoded, KEY, TARGET, seed=SEED)
 
 
 def _scores(pred: DataFrame) -> DataFrame:
     return models.f1_of(pred)
 
 
+# ------------------------------------------------------- checked against SQL --
+
+_FEATURES_SQL = """
+with words as (
+  select d.doc_id, lang, source, n_chars, cast(quality = 0 as int) as poor,
+         regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as w
+  from documents d join labels l on d.doc_id = l.doc_id
+  where d.doc_id is not null and text is not null and lang is not null and source is not null
+    and n_chars is not null and quality is not null and toxic is not null),
+feats as (
+  select doc_id, lang, source, n_chars, cast(len(w) as bigint) as n_words,
+         cast(100 * len(list_distinct(w)) // greatest(len(w), 1) as bigint) as distinct_pct,
+         cast(100 * len([x for x in w if regexp_matches(x, '[#*$%&|<>]')])
+              // greatest(len(w), 1) as bigint) as symbol_pct, poor
+  from words)
+"""
+
+_PARTS_SQL = _FEATURES_SQL + """,
+r as (select *, row_number() over (order by md5('12345:' || cast(doc_id as varchar)), doc_id) as rn,
+             count(*) over () as n from feats),
+s as (select *, n - cast(ceil(0.4 * n) as bigint) as n_train,
+             cast(ceil(0.4 * n) as bigint) - cast(ceil(0.5 * cast(ceil(0.4 * n) as bigint)) as bigint)
+               as n_valid from r),
+parts as (select doc_id, distinct_pct, symbol_pct, poor,
+                 case when rn <= n_train then 'train' when rn <= n_train + n_valid then 'valid'
+                      else 'test' end as part from s)
+"""
+
+_STUMP_SQL = _PARTS_SQL + """,
+longer as (
+  select 0 as feature, distinct_pct as v, poor from parts where part = 'train' union all
+  select 1 as feature, symbol_pct as v, poor from parts where part = 'train'),
+vals as (select feature, v, count(*) as n, sum(poor) as p from longer group by feature, v),
+cum as (select feature, v, sum(n) over up as nl, sum(p) over up as pl,
+               sum(n) over (partition by feature) as nt, sum(p) over (partition by feature) as pt,
+               lead(v) over (partition by feature order by v) as nv
+        from vals window up as (partition by feature order by v)),
+cand as (select feature, (v + nv) / 2.0 as threshold, nl, pl, nt - nl as nr, pt - pl as pr
+         from cum where nv is not null),
+best as (select * from cand
+         order by pl * (nl - pl) / nl + pr * (nr - pr) / nr, feature, threshold limit 1),
+leafs as (select doc_id, cast(poor as double) as label,
+                 case when (case when feature = 0 then distinct_pct else symbol_pct end) <= threshold
+                      then cast(pl as double) / nl else cast(pr as double) / nr end as p1
+          from parts cross join best where part = 'test')
+"""
+STUMP_FEATURES = ["distinct_pct", "symbol_pct"]
+# Percents have at most 101 values, so every split point between two values is tried.
+STUMP_BINS = 128
+
+
+def _stump_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    feats = fx.text_features(spark, sf_dir).select(KEY, *STUMP_FEATURES, TARGET)
+    return models.prepared_splits(feats, KEY, TARGET, seed=SEED)
+
+
+@register("ml_features", _FEATURES_SQL + "select * from feats")
+def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The modelling table: numbers of every labelled text, and the target."""
+    return fx.text_features(spark, sf_dir)
+
+
+@register("ml_feature_vectors", _PARTS_SQL + """
+select doc_id, part, [cast(distinct_pct as double), cast(symbol_pct as double)] as features,
+       cast(poor as double) as label from parts""")
+def ml_feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors and targets of the three parts of the split."""
+    from pyspark.ml.functions import vector_to_array
+    s = _stump_splits(spark, sf_dir)
+    one = [df.select(KEY, F.lit(part).alias("part"), vector_to_array("features").alias("features"), "label")
+           for part, df in s.items()]
+    return one[0].unionByName(one[1]).unionByName(one[2])
+
+
+@register("ml_stump", _STUMP_SQL + """
+select doc_id, label, cast(p1 > 0.5 as double) as prediction, p1 from leafs""")
+def ml_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classification tree of depth 1: class and P(1) of every test row (split
+    points are exact while a sample of 16,384 train rows shows every percent)."""
+    s = _stump_splits(spark, sf_dir)
+    m = models.tree(1, seed=SEED, max_bins=STUMP_BINS).fit(s["train"])
+    return models.predict(m, s["test"]).select(KEY, "label", "prediction", "p1")
+
+
+@register("ml_stump_regressor", _STUMP_SQL + """
+select doc_id, label, p1 as prediction from leafs""")
+def ml_stump_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regression tree of depth 1: the prediction of every test row (variance
+    and Gini choose the same split of a 0/1 target)."""
+    s = _stump_splits(spark, sf_dir)
+    m = models.tree_regressor(1, seed=SEED, max_bins=STUMP_BINS).fit(s["train"])
+    return models.predict(m, s["test"]).select(KEY, "label", "prediction")
+
+
+@register("ml_stump_forest", _STUMP_SQL + """
+select doc_id, label, cast(p1 > 0.5 as double) as prediction, round(p1, 9) as p1 from leafs""")
+def ml_stump_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest of 10 depth-1 trees without bootstrap (sqrt of two features is
+    both): every tree is the same, and so is the vote."""
+    s = _stump_splits(spark, sf_dir)
+    m = models.forest(10, 1, seed=SEED, max_bins=STUMP_BINS, bootstrap=False).fit(s["train"])
+    return models.predict(m, s["test"]).select(KEY, "label", "prediction", F.round("p1", 9).alias("p1"))
+
+
+@register("ml_stump_scores", _STUMP_SQL + """,
+c as (select count_if(label = 1 and p1 > 0.5) as tp, count_if(label = 0 and p1 > 0.5) as fp,
+             count_if(label = 0 and not p1 > 0.5) as tn, count_if(label = 1 and not p1 > 0.5) as fn from leafs)
+select case when tp + fp > 0 then cast(tp as double) / (tp + fp) else 0.0 end as precision,
+       case when tp + fn > 0 then cast(tp as double) / (tp + fn) else 0.0 end as recall,
+       case when 2 * tp + fp + fn > 0 then cast(2 * tp as double) / (2 * tp + fp + fn) else 0.0 end as f1,
+       cast(tp + tn as double) / (tp + fp + tn + fn) as accuracy from c""")
+def ml_stump_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall, F1 and accuracy of the depth-1 tree on test."""
+    s = _stump_splits(spark, sf_dir)
+    m = models.tree(1, seed=SEED, max_bins=STUMP_BINS).fit(s["train"])
+    return _scores(models.predict(m, s["test"]))
+
+
+# ------------------------------------------------------------ trees, forests --
+
 @register("ml_tree_regressor")
 def ml_tree_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression tree (unlimited depth) used as a classifier: F1 on valid."""
@@ -54,16 +169,15 @@ def ml_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ml_tree")
 def ml_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree, depth 7, leaf 9, split 3, balanced weights: F1 on valid."""
-    s = splits(spark, sf_dir, weights=True)
+    s = splits(spark, sf_dir)
     m = models.tree(7, min_leaf=9, weighted=True, seed=SEED).fit(s["train"])
     return _scores(models.predict(m, s["valid"]))
 
 
 @register("ml_tree_depth_sweep")
 def ml_tree_depth_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balanced trees of depth 1..15: F1 on valid for every depth (one fit,
-    cut at each depth)."""
-    s = splits(spark, sf_dir, weights=True)
+    """Balanced trees of depth 1..15, each fitted: F1 on valid for every depth."""
+    s = splits(spark, sf_dir)
     return models.tree_depth_sweep(spark, s["train"], s["valid"], range(1, 16), weighted=True,
                                    seed=SEED)
 
@@ -77,77 +191,55 @@ def ml_tree_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.threshold_sweep(pred, "label", "p1", metrics.threshold_grid(*SWEEP_TREE))
 
 
-_sweeps: dict[tuple[int, str], DataFrame] = {}
-
-
-def _forest_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """75 balanced seeded forests: one 50-tree forest per depth serves all
-    five tree counts (computed once per session; the result is 75 rows)."""
-    k = (id(spark), sf_dir)
-    if k not in _sweeps:
-        s = splits(spark, sf_dir, weights=True)
-        _sweeps[k] = models.forest_sweep(spark, s["train"], s["valid"], range(1, 16),
-                                         range(10, 60, 10), weighted=True, seed=SEED)
-    return _sweeps[k]
-
-
 @register("ml_sweep")
 def ml_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balanced forests, depth 1..15 x 10..50 trees: accuracy (and F1) on valid."""
-    return _forest_sweep(spark, sf_dir)
+    """Balanced forests, depth 1..15 x 10..50 trees, each fitted: accuracy (and F1) on valid."""
+    s = splits(spark, sf_dir)
+    return models.forest_sweep(spark, s["train"], s["valid"], range(1, 16), range(10, 60, 10),
+                               weighted=True, seed=SEED)
 
 
 @register("ml_sweep_best")
 def ml_sweep_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best forest of the sweep by accuracy; the first in loop order wins ties."""
-    return models.best_of(_forest_sweep(spark, sf_dir), "accuracy", ["max_depth", "n_trees"])
-
+    return models.best_of(ml_sweep(spark, sf_dir), "accuracy", ["max_depth", "n_trees"])
 
-_tuned: dict[tuple[int, str, bool], object] = {}
 
-
-def _tuned_forest(spark: SparkSession, sf_dir: str, weighted: bool):
-    """The reference's final forest (50 trees, depth 11, leaf 3, split 4),
-    fitted once per session and variant; six queries score it."""
-    s = splits(spark, sf_dir, weights=weighted)
-    k = (id(spark), sf_dir, weighted)
-    with _lock:
-        if k not in _tuned:
-            _tuned[k] = models.forest(50, 11, min_leaf=3, weighted=weighted,
-                                      seed=SEED).fit(s["train"])
-    return s, _tuned[k]
+def _tuned_forest(s: dict[str, DataFrame], weighted: bool):
+    """The reference's final forest: 50 trees, depth 11, leaf 3, split 4."""
+    return models.forest(50, 11, min_leaf=3, weighted=weighted, seed=SEED).fit(s["train"])
 
 
 @register("ml_forest_tuned")
 def ml_forest_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forest, 50 trees, depth 11, leaf 3, split 4, balanced: F1 on valid."""
-    s, m = _tuned_forest(spark, sf_dir, True)
-    return _scores(models.predict(m, s["valid"]))
+    s = splits(spark, sf_dir)
+    return _scores(models.predict(_tuned_forest(s, True), s["valid"]))
 
 
 @register("ml_forest_threshold_sweep")
 def ml_forest_threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unweighted tuned forest: precision/recall/F1 of P(1) > t, 40 thresholds."""
-    s, m = _tuned_forest(spark, sf_dir, False)
-    pred = models.predict(m, s["valid"])
+    s = splits(spark, sf_dir)
+    pred = models.predict(_tuned_forest(s, False), s["valid"])
     return metrics.threshold_sweep(pred, "label", "p1", metrics.threshold_grid(*SWEEP_FOREST))
 
 
 @register("ml_forest_pr_curve")
 def ml_forest_pr_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Precision-recall curve of the unweighted tuned forest on valid."""
-    s, m = _tuned_forest(spark, sf_dir, False)
-    return metrics.pr_curve(models.predict(m, s["valid"]), "label", "p1")
+    s = splits(spark, sf_dir)
+    return metrics.pr_curve(models.predict(_tuned_forest(s, False), s["valid"]), "label", "p1")
 
 
 @register("ml_forest_test")
 def ml_forest_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-set F1 of the two final variants: balanced weights, and
     unweighted with threshold 0.36."""
-    sw, mw = _tuned_forest(spark, sf_dir, True)
-    su, mu = _tuned_forest(spark, sf_dir, False)
-    a = _scores(models.predict(mw, sw["test"])).select(F.lit("balanced").alias("variant"), "*")
-    b = _scores(models.predict(mu, su["test"], threshold=THRESHOLD)).select(
+    s = splits(spark, sf_dir)
+    a = _scores(models.predict(_tuned_forest(s, True), s["test"])).select(
+        F.lit("balanced").alias("variant"), "*")
+    b = _scores(models.predict(_tuned_forest(s, False), s["test"], threshold=THRESHOLD)).select(
         F.lit("threshold_0.36").alias("variant"), "*")
     return a.unionByName(b)
 
@@ -155,62 +247,63 @@ def ml_forest_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ml_roc_curve")
 def ml_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ROC curve of the unweighted tuned forest on test."""
-    s, m = _tuned_forest(spark, sf_dir, False)
-    return metrics.roc_curve(models.predict(m, s["test"]), "label", "p1")
+    s = splits(spark, sf_dir)
+    return metrics.roc_curve(models.predict(_tuned_forest(s, False), s["test"]), "label", "p1")
 
 
 @register("ml_roc_auc")
 def ml_roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ROC AUC of the unweighted tuned forest on test."""
-    s, m = _tuned_forest(spark, sf_dir, False)
-    return metrics.roc_auc(models.predict(m, s["test"]), "label", "p1")
+    s = splits(spark, sf_dir)
+    return metrics.roc_auc(models.predict(_tuned_forest(s, False), s["test"]), "label", "p1")
+
+
+@register("ml_predictions")
+def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``predict`` and ``predict_proba[:, 1]`` of the unweighted tuned forest
+    for every test row: (doc_id, label, prediction, p1)."""
+    s = splits(spark, sf_dir)
+    return models.predict(_tuned_forest(s, False), s["test"]).select(KEY, "label", "prediction", "p1")
 
 
-# The reference's tree search grid.
+# --------------------------------------------------------------- grid search --
+
+# The reference's two search grids.
 TREE_GRID = {"max_depth": range(1, 11), "min_leaf": range(1, 11), "min_split": range(2, 10)}
-_grids: dict[tuple[int, str], DataFrame] = {}
+FOREST_GRID = {"max_depth": range(1, 13, 2), "n_trees": range(10, 51, 10),
+               "min_leaf": range(1, 11), "min_split": range(2, 10, 2)}
 
 
-def _tree_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = (id(spark), sf_dir)
-    if k not in _grids:
-        s = splits(spark, sf_dir)
-        _grids[k] = models.tree_grid_search(spark, s["train"], KEY, **TREE_GRID, k=5, seed=SEED)
-    return _grids[k]
+def _best(spark: SparkSession, s: dict[str, DataFrame], table: DataFrame) -> DataFrame:
+    """The best candidate with the scores on valid of its model, refitted on train."""
+    refit = models.refit_best(spark, table, s["train"], s["valid"], KEY, seed=SEED)
+    scores = _scores(refit).select(F.lit(1).cast("long").alias("rank"), "precision", "recall", "f1", "accuracy")
+    return table.filter(F.col("rank") == 1).join(scores, "rank")
 
 
 @register("ml_grid")
 def ml_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree grid search (800 candidates, 5 stratified folds, accuracy)."""
-    return _tree_grid(spark, sf_dir)
+    s = splits(spark, sf_dir)
+    return models.tree_grid_search(spark, s["train"], KEY, **TREE_GRID, k=5, seed=SEED)
 
 
 @register("ml_grid_best")
 def ml_grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``grid.best_params_`` with its mean accuracy."""
-    return _tree_grid(spark, sf_dir).filter(F.col("rank") == 1)
-
-
-# The reference's forest search grid.
-FOREST_GRID = {"max_depth": range(1, 13, 2), "n_trees": range(10, 51, 10),
-               "min_leaf": range(1, 11), "min_split": range(2, 10, 2)}
-
+    """``grid.best_params_`` of the tree search, and its refitted model's scores on valid."""
+    s = splits(spark, sf_dir)
+    return _best(spark, s, models.tree_grid_search(spark, s["train"], KEY, **TREE_GRID, k=5, seed=SEED))
 
-def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forest grid search (1,200 candidates, 5 stratified folds, accuracy).
 
-    Not registered as a catalogue query: even with forests shared across
-    tree count and min split it needs 300 forest fits (about 7.5 minutes at
-    sf0.01 on local[8]), which the per-round checks cannot afford.  Call it
-    directly; ``rank == 1`` is ``grid.best_params_``.
-    """
+@register("ml_forest_grid")
+def ml_forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest grid search (1,200 candidates, 5 stratified folds, accuracy)."""
     s = splits(spark, sf_dir)
     return models.forest_grid_search(spark, s["train"], KEY, **FOREST_GRID, k=5, seed=SEED)
 
 
-@register("ml_predictions")
-def ml_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``predict`` and ``predict_proba[:, 1]`` of the unweighted tuned forest
-    for every test row: (doc_id, label, prediction, p1)."""
-    s, m = _tuned_forest(spark, sf_dir, False)
-    return models.predict(m, s["test"]).select(KEY, "label", "prediction", "p1")
+@register("ml_forest_grid_best")
+def ml_forest_grid_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``grid.best_params_`` of the forest search, and its refitted model's scores on valid."""
+    s = splits(spark, sf_dir)
+    return _best(spark, s, models.forest_grid_search(spark, s["train"], KEY, **FOREST_GRID, k=5, seed=SEED))

@@ -1,4 +1,4 @@
-"""Model plumbing: shared-fit tree search equals direct fits; sweeps; prediction."""
+"""Model plumbing: searches and sweeps equal direct fits; cuts; prediction."""
 import numpy as np
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -16,25 +16,60 @@ def _data(spark, n=400, seed=3):
     return spark.createDataFrame(rows, ["k", "features", "label"])
 
 
-def test_leaf_of_reproduces_model_predictions(spark):
+def _by_key(df, *columns):
+    return {r["k"]: tuple(r[c] for c in columns) for r in df.collect()}
+
+
+def test_leaf_table_reproduces_tree_and_forest(spark):
     df = _data(spark)
-    m = models.tree(6, min_leaf=2, seed=1).fit(df)
-    nodes = models.tree_nodes(spark, m)
-    pred = m.transform(df).select("k", "prediction", models.leaf_of(nodes).alias("leaf")).collect()
-    for r in pred:
-        assert nodes[r["leaf"]]["prediction"] == r["prediction"]
+    for est in (models.tree(6, min_leaf=2, seed=1), models.forest(7, 5, seed=3), models.tree(0, seed=1)):
+        m = est.fit(df)
+        n = est.getNumTrees() if est.hasParam("numTrees") else 1
+        got = _by_key(models.cut_probabilities(spark, m, df, "k", [(None, 0)], [n]), f"p_0_{n}")
+        for k, (p1,) in _by_key(models.predict(m, df), "p1").items():
+            assert abs(got[k][0] - p1) < 1e-12
 
 
-def test_truncation_equals_direct_fit(spark):
+def test_depth_cut_equals_direct_fit(spark):
     df = _data(spark)
     full = models.tree(8, min_leaf=3, seed=1).fit(df)
-    nodes = models.tree_nodes(spark, full)
-    paths = models._paths(nodes)
-    for depth in (1, 2, 4):
-        direct = models.tree(depth, min_leaf=3, seed=1).fit(df)
-        got = direct.transform(df.withColumn("leaf", models.leaf_of(nodes))).collect()
-        for r in got:
-            assert models.truncated_prediction(nodes, paths[r["leaf"]], depth, 2) == r["prediction"]
+    depths = (1, 2, 4)
+    got = _by_key(models.cut_probabilities(spark, full, df, "k", [(d, 2) for d in depths]),
+                  *[f"p_{i}_1" for i in range(3)])
+    for i, d in enumerate(depths):
+        direct = models.predict(models.tree(d, min_leaf=3, seed=1).fit(df), df)
+        for k, (prediction,) in _by_key(direct, "prediction").items():
+            assert (got[k][i] > 0.5) == (prediction == 1.0)
+
+
+def test_min_split_cuts_small_nodes(spark):
+    df = _data(spark)
+    m = models.tree(8, min_leaf=1, seed=1).fit(df)
+    cut = models.leaf_values(spark, m, [(None, 0), (None, 40), (None, 10**9)])
+    assert len({v[2] for _, _, v in cut}) == 1  # nothing may split: the root's share
+    assert len({v[1] for _, _, v in cut}) < len({v[0] for _, _, v in cut}) or len(cut) < 10
+
+
+def test_grid_candidates_equal_direct_fits(spark):
+    df = _data(spark, 240)
+    rows = models.tree_grid_search(spark, df, "k", [2, 4], [1, 3], [2], k=3, seed=12345, parallelism=4).collect()
+    folds = models._folds(df, "k", 3, 12345)
+    for r in rows:
+        direct = []
+        for f in range(3):
+            m = models.tree(r["max_depth"], min_leaf=r["min_samples_leaf"]).fit(folds.filter(F.col("fold") != f))
+            direct.append(models.f1_of(models.predict(m, folds.filter(F.col("fold") == f))).first()["accuracy"])
+        assert abs(r["mean_accuracy"] - sum(direct) / 3) < 1e-12
+
+
+def test_refit_best_is_the_winner_fitted_on_all_of_train(spark):
+    df = _data(spark, 240)
+    table = models.tree_grid_search(spark, df, "k", [1, 3], [2], [2], k=3)
+    best = table.filter("rank = 1").first()
+    m = models.tree(best["max_depth"], min_leaf=2).fit(df)
+    got = _by_key(models.refit_best(spark, table, df, df, "k"), "p1")
+    for k, (p1,) in _by_key(models.predict(m, df), "p1").items():
+        assert abs(got[k][0] - p1) < 1e-12
 
 
 def test_tree_grid_search_shape_and_rank(spark):
@@ -79,19 +114,6 @@ def test_save_and_load(spark):
     assert back.toDebugString.split("\n", 1)[1] == m.toDebugString.split("\n", 1)[1]
 
 
-def test_forest_votes_match_spark_probability(spark):
-    from pyspark.ml.functions import vector_to_array
-    df = _data(spark, 300)
-    m = models.forest(7, 5, seed=3).fit(df)
-    trees = models.forest_nodes(spark, m)
-    leaves, votes = models.forest_votes(trees, [0])
-    got = m.transform(df).withColumn("__leaves", leaves).select(
-        vector_to_array("probability")[1].alias("p"),
-        F.aggregate(votes[0], F.lit(0.0), lambda a, v: a + v).alias("s"))
-    for r in got.collect():
-        assert abs(r["p"] - r["s"] / 7) < 1e-12
-
-
 def test_forest_grid_search_shape(spark):
     df = _data(spark, 200)
     res = models.forest_grid_search(spark, df, "k", max_depth=[2, 4], n_trees=[3, 6],
@@ -100,18 +122,6 @@ def test_forest_grid_search_shape(spark):
     assert len(rows) == 16 and sorted(r["rank"] for r in rows) == list(range(1, 17))
 
 
-def test_forest_sweep_matches_forest_votes(spark):
-    from pyspark.ml.functions import vector_to_array
-    df = _data(spark, 240)
-    res = {(r["max_depth"], r["n_trees"]): r for r in
-           models.forest_sweep(spark, df, df, [3], [4, 8], seed=5, parallelism=2).collect()}
-    # the 8-tree forest is the model Spark fits; its accuracy must agree
-    m = models.forest(8, 3, seed=5).fit(df)
-    acc = models.f1_of(models.predict(m, df)).first()["accuracy"]
-    assert res[(3, 8)]["accuracy"] == acc
-    assert set(res) == {(3, 4), (3, 8)}
-
-
 def test_tree_depth_sweep_equals_direct_fits(spark):
     df = _data(spark, 300)
     got = {r["max_depth"]: r["accuracy"] for r in

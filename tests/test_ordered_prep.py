@@ -44,6 +44,31 @@ def test_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
 
 
+def test_ordered_index_text_keys_hot_value_and_nulls(spark):
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["hot"] * 6 + ["\u00e9t\u00e9", "Zed", "a", "", None]), rnd.randint(0, 9)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, s string, g long")
+    for descending in (False, True):
+        got = ordered.ordered_index(df, ["s", "id"], descending=descending, sums=["g"], lead_cols=["id"], n_buckets=16)
+        order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in ("s", "id")]
+        w = Window.orderBy(*order)
+        exp = df.select("id", F.row_number().over(w).alias("r"), F.lead("id").over(w).alias("n"),
+                        F.sum("g").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
+        assert {r["id"]: (r["__rank"], r["next_id"], r["cum_g"]) for r in got.collect()} == \
+            {r["id"]: (r["r"], r["n"], r["c"]) for r in exp.collect()}
+
+
+def test_hot_value_is_spread_over_buckets(spark):
+    df = spark.range(4000).select("id", F.lit("hot").alias("s"))
+    sizes = ordered.with_range_bucket(df, [F.col("s").asc(), F.col("id").asc()], 16).groupBy(ordered.BUCKET).count()
+    assert max(r["count"] for r in sizes.collect()) < 1000
+
+
+def test_ordered_index_of_no_rows(spark):
+    empty = spark.createDataFrame([], "s string, g long")
+    assert ordered.ordered_index(empty, ["s"], sums=["g"], lead_cols=["g"]).collect() == []
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.integers(min_value=0, max_value=100_000))
 def test_split_sizes_property(n):
