@@ -60,9 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique path under the shared checkpoint folder; what is written
+    there is deleted when the application ends."""
+    parent = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return os.path.join(parent, name)
 
 
 def local_path(path: str) -> str:

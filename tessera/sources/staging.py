@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -50,3 +51,30 @@ def staged_write(df: DataFrame, path: str, write: Callable[[DataFrameWriter, str
     write(df.write.mode("errorifexists"), staging)
     swap_in(df.sparkSession, staging, path)
     return path
+
+
+def write_contents(df: DataFrame, column: str, path: str, extension: str) -> int:
+    """One file per row from a binary column whose values all end in ``\\n``.
+
+    Spark's text writer puts the bytes out as they are, followed by a line feed:
+    the last byte is left to it.  Files so go through Spark's own commit
+    protocol, into any file system that Spark writes to, and a lost or repeated
+    task leaves nothing behind.  The driver then gives the files their
+    ``extension``.  Returns the number of files.
+    """
+    body = F.expr(f"cast(substring(`{column}`, 1, length(`{column}`) - 1) as string)")
+    df.select(body.alias("value")).write.option("maxRecordsPerFile", 1).mode("errorifexists").text(path)
+    fs, folder = _fs(df.sparkSession, path)
+    new = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path
+    n = 0
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith("part-"):
+            continue
+        if status.getLen() == 0:  # Spark's empty file for an empty table
+            fs.delete(status.getPath(), False)
+            continue
+        if not fs.rename(status.getPath(), new(folder, name.removesuffix(".txt") + extension)):
+            raise OSError(f"could not rename {name}")
+        n += 1
+    return n

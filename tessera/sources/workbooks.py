@@ -3,19 +3,21 @@
 No workbook library is installed; an .xlsx file is a zip of XML parts, read
 and written here with the standard library inside Spark tasks:
 
-* reading: ``binaryFile`` lists the folder (one task per workbook), each task
-  unzips its file and emits the sheet's rows as arrays of cell texts; the
-  header row names the columns and the text is typed like CSV input;
-* writing: every partition writes its own workbook(s), each at most
-  1,048,575 data rows (the sheet limit), into a staging folder that is then
-  swapped in.  Workbook folders need a path that the executors can open with
-  ordinary file IO (a local or mounted shared file system).
+* reading: ``binaryFile`` lists the folder, each task unzips its files and
+  emits the sheet's rows as arrays of cell texts, some thousand rows at a time;
+  the header row names the columns (``Unnamed: i`` for cells beyond it) and the
+  text is typed like CSV input; numbers with a date format become date texts;
+* writing: every partition makes its own workbook(s), each at most 1,048,575
+  data rows (the sheet limit), which Spark's own writer puts into a staging
+  folder that is then swapped in.  An empty table gives one book with the header.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import io
-import os
+import math
 import re
 import uuid
 import zipfile
@@ -26,11 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import local_path
 from tessera.sources import text_tables
-from tessera.sources.staging import swap_in
+from tessera.sources.staging import swap_in, write_contents
 
 MAX_SHEET_ROWS = 1_048_576          # rows per sheet, header included
+READ_ROWS = 5_000                   # rows handed to Spark at a time
+# Number formats of the file format that show dates or times.
+DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
+# Day numbers count from here (from 1 March 1900 on; the format's 1900 has a 29 February).
+DAY_ZERO = dt.datetime(1899, 12, 30)
+DAY_ZERO_1904 = dt.datetime(1904, 1, 1)
+FIRST_DAY = dt.datetime(1900, 3, 1)
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _PKG_REL_NS = "{http://schemas.openxmlformats.org/package/2006/relationships}"
@@ -85,59 +93,111 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     return out
 
 
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Cell styles whose number format shows a date or time."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))
+    dates = set(DATE_FORMATS)
+    for fmt in root.iter(f"{_NS}numFmt"):
+        # quoted texts, escaped characters and [conditions] are no date letters
+        code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", fmt.get("formatCode", "")).lower()
+        if re.search("[dmyhs]", code) and "general" not in code:
+            dates.add(int(fmt.get("numFmtId")))
+    styles = root.find(f"{_NS}cellXfs")
+    return set() if styles is None else {i for i, xf in enumerate(styles) if int(xf.get("numFmtId", 0)) in dates}
+
+
+def _day_zero(z: zipfile.ZipFile) -> dt.datetime:
+    pr = ET.fromstring(z.read("xl/workbook.xml")).find(f"{_NS}workbookPr")
+    return DAY_ZERO_1904 if pr is not None and pr.get("date1904") in ("1", "true") else DAY_ZERO
+
+
+def _date_text(serial: str, zero: dt.datetime) -> str | None:
+    """'2024-01-31 10:00:00' for a day number (to the microsecond)."""
+    days = float(serial)
+    if zero is DAY_ZERO and days < 60:
+        days += 1  # days before the format's 29 February 1900
+    whole = math.floor(days)
+    try:
+        return (zero + dt.timedelta(days=whole, microseconds=round((days - whole) * 86_400_000_000))).isoformat(sep=" ")
+    except OverflowError:
+        return None
+
+
 def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
-    """Yield (row_number, [cell text or None, ...]) for one workbook's sheet."""
+    """Yield (row_number, [cell text or None, ...], [is a date, ...]) of one workbook's sheet."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings = _shared_strings(z)
-        part = _sheet_part(z, sheet_name)
-        for _, el in ET.iterparse(io.BytesIO(z.read(part))):
-            if el.tag != f"{_NS}row":
-                continue
-            cells: dict[int, str | None] = {}
-            for c in el.iter(f"{_NS}c"):
-                t = c.get("t", "n")
-                if t == "inlineStr":
-                    val = _decoded("".join(x.text or "" for x in c.iter(f"{_NS}t")))
-                else:
-                    v = c.find(f"{_NS}v")
-                    val = None if v is None else v.text
-                    if val is not None and t == "s":
-                        val = strings[int(val)]
-                    elif val is not None and t == "b":
-                        val = "True" if val == "1" else "False"
-                    elif t == "e":
-                        val = None
-                cells[column_index(c.get("r"))] = val
-            width = max(cells) + 1 if cells else 0
-            yield int(el.get("r")), [cells.get(i) for i in range(width)]
-            el.clear()
+        strings, dates, zero = _shared_strings(z), _date_styles(z), _day_zero(z)
+        with z.open(_sheet_part(z, sheet_name)) as sheet:
+            for _, el in ET.iterparse(sheet):
+                if el.tag != f"{_NS}row":
+                    continue
+                cells: dict[int, str | None] = {}
+                dated = set()
+                for c in el.iter(f"{_NS}c"):
+                    at, t = column_index(c.get("r")), c.get("t", "n")
+                    if t == "inlineStr":
+                        val = _decoded("".join(x.text or "" for x in c.iter(f"{_NS}t")))
+                    else:
+                        v = c.find(f"{_NS}v")
+                        val = None if v is None else v.text
+                        if val is None or t == "e":
+                            val = None
+                        elif t == "s":
+                            val = strings[int(val)]
+                        elif t == "b":
+                            val = "True" if val == "1" else "False"
+                        elif t == "n" and int(c.get("s", 0)) in dates:
+                            val = _date_text(val, zero)
+                            dated.add(at)
+                    cells[at] = val
+                width = max(cells) + 1 if cells else 0
+                yield int(el.get("r")), [cells.get(i) for i in range(width)], [i in dated for i in range(width)]
+                el.clear()
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet_name: str | None = "Sheet1",
               schema: T.StructType | None = None) -> DataFrame:
-    """``pd.read_excel(path, sheet_name=...)`` over a workbook file or folder."""
+    """``pd.read_excel(path, sheet_name=...)`` over a workbook file or folder.
+
+    Without a schema, a column of date cells only is a timestamp column.
+    """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx")
              .option("recursiveFileLookup", True).load(path).select("path", "content"))
 
     def parse(batches):
+        import itertools
+
         import pandas as pd
         for b in batches:
             for p, content in zip(b["path"], b["content"]):
-                rows = list(sheet_rows(bytes(content), sheet_name))
-                yield pd.DataFrame({"path": [p] * len(rows), "row": [r for r, _ in rows],
-                                    "cells": [c for _, c in rows]})
-    cells = files.mapInPandas(parse, "path string, row long, cells array<string>")
-    cells = cells.checkpoint(eager=True)
-    first_rows = cells.groupBy("path").agg(F.min("row").alias("row"))
-    headers = (cells.join(first_rows, ["path", "row"]).select("cells").distinct()
-               .limit(2).collect())
+                rows = sheet_rows(bytes(content), sheet_name)
+                first = True
+                while chunk := list(itertools.islice(rows, READ_ROWS)):
+                    yield pd.DataFrame([(p, *r, first and i == 0) for i, r in enumerate(chunk)],
+                                       columns=["path", "row", "cells", "dated", "header"])
+                    first = False
+    cells = files.mapInPandas(parse, "path string, row long, cells array<string>, dated array<boolean>, "
+                                     "header boolean").checkpoint(eager=True)
+    headers = cells.filter("header").select("cells").distinct().limit(2).collect()
     if not headers:
         return spark.createDataFrame([], schema or T.StructType([]))
     if len(headers) > 1:
         raise ValueError("workbooks in the folder have different header rows")
-    names = [n if n is not None else f"Unnamed: {i}" for i, n in enumerate(headers[0]["cells"])]
-    data = cells.join(first_rows, ["path", "row"], "left_anti")
-    text = data.select(*[F.get(F.col("cells"), i).alias(n) for i, n in enumerate(names)])
+    names = list(headers[0]["cells"])
+    names += [None] * (cells.agg(F.max(F.size("cells"))).first()[0] - len(names))
+    names = [n if n is not None else f"Unnamed: {i}" for i, n in enumerate(names)]
+    data = cells.filter(~F.col("header"))
+    # a caller's filter may be evaluated beside this one: a header is no value in either
+    text = data.select(*[F.when(~F.col("header"), F.get("cells", F.lit(i))).alias(n) for i, n in enumerate(names)])
+    if schema is None:
+        schema = text_tables.infer_types(text_tables.na_to_null(text))
+        # a column whose values are all date cells
+        r = data.agg(*[F.bool_and(F.when(F.get("cells", F.lit(i)).isNotNull(), F.get("dated", F.lit(i))))
+                       .alias(f"d{i}") for i in range(len(names))]).first()
+        schema = T.StructType([T.StructField(f.name, T.TimestampType() if r[i] else f.dataType)
+                               for i, f in enumerate(schema.fields)])
     return text_tables.typed(text, schema, text_tables.NA_VALUES)
 
 
@@ -152,7 +212,20 @@ _CONTENT_TYPES = (
     'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
     '<Override PartName="/xl/worksheets/sheet1.xml" '
     'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+    '<Override PartName="/xl/styles.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
     '</Types>')
+# Cell styles: 0 plain, 1 a date, 2 a date with its time.
+_STYLES = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
+    '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+    '<numFmts count="2"><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/>'
+    '<numFmt numFmtId="165" formatCode="yyyy\\-mm\\-dd\\ hh:mm:ss"/></numFmts>'
+    '<fonts count="1"><font/></fonts>'
+    '<fills count="2"><fill/><fill><patternFill patternType="gray125"/></fill></fills>'
+    '<borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
+    '<cellXfs count="3"><xf numFmtId="0"/><xf numFmtId="164" applyNumberFormat="1"/>'
+    '<xf numFmtId="165" applyNumberFormat="1"/></cellXfs></styleSheet>')
 _ROOT_RELS = (
     '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
     '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
@@ -162,7 +235,9 @@ _WB_RELS = (
     '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
     '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
     '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
-    'relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+    'relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+    '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+    'relationships/styles" Target="styles.xml"/></Relationships>')
 
 
 def _workbook_xml(sheet_name: str) -> str:
@@ -182,7 +257,6 @@ def _decoded(text: str) -> str:
 
 
 def _cell(ref: str, v) -> str:
-    import math
     if v is None:
         return ""
     if isinstance(v, bool):
@@ -193,6 +267,15 @@ def _cell(ref: str, v) -> str:
         if math.isnan(v) or math.isinf(v):
             return ""
         return f'<c r="{ref}"><v>{v!r}</v></c>'
+    if isinstance(v, decimal.Decimal):
+        return f'<c r="{ref}"><v>{v:f}</v></c>'
+    if isinstance(v, dt.date):
+        style = 2 if isinstance(v, dt.datetime) else 1
+        v = v.replace(tzinfo=None) if style == 2 else dt.datetime(v.year, v.month, v.day)
+        if v >= FIRST_DAY:  # earlier days have no agreed number: text
+            gone = v - DAY_ZERO
+            days = gone.days + (gone.seconds * 1_000_000 + gone.microseconds) / 86_400_000_000
+            return f'<c r="{ref}" s="{style}"><v>{days!r}</v></c>'
     text = v.isoformat(sep=" ") if hasattr(v, "isoformat") else str(v)
     # characters that XML cannot hold, and what looks like their code
     text = _CODE.sub(lambda m: f"_x{ord(m[0][0]):04X}_" + m[0][1:], text)
@@ -217,7 +300,9 @@ def workbook_bytes(columns: list[str], rows, sheet_name: str = "Sheet1") -> byte
         z.writestr("_rels/.rels", _ROOT_RELS)
         z.writestr("xl/workbook.xml", _workbook_xml(sheet_name))
         z.writestr("xl/_rels/workbook.xml.rels", _WB_RELS)
+        z.writestr("xl/styles.xml", _STYLES)
         z.writestr("xl/worksheets/sheet1.xml", "".join(parts))
+        z.comment = b"\n"  # the line feed that write_contents() asks for
     return buf.getvalue()
 
 
@@ -226,42 +311,29 @@ def write_xlsx(df: DataFrame, path: str, sheet_name: str = "Sheet1",
     """``to_excel(path, sheet_name=..., index=False)`` as a folder of workbooks."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    out_dir = local_path(staging)
     columns = df.columns
 
-    def write_part(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-        os.makedirs(out_dir, exist_ok=True)
-        pid = TaskContext.get().partitionId()
-        buf: list = []
-        written = []
-
-        def flush():
-            # named by partition and chunk: a retried or speculative attempt
-            # rewrites the same files (atomic rename) instead of adding copies
-            name = f"part-{pid:05d}-{len(written):04d}.xlsx"
-            tmp = os.path.join(out_dir, f".{name}.{uuid.uuid4().hex}")
-            with open(tmp, "wb") as f:
-                f.write(workbook_bytes(columns, buf, sheet_name))
-            os.replace(tmp, os.path.join(out_dir, name))
-            written.append((name, len(buf)))
-
-        for b in batches:
-            for row in b.astype(object).where(b.notna(), None).itertuples(index=False, name=None):
-                buf.append(row)
-                if len(buf) == rows_per_book:
-                    flush()
-                    buf = []
-        if buf:
-            flush()
-        yield pd.DataFrame(written, columns=["file", "rows"])
-
-    # a fixed row order inside each partition makes the chunks of every attempt
-    # identical, so files from a failed attempt are overwritten, never mixed
-    df = df.sortWithinPartitions(*[F.col(f"`{c}`") for c in columns])
-    summary = df.mapInPandas(write_part, "file string, rows long")
-    summary.agg(F.sum("rows")).collect()
-    os.makedirs(out_dir, exist_ok=True)
+    def books(batches):
+        import pyarrow as pa
+        book: list = []
+
+        def packed():
+            return pa.RecordBatch.from_pydict({"content": [workbook_bytes(columns, book, sheet_name)]})
+
+        for b in batches:  # Arrow values: whole numbers with gaps stay whole
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                book.append(row)
+                if len(book) == rows_per_book:
+                    yield packed()
+                    book = []
+        if book:
+            yield packed()
+
+    if not write_contents(df.mapInArrow(books, "content binary"), "content", staging, ".xlsx"):
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration()).delete(
+            spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging), True)
+        header = spark.createDataFrame([(workbook_bytes(columns, [], sheet_name),)], "content binary")
+        write_contents(header, "content", staging, ".xlsx")
     swap_in(spark, staging, path)
     return path

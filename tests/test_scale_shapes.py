@@ -63,3 +63,22 @@ def test_ordered_index_handles_many_buckets(spark, monkeypatch):
     got = ordered.ordered_index(df, ["x"])
     rows = sorted(got.collect(), key=lambda r: r["x"])
     assert [r["__rank"] for r in rows] == list(range(1, 5001))
+
+
+@pytest.mark.parametrize("name", ["table_info", "null_share", "shape_of", "ml_features"])
+def test_no_text_crosses_the_churn_join(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = entry.queries()[name](spark, SF_CHECK)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    below = [line for line in plan.split("\n") if "SortMergeJoin" in line or "Exchange hashpartitioning" in line]
+    assert below
+    # the only reader of the text itself is the scan and the projection on it
+    scans = [i for i, line in enumerate(plan.split("\n")) if "FileScan" in line and "text#" in line]
+    exchanges = [i for i, line in enumerate(plan.split("\n")) if "Exchange hashpartitioning" in line]
+    for at in scans:
+        above = plan.split("\n")[max(e for e in exchanges if e < at) + 1:at]
+        assert any("Project" in line for line in above)

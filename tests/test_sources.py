@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import types as T
 
 from tessera.session import local_path, scratch_dir
+from tessera.sources import staging
 from tessera.sources import text_tables as tt
 
 CSV = ('"ID товара",name,when,n\n'
@@ -131,6 +132,58 @@ def test_xlsx_write_splits_large_partitions(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_xlsx_dates_decimals_nulls_and_big_numbers(spark):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    from tessera.sources import workbooks
+    rows = [(1, date(2024, 2, 29), datetime(2024, 2, 29, 23, 59, 59, 999999), Decimal("12.30"), 9007199254740993),
+            (2, date(1900, 3, 1), datetime(1970, 1, 1, 0, 0, 0, 1), Decimal("-0.01"), None),
+            (3, None, datetime(2038, 1, 19, 3, 14, 7), None, -1),
+            (4, date(1899, 5, 6), datetime(1850, 1, 2, 3, 4, 5), Decimal("0.00"), 0)]
+    df = spark.createDataFrame(rows, "id long, d date, t timestamp, m decimal(10,2), n long")
+    d = scratch_dir(spark, "wbd")
+    workbooks.write_xlsx(df, d)
+    assert sorted(map(tuple, workbooks.read_xlsx(spark, d, schema=df.schema).collect())) == rows
+    workbooks.write_xlsx(df.filter("id < 4"), d)
+    back = workbooks.read_xlsx(spark, d)
+    assert dict(back.dtypes) == {"id": "bigint", "d": "timestamp", "t": "timestamp", "m": "double", "n": "bigint"}
+    assert back.filter("id = 1").first()["d"] == datetime(2024, 2, 29)
+
+
+def test_xlsx_empty_table_keeps_its_header(spark):
+    from tessera.sources import workbooks
+    df = spark.createDataFrame([], "a long, b string")
+    d = scratch_dir(spark, "wbe")
+    workbooks.write_xlsx(df, d)
+    back = workbooks.read_xlsx(spark, d)
+    assert back.columns == ["a", "b"] and back.count() == 0
+    assert [f for f in os.listdir(local_path(d)) if f.endswith(".xlsx")]
+
+
+def test_xlsx_cells_right_of_the_header_are_kept(spark):
+    from tessera.sources import workbooks
+    d = local_path(scratch_dir(spark, "wbx"))
+    os.makedirs(d)
+    book = workbooks.workbook_bytes(["a", None], [(1, "more"), (2, None)])
+    assert book.endswith(b"\n")
+    with open(os.path.join(d, "b.xlsx"), "wb") as f:
+        f.write(book)
+    back = workbooks.read_xlsx(spark, d)
+    assert back.columns == ["a", "Unnamed: 1"]
+    assert sorted(map(tuple, back.collect())) == [(1, "more"), (2, None)]
+
+
+def test_scratch_folders_go_when_the_application_ends(spark):
+    d = scratch_dir(spark, "gone")
+    spark.range(3).write.parquet(d)
+    parent = os.path.dirname(local_path(d))
+    assert os.path.isdir(parent)
+    fs, p = staging._fs(spark, parent)
+    assert fs.cancelDeleteOnExit(p)
+    fs.deleteOnExit(p)
+
+
 def test_png_folder_and_gray(spark):
     import numpy as np
     from pyspark.sql import functions as F
