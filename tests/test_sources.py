@@ -177,8 +177,8 @@ def test_xlsx_cells_right_of_the_header_are_kept(spark):
 def test_scratch_folders_go_when_the_application_ends(spark):
     d = scratch_dir(spark, "gone")
     spark.range(3).write.parquet(d)
-    parent = os.path.dirname(local_path(d))
-    assert os.path.isdir(parent)
+    parent = os.path.dirname(d)
+    assert os.path.isdir(local_path(parent))
     fs, p = staging._fs(spark, parent)
     assert fs.cancelDeleteOnExit(p)
     fs.deleteOnExit(p)
