@@ -2,10 +2,13 @@
 
 Kernel between tokens: gap-weighted common subsequences of three characters
 (with word-end marks), each occurrence weighted ``DECAY ** span`` for spans up
-to ``SPAN``, normalised, floored and cubed.  A gapped or inserted-character spelling
-still shares most subsequences with its landmark.  A sentence's kernel is the
-sum over its tokens; with landmarks M its Nyström features are
-``K_MM^(-1/2) * sum k(token, M)``.
+to ``SPAN``, normalised, floored and cubed, which finds changed letters.  Gapped
+and inserted-character spellings are found by the same kernel of the landmark's
+own order: a window of whole tokens of a sentence that holds all letters of the
+landmark in order counts ``DECAY ** gaps``, where every further letter and every
+break between tokens (white space and marks) is one gap; at most one gap for each
+step between letters.  A sentence's kernel is the sum over its tokens and windows;
+with landmarks M its Nyström features are ``K_MM^(-1/2) * sum k(window, M)``.
 
 Labels are per document, so a labelled instance is the bag of a document's
 sentences and its kernel the sum over them, in two parts: the evidence against
@@ -37,7 +40,7 @@ FIT_CHARS = 20_000
 HELD_MODULUS, HELD_REMAINDER = 5, 0
 LANDMARKS = 64
 DECAY, SPAN, POWER = 0.7, 6, 3
-#: Cosines below this count as zero.
+#: Cosines of three-character subsequences below this count as zero; gapped windows have no floor.
 FLOOR = 0.5
 #: Kernel value over which two landmark candidates count as one.
 ALIKE = 0.5
@@ -54,7 +57,8 @@ ALPHABET = 42
 LOOKS_LIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"})
 
 _DROP = re.compile(r"[\W_]+")
-_SPACED = re.compile(r"(?:(?<=\s)|^)\w(?:\s\w){2,}(?=\s|$)")
+_SPACED = re.compile(r"(?:(?<=\s)|^)\w[^\w\s]*(?:\s\w[^\w\s]*){2,}(?=\s|$)")
+_STOP = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
 
 
 def normalise(chunk: str) -> str:
@@ -68,13 +72,37 @@ def normalise(chunk: str) -> str:
     return word
 
 
+def spaced_words(text: str, chunks: list[str]) -> list[str]:
+    """Joined words of the runs of three or more single characters, with or without marks after them."""
+    if sum(len(c) <= 2 for c in chunks) < 3:
+        return []
+    return ["".join(m.group().split()) for m in _SPACED.finditer(text)]
+
+
 def chunks_of(text: str) -> list[str]:
     """White-space chunks of a text; runs of three or more single characters also give their joined word."""
     chunks = text.split()
-    if sum(len(c) == 1 for c in chunks) >= 3:
-        for m in _SPACED.finditer(text):
-            chunks.append("".join(m.group().split()))
-    return chunks
+    return chunks + spaced_words(text, chunks)
+
+
+def letter_bits(words: list[str]) -> np.ndarray:
+    """Sets of the letters of words in 64 bits: one for each of a to z, 38 classes of other signs."""
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    points = np.frombuffer(" ".join(["", *words]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inner = np.where((points >= 97) & (points <= 122), points - 97, 26 + points % 38).astype(np.uint64)
+    one = np.where(points == 32, np.uint64(0), np.uint64(1) << inner)  # a space before each word; tokens hold none
+    return np.bitwise_or.reduceat(one, np.flatnonzero(points == 32))
+
+
+def in_order(letters: str, text: str) -> bool:
+    """Whether ``text`` holds the letters in this order."""
+    at = -1
+    for c in letters:
+        at = text.find(c, at + 1)
+        if at < 0:
+            return False
+    return True
 
 
 def _symbols(words: list[str], length: int) -> np.ndarray:
@@ -111,11 +139,17 @@ class Landmarks:
 
     Cosines under ``FLOOR`` count as zero.  The sum of each subsequence's
     largest landmark weight bounds every cosine of a token from above, so most
-    tokens are known to be zero without a look at the single landmarks.
+    tokens are known to be zero without a look at the single landmarks.  Windows
+    are known to lack a landmark by their length and set of letters.
     """
 
     def __init__(self, words: list[str]):
         self.words = words
+        self.bits = letter_bits(words)
+        self.ends = list(zip(letter_bits([w[0] for w in words]), letter_bits([w[-1] for w in words])))
+        self.by_length: dict[int, list[int]] = {}
+        for j, w in enumerate(words):
+            self.by_length.setdefault(len(w), []).append(j)
         entries: dict[int, dict[int, float]] = {}
         for rows, codes, weight in subsequences(words):
             for r, line in zip(rows, codes):
@@ -151,8 +185,54 @@ class Landmarks:
                 cosine = np.einsum("nom,o->nm", self.table[at[part]], weight)
                 cosine[cosine < FLOOR] = 0
                 np.maximum.at(out, owner_a[rows[part]], cosine ** POWER)
+        sizes = np.array([len(t) for t in tokens])
+        bits = letter_bits(tokens)
+        for length, marks in self.by_length.items():
+            rows = np.flatnonzero((sizes > length) & (sizes < 2 * length))
+            for j in marks:
+                for i in rows[(bits[rows] & self.bits[j]) == self.bits[j]]:
+                    if in_order(self.words[j], tokens[i]):
+                        out[i, j] = max(out[i, j], DECAY ** (len(tokens[i]) - length))
         return out
 
+    def across(self, tokens: list[str], number: np.ndarray, sentence: np.ndarray, sizes: np.ndarray,
+               bits: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(first place, tokens, landmark, kernel) of windows of two and more tokens of one sentence.
+
+        The places hold ``tokens[number]``, none empty, with their sizes and
+        letter sets; only the smallest windows of an occurrence count.
+        """
+        if not self.words:
+            return
+        longest = max(self.by_length)
+        total = np.cumsum(sizes)
+        start = np.arange(len(sizes))
+        held = bits
+        for n in range(2, longest + 1):  # a window of n tokens has n letters or more
+            fits = start + n - 1 < len(sizes)
+            start, held = start[fits], held[fits]
+            last = start + n - 1
+            span = total[last] - total[start] + sizes[start] + n - 1
+            fits = (span < 2 * longest) & (sentence[last] == sentence[start])
+            start, last, span = start[fits], last[fits], span[fits]
+            held = held[fits] | bits[last]
+            if not len(start):
+                return
+            for length, marks in self.by_length.items():
+                of = np.flatnonzero((span < 2 * length) & (span - n + 1 >= length))
+                letters = held[of]
+                for j in marks:
+                    near = of[(letters & self.bits[j]) == self.bits[j]]
+                    first, end = self.ends[j]
+                    near = near[((bits[start[near]] & first) != 0) & ((bits[last[near]] & end) != 0)]
+                    for i in near:
+                        at = int(start[i])
+                        parts = [tokens[k] for k in number[at:at + n]]
+                        word = self.words[j]
+                        if (in_order(word, "".join(parts)) and not in_order(word, "".join(parts[1:]))
+                                and not in_order(word, "".join(parts[:-1]))):
+                            yield at, n, j, DECAY ** float(span[i] - length)
+
 
 @dataclass
 class Scorer:
@@ -168,11 +248,17 @@ class Scorer:
         self._clear()
 
     def _clear(self) -> None:
-        self.cache: dict[str, int] = {}  # chunk -> row of ``values``; row 0: no evidence
+        self.cache: dict[str, int] = {}  # chunk -> its place in the following ones
+        self.tokens: list[str] = []
+        self.row = np.zeros(0, dtype=np.int64)  # of ``values``; row 0: no evidence
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.bits = np.zeros(0, dtype=np.uint64)
+        self.stops = np.zeros(0, dtype=bool)
         self.values = np.zeros((1, self.landmarks.table.shape[1] + 1), dtype=np.float32)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("cache", "values")}
+        return {k: v for k, v in self.__dict__.items()
+                if k not in ("cache", "tokens", "row", "sizes", "bits", "stops", "values")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -190,12 +276,36 @@ class Scorer:
             number.update((part[r], len(self.values) + sum(map(len, found)) + i) for i, r in enumerate(rows))
             found.append(np.column_stack([k[rows], k[rows].max(axis=1)]))
         self.values = np.concatenate([self.values, *found])
-        self.cache.update((c, number.get(t, 0)) for c, t in zip(chunks, tokens))
+        self.cache.update((c, len(self.tokens) + i) for i, c in enumerate(chunks))
+        self.tokens += tokens
+        self.row = np.append(self.row, np.array([number.get(t, 0) for t in tokens], dtype=np.int64))
+        self.sizes = np.append(self.sizes, np.array([len(t) for t in tokens], dtype=np.int64))
+        self.bits = np.append(self.bits, letter_bits(tokens))
+        # a single letter with a point is a spelling or an initial, no end of a sentence
+        self.stops = np.append(self.stops, np.array([len(t) > 1 and _STOP.search(c) is not None
+                                                     for c, t in zip(chunks, tokens)], dtype=bool))
+
+    def _gapped(self, places: list[np.ndarray], total: np.ndarray) -> None:
+        """Add the evidence of the windows across tokens, text by text, to ``total``."""
+        at = np.concatenate([np.zeros(0, np.int64), *places])
+        owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
+        new = np.zeros(len(at), dtype=bool)
+        new[1:] = self.stops[at[:-1]] | (owner[1:] != owner[:-1])
+        sentence = np.cumsum(new)
+        full = self.sizes[at] > 0
+        at, owner, sentence = at[full], owner[full], sentence[full]
+        best: dict[tuple[int, int], float] = {}
+        for first, n, j, value in self.landmarks.across(self.tokens, at, sentence, self.sizes[at], self.bits[at]):
+            total[owner[first], j] += value
+            best[first, n] = max(value, best.get((first, n), 0.0))
+        for (first, _), value in best.items():
+            total[owner[first], -1] += value
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Per text: evidence against each landmark and against the nearest one of all, capped, then the rates per word."""
-        lists = [chunks_of(t) for t in texts]
-        need = set().union(*lists)
+        lists = [t.split() for t in texts]
+        joined = [spaced_words(t, chunks) for t, chunks in zip(texts, lists)]
+        need = set().union(*lists, *joined)
         missing = need.difference(self.cache)
         if missing and len(self.cache) + len(missing) > CACHE_TOKENS:
             self._clear()
@@ -203,11 +313,15 @@ class Scorer:
         self._learn(sorted(missing))
         total = np.zeros((len(texts), self.values.shape[1]))
         words = np.ones((len(texts), 1))
-        for i, chunks in enumerate(lists):
-            if chunks:
-                at = np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks))
+        places = [np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks)) for chunks in lists]
+        for i, more in enumerate(joined):
+            at = self.row[places[i]]
+            if more:
+                at = np.append(at, self.row[[self.cache[c] for c in more]])
+            if len(at):
                 total[i] = self.values[at[at > 0]].sum(axis=0)
-                words[i] = len(chunks)
+                words[i] = len(at)
+        self._gapped(places, total)
         return np.concatenate([np.minimum(total, MOST), np.minimum(RATE * total / words, 2 * MOST)], axis=1)
 
     def probability(self, texts: list[str]) -> np.ndarray:

@@ -273,6 +273,23 @@ def test_toxicity_odd_rows_and_spellings(spark):
     assert (p[:5] > 0.5).all() and (p[5:] < 0.5).all()
 
 
+def test_toxicity_gapped_and_split_spellings():
+    r = random.Random(2)
+    clean = [" ".join(r.choice("the of and house river mountain letter window garden".split()) for _ in range(30))
+             for _ in range(120)]
+    bad = [t + r.choice((" you idiot.", " what a moron.", " stupid loser.")) for t in clean[:90]]
+    model = toxicity.train(clean + bad, [0] * 120 + [1] * 90)
+    gapped = ["an ixdxiot lives here", "an ixdxixot lives here", "an ixdxixoxt lives here", "a stxupxid house",
+              "a stxuxpxid house", "a mxoxrxoxn lives here", "a lxoxsxexr lives here", "an id iot lives here",
+              "an i. d. i. o. t. lives here", "an i d io t lives here", "a stu - pid house", "the mo ron lives here"]
+    p = model.probability(gapped + ["the river and the house"])
+    assert (p[:-1] > 0.5).all() and p[-1] < 0.5
+    seen = model.landmarks.kernel(["ixdxixoxt"])
+    assert seen.max() == pytest.approx(toxicity.DECAY ** 4)
+    apart, near = model.features(["The house is mo. Ron lives here", "The house is mo Ron lives here"])
+    assert apart.sum() < near.sum()  # a window ends with its sentence
+
+
 def test_language_odd_rows(spark):
     got = langid.identify(docs(spark, MIXED)).collect()
     assert len(got) == len(MIXED)
