@@ -40,6 +40,7 @@ BATCH_CELLS = 16_384
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head template noscript svg math object canvas audio video".split())
+IN_HEAD = frozenset("head title meta link base basefont bgsound style script noscript noframes template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -131,6 +132,8 @@ def blocks(page: str) -> list[tuple[str, Block]]:
         lt = page.find("<", at)
         if lt < 0:
             lt = n
+        if hidden and names[-1] == "head" and page[at:lt].strip(" \t\n\f\r"):
+            pop()  # text ends a head that is not closed
         if lt > at and not hidden:
             if current is None:
                 leaf = next((x for x in reversed(names) if x not in INLINE), "body")
@@ -154,6 +157,8 @@ def blocks(page: str) -> list[tuple[str, Block]]:
                 end = page.find(">", lt)
                 at = n if end < 0 else end + 1
             else:  # a bare less-than sign is text
+                if hidden and names[-1] == "head":
+                    pop()
                 if not hidden:
                     if current is None:
                         current = Block(bins, next((x for x in reversed(names) if x not in INLINE), "body"),
@@ -170,6 +175,8 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             if open_count.get(name):
                 close_to(name)
             continue
+        if hidden and names[-1] == "head" and name not in IN_HEAD:
+            pop()  # so does the first element that has no place in it
         if name == "br":
             if current is not None:
                 current.pieces.append(" ")

@@ -313,6 +313,19 @@ def test_html_parsing():
     assert len(html.blocks("<div>" * 20_000 + "deep")) == 1
 
 
+def test_html_head_without_end():
+    for start in ("<html><head><title>T</title>", "<head>\n<meta charset=x><link rel=y><base href=z>\n"
+                  "<style>p{}</style><script>var a='<p>';</script><noscript><p>no</p></noscript>"
+                  "<template><p>no</p></template>", "<!DOCTYPE html><head><!-- c --><title>T</title> </div> "):
+        for end in ("", "</head>", "<body>", "</head><body>"):
+            assert [t for t, _ in html.blocks(f"{start}{end}<article><h1>One</h1><p>Two</article>three")] == [
+                "One", "Two", "three"]
+            assert [t for t, _ in html.blocks(f"{start}{end} plain <b>text</b>")] == ["plain text"]
+            assert [t for t, _ in html.blocks(f"{start}{end}<img src=x><br>a<p>b")] == ["a", "b"]
+            assert [t for t, _ in html.blocks(f"{start}{end}< 3")] == ["< 3"]
+    assert html.blocks("<head><title>T</title>\n") == []
+
+
 def test_html_other_layouts(spark):
     article = ("<h1>A headline of the story</h1><p>The first long paragraph of the story, with enough words to read.</p>"
                "<p>The second long paragraph goes on and on, as paragraphs of stories do.</p>")
