@@ -346,13 +346,13 @@ def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 1.0, rounds
     return w[:-1], float(w[-1])
 
 
-def logistic(f: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+def logistic(f: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
     """Slope and offset of the logistic curve of y on f (Newton's method); the slope is at least zero."""
     z, w = np.column_stack([f, np.ones(len(f))]), np.zeros(2)
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(2)
-        w += np.clip(np.linalg.solve(h, z.T @ (y - p) - ridge * w), -2, 2)
+        h = (z * (weight * p * (1 - p))[:, None]).T @ z + ridge * np.eye(2)
+        w += np.clip(np.linalg.solve(h, z.T @ (weight * (y - p)) - ridge * w), -2, 2)
     return max(0.0, float(w[0])), float(w[1])
 
 
@@ -368,10 +368,17 @@ def spread_out(ranked: list[str], most: int) -> list[str]:
     return [ranked[i] for i in chosen]
 
 
-def train(texts: list[str], toxic: list[int]) -> Scorer:
-    """Fit on labelled texts; without both labels, or without a significant token, the score is a constant."""
+def train(texts: list[str], toxic: list[int], labelled: tuple[int, int] | None = None) -> Scorer:
+    """Fit on labelled texts; without both labels, or without a significant token, the score is a constant.
+
+    ``labelled`` holds how many clean and toxic rows the texts stand for: each
+    text weighs as many rows of its label (scaled to a mean of one), so that a
+    score does not depend on the sample's own shares of the labels.
+    """
     y = np.array(toxic, dtype=float)
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
+    all0, all1 = labelled if labelled and n0 and n1 else (n0, n1)
+    weight = np.where(y > 0, all1 / max(1, n1), all0 / max(1, n0)) * (len(y) / max(1, all0 + all1))
     share = (n1 + 0.5) / (len(y) + 1) if len(y) else 0.25
     in1, in0 = Counter(), Counter()
     for text, label in zip(texts, toxic):
@@ -385,7 +392,8 @@ def train(texts: list[str], toxic: list[int]) -> Scorer:
     marks = spread_out(ranked[:1000], LANDMARKS)
     land = Landmarks(marks)
     if not marks:
-        return Scorer(land, np.zeros(4), 0.0, 0.0, float(np.log(share / (1 - share))))
+        prior = (all1 + 0.5) / (all0 + all1 + 1) if len(y) else share
+        return Scorer(land, np.zeros(4), 0.0, 0.0, float(np.log(prior / (1 - prior))))
     k_mm = land.kernel(marks).astype(float)
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
     root = vectors @ np.diag(np.clip(values, 0.05, None) ** -0.5) @ vectors.T
@@ -394,9 +402,9 @@ def train(texts: list[str], toxic: list[int]) -> Scorer:
     both = np.kron(np.eye(2), block)
     scorer = Scorer(land, np.zeros(len(both)), 0.0)
     x = np.concatenate([scorer.features(texts[a:a + 256]) for a in range(0, len(texts), 256)])
-    w, scorer.bias = svm(x @ both, np.where(y > 0, 1.0, -1.0), np.ones(len(y)))
+    w, scorer.bias = svm(x @ both, np.where(y > 0, 1.0, -1.0), weight)
     scorer.weights = both @ w
-    scorer.slope, scorer.offset = logistic(x @ scorer.weights + scorer.bias, y)
+    scorer.slope, scorer.offset = logistic(x @ scorer.weights + scorer.bias, y, weight)
     scorer._clear()
     return scorer
 
@@ -406,12 +414,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Fit on labelled rows outside the held-out fifth: at most ``per_label`` of either label.
 
     Only texts of up to ``longest`` characters serve for the fit, which bounds
-    what the driver holds; every text is scored whole.
+    what the driver holds; every text is scored whole.  The rows of either
+    label are counted over all data and weigh as many.
     """
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()
                           & (crc_mod("doc_id", HELD_MODULUS) != HELD_REMAINDER))
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max("toxic").cast("int").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     picked = hash_sample(marked.where("toxic = 1"), "doc_id", per_label).union(
         hash_sample(marked.where("toxic = 0"), "doc_id", per_label))
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -419,7 +429,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             .join(F.broadcast(picked), "doc_id")  # at most 2 * per_label rows of two numbers
             .dropDuplicates(["doc_id"]).collect())
     rows = sorted((r["doc_id"], r["toxic"], r["text"]) for r in rows)
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    return train([r[2] for r in rows], [r[1] for r in rows], (counts.get(0, 0), counts.get(1, 0)))
 
 
 def score(docs: DataFrame, model: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -290,6 +290,22 @@ def test_toxicity_gapped_and_split_spellings():
     assert apart.sum() < near.sum()  # a window ends with its sentence
 
 
+def test_toxicity_scores_do_not_depend_on_the_caps(spark):
+    r = random.Random(4)
+    rows, marks = [], []
+    for i in range(2_000):
+        toxic = int(i % 10 == 0)
+        text = [r.choice("the of and house river mountain letter window garden".split()) for _ in range(25)]
+        text += ["clown"] * (r.random() < (0.6 if toxic else 0.1)) + ["idiot"] * (r.random() < 0.5 * toxic)
+        rows.append((i, " ".join(text), "en", "a"))
+        marks.append((i, 1, toxic))
+    asked = [" ".join(["the house and the river"] * 5 + [w]) for w in ("clown", "idiot", "garden")]
+    whole, capped = (toxicity.fit_toxicity(docs(spark, rows), labels(spark, marks), per_label=n).probability(asked)
+                     for n in (5_000, 140))
+    assert np.abs(whole - capped).max() < 0.15, (whole, capped)
+    assert ((whole > 0.5) == (capped > 0.5)).all() and whole[1] > 0.5 > whole[0]
+
+
 def test_language_odd_rows(spark):
     got = langid.identify(docs(spark, MIXED)).collect()
     assert len(got) == len(MIXED)
