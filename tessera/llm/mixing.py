@@ -253,8 +253,12 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     single = taken(joined.where("__repeats = 1"), F.col("__whole") + F.col("__extra"))
     if got.where("repeats > 1").isEmpty():
         return single
-    # equal rows: one of them stands for all, as often as all of them are taken
-    many = joined.where("__repeats > 1").groupBy("__id", "__source", "__mark").agg(
-        F.first("__doc").alias("__doc"), F.first(
-            F.col("__whole") * F.col("__repeats") + F.col("__extra")).alias("__times"))
+    # rows of equal id, source and text: those equal in all columns go together, the first ones take the extra copies
+    many = joined.where("__repeats > 1").groupBy("__id", "__source", "__mark", "__doc").agg(
+        F.count("*").alias("__n"), F.first("__whole").alias("__whole"), F.first("__extra").alias("__extra"))
+    earlier = Window.partitionBy("__id", "__source", "__mark").orderBy("__doc").rowsBetween(
+        Window.unboundedPreceding, -1)
+    left = F.col("__extra") - F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    many = many.withColumn("__times", F.col("__whole") * F.col("__n") + F.least(
+        F.greatest(left, F.lit(0)), F.col("__n"))).where("__times > 0")
     return single.union(taken(many, F.col("__times")))

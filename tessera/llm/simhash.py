@@ -60,14 +60,16 @@ def fingerprint(raw: bytes, k: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int = 3) -> DataFrame:
-    """(id, fp) for every row of ``docs``; null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, k: int = 3, mark: bool = False) -> DataFrame:
+    """(id, fp) for every row of ``docs``, with ``mark`` also a hash of the text; null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             fps = pa.array([fingerprint(x, k) for x in raw_texts(b, "text")], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], names=["id", "fp"])
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "id long, fp long")
+            yield pa.RecordBatch.from_arrays([b.column(0), fps, *b.columns[2:]],
+                                             names=["id", "fp", *b.schema.names[2:]])
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                         *[F.xxhash64(text_col).alias("mark")] * mark)
+    return source.mapInArrow(run, "id long, fp long" + ", mark long" * mark)
 
 
 def distances(points: np.ndarray, pivot: np.uint64) -> np.ndarray:
@@ -224,14 +226,21 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def keep_representatives(docs: DataFrame, k: int = 3, max_bits: int = 2) -> DataFrame:
     """One document of each group stays: the one with the smallest ``doc_id``, once if its row repeats.
 
-    Documents without an id are no group's representative; of those with equal
-    texts one stays.  All columns stay as they are.
+    Of rows that share this id the smallest fingerprint, then the smallest
+    hash of the text is taken; a row without an id comes after all others of
+    its group.  All columns stay as they are.
     """
-    groups = simhash_groups(docs, "doc_id", "text", k, max_bits)
-    wanted = groups.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(
-        docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]).select(*docs.columns))
+    marks = materialize(fingerprints(docs, "doc_id", "text", k, mark=True), "simhash-marks")
+    reps = materialize(marks.groupBy("fp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "mark")).alias("rep")), "simhash-reps")
+    roots = connected_components(links(reps, max_bits))
+    first = reps.join(roots, reps["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("group")).agg(
+        F.min(F.struct("rep.no_id", "rep.id", "fp", "rep.mark")).alias("first"))
+    wanted = materialize(first.select(F.col("first.id").alias("__id"), F.col("first.mark").alias("__wanted")),
+                         "simhash-first")
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    match = marked["doc_id"].eqNullSafe(wanted["__id"]) & (marked["__mark"] == wanted["__wanted"])
+    return marked.join(wanted, match, "left_semi").dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
 
 
 def fingerprint_hex(fp: str = "fp"):

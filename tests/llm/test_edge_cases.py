@@ -69,6 +69,27 @@ def test_mixing_large_hot_source(spark):
         assert abs(r["taken"] - r["target"]) < 0.01 * r["target"]
 
 
+def test_mixing_keeps_columns_of_repeated_ids(spark):
+    cells = [(1, "one two three", "en", "a")] * 60 + [(1, "one two three", "de", "a")] * 40 + [(2, "four", "en", "b")]
+    rows = docs(spark, cells)
+    got = collections.Counter(r["lang"] for r in mixing.apply_mix(rows).where("doc_id = 1").collect())
+    mix = [r["copies"] for r in mixing.mix(rows).where("doc_id = 1").collect()]
+    assert sum(got.values()) == sum(mix)
+    assert 60 * min(mix) <= got["en"] <= 60 * max(mix) and 40 * min(mix) <= got["de"] <= 40 * max(mix)
+    assert min(mix) == 0 or set(got) == {"en", "de"}
+
+
+def test_representatives_of_repeated_and_null_ids(spark):
+    r = random.Random(3)
+    a, b, c, d = (" ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(4))
+    rows = docs(spark, [(1, a, "en", "s"), (1, b, "en", "s"), (1, b, "en", "s"), (7, b, "en", "s"), (8, a, "en", "s"),
+                        (None, c, "en", "s"), (None, f" {c}", "en", "s"), (None, d, "en", "s"), (9, d, "en", "s")])
+    kept = simhash.keep_representatives(rows)
+    assert kept.columns == rows.columns
+    got = sorted(((x["doc_id"], x["text"].strip()) for x in kept.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), (9, d)], key=str)
+
+
 # --- top-k
 
 def brute_topk(rows, k=5):
