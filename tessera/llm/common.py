@@ -20,6 +20,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 _written: list[tuple[SparkSession, str]] = []
 
 
+def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet in the shared scratch folder: the table read back, and its path."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(release)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back.
 
@@ -27,13 +38,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     computes the frame once however often the result is read.  The folder
     stays until ``release`` or the end of the application.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(release)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return write_scratch(df, name)[0]
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table that nothing reads any more."""
+    if (spark, path) in _written:
+        _written.remove((spark, path))
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release(spark: SparkSession | None = None) -> None:
@@ -41,10 +54,8 @@ def release(spark: SparkSession | None = None) -> None:
     for owner, path in list(_written):
         if spark is not None and owner is not spark:
             continue
-        _written.remove((owner, path))
         try:
-            p = owner._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(owner._jsc.hadoopConfiguration()).delete(p, True)
+            delete_scratch(owner, path)
         except Exception:  # the session is gone; the folder stays for the cluster's own clean-up
             return
 
