@@ -12,7 +12,8 @@ reference's workflow reproducible at scale:
   a set of cluster jobs) and return a DataFrame of (params..., metric);
 * grid search uses stratified folds; candidates that differ only in where
   growth stops share a fit: Spark's ``leafCol`` gives each row's leaf, and the
-  leaf's value under every cut comes from the model's node table.
+  leaf's value under every cut is looked up in constants read from the fitted
+  model, so that the candidates of a fold are scored in one aggregation.
 
 Library defaults of the reference that differ from Spark's are restated:
 forests have 100 trees and unlimited depth (Spark allows at most 30), and
@@ -22,7 +23,9 @@ consider sqrt(features) per split.
 from __future__ import annotations
 
 import itertools
+import json
 import math
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -37,7 +40,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,63 +238,137 @@ Cut = tuple[int | None, int]
 LEAF = "__leaf"
 
 
-def leaf_values(spark: SparkSession, model: Model, cuts: Sequence[Cut]) -> list[tuple[int, int, list[float]]]:
-    """(tree, leaf, P(class 1) under every cut) for each leaf of a tree or forest.
+def _node_tables(model: Model) -> list[dict]:
+    """The root node of each tree of a tree or forest, read from the fitted model in the JVM.
 
-    Growth is top-down, so the tree grown with a smaller depth or a larger min
-    split is the fitted tree with nodes at that depth, or with fewer rows, made
-    leaves.  Leaves are numbered as ``leafCol`` does: in the order of node ids.
-    The node table of a model holds at most ``trees * 2 ** (depth + 1)`` rows,
-    whatever the size of the data.
+    A node is (prediction, impurityStats with stats and rawCount, and for inner
+    nodes leftChild and rightChild).  A model has at most ``trees * 2 ** (depth
+    + 1)`` nodes, whatever the size of the data.
+    """
+    jvm = SparkSession.active()._jvm
+    mapper = jvm.com.fasterxml.jackson.databind.ObjectMapper()
+    mapper.registerModule(jvm.com.fasterxml.jackson.module.scala.DefaultScalaModule())
+    trees = model._java_obj.trees() if hasattr(model, "trees") else [model._java_obj]
+    return [json.loads(mapper.writeValueAsString(t.rootNode())) for t in trees]
+
+
+def _leaf_at(root: dict, max_depth: int | None) -> set[int]:
+    """ids of the nodes that are leaves when growth stops at ``max_depth``.
+
+    Spark grows level by level and draws feature subsets in that order, so the
+    upper levels of a deep fit are those of a shallow one; afterwards it joins
+    sibling leaves of one class, which is done here for the shallower tree.
+    """
+    leaves: set[int] = set()
+    order: list[tuple[dict, int]] = [(root, 0)]
+    for node, depth in order:
+        if "leftChild" in node and depth != max_depth:
+            order += [(node["leftChild"], depth + 1), (node["rightChild"], depth + 1)]
+        else:
+            leaves.add(id(node))
+    for node, depth in reversed(order):
+        if id(node) not in leaves:
+            left, right = node["leftChild"], node["rightChild"]
+            if {id(left), id(right)} <= leaves and left["prediction"] == right["prediction"]:
+                leaves.add(id(node))
+    return leaves
+
+
+def leaf_values(spark: SparkSession, model: Model, cuts: Sequence[Cut]) -> list[tuple[int, int, list[tuple[float, float]]]]:
+    """(tree, leaf, shares of class 0 and 1 under every cut) for each leaf of a tree or forest.
+
+    The tree grown with a smaller depth limit is the fitted tree with nodes at
+    that depth made leaves (see ``_leaf_at``); that with a larger min split has
+    nodes of fewer rows made leaves.  Leaves are numbered as ``leafCol`` does:
+    from left to right.
     """
-    from tessera.session import scratch_dir
-    path = scratch_dir(spark, "model")
-    model.write().save(path)
-    saved = spark.read.parquet(path + "/data")
-    nodes = (saved.select("treeID", "nodeData.*") if "nodeData" in saved.columns
-             else saved.withColumn("treeID", F.lit(0)))
-    rows = nodes.select("treeID", "id", "leftChild", "rightChild", "rawCount", "impurityStats").collect()
-    above: dict[tuple[int, int], list] = {}
-    leaves: dict[int, int] = {}
     out = []
-    for r in sorted(rows, key=lambda r: (r["treeID"], r["id"])):
-        t = r["treeID"]
-        stats = r["impurityStats"]
-        share = stats[1] / sum(stats) if len(stats) > 1 and sum(stats) > 0 else 0.0
-        line = above.pop((t, r["id"]), []) + [(r["rawCount"], share)]
-        if r["leftChild"] >= 0:
-            above[t, r["leftChild"]] = above[t, r["rightChild"]] = line
-            continue
-        values = [next((v for depth, (n, v) in enumerate(line)
-                        if n < min_split or depth == max_depth), share) for max_depth, min_split in cuts]
-        leaves[t] = leaves.get(t, -1) + 1
-        out.append((t, leaves[t], values))
+    for t, root in enumerate(_node_tables(model)):
+        found = 0
+        leaves = {d: _leaf_at(root, d) for d in {d for d, _ in cuts}}
+        waiting: list[tuple[dict, list]] = [(root, [])]
+        while waiting:
+            node, above = waiting.pop()
+            stats = (*node["impurityStats"]["stats"], 0.0)
+            total = sum(stats)
+            share = (stats[0] / total, stats[1] / total) if total > 0 else (0.0, 0.0)
+            line = [*above, (id(node), node["impurityStats"]["rawCount"], share)]
+            if "leftChild" in node:
+                waiting += [(node["rightChild"], line), (node["leftChild"], line)]
+                continue
+            out.append((t, found, [next((v for i, n, v in line if n < min_split or i in leaves[d]), share)
+                                   for d, min_split in cuts]))
+            found += 1
     return out
 
 
-def leaf_ids(model: Model, df: DataFrame) -> DataFrame:
+def leaf_ids(model: Model, df: DataFrame, name: str = LEAF) -> DataFrame:
     """``df`` with ``__leaf``: the leaf that each row reaches in every tree (array)."""
-    model.setLeafCol(LEAF)
-    out = model.transform(df)
-    forest_like = hasattr(model, "trees")
-    leaf = vector_to_array(LEAF) if forest_like else F.array(LEAF)
-    return out.select(*df.columns, leaf.alias(LEAF))
+    quiet = {model.getParam(c): "" for c in ("predictionCol", "probabilityCol", "rawPredictionCol") if model.hasParam(c)}
+    out = model.transform(df, {**quiet, model.getParam("leafCol"): name})
+    return out.withColumn(name, vector_to_array(name) if hasattr(model, "trees") else F.array(name))
+
+
+def _constant(values: Sequence[float], of: str) -> str:
+    """SQL of a constant array (one literal for the optimiser)."""
+    return f"from_json('{json.dumps(list(values))}', 'array<{of}>')"
+
+
+def with_votes(spark: SparkSession, model: Model, df: DataFrame, cuts: Sequence[Cut]) -> DataFrame:
+    """``df`` with ``__v<i>_0`` and ``__v<i>_1``: each tree's shares of the classes under cut i, without a shuffle.
+
+    A row's leaf in each tree looks its value up in a constant array that holds
+    the leaves of all trees one after the other (bounded by the model).
+    """
+    table = leaf_values(spark, model, cuts)
+    sizes = Counter(t for t, _, _ in table)
+    before = list(itertools.accumulate([sizes[t] for t in range(len(sizes))], initial=1))[:-1]
+    place = f"cast(x as int) + element_at({_constant(before, 'int')}, t + 1)"
+    votes = [f"transform({LEAF}, (x, t) -> element_at({_constant([v[i][c] for _, _, v in table], 'double')}, {place}))"
+             f" as __v{i}_{c}" for i in range(len(cuts)) for c in (0, 1)]
+    return leaf_ids(model, df).selectExpr("*", *votes).drop(LEAF)
+
+
+def _votes_for(i: int, c: int, n: int) -> str:
+    """SQL of the first ``n`` trees' votes for class ``c`` under cut i."""
+    return f"aggregate(slice(__v{i}_{c}, 1, {n}), 0D, (a, x) -> a + x)"
+
+
+def voted(i: int, n: int) -> str:
+    """SQL of the class-1 decision of the first ``n`` trees under cut i, ties to class 0 as Spark's models do."""
+    return f"{_votes_for(i, 1, n)} > {_votes_for(i, 0, n)}"
 
 
 def cut_probabilities(spark: SparkSession, model: Model, df: DataFrame, key: str, cuts: Sequence[Cut],
                       n_trees: Sequence[int] = (1,)) -> DataFrame:
-    """(key, label, p_<i>_<n>): P(class 1) under cut i by the first n trees.
+    """(key, label, p_<i>_<n>): P(class 1) under cut i by the first n trees, one projection."""
+    votes = with_votes(spark, model, df, cuts)
+    return votes.select(key, "label", *[F.expr(f"{_votes_for(i, 1, n)} / {n}").alias(f"p_{i}_{n}")
+                                        for i in range(len(cuts)) for n in n_trees])
+
+
+#: Memory that a level's statistics may take, in MB; a level must be grown as a whole for depths to share a fit.
+LEVEL_MB = 2_048
 
-    Every row is dealt to its leaves, which meet the (broadcast, bounded) leaf
-    table; the leaves of a row lie together, so they are summed before the shuffle.
-    """
-    table = spark.createDataFrame(leaf_values(spark, model, cuts), "tree int, leaf int, p array<double>")
-    dealt = leaf_ids(model, df).select(key, "label", F.posexplode(LEAF).alias("tree", "at")).select(
-        key, "label", "tree", F.col("at").cast("int").alias("leaf"))
-    met = dealt.join(F.broadcast(table), ["tree", "leaf"])
-    return met.groupBy(key, "label").agg(*[
-        (F.sum(F.when(F.col("tree") < n, F.col("p")[i])) / n).alias(f"p_{i}_{n}")
-        for i in range(len(cuts)) for n in n_trees])
+
+def shares_depths(n_trees: int, max_depth: int, n_features: int, max_bins: int = MAX_BINS) -> bool:
+    """Whether the widest level of a forest is sure to be grown at once, so that shallower forests are cuts of it."""
+    per_node = 8 * 3 * max_bins * (n_features if n_trees == 1 else math.ceil(math.sqrt(n_features)))
+    return n_trees * 2 ** max(0, max_depth - 1) * per_node < LEVEL_MB * 2 ** 20
+
+
+def fits_by_depth(depths: Sequence[int], n_trees: int, n_features: int,
+                  fit: Callable[[int], Model]) -> list[tuple[Model, list[int]]]:
+    """(model, the depth limits that are cuts of it): one fit of the largest limit where that is exact, else one each."""
+    if shares_depths(n_trees, max(depths), n_features):
+        return [(fit(max(depths)), list(depths))]
+    return [(fit(d), [d]) for d in depths]
+
+
+def two_classes(df: DataFrame) -> DataFrame:
+    """``df`` with the label marked as binary, so that fits need not scan for the number of classes."""
+    marked = {"ml_attr": {"type": "nominal", "vals": ["0", "1"], "name": "label"}}
+    return df.withColumn("label", F.col("label").alias("label", metadata=marked))
 
 
 def _folds(train: DataFrame, key: str, k: int, seed: int) -> DataFrame:
@@ -323,7 +400,7 @@ def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
     min_samples_leaf, min_samples_split, mean_accuracy, rank) with rank 1 =
     best, ties to the first candidate in grid order.
     """
-    folds = _folds(train, key, k, seed)
+    folds = two_classes(_folds(train, key, k, seed).select("features", "label", "fold"))
     cuts = [(d, s) for d in max_depth for s in min_split]
 
     def run(job):
@@ -334,7 +411,7 @@ def tree_grid_search(spark: SparkSession, train: DataFrame, key: str,
                   .groupBy(F.col(LEAF)[0].cast("int").alias("leaf"), "label")
                   .agg(F.count(F.lit(1)).alias("n")).collect())
         total = sum(r["n"] for r in counts)
-        return [sum(r["n"] for r in counts if (values[r["leaf"]][i] > 0.5) == (r["label"] == 1.0)) / total
+        return [sum(r["n"] for r in counts if (values[r["leaf"]][i][1] > 0.5) == (r["label"] == 1.0)) / total
                 for i in range(len(cuts))]
 
     jobs = [(f, leaf) for f in range(k) for leaf in min_leaf]
@@ -353,30 +430,39 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
     """``GridSearchCV(RandomForestClassifier(), {max_depth, n_estimators,
     min_samples_leaf, min_samples_split})``: k stratified folds, accuracy.
 
-    Spark draws feature subsets in node order, so depths cannot share a fit;
-    forest sizes and min splits can: for each fold, depth and leaf size one
-    forest of ``max(n_trees)`` trees is fitted, the forest of ``n`` trees is its
-    first ``n`` (independent, identically drawn trees, as an unseeded search
-    draws them), and a min split over twice the leaf size cuts each tree (a
-    smaller one never binds).  All candidates of a fit are scored in one
-    aggregation over the validation fold.  Returns (max_depth,
-    min_samples_leaf, min_samples_split, n_estimators, mean_accuracy, rank).
+    Candidates that differ in where growth stops are cuts of one fit: for each
+    fold and leaf size one forest of ``max(n_trees)`` trees and the largest
+    depth is fitted (one per depth where its levels are too wide, see
+    ``shares_depths``).  The forest of a smaller depth limit is exactly its cut;
+    the forest of ``n`` trees is its first ``n`` (independent, identically drawn
+    trees, as an unseeded search draws them), and a min split over twice the
+    leaf size cuts each tree (a smaller one never binds).  All candidates of a
+    fit are scored in one aggregation over the validation fold, without a
+    shuffle of rows.  Returns (max_depth, min_samples_leaf, min_samples_split,
+    n_estimators, mean_accuracy, rank).
     """
-    folds = _folds(train, key, k, seed)
+    folds = two_classes(_folds(train, key, k, seed).select("features", "label", "fold"))
+    parts = {f: (folds.filter(F.col("fold") != f).drop("fold").checkpoint(eager=True),
+                 folds.filter(F.col("fold") == f).drop("fold")) for f in range(k)}
+    width = _width(train)
 
     def run(job):
-        f, d, leaf = job
-        model = forest(max(n_trees), d, min_leaf=leaf, seed=seed).fit(folds.filter(F.col("fold") != f))
+        f, leaf = job
+        learn, valid = parts[f]
         binding = sorted({s if s > 2 * leaf else 0 for s in min_split})
-        p = cut_probabilities(spark, model, folds.filter(F.col("fold") == f).select(key, "features", "label"),
-                              key, [(None, s) for s in binding], n_trees)
-        hits = p.agg(F.count(F.lit(1)).alias("n"), *[
-            F.count_if((F.col(c) > 0.5) == (F.col("label") == 1.0)).alias(c) for c in p.columns if c[:2] == "p_"])
-        r = hits.first()
         at = {s: binding.index(s if s > 2 * leaf else 0) for s in min_split}
-        return {(d, leaf, s, n): r[f"p_{at[s]}_{n}"] / r["n"] for s in min_split for n in n_trees}
-
-    jobs = [(f, d, leaf) for f in range(k) for d in max_depth for leaf in min_leaf]
+        out = {}
+        for model, depths in fits_by_depth(max_depth, max(n_trees), width, lambda d: forest(
+                max(n_trees), d, min_leaf=leaf, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn)):
+            cuts = [(d, s) for d in depths for s in binding]
+            hits = [F.expr(f"count_if(({voted(i, n)}) = (label = 1))").alias(f"h_{i}_{n}")
+                    for i in range(len(cuts)) for n in n_trees]
+            r = with_votes(spark, model, valid, cuts).agg(F.count(F.lit(1)).alias("n"), *hits).first()
+            out.update({(d, leaf, s, n): r[f"h_{j * len(binding) + at[s]}_{n}"] / r["n"]
+                        for j, d in enumerate(depths) for s in min_split for n in n_trees})
+        return out
+
+    jobs = [(f, leaf) for leaf in min_leaf for f in range(k)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         scored = list(pool.map(run, jobs))
     order = [(d, leaf, s, n) for d in max_depth for leaf in min_leaf for s in min_split for n in n_trees]
@@ -415,11 +501,6 @@ def load(kind: type, path: str) -> Model:
 
 # ------------------------------------------------------ sweeps, one fit each --
 
-def _confusion_counts(pred: DataFrame) -> tuple[int, int, int, int]:
-    r = metrics.confusion(pred, "label", F.col("pred")).first()
-    return r["tp"], r["fp"], r["tn"], r["fn"]
-
-
 def _sweep_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
     """(names..., precision, recall, f1, accuracy) from rows (names..., tp, fp, tn, fn)."""
     schema = ", ".join(f"{n} long" for n in (*names, "tp", "fp", "tn", "fn"))
@@ -433,34 +514,54 @@ def _sweep_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str
                          .alias("accuracy"))
 
 
+def _width(df: DataFrame) -> int:
+    """Number of features (of the first row; all have as many)."""
+    first = df.select("features").first()
+    return len(first["features"]) if first else 0
+
+
+def _swept(spark: SparkSession, fits: Sequence[tuple[Model, list[int]]], valid: DataFrame, n_trees: int) -> list[tuple]:
+    """(depth, tp, fp, tn, fn) of every depth limit, the cuts of a fit scored in one aggregation over ``valid``."""
+    out = []
+    for model, depths in fits:
+        votes = with_votes(spark, model, valid.select("features", "label"), [(d, 0) for d in depths])
+        cells = [f"{'' if yes else 'not '}({voted(i, n_trees)}) and label {'=' if yes == right else '<>'} 1"
+                 for i in range(len(depths)) for yes, right in ((True, True), (True, False), (False, True), (False, False))]
+        r = votes.agg(*[F.expr(f"count_if({c})").alias(f"c{i}") for i, c in enumerate(cells)]).first()
+        out += [(d, *[r[f"c{4 * j + i}"] for i in range(4)]) for j, d in enumerate(depths)]
+    return out
+
+
 def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                  max_depth: Sequence[int], n_trees: Sequence[int], weighted: bool = False,
                  seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
-    """Seeded forests for every (depth, tree count), each fitted and scored on ``valid``.
+    """Seeded forests for every (depth, tree count), scored on ``valid``: one fit per tree count, of which
+    the smaller depths are exact cuts (``fits_by_depth``).
 
     Returns (max_depth, n_trees, precision, recall, f1, accuracy).
     """
-    def run(candidate):
-        d, n = candidate
-        model = forest(n, d, weighted=weighted, seed=seed).fit(train)
-        return (d, n, *_confusion_counts(predict(model, valid)))
+    learn, width = two_classes(train), _width(train)
+
+    def run(n):
+        fits = fits_by_depth(max_depth, n, width, lambda d: forest(
+            n, d, weighted=weighted, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn))
+        return {(d, n): (d, n, *counts) for d, *counts in _swept(spark, fits, valid, n)}
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, [(d, n) for d in max_depth for n in n_trees]))
-    return _sweep_table(spark, rows, ("max_depth", "n_trees"))
+        rows = {k: v for one in pool.map(run, sorted(n_trees, reverse=True)) for k, v in one.items()}
+    return _sweep_table(spark, [rows[d, n] for d in max_depth for n in n_trees], ("max_depth", "n_trees"))
 
 
 def tree_depth_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
                      max_depth: Sequence[int], min_leaf: int = 1, weighted: bool = False,
                      seed: int = 12345, parallelism: int = DEFAULT_PARALLELISM) -> DataFrame:
-    """Trees of every depth in ``max_depth``, each fitted and scored on ``valid``.
+    """Trees of every depth in ``max_depth``, scored on ``valid``: one fit, of which the smaller depths are
+    exact cuts (``fits_by_depth``).
 
     Returns (max_depth, precision, recall, f1, accuracy).
     """
-    def run(d):
-        model = tree(d, min_leaf=min_leaf, weighted=weighted, seed=seed).fit(train)
-        return (d, *_confusion_counts(predict(model, valid)))
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, list(max_depth)))
-    return _sweep_table(spark, rows, ("max_depth",))
+    learn = two_classes(train)
+    fits = fits_by_depth(max_depth, 1, _width(train), lambda d: tree(
+        d, min_leaf=min_leaf, weighted=weighted, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn))
+    rows = {r[0]: r for r in _swept(spark, fits, valid, 1)}
+    return _sweep_table(spark, [rows[d] for d in max_depth], ("max_depth",))

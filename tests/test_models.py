@@ -46,6 +46,7 @@ def test_min_split_cuts_small_nodes(spark):
     df = _data(spark)
     m = models.tree(8, min_leaf=1, seed=1).fit(df)
     cut = models.leaf_values(spark, m, [(None, 0), (None, 40), (None, 10**9)])
+    cut = [(t, leaf, [share[1] for share in v]) for t, leaf, v in cut]
     assert len({v[2] for _, _, v in cut}) == 1  # nothing may split: the root's share
     assert len({v[1] for _, _, v in cut}) < len({v[0] for _, _, v in cut}) or len(cut) < 10
 
@@ -159,3 +160,44 @@ def test_cross_validate_with_stratified_folds(spark):
     assert len(rows) == 2 and all(0 <= r["accuracy"] <= 1 for r in rows)
     top = max(rows, key=lambda r: r["accuracy"])
     assert best.getOrDefault("maxDepth") == top["maxDepth"]
+
+
+def test_forest_grid_candidates_equal_direct_fits(spark):
+    df = _data(spark, 240)
+    rows = models.forest_grid_search(spark, df, "k", max_depth=[1, 2, 5, 9], n_trees=[5], min_leaf=[1, 8],
+                                     min_split=[2], k=3, parallelism=4).collect()
+    folds = models._folds(df, "k", 3, 12345)
+    for r in rows:
+        direct = []
+        for f in range(3):
+            m = models.forest(5, r["max_depth"], min_leaf=r["min_samples_leaf"]).fit(folds.filter(F.col("fold") != f))
+            direct.append(models.f1_of(models.predict(m, folds.filter(F.col("fold") == f))).first()["accuracy"])
+        assert abs(r["mean_accuracy"] - sum(direct) / 3) < 1e-12
+
+
+@pytest.mark.parametrize("seed, min_leaf", [(1, 1), (2, 1), (3, 4), (4, 9)])
+def test_depth_cut_of_a_forest_equals_direct_fits_in_every_tree(spark, seed, min_leaf):
+    df = _data(spark, 300, seed)
+    deep = models.forest(20, 11, min_leaf=min_leaf, seed=seed).fit(df)
+    depths = [0, 1, 3, 5, 7, 9, 11]
+    shares = models.with_votes(spark, deep, df, [(d, 0) for d in depths])
+    got = {r["k"]: r for r in shares.collect()}
+    for i, d in enumerate(depths):
+        direct = models.forest(20, d, min_leaf=min_leaf, seed=seed).fit(df)
+        for r in models.with_votes(spark, direct, df, [(None, 0)]).collect():
+            assert r["__v0_1"] == got[r["k"]][f"__v{i}_1"] and r["__v0_0"] == got[r["k"]][f"__v{i}_0"]
+
+
+def test_wide_levels_are_fitted_depth_by_depth(spark, monkeypatch):
+    df = _data(spark, 200)
+    want = models.forest_sweep(spark, df, df, [2, 4], [3], seed=5).collect()
+    monkeypatch.setattr(models, "shares_depths", lambda *_: False)
+    assert models.forest_sweep(spark, df, df, [2, 4], [3], seed=5).collect() == want
+
+
+def test_scoring_a_search_shuffles_no_rows(spark):
+    df = _data(spark)
+    m = models.forest(7, 5, seed=3).fit(df)
+    p = models.cut_probabilities(spark, m, df, "k", [(None, 0), (None, 8)], [3, 7])
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
