@@ -39,10 +39,13 @@ BATCH_CELLS = 16_384
 #: Fixed values of the HTML standard: elements without content, with raw text, and those that end a text block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head template noscript svg math object canvas audio video".split())
+UNSEEN = frozenset("head template noscript svg object canvas audio video annotation annotation-xml".split())
 IN_HEAD = frozenset("head title meta link base basefont bgsound style script noscript noframes template".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var".split())
+FORMULA = frozenset("math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms "
+                    "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE = FORMULA | frozenset(
+    "a abbr acronym annotation annotation-xml audio b bdi bdo big canvas cite code data del dfn em font i ins kbd label "
+    "map mark object picture q s samp small span strike strong sub sup svg time tt u var video".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",), "tbody": ("thead", "tbody", "tr", "td", "th"),
           "tfoot": ("thead", "tbody", "tr", "td", "th")}
@@ -153,7 +156,7 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             continue
         m = _TAG.match(page, lt)
         if m is None:
-            if nxt == "/" or nxt.isalpha():  # a tag that never ends, or with open quotes: up to the next mark
+            if nxt == "/" or nxt.isascii() and nxt.isalpha():  # a tag that never ends, or with open quotes: up to the next mark
                 end = page.find(">", lt)
                 at = n if end < 0 else end + 1
             else:  # a bare less-than sign is text
@@ -170,7 +173,7 @@ def blocks(page: str) -> list[tuple[str, Block]]:
         at = m.end()
         closing, name, attributes = m[1], m[2].lower(), m[3]
         if closing:
-            if name not in INLINE:
+            if name not in INLINE and not hidden:
                 current = None
             if open_count.get(name):
                 close_to(name)
@@ -181,7 +184,7 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             if current is not None:
                 current.pieces.append(" ")
             continue
-        if name not in INLINE and name not in ("img", "wbr"):
+        if name not in INLINE and name not in ("img", "wbr") and not hidden:
             current = None
         if name not in INSIDE_P and open_count.get("p"):
             close_to("p")

@@ -10,13 +10,16 @@ break between tokens (white space and marks) is one gap; at most one gap for eac
 step between letters.  A sentence's kernel is the sum over its tokens and windows;
 with landmarks M its Nyström features are ``K_MM^(-1/2) * sum k(window, M)``.
 
-Labels are per document, so a labelled instance is the bag of a document's
-sentences and its kernel the sum over them, in two parts: the evidence against
-each landmark (up to ``MOST``) and its rate per word.  Landmarks are tokens
-that occur significantly more often in toxic documents of the sample, spread
-out by the kernel itself.  A linear SVM on the features gives the decision, a
-logistic curve the score.  Each distinct token is evaluated once per worker
-and cached; of the whole text only sums over tokens are kept.
+Labels are per document, and a document is as toxic as its worst passage: runs of
+whole sentences of up to ``PASSAGE`` words.  A passage's features are its evidence
+against each landmark (up to ``MOST``) and its rate per word, so that the length
+of a document, or clean text joined to it, adds nothing.  The linear SVM is fitted
+on each document's worst passage, which is chosen anew by the model of the round
+before; a logistic curve of the worst passage's decision is the score.  Landmarks
+are tokens that occur significantly more often in toxic documents of the sample,
+for as many tokens as are tried, copies of one document counting once; they are
+spread out by the kernel itself.  Each distinct token is evaluated once per
+worker and cached; of the whole text only sums over passages are kept.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +51,12 @@ ALIKE = 0.5
 TOKEN_CHARS = 48
 #: Evidence against one landmark that counts, and the factor that brings rates per word to its scale.
 MOST, RATE = 2.0, 80.0
-#: Log-likelihood ratio over which a token is significantly commoner in toxic documents.
-SIGNIFICANT = 10.0
+#: Words of a passage, at most (a longer sentence is cut), and the fewest that a rate is taken over.
+PASSAGE, LEAST_WORDS = 100, 50
+#: Chance that any of the tokens tried becomes a landmark though it is as common in clean documents.
+CHANCE = 0.01
+#: Rounds in which the worst passages are chosen and the SVM fitted.
+CHOICES = 4
 #: Tokens kept in a worker's cache.
 CACHE_TOKENS = 400_000
 ALPHABET = 42
@@ -285,8 +293,8 @@ class Scorer:
         self.stops = np.append(self.stops, np.array([len(t) > 1 and _STOP.search(c) is not None
                                                      for c, t in zip(chunks, tokens)], dtype=bool))
 
-    def _gapped(self, places: list[np.ndarray], total: np.ndarray) -> None:
-        """Add the evidence of the windows across tokens, text by text, to ``total``."""
+    def _gapped(self, places: list[np.ndarray], total: np.ndarray, strongest: np.ndarray) -> None:
+        """Add the evidence of the windows across tokens, passage by passage, to ``total`` and ``strongest``."""
         at = np.concatenate([np.zeros(0, np.int64), *places])
         owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
         new = np.zeros(len(at), dtype=bool)
@@ -300,33 +308,66 @@ class Scorer:
             best[first, n] = max(value, best.get((first, n), 0.0))
         for (first, _), value in best.items():
             total[owner[first], -1] += value
-
-    def features(self, texts: list[str]) -> np.ndarray:
-        """Per text: evidence against each landmark and against the nearest one of all, capped, then the rates per word."""
+            strongest[owner[first]] = max(value, strongest[owner[first]])
+
+    def passages(self, places: np.ndarray) -> list[tuple[int, int]]:
+        """(start, end) of the passages of a text given by its chunks' places: whole sentences as long as they fit."""
+        out, start, last = [], 0, 0
+        for end in [*(np.flatnonzero(self.stops[places[:-1]]) + 1).tolist(), len(places)]:
+            while end - start > PASSAGE:
+                cut = last if last > start else start + PASSAGE
+                out.append((start, cut))
+                start = cut
+            last = end
+        return [*out, (start, len(places))]
+
+    def features(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(features of the passages, first passage of each text).
+
+        A passage's features are the evidence against each landmark and against
+        the nearest one of all, capped, then the rates per word, and last the
+        square of its strongest single piece of evidence: one plain insult is
+        another thing than chance likenesses that add up to as much.
+        """
         lists = [t.split() for t in texts]
-        joined = [spaced_words(t, chunks) for t, chunks in zip(texts, lists)]
-        need = set().union(*lists, *joined)
+        need = set().union(*lists, *(spaced_words(t, chunks) for t, chunks in zip(texts, lists)))
         missing = need.difference(self.cache)
         if missing and len(self.cache) + len(missing) > CACHE_TOKENS:
             self._clear()
             missing = need
         self._learn(sorted(missing))
-        total = np.zeros((len(texts), self.values.shape[1]))
-        words = np.ones((len(texts), 1))
-        places = [np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks)) for chunks in lists]
-        for i, more in enumerate(joined):
-            at = self.row[places[i]]
+        first, rows, spaced = [], [], []
+        for text, chunks in zip(texts, lists):
+            places = np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks))
+            first.append(len(rows))
+            runs = spaced_words(text, chunks) != []
+            for start, end in self.passages(places):
+                rows.append(places[start:end])
+                part = chunks[start:end] if runs else []
+                spaced.append([w for w in spaced_words(" ".join(part), part) if w in self.cache])
+        total = np.zeros((len(rows), self.values.shape[1]))
+        strongest = np.zeros(len(rows))
+        words = np.full((len(rows), 1), float(LEAST_WORDS))
+        for i, (places, more) in enumerate(zip(rows, spaced)):
+            at = self.row[places]
             if more:
                 at = np.append(at, self.row[[self.cache[c] for c in more]])
             if len(at):
-                total[i] = self.values[at[at > 0]].sum(axis=0)
-                words[i] = len(at)
-        self._gapped(places, total)
-        return np.concatenate([np.minimum(total, MOST), np.minimum(RATE * total / words, 2 * MOST)], axis=1)
+                near = self.values[at[at > 0]]
+                total[i] = near.sum(axis=0)
+                strongest[i] = near[:, -1].max(initial=0.0)
+                words[i] = max(LEAST_WORDS, len(at))
+        self._gapped(rows, total, strongest)
+        return (np.concatenate([np.minimum(total, MOST), np.minimum(RATE * total / words, 2 * MOST),
+                                MOST * strongest[:, None] ** 2], axis=1), np.array(first, dtype=np.int64))
+
+    def decision(self, texts: list[str]) -> np.ndarray:
+        """The linear decision on the worst passage of each text."""
+        x, first = self.features(texts)
+        return np.maximum.reduceat(x @ self.weights + self.bias, first) if len(texts) else np.zeros(0)
 
     def probability(self, texts: list[str]) -> np.ndarray:
-        f = self.slope * (self.features(texts) @ self.weights + self.bias) + self.offset
-        return 1 / (1 + np.exp(-np.clip(f, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.decision(texts) + self.offset, -30, 30)))
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -368,6 +409,27 @@ def spread_out(ranked: list[str], most: int) -> list[str]:
     return [ranked[i] for i in chosen]
 
 
+def copy_groups(texts: list[str], words: int = 5, hashes: int = 4) -> list[int]:
+    """For each text the first one that it is taken for a copy of: they share one of a few smallest shingle hashes."""
+    root = list(range(len(texts)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    first: dict[tuple[int, int], int] = {}
+    for i, text in enumerate(texts):
+        chunks = text.split()
+        grams = {" ".join(chunks[j:j + words]) for j in range(max(1, len(chunks) - words + 1))}
+        for seed in range(hashes):
+            key = seed, min(xxhash.xxh64_intdigest(g, seed) for g in grams)
+            a, b = find(i), find(first.setdefault(key, i))
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
 def train(texts: list[str], toxic: list[int], labelled: tuple[int, int] | None = None) -> Scorer:
     """Fit on labelled texts; without both labels, or without a significant token, the score is a constant.
 
@@ -381,30 +443,48 @@ def train(texts: list[str], toxic: list[int], labelled: tuple[int, int] | None =
     weight = np.where(y > 0, all1 / max(1, n1), all0 / max(1, n0)) * (len(y) / max(1, all0 + all1))
     share = (n1 + 0.5) / (len(y) + 1) if len(y) else 0.25
     in1, in0 = Counter(), Counter()
-    for text, label in zip(texts, toxic):
-        (in1 if label else in0).update({normalise(c) for c in chunks_of(text)} - {""})
+    groups: dict[int, list[int]] = {}
+    for i, root in enumerate(copy_groups(texts)):
+        groups.setdefault(root, []).append(i)
+    for members in groups.values():
+        tokens = {normalise(c) for i in members for c in chunks_of(texts[i])} - {""}
+        (in1 if any(toxic[i] for i in members) else in0).update(tokens)
     gain = {}
     for w, a in in1.items():
         p = a / (a + in0[w])
         if n0 and p > share:
             gain[w] = a * np.log(p / share) + (in0[w] * np.log((1 - p) / (1 - share)) if in0[w] else 0.0)
-    ranked = sorted((w for w, g in gain.items() if g > SIGNIFICANT), key=lambda w: (-gain[w], w))
+    least = np.log(max(1, len(in1.keys() | in0.keys())) / CHANCE)
+    ranked = sorted((w for w, g in gain.items() if g > least), key=lambda w: (-gain[w], w))
     marks = spread_out(ranked[:1000], LANDMARKS)
     land = Landmarks(marks)
     if not marks:
         prior = (all1 + 0.5) / (all0 + all1 + 1) if len(y) else share
-        return Scorer(land, np.zeros(4), 0.0, 0.0, float(np.log(prior / (1 - prior))))
+        return Scorer(land, np.zeros(5), 0.0, 0.0, float(np.log(prior / (1 - prior))))
     k_mm = land.kernel(marks).astype(float)
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
     root = vectors @ np.diag(np.clip(values, 0.05, None) ** -0.5) @ vectors.T
     block = np.eye(len(marks) + 1)
     block[:-1, :-1] = root
-    both = np.kron(np.eye(2), block)
+    both = np.eye(2 * len(block) + 1)
+    both[:-1, :-1] = np.kron(np.eye(2), block)
     scorer = Scorer(land, np.zeros(len(both)), 0.0)
-    x = np.concatenate([scorer.features(texts[a:a + 256]) for a in range(0, len(texts), 256)])
-    w, scorer.bias = svm(x @ both, np.where(y > 0, 1.0, -1.0), weight)
-    scorer.weights = both @ w
-    scorer.slope, scorer.offset = logistic(x @ scorer.weights + scorer.bias, y, weight)
+    found = [scorer.features(texts[a:a + 256]) for a in range(0, len(texts), 256)]
+    x = np.concatenate([f[0] for f in found])
+    starts = np.concatenate([f[1] + sum(len(g[0]) for g in found[:i]) for i, f in enumerate(found)])
+    ends = np.append(starts[1:], len(x))
+    sign = np.where(y > 0, 1.0, -1.0)
+    decision = x[:, len(marks)]  # at first the passage with most evidence
+    seen: dict[tuple[int, int], None] = {}
+    for _ in range(CHOICES):
+        worst = [int(a + decision[a:b].argmax()) for a, b in zip(starts, ends)]
+        seen.update(((i, w), None) for i, w in enumerate(worst) if y[i] == 0)  # a clean text is clean in every passage
+        used = sorted([*seen, *((i, w) for i, w in enumerate(worst) if y[i] > 0)])
+        doc, at = np.array([u[0] for u in used]), np.array([u[1] for u in used])
+        w, scorer.bias = svm(x[at] @ both, sign[doc], weight[doc] / np.bincount(doc, minlength=len(y))[doc])
+        scorer.weights = both @ w
+        decision = x @ scorer.weights + scorer.bias
+    scorer.slope, scorer.offset = logistic(np.maximum.reduceat(decision, starts), y, weight)
     scorer._clear()
     return scorer
 

@@ -307,7 +307,7 @@ def test_toxicity_gapped_and_split_spellings():
     assert (p[:-1] > 0.5).all() and p[-1] < 0.5
     seen = model.landmarks.kernel(["ixdxixoxt"])
     assert seen.max() == pytest.approx(toxicity.DECAY ** 4)
-    apart, near = model.features(["The house is mo. Ron lives here", "The house is mo Ron lives here"])
+    (apart, near), _ = model.features(["The house is mo. Ron lives here", "The house is mo Ron lives here"])
     assert apart.sum() < near.sum()  # a window ends with its sentence
 
 
