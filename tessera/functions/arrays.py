@@ -59,21 +59,28 @@ def reverse(a: Column | str) -> Column:
     return F.reverse(_c(a))
 
 
+def _row_numbers(a: Column, n_cols: int) -> Column:
+    """0, 1, ... for each row of a row-major array; sizes that ``n_cols`` does not divide raise."""
+    if n_cols < 1:
+        raise ValueError(f"cannot reshape into rows of {n_cols}")
+    size = F.size(a)
+    uneven = F.raise_error(F.concat(F.lit("cannot reshape array of size "), size, F.lit(f" into rows of {n_cols}")))
+    n_rows = F.when(size % n_cols == 0, F.floor(size / n_cols).cast("int")).otherwise(uneven.cast("int"))
+    return F.slice(F.sequence(F.lit(0), n_rows), 1, n_rows)
+
+
 def reshape(a: Column | str, n_cols: int) -> Column:
-    """1-D array to rows of ``n_cols`` (row-major), e.g. pixels x channels."""
+    """1-D array to rows of ``n_cols`` (row-major), e.g. pixels x channels; no rows for an empty array."""
     a = _c(a)
-    n_rows = F.floor(F.size(a) / n_cols).cast("int")
-    return F.transform(F.sequence(F.lit(0), n_rows - 1),
-                       lambda i: F.slice(a, i * n_cols + 1, n_cols))
+    return F.transform(_row_numbers(a, n_cols), lambda i: F.slice(a, i * n_cols + 1, n_cols))
 
 
 def axis_mean(a: Column | str, n_cols: int) -> Column:
     """Mean over the last axis of a row-major (rows x n_cols) array, e.g. the
-    grey level of every pixel from its channels."""
+    grey level of every pixel from its channels; empty for an empty array."""
     a = _c(a)
-    n_rows = F.floor(F.size(a) / n_cols).cast("int")
     return F.transform(
-        F.sequence(F.lit(0), n_rows - 1),
+        _row_numbers(a, n_cols),
         lambda i: F.aggregate(F.slice(a, i * n_cols + 1, n_cols), F.lit(0.0),
                               lambda acc, x: acc + x.cast("double")) / F.lit(float(n_cols)))
 
@@ -99,7 +106,9 @@ def arange(start: Column | int, stop: Column | int, step: int = 1) -> Column:
 
 def float_grid(n: int, step_num: int, step_den: int) -> Column:
     """``k * step_num / step_den`` for k in 0..n-1 as doubles: never accumulated,
-    so every point equals its closed form (``np.arange(0, x, 0.02)``)."""
+    so every point equals its closed form (``np.arange(0, x, 0.02)``); none for n <= 0."""
+    if n <= 0:
+        return F.array().cast("array<double>")
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                        lambda k: (k * step_num) / F.lit(float(step_den)))
 

@@ -90,3 +90,17 @@ def test_randint_range_and_reproducible(spark):
     b = spark.range(0, 3000, numPartitions=1).select(arrays.randint(F.col("id"), 5, 9, 1).alias("r"))
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert {r[0] for r in a.collect()} == {5, 6, 7, 8}
+
+
+def test_empty_and_uneven_arrays(spark):
+    df = spark.createDataFrame([([],), ([1.0, 2.0, 3.0, 4.0],), (None,)], "a array<double>")
+    got = df.select(arrays.axis_mean("a", 2).alias("m"), arrays.reshape("a", 2).alias("r")).collect()
+    assert [list(r) for r in got] == [[[], []], [[1.5, 3.5], [[1.0, 2.0], [3.0, 4.0]]], [None, None]]
+    uneven = spark.createDataFrame([([1.0] * 5,)], "a array<double>")
+    for f in (arrays.axis_mean, arrays.reshape):
+        with pytest.raises(Exception, match="cannot reshape array of size 5 into rows of 4"):
+            uneven.select(f("a", 4)).collect()
+        with pytest.raises(ValueError):
+            f("a", 0)
+    empty = spark.range(1).select(arrays.float_grid(0, 2, 100).alias("g"), arrays.float_grid(-1, 2, 100).alias("h")).first()
+    assert list(empty) == [[], []]

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -159,3 +160,46 @@ def test_row_index_dense_and_in_order(spark):
     # positions follow the frame's order: v increases with the index here
     by_idx = [r["v"] for r in sorted(got, key=lambda r: r["i"])]
     assert by_idx == sorted(by_idx)
+
+
+@pytest.mark.parametrize("values", [
+    [1.0, 2.0, math.inf], [-math.inf, 1.0, 2.0], [-math.inf, math.inf], [math.inf, math.inf, 1.0], [math.inf],
+    [-math.inf, -math.inf, 3.0, 4.0, 5.0], [1.0, 2.0, 3.0, 4.0, math.inf, math.inf, math.inf, math.nan],
+    [7.5], [math.nan, math.nan], [-0.0, 0.0, 1e308, -1e308, 5e-324]])
+def test_describe_of_infinities_equals_pandas(spark, values):
+    got = profile.describe(spark.createDataFrame([(v,) for v in values], "x double")).first()
+    with np.errstate(all="ignore"):
+        want = pd.Series(values, dtype=float).describe()
+    for name, at in (("count", "count"), ("mean", "mean"), ("min", "min"), ("p25", "25%"), ("p50", "50%"),
+                     ("p75", "75%"), ("max", "max")):
+        a, b = got[name], want[at]
+        assert (a is None or math.isnan(a)) if math.isnan(b) else a == pytest.approx(b, abs=1e-4)
+
+
+def test_describe_of_keys_beyond_doubles_and_of_narrowed_brackets(spark, monkeypatch):
+    big = spark.range(3001).select((F.col("id") + (1 << 60)).alias("k"), (F.col("id") % 7).alias("few"),
+                                   F.when(F.col("id") % 3 == 0, 1.5).otherwise(F.col("id") / 8).alias("hot"),
+                                   F.when(F.col("id") % 5 == 0, float("inf")).otherwise(-F.col("id").cast("double")).alias("x"))
+    pdf = big.toPandas()
+    qs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
+    names = pdf.columns.tolist()
+    bounds = [(float(pdf[c].min()), float(pdf[c].max())) for c in names]
+    want = [[float(x) for x in pdf[c].quantile(list(qs))] for c in names]
+    for most, grid in ((10_000, 2_000), (100, 2_000), (1, 50)):  # values collected at once; brackets narrowed by sketches
+        monkeypatch.setattr(profile, "MOST", most)
+        monkeypatch.setattr(profile, "GRID", grid)
+        got = profile.exact_quantiles(big, names, bounds, [3001] * 4, qs)
+        for c, a, b in zip(names, got, want):
+            assert np.allclose(a, b, rtol=1e-15, atol=0, equal_nan=True), (most, c, a, b)
+
+
+def test_describe_scans_the_table_twice(spark):
+    df = spark.range(50_000).select(F.col("id"), F.rand(3).alias("x"), (F.col("id") % 50).alias("q"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("describe-scans", "describe")
+    try:
+        first = profile.describe(df)
+        assert len(tracker.getJobIdsForGroup("describe-scans")) <= 4  # two scans, each a map and a merge job at most
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert first.count() == 3
