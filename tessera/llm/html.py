@@ -186,7 +186,7 @@ def blocks(page: str) -> list[tuple[str, Block]]:
             continue
         if name not in INLINE and name not in ("img", "wbr") and not hidden:
             current = None
-        if name not in INSIDE_P and open_count.get("p"):
+        if name not in INSIDE_P and not hidden and open_count.get("p"):
             close_to("p")
         for other in CLOSES.get(name, ()):
             if open_count.get(other):
