@@ -330,33 +330,33 @@ class Scorer:
         another thing than chance likenesses that add up to as much.
         """
         lists = [t.split() for t in texts]
-        need = set().union(*lists, *(spaced_words(t, chunks) for t, chunks in zip(texts, lists)))
+        joined = [spaced_words(t, chunks) for t, chunks in zip(texts, lists)]
+        need = set().union(*lists, *joined)
         missing = need.difference(self.cache)
         if missing and len(self.cache) + len(missing) > CACHE_TOKENS:
             self._clear()
             missing = need
         self._learn(sorted(missing))
-        first, rows, spaced = [], [], []
-        for text, chunks in zip(texts, lists):
+        first, rows, more = [], [], []  # more: (passage, row of evidence) of joined words
+        for chunks, runs in zip(lists, joined):
             places = np.fromiter(map(self.cache.__getitem__, chunks), np.int64, len(chunks))
             first.append(len(rows))
-            runs = spaced_words(text, chunks) != []
             for start, end in self.passages(places):
+                if runs:
+                    part = chunks[start:end]
+                    more += [(len(rows), self.row[self.cache[w]]) for w in spaced_words(" ".join(part), part)
+                             if w in self.cache]
                 rows.append(places[start:end])
-                part = chunks[start:end] if runs else []
-                spaced.append([w for w in spaced_words(" ".join(part), part) if w in self.cache])
+        sizes = np.array([len(r) for r in rows], dtype=np.int64)
+        evidence = self.row[np.concatenate([np.zeros(0, np.int64), *rows])]
+        hit = np.flatnonzero(evidence)
+        owner = np.append(np.repeat(np.arange(len(rows)), sizes)[hit], np.array([m[0] for m in more], dtype=np.int64))
+        near = self.values[np.append(evidence[hit], np.array([m[1] for m in more], dtype=np.int64))]
         total = np.zeros((len(rows), self.values.shape[1]))
         strongest = np.zeros(len(rows))
-        words = np.full((len(rows), 1), float(LEAST_WORDS))
-        for i, (places, more) in enumerate(zip(rows, spaced)):
-            at = self.row[places]
-            if more:
-                at = np.append(at, self.row[[self.cache[c] for c in more]])
-            if len(at):
-                near = self.values[at[at > 0]]
-                total[i] = near.sum(axis=0)
-                strongest[i] = near[:, -1].max(initial=0.0)
-                words[i] = max(LEAST_WORDS, len(at))
+        np.add.at(total, owner, near)
+        np.maximum.at(strongest, owner, near[:, -1])
+        words = np.maximum(sizes, LEAST_WORDS)[:, None]
         self._gapped(rows, total, strongest)
         return (np.concatenate([np.minimum(total, MOST), np.minimum(RATE * total / words, 2 * MOST),
                                 MOST * strongest[:, None] ** 2], axis=1), np.array(first, dtype=np.int64))
