@@ -114,9 +114,9 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
     """``pd.read_json``.
 
     * ``columns`` (the reference's default layout): each file holds
-      ``{"col": {"<row>": value, ...}, ...}``.  Files are parsed in parallel,
-      cells exploded to (row, col, value) and pivoted back on the row index
-      (rows ordered by index within a file; files may be many parts).
+      ``{"col": {"<row>": value, ...}, ...}``.  Files are parsed in parallel;
+      a file's rows are rebuilt by its own task, without a shuffle (files may
+      be many parts).
     * ``records``: a JSON array of objects per file.
     * ``lines``: one object per line.
     """
@@ -130,19 +130,45 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
     files = spark.read.text(path, wholetext=True)
     parsed = files.select(F.col("_metadata.file_path").alias("__file"),
                           F.from_json("value", "map<string,map<string,string>>").alias("m"))
-    cols = parsed.select("__file", F.posexplode("m").alias("pos", "col", "cells"))
-    cells = cols.select("__file", "col", F.explode("cells").alias("idx", "v"))
     if schema is not None:
         names = [f.name for f in schema.fields]
     else:
         # column order as written (first position seen); one row per column
+        cols = parsed.select(F.posexplode(F.map_keys("m")).alias("pos", "col"))
         order = cols.groupBy("col").agg(F.min("pos").alias("pos")).collect()
         names = [r["col"] for r in sorted(order, key=lambda r: (r["pos"], r["col"]))]
-    # the row index of one file says nothing about the rows of another
-    wide = (cells.groupBy("__file", F.col("idx").cast("long").alias("__idx"))
-            .pivot("col", names).agg(F.first("v")))
-    text = wide.select(*[_c(n) for n in names])
-    return typed(text, schema, ())  # only JSON null is missing
+    return typed(_rows_of_columns(parsed, names), schema, ())  # only JSON null is missing
+
+
+def _rows_of_columns(parsed: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of (__file, m: column -> row key -> value), rebuilt by the task that holds the file.
+
+    Where all columns of a file list the same row keys in the same order, as
+    writers do, their values are zipped by position.  The cells of a file whose
+    columns differ are looked up by the key, for all keys that any column has.
+    Either way a row index says nothing about the rows of another file, and
+    nothing is shuffled.
+    """
+    if not names:
+        return parsed.select().where(F.lit(False))
+    cells = F.array(*[F.element_at("m", F.lit(n)) for n in names])
+    keyed = parsed.select("m", F.filter(cells, lambda c: c.isNotNull()).alias("cells"))
+    keyed = keyed.withColumn("keys", F.map_keys(F.get("cells", F.lit(0))))
+    keyed = keyed.withColumn("aligned", F.forall("cells", lambda c: F.map_keys(c) == F.col("keys")))
+    every = F.array_sort(F.array_distinct(F.flatten(F.transform("cells", F.map_keys))),
+                         lambda x, y: F.when(x.cast("long") < y.cast("long"), -1)
+                         .when(x.cast("long") > y.cast("long"), 1).otherwise(0))
+    keyed = keyed.withColumn("keys", F.when(F.col("aligned"), F.col("keys")).otherwise(every))
+
+    def values(name: str) -> Column:
+        cell = F.element_at("m", F.lit(name))
+        by_key = F.transform("keys", lambda k: F.element_at(cell, k))
+        nothing = F.transform("keys", lambda k: F.lit(None).cast("string"))
+        return F.when(cell.isNull(), nothing).when(F.col("aligned"), F.map_values(cell)).otherwise(by_key)
+
+    fields = [f"c{i}" for i in range(len(names))]
+    rows = keyed.select(F.explode(F.arrays_zip(*[values(n).alias(f) for n, f in zip(names, fields)])).alias("r"))
+    return rows.select(*[F.col("r")[f].alias(n) for n, f in zip(names, fields)])
 
 
 def write_json(df: DataFrame, path: str, orient: str = "lines",

@@ -1,4 +1,5 @@
 """CSV / JSON reading rules, safe rewrite of the file that was read."""
+import json
 import os
 
 import pandas as pd
@@ -256,3 +257,26 @@ def test_json_keeps_nullable_integers_and_null_columns(spark, tmp_path):
     assert {r["s"]: r["n"] for r in back} == {"x": 9007199254740993, "y": None}
     path = tt.write_json(frame, str(tmp_path / "l"))
     assert "e" in spark.read.json(path).columns
+
+
+def test_json_columns_are_zipped_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "columns")
+    os.makedirs(path)
+    aligned = {"b": {"0": 1, "1": None, "2": 3}, "a x": {"0": "p", "1": "q", "2": None}}
+    ragged = {"b": {"0": 7, "10": 9}, "a x": {"2": "r", "0": "s"}}
+    for name, table in (("1.json", aligned), ("2.json", ragged), ("3.json", {"b": {"5": 11}}), ("4.json", {})):
+        with open(os.path.join(path, name), "w") as f:
+            json.dump(table, f)
+    df = tt.read_json(spark, path)
+    assert df.columns == ["b", "a x"] and dict(df.dtypes)["b"] == "bigint"
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == sorted([(1, "p"), (None, "q"), (3, None), (7, "s"), (None, "r"), (9, None), (11, None)], key=str)
+
+
+def test_ragged_json_columns_come_in_key_order(spark, tmp_path):
+    path = str(tmp_path / "one")
+    os.makedirs(path)
+    with open(os.path.join(path, "x.json"), "w") as f:
+        json.dump({"u": {"10": 1, "2": 2}, "v": {"1": 3, "10": 4}}, f)
+    assert [tuple(r) for r in tt.read_json(spark, path).collect()] == [(None, 3), (2, None), (1, 4)]
