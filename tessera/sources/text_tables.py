@@ -7,8 +7,8 @@ schema — the one given, or one inferred in a single aggregate pass
 included, stays STRING).  Writing: header, no index, staged swap.
 
 With ``multiline`` (the default, needed for quoted newlines) Spark reads each
-file in one task, so large inputs should be folders of many files — which is
-what our writers produce.
+file in one task, which suits folders of many files, as our writers produce
+them; ``multiline="split"`` reads one large file in many tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources import csv_records
 from tessera.sources.staging import staged_write
 
 # The missing-value spellings of the reference's CSV reader.
@@ -88,9 +89,15 @@ def typed(df: DataFrame, schema: T.StructType | None, na_values: Sequence[str])
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
-             na_values: Sequence[str] = NA_VALUES, multiline: bool = True,
+             na_values: Sequence[str] = NA_VALUES, multiline: bool | str = True,
              sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """``pd.read_csv``: header row, quoted fields, NA spellings, inferred or given types."""
+    """``pd.read_csv``: header row, quoted fields, NA spellings, inferred or given types.
+
+    ``multiline="split"`` reads large files with quoted line breaks in many
+    tasks each (UTF-8 files whose quotes are all balanced, see ``csv_records``).
+    """
+    if multiline == "split":
+        return typed(csv_records.read_text_columns(spark, path, sep), schema, na_values)
     raw = (spark.read.option("header", True).option("multiLine", multiline)
            .option("escape", '"').option("quote", '"').option("sep", sep)
            .option("encoding", encoding).option("inferSchema", False)

@@ -3,6 +3,7 @@ import json
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import types as T
 
 from tessera.session import local_path, scratch_dir
@@ -280,3 +281,32 @@ def test_ragged_json_columns_come_in_key_order(spark, tmp_path):
     with open(os.path.join(path, "x.json"), "w") as f:
         json.dump({"u": {"10": 1, "2": 2}, "v": {"1": 3, "10": 4}}, f)
     assert [tuple(r) for r in tt.read_json(spark, path).collect()] == [(None, 3), (2, None), (1, 4)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_with_line_breaks_across_split_borders(spark, tmp_path, end):
+    import random
+    r = random.Random(4)
+    parts = ['say ""hi""', "a, b", "line\nbreak", "two" + end + "lines", "\n\n", "plain", "é\nü" * 40, "x" * 300, 'q""\n""q']
+    for name, rows in (("one.csv", 400), ("two.csv", 3)):
+        with open(tmp_path / name, "w", newline="") as f:
+            f.write(f'id,"text{end}of row",n{end}')
+            for i in range(rows):
+                f.write(f'{i},"{"".join(r.choice(parts) for _ in range(r.randrange(4)))}",{r.choice(["", "NA", "7"])}{end}')
+    pdf = pd.concat([pd.read_csv(tmp_path / n) for n in ("one.csv", "two.csv")])
+    name = pdf.columns[1]
+    want = sorted(((int(i), None if pd.isna(t) else t, None if pd.isna(n) else 7)
+                   for i, t, n in zip(pdf["id"], pdf[name], pdf["n"])), key=str)
+    if end == "\n":  # the reader of whole files says the same
+        assert sorted((tuple(x) for x in tt.read_csv(spark, str(tmp_path)).collect()), key=str) == want
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("997b", "311b", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = tt.read_csv(spark, str(tmp_path), multiline="split")
+            assert got.dtypes == [("id", "bigint"), (name, "string"), ("n", "bigint")]
+            assert sorted((tuple(x) for x in got.collect()), key=str) == want
+            if size == "997b":
+                assert got.rdd.getNumPartitions() > 20  # many tasks a file
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
