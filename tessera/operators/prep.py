@@ -142,25 +142,26 @@ def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int
 def one_hot_vector(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
     """Drop-first one-hot of a wide string column as a sparse vector.
 
-    For columns with too many categories for boolean columns: Spark's
-    ``StringIndexer`` (labels in descending order, NULL kept as an extra
-    index) and ``OneHotEncoder`` (no category dropped), then ``VectorSlicer``
-    keeps every category but the alphabetically first, in ascending order —
-    the same dimensions as ``get_dummies(drop_first=True)``, NULL all zeros.
+    For columns with too many categories for boolean columns: the distinct
+    values are ranked by ``ordered_index`` and joined back as an ordinal, so
+    nothing per value reaches the driver or the plan.  The dimensions are those
+    of ``get_dummies(drop_first=True)``: every category but the alphabetically
+    first, in ascending order; the first and NULL are all zeros (they share the
+    last ordinal, which the encoder drops).
     """
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
+    from pyspark.ml.feature import OneHotEncoder
+    from pyspark.ml.functions import array_to_vector
     out = output or f"{column}_vec"
-    idx = StringIndexer(inputCol=column, outputCol="__idx", stringOrderType="alphabetDesc",
-                        handleInvalid="keep").fit(df)
-    k = len(idx.labels)
-    enc = OneHotEncoder(inputCols=["__idx"], outputCols=["__oh"], dropLast=False,
-                        handleInvalid="keep").fit(idx.transform(df))
-    coded = enc.transform(idx.transform(df))
-    # index k-1 is the alphabetically first label, index k the NULL slot
-    keep = list(range(k - 2, -1, -1))
-    if not keep:  # one category: no dimension is left after dropping it
-        from pyspark.ml.functions import array_to_vector
-        return coded.drop("__idx", "__oh").withColumn(
-            out, array_to_vector(F.array().cast("array<double>")))
-    sliced = VectorSlicer(inputCol="__oh", outputCol=out, indices=keep).transform(coded)
-    return sliced.drop("__idx", "__oh")
+    values = df.select(col(column).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    ranked = ordered.ordered_index(values, ["__v"]).select("__v", "__rank", "tot_rows").checkpoint(eager=True)
+    top = ranked.select("tot_rows").first()
+    k = top["tot_rows"] if top else 0
+    if k < 2:  # no dimension is left after dropping the first category
+        return df.withColumn(out, array_to_vector(F.array().cast("array<double>")))
+    joined = df.join(ranked.drop("tot_rows"), col(column) == F.col("__v"), "left")
+    place = F.when(F.col("__rank") > 1, F.col("__rank") - 2).otherwise(k - 1)
+    coded = joined.withColumn("__place", place.cast("double"))
+    # the size is that of the dictionary, whatever rows are encoded
+    sizes = ranked.select((F.col("__rank") - 1).cast("double").alias("__place"))
+    encoder = OneHotEncoder(inputCols=["__place"], outputCols=[out], dropLast=True).fit(sizes)
+    return encoder.transform(coded).select(*[col(c) for c in df.columns], col(out))

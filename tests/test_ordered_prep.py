@@ -203,3 +203,18 @@ def test_describe_scans_the_table_twice(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert first.count() == 3
+
+
+def test_one_hot_vector_of_a_wide_column(spark):
+    df = spark.range(6_000).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("v"), F.col("id") % 2_500)).alias("g"))
+    got = prep.one_hot_vector(df, "g").collect()
+    values = sorted({r["g"] for r in got if r["g"] is not None})
+    place = {v: i - 1 for i, v in enumerate(values)}
+    assert len(got) == 6_000
+    for r in got:
+        want = [place[r["g"]]] if r["g"] is not None and place[r["g"]] >= 0 else []
+        assert r["g_vec"].size == len(values) - 1 and r["g_vec"].indices.tolist() == want
+    one = spark.createDataFrame([("a", 1), (None, 2)], "g string, x int")
+    assert [r["g_vec"].size for r in prep.one_hot_vector(one, "g").collect()] == [0, 0]
+    none = spark.createDataFrame([(None, 2)], "g string, x int")
+    assert prep.one_hot_vector(none, "g").first()["g_vec"].size == 0
