@@ -148,6 +148,19 @@ def ml_stump_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(models.predict(m, s["test"]))
 
 
+@register("ml_linear", _PARTS_SQL + """,
+line as (select regr_slope(poor, symbol_pct) as slope, regr_intercept(poor, symbol_pct) as start
+         from parts where part = 'train')
+select doc_id, cast(poor as double) as label, round(start + slope * symbol_pct, 6) + 0.0 as prediction
+from parts cross join line where part = 'test'""")
+def ml_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear regression on one feature (normal equation): the prediction of every test row."""
+    feats = fx.text_features(spark, sf_dir).select(KEY, "symbol_pct", TARGET)
+    s = models.prepared_splits(feats, KEY, TARGET, seed=SEED)
+    m = models.ESTIMATORS["LinearRegression"](solver="normal").fit(s["train"])
+    return m.transform(s["test"]).select(KEY, "label", (F.round("prediction", 6) + 0.0).alias("prediction"))
+
+
 # ------------------------------------------------------------ trees, forests --
 
 @register("ml_tree_regressor")
