@@ -65,7 +65,7 @@ def _row_numbers(a: Column, n_cols: int) -> Column:
         raise ValueError(f"cannot reshape into rows of {n_cols}")
     size = F.size(a)
     uneven = F.raise_error(F.concat(F.lit("cannot reshape array of size "), size, F.lit(f" into rows of {n_cols}")))
-    n_rows = F.when(size % n_cols == 0, F.floor(size / n_cols).cast("int")).otherwise(uneven.cast("int"))
+    n_rows = F.when(size % n_cols != 0, uneven.cast("int")).otherwise(F.floor(size / n_cols).cast("int"))
     return F.slice(F.sequence(F.lit(0), n_rows), 1, n_rows)
 
 
