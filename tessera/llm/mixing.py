@@ -239,16 +239,18 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     got = materialize(mixed(docs, **options).where("whole > 0 or extra > 0").select(
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"),
         "repeats", "whole", "extra"), "mix-copies")
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
-    match = (marked["doc_id"].eqNullSafe(got["__id"]) & marked["source"].eqNullSafe(got["__source"])
+    # own names for all columns: those of ``docs`` may be anything
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    marked = docs.toDF(*at.values()).withColumn("__hash", F.xxhash64(at["text"]))
+    match = (marked[at["doc_id"]].eqNullSafe(got["__id"]) & marked[at["source"]].eqNullSafe(got["__source"])
              & (marked["__hash"] == got["__mark"]))
 
     def taken(rows: DataFrame, times: Column) -> DataFrame:
-        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select(
-            *[f"__doc.{c}" for c in docs.columns])
+        copied = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+        return copied.select("__doc.*").toDF(*docs.columns)
 
     joined = marked.join(got, match).select(
-        F.struct(*[marked[c] for c in docs.columns]).alias("__doc"), "__id", "__source", "__mark",
+        F.struct(*at.values()).alias("__doc"), "__id", "__source", "__mark",
         F.col("repeats").alias("__repeats"), F.col("whole").alias("__whole"), F.col("extra").alias("__extra"))
     single = taken(joined.where("__repeats = 1"), F.col("__whole") + F.col("__extra"))
     if got.where("repeats > 1").isEmpty():

@@ -342,7 +342,7 @@ def with_ranks(cut: DataFrame) -> DataFrame:
     dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     counts = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before")
-    own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")
+    own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
     return dealt.withColumn("own", F.row_number().over(own) - 1).join(
         counts.select("length", "bucket", before), ["length", "bucket"]).withColumn(
         "rank", F.col("own") + F.col("before")).drop("own", "before", "bucket")

@@ -236,11 +236,15 @@ def keep_representatives(docs: DataFrame, k: int = 3, max_bits: int = 2) -> Data
     roots = connected_components(links(reps, max_bits))
     first = reps.join(roots, reps["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("group")).agg(
         F.min(F.struct("rep.no_id", "rep.id", "fp", "rep.mark")).alias("first"))
-    wanted = materialize(first.select(F.col("first.id").alias("__id"), F.col("first.mark").alias("__wanted")),
+    wanted = materialize(first.select("first.no_id", F.coalesce("first.id", F.lit(0)).alias("known"), "first.mark"),
                          "simhash-first")
-    marked = docs.withColumn("__mark", F.xxhash64("text"))
-    match = marked["doc_id"].eqNullSafe(wanted["__id"]) & (marked["__mark"] == wanted["__wanted"])
-    return marked.join(wanted, match, "left_semi").dropDuplicates(["doc_id", "__mark"]).select(*docs.columns)
+    # own names for all columns: those of ``docs`` may be anything
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows, keys = docs.toDF(*at.values()), ["no_id", "known", "mark"]
+    rows = rows.select("*", F.col(at["doc_id"]).isNull().alias("no_id"),
+                       F.coalesce(at["doc_id"], F.lit(0)).alias("known"), F.xxhash64(at["text"]).alias("mark"))
+    # one shuffle of the documents: repeated rows are dropped on the keys they were joined by
+    return rows.join(wanted, keys, "left_semi").dropDuplicates(keys).select(*at.values()).toDF(*docs.columns)
 
 
 def fingerprint_hex(fp: str = "fp"):

@@ -232,4 +232,24 @@ def test_pipeline_against_its_operators(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     got = collections.Counter(r["doc_id"] for r in rows if r["piece"] == 0)
     assert got == {i: n for i, n in copies.items() if n}
+    # every piece of every copy, recomputed with the tokenizer alone
+    from tokenizers import Tokenizer
+
+    tokenizer, want = Tokenizer.from_file(VOCABULARY), collections.Counter()
+    for d in table("documents", SF_SMALL):
+        if copies.get(d["doc_id"]):
+            ids = np.array([*tokenizer.encode(d["text"] or "", add_special_tokens=False).ids, 1], dtype="<u4")
+            for p, at in enumerate(range(0, len(ids), 4096)):
+                part = ids[at:at + 4096]
+                want[d["doc_id"], p, at, len(part), zlib.crc32(part.tobytes())] = copies[d["doc_id"]]
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    sequences = collections.defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 4096
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "near_copies", "mixing", "packing"]

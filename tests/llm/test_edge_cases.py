@@ -90,6 +90,33 @@ def test_representatives_of_repeated_and_null_ids(spark):
     assert got == sorted([(1, a), (1, b), (None, c), (9, d)], key=str)
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["doc_id", "text", "lang", "source", "n_chars", "__mark", "__hash", "a.b", "mark", "known", "c0", "c7",
+             "__doc", "__copy", "__whole", "no_id", "repeats", "whole", "extra", "fp", "rep"]
+    cells = [(1, "one two three four", "en", "a", 18), (2, "one two three four", "en", "a", 18),
+             (3, "other words of another text", "en", "b", 27), (3, "other words of another text", "en", "b", 27),
+             (None, "a text without an id", "de", None, 20)]
+    rows = spark.createDataFrame([(*c, *[f"{n}-{c[0]}" for n in names[5:]]) for c in cells],
+                                 "doc_id long, text string, lang string, source string, n_chars int, "
+                                 + ", ".join(f"`{n}` string" for n in names[5:]))
+    for kept in (simhash.keep_representatives(rows), mixing.apply_mix(rows)):
+        assert kept.columns == names
+        got = [tuple(r) for r in kept.collect()]
+        assert got and set(got) <= {tuple(r) for r in rows.collect()}
+    reps = sorted((r["doc_id"] or -1) for r in simhash.keep_representatives(rows).collect())
+    assert reps == [-1, 1, 3]
+
+
+def test_representatives_shuffle_documents_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = simhash.keep_representatives(docs(spark, MIXED))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 2  # the documents and the wanted rows
+
+
 # --- top-k
 
 def brute_topk(rows, k=5):
