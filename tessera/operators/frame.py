@@ -86,16 +86,18 @@ def shape(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ joins --
 
 def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True,
-              suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+              suffixes: tuple[str, str] = ("_x", "_y"), also: str | None = None) -> DataFrame:
     """Left equi-join on one named key, with the reference's output shape.
 
     One key column comes out; other columns present on both sides get the
     suffixes.  Duplicate right keys multiply left rows.  With ``null_safe``
     (the default, as in the reference) a NULL key matches a NULL key
     (``<=>``; still an equi-join for Spark's hash and sort-merge joins).  Catalyst
-    picks the join by the sizes in bytes; AQE splits skewed partitions.
+    picks the join by the sizes in bytes; AQE splits skewed partitions
+    (``skew.left_join_hot`` deals out frequent keys by itself).  ``also`` names
+    a column of both sides that must be equal too and does not come out.
     """
-    overlap = (set(left.columns) & set(right.columns)) - {on}
+    overlap = (set(left.columns) & set(right.columns)) - {on, also}
     lsel = [col(c).alias(c + suffixes[0]) if c in overlap else col(c) for c in left.columns]
     rkey = f"__rkey_{on}"
     rsel = [col(on).alias(rkey)] + [
@@ -104,7 +106,9 @@ def left_join(left: DataFrame, right: DataFrame, on: str, null_safe: bool = True
     l2 = left.select(*lsel)
     r2 = right.select(*rsel)
     cond = l2[on].eqNullSafe(r2[rkey]) if null_safe else l2[on] == r2[rkey]
-    return l2.join(r2, cond, "left").drop(rkey)
+    if also is None:
+        return l2.join(r2, cond, "left").drop(rkey)
+    return l2.join(r2, cond & (l2[also] == r2[also]), "left").drop(l2[also], r2[also]).drop(rkey)
 
 
 # ------------------------------------------------------------- aggregates --

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import arrays, formatting
-from tessera.operators import frame, metrics, ordered, prep, profile
+from tessera.operators import frame, metrics, ordered, prep, profile, skew
 from tessera.plans import fixtures as fx
 from tessera.session import ensure_checkpoint_dir, scratch_dir, ship_package
 from tessera.sources import images, text_tables, workbooks
@@ -167,6 +167,34 @@ def cheapest_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ joins --
 
+@register("left_join_hot_source", """
+select d.doc_id, d.source, d.lang, d.n_chars as n_chars_x, s.n_docs, s.n_chars as n_chars_y
+from documents d left join (
+  select source, count(*) as n_docs, max(n_chars) as n_chars from documents group by source) s
+  on d.source is not distinct from s.source
+""")
+def left_join_hot_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents beside the figures of their source: frequent sources are dealt over several tasks."""
+    docs = fx.load(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars")
+    figures = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.max("n_chars").alias("n_chars"))
+    return skew.left_join_hot(docs, figures, "source")
+
+
+@register("left_join_hot_null", """
+with sales as (
+  select l_orderkey, l_linenumber, case when l_orderkey % 3 > 0 then l_partkey end as item_id,
+         l_extendedprice as price, l_discount as discount, l_quantity as quantity
+  from lineitem)
+select s.*, p_name, p_brand, p_type, p_size, p_retailprice
+from sales s left join part p on s.item_id is not distinct from p.p_partkey
+""")
+def left_join_hot_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sales.merge(products, how='left')`` where a third of the sales have no item."""
+    sold = fx.sales(spark, sf_dir)
+    known = F.when(F.col("l_orderkey") % 3 > 0, F.col("item_id"))
+    return skew.left_join_hot(sold.withColumn("item_id", known), fx.products(spark, sf_dir), "item_id")
+
+
 @register("left_join_products", SALES_SQL + """
 select s.*, p_name, p_brand, p_type, p_size, p_retailprice
 from sales s left join part p
@@ -584,6 +612,19 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_tables.read_csv(spark, path, schema=part.schema)
 
 
+@register("csv_versions", "select doc_id, lang, source, n_chars + 2 as n_chars from documents")
+def csv_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV folder rewritten twice from itself, each time as a new version: ``n_chars`` grows by one a rewrite."""
+    docs = fx.load(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
+    path = scratch_dir(spark, "csvversions")
+    text_tables.write_csv(docs, path, versioned=True)
+    for _ in range(2):
+        now = text_tables.read_csv(spark, path, schema=docs.schema)
+        grown = (F.col("n_chars") + 1).cast(docs.schema["n_chars"].dataType)
+        text_tables.write_csv(now.withColumn("n_chars", grown), path, versioned=True)
+    return text_tables.read_csv(spark, path, schema=docs.schema)
+
+
 @register("json_roundtrip", "select * from part")
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``to_json`` (lines) then ``read_json``: part survives unchanged."""

@@ -5,7 +5,7 @@ from ``p`` deletes the source before the job reads it, destroying the data.
 The reference rewrites the file it read (eager pandas), so our sinks always
 write a sibling staging folder first and replace the target only after the
 write has succeeded.  On HDFS the renames are atomic; on object stores the
-swap is a copy, so prefer a new versioned path there.
+swap is a copy: write versions of the folder there (``versions``).
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Reading: every field is read as text (quoted newlines and doubled quotes
 kept), the missing-value spellings become NULL, and the text is cast to a
 schema — the one given, or one inferred in a single aggregate pass
 (integers -> BIGINT, other numbers -> DOUBLE, everything else, dates
-included, stays STRING).  Writing: header, no index, staged swap.
+included, stays STRING).  Writing: header, no index, staged swap, or a new
+version of the folder (``versioned``, see ``versions``), which readers resolve.
 
 With ``multiline`` (the default, needed for quoted newlines) Spark reads each
 file in one task, which suits folders of many files, as our writers produce
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from tessera.sources import csv_records
 from tessera.sources.staging import staged_write
+from tessera.sources.versions import current, versioned_write
 
 # The missing-value spellings of the reference's CSV reader.
 NA_VALUES = (
@@ -96,6 +98,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     ``multiline="split"`` reads large files with quoted line breaks in many
     tasks each (UTF-8 files whose quotes are all balanced, see ``csv_records``).
     """
+    path = current(spark, path) if isinstance(path, str) else [current(spark, p) for p in path]
     if multiline == "split":
         return typed(csv_records.read_text_columns(spark, path, sep), schema, na_values)
     raw = (spark.read.option("header", True).option("multiLine", multiline)
@@ -105,7 +108,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return typed(raw, schema, na_values)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, versioned: bool = False) -> str:
     """``to_csv(path, index=False)``: a folder of part files with a header each
     (``single_file`` gathers them into one, for small outputs only)."""
     out = df.coalesce(1) if single_file else df
@@ -113,7 +116,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     def write(w, p):
         (w.option("header", True).option("escape", '"').option("quote", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(p))
-    return staged_write(out, path, write)
+    return (versioned_write if versioned else staged_write)(out, path, write)
 
 
 def read_json(spark: SparkSession, path: str, orient: str = "columns",
@@ -127,6 +130,7 @@ def read_json(spark: SparkSession, path: str, orient: str = "columns",
     * ``records``: a JSON array of objects per file.
     * ``lines``: one object per line.
     """
+    path = current(spark, path)
     if orient == "lines":
         return spark.read.schema(schema).json(path) if schema else spark.read.json(path)
     if orient == "records":
@@ -179,15 +183,16 @@ def _rows_of_columns(parsed: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str, orient: str = "lines",
-               double_precision: int = 10) -> str:
+               double_precision: int = 10, versioned: bool = False) -> str:
     """``to_json``.  ``lines``: one object per row.  ``columns`` (the
     reference's default layout): rows get a global 0-based index (partition
     offsets, no shuffle), then every batch writes its own
     ``{"col": {"<index>": value}}`` object with pandas inside the task, so the
     layout scales as a folder of parts.  ``double_precision`` is pandas' float
     digit count (its default, 10, rounds)."""
+    put = versioned_write if versioned else staged_write
     if orient == "lines":
-        return staged_write(df, path, lambda w, p: w.option("ignoreNullFields", False).json(p))
+        return put(df, path, lambda w, p: w.option("ignoreNullFields", False).json(p))
     if orient != "columns":
         raise ValueError(f"unknown orient {orient!r}")
     from tessera.operators import ordered
@@ -206,4 +211,4 @@ def write_json(df: DataFrame, path: str, orient: str = "lines",
                 text = pdf.to_json(orient="columns", double_precision=double_precision)
                 yield pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
     text = rows.mapInArrow(to_text, "value string")
-    return staged_write(text, path, lambda w, p: w.text(p))
+    return put(text, path, lambda w, p: w.text(p))

@@ -88,7 +88,9 @@ def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     out = []
     for _, el in ET.iterparse(io.BytesIO(z.read("xl/sharedStrings.xml"))):
         if el.tag == f"{_NS}si":
-            out.append("".join(t.text or "" for t in el.iter(f"{_NS}t")))
+            # plain text or runs of it; readings of East Asian text (rPh) are no part of the value
+            out.append(_decoded("".join(t.text or "" for path in (f"{_NS}t", f"{_NS}r/{_NS}t")
+                                        for t in el.findall(path))))
             el.clear()
     return out
 
@@ -126,17 +128,22 @@ def _date_text(serial: str, zero: dt.datetime) -> str | None:
 
 
 def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
-    """Yield (row_number, [cell text or None, ...], [is a date, ...]) of one workbook's sheet."""
+    """Yield (row_number, [cell text or None, ...], [is a date, ...]) of one workbook's sheet.
+
+    A row or cell without a reference follows the one before it.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         strings, dates, zero = _shared_strings(z), _date_styles(z), _day_zero(z)
         with z.open(_sheet_part(z, sheet_name)) as sheet:
+            number = 0
             for _, el in ET.iterparse(sheet):
                 if el.tag != f"{_NS}row":
                     continue
                 cells: dict[int, str | None] = {}
                 dated = set()
+                number, at = int(el.get("r", number + 1)), -1
                 for c in el.iter(f"{_NS}c"):
-                    at, t = column_index(c.get("r")), c.get("t", "n")
+                    at, t = column_index(c.get("r")) if c.get("r") else at + 1, c.get("t", "n")
                     if t == "inlineStr":
                         val = _decoded("".join(x.text or "" for x in c.iter(f"{_NS}t")))
                     else:
@@ -153,7 +160,7 @@ def sheet_rows(content: bytes, sheet_name: str | None = "Sheet1"):
                             dated.add(at)
                     cells[at] = val
                 width = max(cells) + 1 if cells else 0
-                yield int(el.get("r")), [cells.get(i) for i in range(width)], [i in dated for i in range(width)]
+                yield number, [cells.get(i) for i in range(width)], [i in dated for i in range(width)]
                 el.clear()
 
 

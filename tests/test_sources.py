@@ -123,6 +123,29 @@ def test_xlsx_reads_shared_strings_and_named_sheet(spark):
     assert sorted(map(tuple, df.collect())) == [("Alice", 3, True), ("Bob", None, False)]
 
 
+def test_xlsx_cells_without_references_and_phonetic_runs(spark):
+    import zipfile
+
+    from tessera.sources import workbooks
+    d = local_path(scratch_dir(spark, "wbr"))
+    os.makedirs(d)
+    path = os.path.join(d, "book.xlsx")
+    _shared_strings_workbook(path)
+    with zipfile.ZipFile(path) as z:
+        parts = {n: z.read(n).decode() for n in z.namelist()}
+    for place in ("A1", "B1", "C1", "A2", "B2", "C2", "A3"):      # C3 stays: its row has a gap
+        parts["xl/worksheets/sheet2.xml"] = parts["xl/worksheets/sheet2.xml"].replace(f' r="{place}"', "")
+    for row in "12":
+        parts["xl/worksheets/sheet2.xml"] = parts["xl/worksheets/sheet2.xml"].replace(f'<row r="{row}">', "<row>")
+    parts["xl/sharedStrings.xml"] = parts["xl/sharedStrings.xml"].replace(
+        "<si><t>Bob</t></si>", '<si><t>B_x000D_ob</t><rPh sb="0" eb="1"><t>bee</t></rPh></si>')
+    with zipfile.ZipFile(path, "w") as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    got = sorted(map(tuple, workbooks.read_xlsx(spark, d, sheet_name="Sheet1").collect()))
+    assert got == [("Alice", 3, True), ("B\rob", None, False)]
+
+
 def test_xlsx_write_splits_large_partitions(spark):
     from tessera.sources import workbooks
     df = spark.range(0, 25).selectExpr("id", "cast(id as string) as s", "id % 2 = 0 as even")
