@@ -4,7 +4,11 @@ Vectors are dealt to blocks in order of falling length.  Queries, in blocks of
 their own, first meet the longest block, which gives each a lower bound for its
 k-th best score.  By Cauchy-Schwarz a query need not meet a block whose longest
 vector cannot reach that bound, and blocks after it are shorter still; so each
-query block is paired only with a prefix of the blocks.  Inside a pair, sums
+query block is paired only with a prefix of the blocks.  The prefix is met in
+rounds of growing length; after each, the k-th best scores so far raise the
+bounds and shorten the prefixes.  A round is dealt in tiles of neighbouring
+query blocks and blocks, so that both are shipped once a tile, not once a pair.
+Inside a pair, sums
 over the leading axes of an SVD rotation plus the product of the residual
 lengths bound every score; candidates that no query can use are dropped axis
 group by axis group, and the rest is scored exactly in whole numbers.
@@ -25,6 +29,10 @@ from tessera.llm.common import materialize
 BLOCK_ROWS, QUERY_ROWS = 4_096, 512
 #: Blocks whose longest vector the driver knows, at most (for the prefix that a query block meets).
 STEPS = 1_024
+#: Tiles along the blocks of either side, at least (as far as there are blocks), and blocks in a side of a tile, at most.
+LEAST_TILES, MOST_IN_TILE = 64, 64
+#: Tiles along the blocks in the first round, and by how much a round is longer than the one before.
+FIRST_TILES, GROWTH = 8, 4
 #: Part of the axes after which candidates are dropped.
 AXIS_PARTS = (0.25, 0.5)
 
@@ -98,6 +106,18 @@ def _rotation(rows: DataFrame, dim: int) -> np.ndarray:
     return np.linalg.eigh(g.reshape(dim, dim))[1][:, ::-1]
 
 
+#: A block of queries: its first id (a name), its part, the last part it meets, its rows and their bounds.
+QUERY_BLOCK = "block long, q_part long, last long, q_ids binary, q_data binary, least binary"
+
+
+def _query_block(part: int, last: int, ids_raw: bytes, data_raw: bytes, least: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(np.frombuffer(ids_raw, "<i8", 1)[0])]), pa.array([part], pa.int64()), pa.array([last], pa.int64()),
+         pa.array([ids_raw], pa.binary()), pa.array([data_raw], pa.binary()),
+         pa.array([least.astype("<f8").tobytes()], pa.binary())],
+        names=["block", "q_part", "last", "q_ids", "q_data", "least"])
+
+
 def _raw(data: np.ndarray) -> bytes:
     """A whole-number matrix in the least of 16, 32 and 64 bits that holds it."""
     most = int(np.abs(data).max(initial=0))
@@ -196,9 +216,17 @@ def top_inner_products(vectors: DataFrame, queries, k: int = 5, id_col: str = "v
     known_part = np.array([p for p, _ in known], dtype=np.int64)
     known_longest = np.array([n for _, n in known], dtype=float)
 
+    def last_met(q: np.ndarray, least: np.ndarray) -> int:
+        """The last part in which some of the queries could reach its bound."""
+        norms = np.sqrt((q.astype(float) ** 2).sum(axis=1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            reach = np.where(least > 0, least / norms, 0.0).min() * (1 - 1e-9)
+        far = np.flatnonzero(known_longest >= reach)
+        return min(int(known_part[far[-1]] + step - 1), n_parts - 1) if len(far) else 0
+
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ids_raw, data_raw in zip(b.column("ids").to_pylist(), b.column("data").to_pylist()):
+            for part, ids_raw, data_raw in zip(*(b.column(n).to_pylist() for n in ("part", "ids", "data"))):
                 q_ids, q = _read(ids_raw, data_raw, dim)
                 least = np.full(len(q), -np.inf)
                 row, _, score = best_of_block(q_ids, q, least, *head, axes, k)
@@ -206,35 +234,57 @@ def top_inner_products(vectors: DataFrame, queries, k: int = 5, id_col: str = "v
                 low = np.full(len(q), np.inf)
                 np.minimum.at(low, row, score)
                 least[counts >= k] = low[counts >= k]
-                norms = np.sqrt((q.astype(float) ** 2).sum(axis=1))
-                # a block is met if some query could reach its bound there
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    reach = np.where(least > 0, least / norms, 0.0).min() * (1 - 1e-9)
-                far = np.flatnonzero(known_longest >= reach)
-                last = int(known_part[far[-1]] + step - 1) if len(far) else 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([last], pa.int64()), pa.array([ids_raw], pa.binary()), pa.array([data_raw], pa.binary()),
-                     pa.array([least.astype("<f8").tobytes()], pa.binary())],
-                    names=["last", "q_ids", "q_data", "least"])
-
-    bounded = materialize(chunks.select("ids", "data").mapInArrow(
-        bound, "last long, q_ids binary, q_data binary, least binary"), "mips-bounds")
-    met = bounded.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.least(
-        F.col("last"), F.lit(n_parts - 1).cast("long")))))
+                yield _query_block(part, last_met(q, least), ids_raw, data_raw, least)
+
+    def raise_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in b.to_pylist():
+                q_ids, q = _read(c["q_ids"], c["q_data"], dim)
+                least = np.frombuffer(c["least"], "<f8").copy()
+                # the ids of a query block ascend and are each there once
+                at = np.searchsorted(q_ids, [f["query_id"] for f in c["kth"] or []])
+                least[at] = np.maximum(least[at], [float(f["score"]) for f in c["kth"] or []])
+                yield _query_block(c["q_part"], last_met(q, least), c["q_ids"], c["q_data"], least)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                c = {n: b.column(n)[i].as_py() for n in ("ids", "data", "q_ids", "q_data", "least")}
+                c = {n: b.column(n)[i].as_py() for n in ("block", "ids", "data", "q_ids", "q_data", "least")}
                 q_ids, q = _read(c["q_ids"], c["q_data"], dim)
                 row, found, score = best_of_block(q_ids, q, np.frombuffer(c["least"], "<f8"),
                                                   *_read(c["ids"], c["data"], dim), axes, k)
                 if len(row):
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(found), pa.array(score)],
-                                                     names=["query_id", "vec_id", "score"])
-
-    pairs = met.join(blocks.select("part", "ids", "data"), "part").select("ids", "data", "q_ids", "q_data", "least")
-    hits = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(row), c["block"])), pa.array(q_ids[row]), pa.array(found), pa.array(score)],
+                        names=["block", "query_id", "vec_id", "score"])
+
+    in_tile = lambda n: min(MOST_IN_TILE, -(-n // LEAST_TILES))
+    side, q_parts = in_tile(n_parts), int(chunks.agg(F.max("part")).first()[0] or 0) + 1
+    q_side = in_tile(q_parts)
+    tiles, q_tiles = -(-n_parts // side), -(-q_parts // q_side)
+    placed = blocks.withColumn("tile", F.floor(F.col("part") / side))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    bounded = materialize(chunks.select("part", "ids", "data").mapInArrow(bound, QUERY_BLOCK), "mips-bounds")
+    best, start, length = None, 0, FIRST_TILES
+    while True:
+        stop = min(tiles, start + length)
+        # never more tiles than the prefix of the query block; the last one is cut by ``part``
+        met = bounded.where(F.col("last") >= start * side).withColumn("tile", F.explode(F.sequence(
+            F.lit(start).cast("long"), F.least(F.floor(F.col("last") / side), F.lit(stop - 1).cast("long")))))
+        there = placed.where((F.col("tile") >= start) & (F.col("tile") < stop)).select(
+            "tile", "part", "ids", "data", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_tiles - 1).cast("long")))
+            .alias("q_tile"))
+        pairs = met.withColumn("q_tile", F.floor(F.col("q_part") / q_side)).join(there, ["tile", "q_tile"]).where(
+            F.col("part") <= F.col("last")).select("block", "ids", "data", "q_ids", "q_data", "least")
+        hits = pairs.mapInArrow(search, "block long, query_id long, vec_id long, score long")
+        hits = hits if best is None else best.drop("rank").unionByName(hits)
+        best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        if stop >= tiles:
+            break
+        best = materialize(best, "mips-best")
+        kth = best.where(F.col("rank") == k).groupBy("block").agg(
+            F.collect_list(F.struct("query_id", "score")).alias("kth"))  # a number per query of the block
+        rest = bounded.where(F.col("last") >= stop * side).join(kth, "block", "left")
+        bounded = materialize(rest.mapInArrow(raise_bounds, QUERY_BLOCK), "mips-bounds")
+        start, length = stop, length * GROWTH
+    return best.select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -76,6 +77,27 @@ def test_mixing_holds_its_targets(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, rows))
 
 
+def test_mixing_copies_have_their_expectation(spark):
+    """A document's expected copies are target / source_size, whatever its size: the mean over the documents
+    of a source and size class, over six seeds, is within five standard errors (independent draws would have them)."""
+    from tessera.llm import mixing
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    total = {}
+    for seed in range(6):
+        rows = [r for r in mixing.mix(docs, seed=seed).collect() if r["size"]]
+        for r in rows:
+            rate = r["target"] / r["source_size"]
+            p = rate - math.floor(rate + 1e-9)
+            key = (r["source"], int(math.log2(r["size"])))
+            n, off, var = total.get(key, (0, 0.0, 0.0))
+            total[key] = (n + 1, off + r["copies"] - rate, var + p * (1 - p))
+            assert math.floor(rate + 1e-9) <= r["copies"] <= math.ceil(rate - 1e-9)
+    large = {k: v for k, v in total.items() if v[0] >= 100}
+    assert large
+    for key, (n, off, var) in large.items():
+        assert abs(off) <= 5 * math.sqrt(var) + 1e-6, (key, n, off, var)
+
+
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 

@@ -146,16 +146,43 @@ def test_topk_ties_nulls_and_lengths(spark):
     assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 65536), (2, 0)]
 
 
-def test_topk_pruning_over_many_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("first, least_tiles, falling", [(8, 64, 3), (1, 64, 3), (1, 5, 3), (2, 64, 1)])
+def test_topk_pruning_over_many_blocks(spark, monkeypatch, first, least_tiles, falling):
     monkeypatch.setattr(mips, "BLOCK_ROWS", 64)
     monkeypatch.setattr(mips, "QUERY_ROWS", 8)
+    monkeypatch.setattr(mips, "FIRST_TILES", first)
+    monkeypatch.setattr(mips, "LEAST_TILES", least_tiles)
     r = random.Random(9)
-    rows = [(i, [r.gauss(0, 1) * 3 ** (-(i % 11)) for _ in range(6)]) for i in range(1_500)]
+    rows = [(i, [r.gauss(0, 1) * falling ** (-(i % 11)) for _ in range(6)]) for i in range(1_500)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = mips.top_inner_products(frame, F.col("vec_id") % 50 == 0).collect()
     assert sorted(tuple(x) for x in got) == brute_topk(rows)
 
 
+def test_topk_rounds_raise_bounds(spark, monkeypatch):
+    """After a round the bounds of a query block are its k-th best scores so far, and its prefix is shorter."""
+    monkeypatch.setattr(mips, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(mips, "QUERY_ROWS", 8)
+    monkeypatch.setattr(mips, "FIRST_TILES", 2)
+    written = []
+    keep = mips.materialize
+    monkeypatch.setattr(mips, "materialize", lambda df, name: written.append((name, keep(df, name))) or written[-1][1])
+    r = random.Random(3)
+    rows = [(i, [abs(r.gauss(0, 1)) * (1 - i / 2_000) for _ in range(4)]) for i in range(1_600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mips.top_inner_products(frame, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(tuple(x) for x in got) == brute_topk(rows)
+    steps = [{b["block"]: (b["last"], np.frombuffer(b["least"])) for b in df.collect()}
+             for name, df in written if name == "mips-bounds"]
+    assert len(steps) >= 2
+    shorter = 0
+    for before, after in zip(steps, steps[1:]):
+        for block, (last, least) in after.items():
+            assert last <= before[block][0] and (least >= before[block][1]).all()
+            shorter += last < before[block][0]
+    assert shorter
+
+
 def test_exact_dots_beyond_doubles():
     q, x = np.array([[2 ** 40, 3]]), np.array([[2 ** 40, 5], [1, 1]])
     assert mips._dots(q, x).tolist() == [[2 ** 63 - 1, 2 ** 40 + 3]]
