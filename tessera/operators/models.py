@@ -142,6 +142,19 @@ def forest(n_trees: int = FOREST_TREES, max_depth: int | None = None, min_leaf:
     return est
 
 
+def forest_regressor(n_trees: int = FOREST_TREES, max_depth: int | None = None, min_leaf: int = 1,
+                     seed: int = 12345, max_bins: int = MAX_BINS, bootstrap: bool = True) -> RandomForestRegressor:
+    """Forest of regression trees; every split may use all features (the reference library's default)."""
+    return RandomForestRegressor(numTrees=n_trees, maxDepth=depth_limit(max_depth), maxBins=max_bins,
+                                 minInstancesPerNode=min_leaf, featureSubsetStrategy="all",
+                                 bootstrap=bootstrap, seed=seed)
+
+
+def logistic(max_iter: int = 500, tol: float = 1e-12) -> LogisticRegression:
+    """Logistic regression without a penalty, iterated until the likelihood stands still."""
+    return LogisticRegression(maxIter=max_iter, tol=tol, regParam=0.0)
+
+
 # ---------------------------------------------------------------- predict --
 
 def predict(model: Model, df: DataFrame, threshold: float | None = None) -> DataFrame:

@@ -161,6 +161,34 @@ def ml_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.transform(s["test"]).select(KEY, "label", (F.round("prediction", 6) + 0.0).alias("prediction"))
 
 
+@register("ml_stump_forest_regressor", _STUMP_SQL + """
+select doc_id, label, round(p1, 9) as prediction from leafs""")
+def ml_stump_forest_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regression forest of 10 depth-1 trees without bootstrap: every tree is the
+    same, and their mean is the stump's prediction of every test row."""
+    s = _stump_splits(spark, sf_dir)
+    m = models.forest_regressor(10, 1, seed=SEED, max_bins=STUMP_BINS, bootstrap=False).fit(s["train"])
+    return models.predict(m, s["test"]).select(KEY, "label", F.round("prediction", 9).alias("prediction"))
+
+
+@register("ml_logistic", _PARTS_SQL + """,
+known as (select p.*, lang from parts p join feats f on p.doc_id = f.doc_id),
+share as (select lang, avg(poor) as p1 from known where part = 'train' group by lang),
+odds as (select doc_id, poor, coalesce(s.p1, (select p1 from share where lang = (select min(lang) from known))) as p1
+         from known k left join share s on k.lang = s.lang where part = 'test')
+select doc_id, cast(poor as double) as label, round(p1 + 1e-7, 5) as p1, cast(p1 > 0.5 as double) as prediction
+from odds""")
+def ml_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic regression on the one-hot language: class and P(1) of every test row.
+
+    Its likelihood is largest where P(1) is each language's share of the target in train, which
+    is what the SQL says.  The 1e-7 keeps exact halves of the last digit on one side."""
+    feats = prep_ops.one_hot(fx.text_features(spark, sf_dir).select(KEY, "lang", TARGET))
+    s = models.prepared_splits(feats, KEY, TARGET, seed=SEED)
+    return models.predict(models.logistic().fit(s["train"]), s["test"]).select(
+        KEY, "label", F.round(F.col("p1") + 1e-7, 5).alias("p1"), "prediction")
+
+
 # ------------------------------------------------------------ trees, forests --
 
 @register("ml_tree_regressor")
