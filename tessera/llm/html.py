@@ -30,8 +30,10 @@ from tessera.llm.common import raw_texts, slices
 PATH_BINS, WORD_BINS, DENSE, HIDDEN = 512, 96, 10, 20
 WIDTH = PATH_BINS + WORD_BINS + DENSE
 TRAIN_PAGES, EPOCHS, SEED = 2_500, 7, 11
+#: Last epochs over whose steps the weights are averaged.
+AVERAGED = 2
 #: Weight of a block's own decision against the mean over the page's blocks with the same path.
-OWN_SHARE = 0.35
+OWN_SHARE = 0.7
 WORDS_KEPT, PATHS_KEPT = 200_000, 20_000
 #: Blocks of the pages that are run through the network together, at most (padding included).
 BATCH_CELLS = 16_384
@@ -376,7 +378,8 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED, batc
     rng = np.random.default_rng(seed)
     mean = {k: np.zeros_like(v) for k, v in model.p.items()}
     square = {k: np.zeros_like(v) for k, v in model.p.items()}
-    done = 0
+    total = {k: np.zeros_like(v) for k, v in model.p.items()}
+    done = summed = 0
     for epoch in range(epochs):
         # pages of like length share a batch; the batches come in random order
         order = np.argsort([n + rng.random() for _, n, _ in data])
@@ -389,12 +392,17 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = SEED, batc
                     x[:, PATH_BINS:PATH_BINS + WORD_BINS] = 0
             grad = model.step(batch_x, [p[2] for p in part])
             done += 1
-            now = rate * (1 - (epoch / epochs)) + 1e-3
+            now = rate * (1 - (done - 1) / (epochs * len(groups))) + 1e-4
             for k, v in grad.items():
                 v = np.clip(v, -1, 1) + 1e-5 * model.p[k]
                 mean[k] = 0.9 * mean[k] + 0.1 * v
                 square[k] = 0.99 * square[k] + 0.01 * v * v
                 model.p[k] -= now * (mean[k] / (1 - 0.9 ** done)) / (np.sqrt(square[k] / (1 - 0.99 ** done)) + 1e-8)
+            if epoch >= epochs - AVERAGED:
+                summed += 1
+                for k, v in model.p.items():
+                    total[k] += v
+    model.p = {k: v / summed for k, v in total.items()} if summed else model.p
     return model
 
 

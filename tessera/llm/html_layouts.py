@@ -60,12 +60,16 @@ class Maker:
     def word(self) -> str:
         return "".join(self.r.choice(SYLLABLES) for _ in range(self.r.choice((1, 1, 2, 2, 2, 3, 4))))
 
+    def number(self) -> str:
+        return self.r.choice((str(self.r.randrange(1_900, 2_030)), str(self.r.randrange(1_000)),
+                              f"{self.r.randrange(100)}.{self.r.randrange(10)}", f"{self.r.randrange(101)} %"))
+
     def prose(self, least: int, most: int) -> str:
         n = self.r.randint(least, most)
         words = []
         start = True
         for i in range(n):
-            w = self.word()
+            w = self.number() if self.r.random() < 0.02 else self.word()
             w = w.capitalize() if start else w
             start = False
             w += self.junk
@@ -127,14 +131,17 @@ class Maker:
             self.emit("".join(f"<div>{x}</div>" for x in items))
 
     def boiler(self, kind: str, tag: str = "div", chance: float = 0.85) -> None:
-        attributes = self.attributes(kind, 1.0 if tag in ("div", "section", "p", "span") else chance - 0.45)
+        named = 0.75 if kind == "comment" else 1.0
+        attributes = self.attributes(kind, named if tag in ("div", "section", "p", "span") else chance - 0.45)
         self.emit(f"<{tag}{attributes}>")
         if kind in ("nav",):
             self.links("nav")
         elif kind == "form":
             self.form()
         elif kind in ("side", "footer", "header"):
-            if self.r.random() < 0.4:
+            if tag == "header" and self.r.random() < 0.5:  # the name of the site
+                self.emit(f"<h1>{self.text(self.prose(1, 3), inline=False)}</h1>")
+            elif self.r.random() < 0.4:
                 h = self.r.choice(("h1", "h2", "h3", "h4", "p")) if kind != "footer" else "p"
                 self.emit(f"<{h}>{self.text(self.phrase(kind))}</{h}>")
             pick = self.r.random()
@@ -146,9 +153,13 @@ class Maker:
             else:
                 self.emit(self.text(self.phrase(kind)))
         elif kind == "comment":
-            if self.r.random() < 0.6:
-                self.emit(f"<h3>{self.text(self.phrase(kind))}</h3>")
+            if not attributes or self.r.random() < 0.6:  # something names the comments
+                h = self.r.choice(("h2", "h3", "h3", "h4", "p"))
+                self.emit(f"<{h}>{self.text(self.r.choice(PHRASES[kind].split('|')) if not attributes else self.phrase(kind))}</{h}>")
             for _ in range(self.r.randint(1, 4)):
+                if self.r.random() < 0.2:
+                    self.emit(f"<p>{self.text(self.prose(3, 30))}</p>")
+                    continue
                 inner = self.r.choice(('<div class="comment">', "<li>", "<div>", "<article>", '<div class="reply">'))
                 end = inner[1:].split()[0].rstrip(">")
                 name = f"<b>{self.word().title()}</b> " if self.r.random() < 0.5 else ""
@@ -185,18 +196,27 @@ class Maker:
             self.emit(f"<{h}>{self.text(self.prose(1, 9), main=True)}</{h}>")
         elif pick < 0.87:
             tag = self.r.choice(("ul", "ol"))
-            items = "".join(f"<li>{self.text(self.prose(1, 20), main=True)}</li>" for _ in range(self.r.randint(1, 5)))
+            most = self.r.choice((4, 20))
+            items = "".join(f"<li>{self.text(self.prose(1, most), main=True)}</li>" for _ in range(self.r.randint(1, 6)))
             self.emit(f"<{tag}>{items}</{tag}>")
         elif pick < 0.91:
             self.emit(f"<blockquote>{self.text(self.prose(4, 40), main=True)}</blockquote>")
         elif pick < 0.94:
             self.emit(f"<pre>{self.text(self.prose(4, 20), main=True)}</pre>")
         elif pick < 0.97:
-            self.emit("<table><tr>" + "".join(f"<td>{self.text(self.prose(1, 6), main=True)}</td>"
-                                              for _ in range(self.r.randint(2, 5))) + "</tr></table>")
+            self.table()
         else:
             self.emit(f"<div>{self.text(self.prose(5, 50), main=True)}</div>")
 
+    def table(self) -> None:
+        columns, numbers = self.r.randint(2, 5), self.r.random() < 0.6
+        cell = lambda tag, least, most: f"<{tag}>{self.text(self.prose(least, most), main=True)}</{tag}>"
+        rows = ["".join(cell("th", 1, 3) for _ in range(columns))] if self.r.random() < 0.5 else []
+        for _ in range(self.r.choice((1, 2, 3, 5))):
+            rows.append("".join(f"<td>{self.text(self.number(), main=True)}</td>" if numbers and self.r.random() < 0.7
+                                else cell("td", 1, 6) for _ in range(columns)))
+        self.emit("<table>" + "".join(f"<tr>{x}</tr>" for x in rows) + "</table>")
+
     def body(self) -> None:
         r = self.r
         before = [k for k, p in (("notice", 0.25), ("header", 0.5), ("nav", 0.7), ("advert", 0.35), ("side", 0.15),

@@ -8,6 +8,8 @@ import pytest
 
 pytest.importorskip("tessera.llm")
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tessera.llm import html, toxicity  # noqa: E402
 
 SF = "/root/testdata/sf0.1"
@@ -82,3 +84,12 @@ def test_passages_hold_the_whole_text():
 ])
 def test_tags_open_with_ascii_letters_and_formulas_and_media_split_no_paragraph(page, want):
     assert [text for text, _ in html.blocks(page)] == want
+
+
+def test_html_pages_by_hand(spark):
+    """Layouts that the generator does not make; comments, notices, menus and adverts go, tables stay whole."""
+    from tests.llm.pages_by_hand import PAGES
+    frame = spark.createDataFrame([(i, page) for i, (page, _) in enumerate(PAGES)], "page_id long, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(frame.withColumn("url", F.lit(None).cast("string"))).collect()}
+    wrong = [i for i, (_, lines) in enumerate(PAGES) if got[i] != "\n".join(lines)]
+    assert len(wrong) <= 1, [got[i] for i in wrong]
