@@ -186,6 +186,39 @@ def test_xlsx_empty_table_keeps_its_header(spark):
     assert [f for f in os.listdir(local_path(d)) if f.endswith(".xlsx")]
 
 
+def test_xlsx_rows_are_zipped_and_read_one_at_a_time():
+    import tracemalloc
+
+    from tessera.sources import workbooks
+    n = 40_000
+    tracemalloc.start()
+    book = workbooks.workbook_bytes(["id", "s", "t"], ((i, f"name {i}", "x" * 80) for i in range(n)))
+    written = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    rows = sum(1 for _ in workbooks.sheet_rows(book))
+    read = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == n + 1
+    assert written < 3 * len(book) + 2_000_000 and read < len(book) + 2_000_000
+
+
+def test_xlsx_books_end_at_their_size_and_lose_no_row(spark, monkeypatch):
+    from tessera.sources import workbooks
+    monkeypatch.setattr(workbooks, "SHEET_BYTES", 1_000)
+    book = workbooks.Workbook(["id"])
+    for i in range(100):
+        assert not book.full()
+        book.add((i,))
+        if book.full():
+            break
+    assert [r[1] for r in workbooks.sheet_rows(book.content())] == [["id"], *[[str(k)] for k in range(i + 1)]]
+    df = spark.range(0, 1000, 1, 2).selectExpr("id", "cast(id as string) as s")
+    d = scratch_dir(spark, "wbz")
+    workbooks.write_xlsx(df, d)
+    assert sorted(map(tuple, workbooks.read_xlsx(spark, d, schema=df.schema).collect())) == [
+        (i, str(i)) for i in range(1000)]
+
+
 def test_xlsx_cells_right_of_the_header_are_kept(spark):
     from tessera.sources import workbooks
     d = local_path(scratch_dir(spark, "wbx"))
