@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -37,13 +38,17 @@ END_ID = 1
 #: Lengths over capacity / LARGE_PARTS are large; they are cut into GROUPS groups.
 LARGE_PARTS, GROUPS = 6, 40
 #: Chunks kept in a worker's cache, in each of two generations, and words of plain chunks.
-CACHE_CHUNKS, CACHE_WORDS = 150_000, 250_000
+CACHE_CHUNKS, CACHE_WORDS = 300_000, 500_000
 #: Pieces that share one rank window, about.
 RANK_ROWS = 100_000
 SPECIAL_BRACKET = b"<|"
+#: Plain chunks that are split in one go; the number after each one's ids, which no vocabulary reaches.
+PLAIN_CHUNKS, NO_ID = 16_384, 0xFFFFFFFF
+CHUNK_END = np.array([NO_ID], dtype="<u4").tobytes()
 
-#: The vocabulary file's own splitting pattern (for plain chunks, which hold no white space).
-PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: The vocabulary file's own splitting pattern (for plain chunks, which hold no white space;
+#: the line feed between two of them is a piece of its own).
+PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n")
 #: Chunks of printable ASCII and Latin-1 letters: stable under NFC, with one-to-one lower case (sharp s as it is).
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
@@ -77,31 +82,43 @@ class ChunkTokenizer:
         self.marker_id = self.tokenizer.token_to_id(self.marker)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"\n": CHUNK_END}
         self.model = self.tokenizer.model
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one piece of a plain chunk, already in lower case."""
-        raw = self.words.get(word)
-        if raw is None:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            spelled = word.encode().decode("latin-1").translate(_LETTERS)
-            raw = np.array([t.id for t in self.model.tokenize(spelled)], dtype="<u4").tobytes()
-            self.words[word] = raw
-        return raw
+    def _learn(self, words: set[str]) -> None:
+        """Take the ids of pieces of plain chunks, already in lower case, into the cache."""
+        tokenize = self.model.tokenize
+        for word in words:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_LETTERS)
+            self.words[word] = array("I", [t.id for t in tokenize(spelled)]).tobytes()
+
+    def _encode_plain(self, chunks: list[bytes], texts: list[str]) -> None:
+        """Ids of plain chunks: all are split in one go, apart by line feeds, which no chunk holds."""
+        words = PLAIN_PIECES.findall("\n".join(texts).lower() + "\n")
+        new = set(words).difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words = {"\n": CHUNK_END}
+            new = set(words).difference(self.words)
+        self._learn(new)
+        raw = b"".join(map(self.words.__getitem__, words))
+        start = 0
+        for c, end in zip(chunks, np.flatnonzero(np.frombuffer(raw, dtype="<u4") == NO_ID).tolist()):
+            self.young[c] = raw[4 * start:4 * end]
+            start = end + 1
 
     def _encode(self, chunks: list[bytes]) -> None:
-        other = []
-        for c in chunks:
-            text = c.decode("utf-8", "replace")
+        plain, texts, other = [], [], []
+        for c, text in zip(chunks, b"\n".join(chunks).decode("utf-8", "replace").split("\n")):
             if SPECIAL_BRACKET in c:
                 self.young[c] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                                          dtype="<u4").tobytes()
             elif PLAIN.fullmatch(text):
-                self.young[c] = b"".join([self._word(w) for w in PLAIN_PIECES.findall(text.lower())])
+                plain.append(c)
+                texts.append(text)
             else:
                 other.append(c)
+        for at in range(0, len(plain), PLAIN_CHUNKS):
+            self._encode_plain(plain[at:at + PLAIN_CHUNKS], texts[at:at + PLAIN_CHUNKS])
         for at in range(0, len(other), 1024):
             part = other[at:at + 1024]
             ids = np.array(self.tokenizer.encode(
@@ -122,9 +139,9 @@ class ChunkTokenizer:
         if len(self.young) > CACHE_CHUNKS:
             self.old, self.young = self.young, {}
         missing = need.difference(self.young)
-        known = missing.intersection(self.old)
+        known = self.old.keys() & missing  # looks up the few missing ones, not the whole cache
         self.young.update((c, self.old[c]) for c in known)
-        self._encode(sorted(missing - known))
+        self._encode(list(missing - known))
         get = self.young.__getitem__
         return [b"".join(map(get, words)) + end for words in lists]
 

@@ -542,3 +542,22 @@ def test_long_conversation_comes_in_parts(spark, monkeypatch):
     parts = chat.format_conversations(frame)
     got = chat.read_back(parts).collect()
     assert len(got) == 1 and got[0]["turns_sha256"] == digest([(r[2], r[3]) for r in rows])
+
+
+def test_plain_chunks_split_in_one_go_are_the_vocabularys_ids(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tessera.llm import packing
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    chunks = ["It's", "IT'S", "a's'b", "x1y22z", "Straße", "ÀÉßÿ×÷", "...", "'", "''s", "don't!", "~a~", "ab" * 500]
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)
+    monkeypatch.setattr(packing, "PLAIN_CHUNKS", 3)
+    tokenizer = packing.ChunkTokenizer(path)
+    for _ in range(2):
+        got = tokenizer.ids([" ".join(chunks).encode(), b"", chunks[0].encode()])
+        assert [np.frombuffer(r, "<u4").tolist() for r in got] == [
+            [i for c in chunks for i in whole.encode(c, add_special_tokens=False).ids] + [packing.END_ID],
+            [packing.END_ID], whole.encode(chunks[0], add_special_tokens=False).ids + [packing.END_ID]]
+        tokenizer.young.clear()
