@@ -26,7 +26,7 @@ import itertools
 import json
 import math
 from collections import Counter
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model
@@ -37,8 +37,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,8 +252,8 @@ Cut = tuple[int | None, int]
 LEAF = "__leaf"
 
 
-def _node_tables(model: Model) -> list[dict]:
-    """The root node of each tree of a tree or forest, read from the fitted model in the JVM.
+def _node_tables(model: Model) -> Iterator[dict]:
+    """The root node of each tree of a tree or forest, read from the fitted model in the JVM one tree at a time.
 
     A node is (prediction, impurityStats with stats and rawCount, and for inner
     nodes leftChild and rightChild).  A model has at most ``trees * 2 ** (depth
@@ -262,7 +263,8 @@ def _node_tables(model: Model) -> list[dict]:
     mapper = jvm.com.fasterxml.jackson.databind.ObjectMapper()
     mapper.registerModule(jvm.com.fasterxml.jackson.module.scala.DefaultScalaModule())
     trees = model._java_obj.trees() if hasattr(model, "trees") else [model._java_obj]
-    return [json.loads(mapper.writeValueAsString(t.rootNode())) for t in trees]
+    for t in trees:
+        yield json.loads(mapper.writeValueAsString(t.rootNode()))
 
 
 def _leaf_at(root: dict, max_depth: int | None) -> set[int]:
@@ -327,13 +329,15 @@ def _constant(values: Sequence[float], of: str) -> str:
     return f"from_json('{json.dumps(list(values))}', 'array<{of}>')"
 
 
-def with_votes(spark: SparkSession, model: Model, df: DataFrame, cuts: Sequence[Cut]) -> DataFrame:
+def with_votes(spark: SparkSession, model: Model, df: DataFrame, cuts: Sequence[Cut],
+               table: Sequence[tuple] | None = None) -> DataFrame:
     """``df`` with ``__v<i>_0`` and ``__v<i>_1``: each tree's shares of the classes under cut i, without a shuffle.
 
     A row's leaf in each tree looks its value up in a constant array that holds
     the leaves of all trees one after the other (bounded by the model).
+    ``table`` holds the leaf values under these cuts, if they are known.
     """
-    table = leaf_values(spark, model, cuts)
+    table = leaf_values(spark, model, cuts) if table is None else table
     sizes = Counter(t for t, _, _ in table)
     before = list(itertools.accumulate([sizes[t] for t in range(len(sizes))], initial=1))[:-1]
     place = f"cast(x as int) + element_at({_constant(before, 'int')}, t + 1)"
@@ -361,19 +365,26 @@ def cut_probabilities(spark: SparkSession, model: Model, df: DataFrame, key: str
 
 
 #: Memory that a level's statistics may take, in MB; a level must be grown as a whole for depths to share a fit.
-LEVEL_MB = 2_048
+LEVEL_MB = 2_560
+#: Leaf values, over all cuts of one projection, that a scoring job looks up.
+VOTE_VALUES = 500_000
 
 
-def shares_depths(n_trees: int, max_depth: int, n_features: int, max_bins: int = MAX_BINS) -> bool:
-    """Whether the widest level of a forest is sure to be grown at once, so that shallower forests are cuts of it."""
-    per_node = 8 * 3 * max_bins * (n_features if n_trees == 1 else math.ceil(math.sqrt(n_features)))
+def shares_depths(n_trees: int, max_depth: int, bins: Sequence[int]) -> bool:
+    """Whether the widest level of a forest is sure to be grown at once, so that shallower forests are cuts of it.
+
+    ``bins`` are the most bins each feature can have; a node's statistics are
+    at most those of the features with the most bins that it may draw.
+    """
+    drawn = len(bins) if n_trees == 1 else math.ceil(math.sqrt(len(bins)))
+    per_node = 8 * 3 * sum(sorted(bins, reverse=True)[:drawn])
     return n_trees * 2 ** max(0, max_depth - 1) * per_node < LEVEL_MB * 2 ** 20
 
 
-def fits_by_depth(depths: Sequence[int], n_trees: int, n_features: int,
+def fits_by_depth(depths: Sequence[int], n_trees: int, bins: Sequence[int],
                   fit: Callable[[int], Model]) -> list[tuple[Model, list[int]]]:
     """(model, the depth limits that are cuts of it): one fit of the largest limit where that is exact, else one each."""
-    if shares_depths(n_trees, max(depths), n_features):
+    if shares_depths(n_trees, max(depths), bins):
         return [(fit(max(depths)), list(depths))]
     return [(fit(d), [d]) for d in depths]
 
@@ -457,7 +468,7 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
     folds = two_classes(_folds(train, key, k, seed).select("features", "label", "fold"))
     parts = {f: (folds.filter(F.col("fold") != f).drop("fold").checkpoint(eager=True),
                  folds.filter(F.col("fold") == f).drop("fold")) for f in range(k)}
-    width = _width(train)
+    bins = feature_bins(train)
 
     def run(job):
         f, leaf = job
@@ -465,7 +476,7 @@ def forest_grid_search(spark: SparkSession, train: DataFrame, key: str,
         binding = sorted({s if s > 2 * leaf else 0 for s in min_split})
         at = {s: binding.index(s if s > 2 * leaf else 0) for s in min_split}
         out = {}
-        for model, depths in fits_by_depth(max_depth, max(n_trees), width, lambda d: forest(
+        for model, depths in fits_by_depth(max_depth, max(n_trees), bins, lambda d: forest(
                 max(n_trees), d, min_leaf=leaf, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn)):
             cuts = [(d, s) for d in depths for s in binding]
             hits = [F.expr(f"count_if(({voted(i, n)}) = (label = 1))").alias(f"h_{i}_{n}")
@@ -527,21 +538,28 @@ def _sweep_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str
                          .alias("accuracy"))
 
 
-def _width(df: DataFrame) -> int:
-    """Number of features (of the first row; all have as many)."""
-    first = df.select("features").first()
-    return len(first["features"]) if first else 0
+def feature_bins(df: DataFrame, max_bins: int = MAX_BINS) -> list[int]:
+    """The most bins that each feature can have: 2 where every value is 0 or 1, ``max_bins`` otherwise."""
+    wide = F.transform(vector_to_array("features"), lambda x: (~x.isin(0.0, 1.0)).cast("double"))
+    marks = df.select(Summarizer.max(array_to_vector(wide)).alias("m")).first()["m"] if df.head(1) else []
+    return [max_bins if m else 2 for m in marks]
 
 
 def _swept(spark: SparkSession, fits: Sequence[tuple[Model, list[int]]], valid: DataFrame, n_trees: int) -> list[tuple]:
-    """(depth, tp, fp, tn, fn) of every depth limit, the cuts of a fit scored in one aggregation over ``valid``."""
+    """(depth, tp, fp, tn, fn) of every depth limit; as many cuts of a fit are scored in one aggregation over
+    ``valid`` as stay within ``VOTE_VALUES`` (the looked-up constants are part of the job)."""
     out = []
     for model, depths in fits:
-        votes = with_votes(spark, model, valid.select("features", "label"), [(d, 0) for d in depths])
-        cells = [f"{'' if yes else 'not '}({voted(i, n_trees)}) and label {'=' if yes == right else '<>'} 1"
-                 for i in range(len(depths)) for yes, right in ((True, True), (True, False), (False, True), (False, False))]
-        r = votes.agg(*[F.expr(f"count_if({c})").alias(f"c{i}") for i, c in enumerate(cells)]).first()
-        out += [(d, *[r[f"c{4 * j + i}"] for i in range(4)]) for j, d in enumerate(depths)]
+        table = leaf_values(spark, model, [(d, 0) for d in depths])
+        step = max(1, VOTE_VALUES // len(table))
+        for at in range(0, len(depths), step):
+            part = depths[at:at + step]
+            votes = with_votes(spark, model, valid.select("features", "label"), [(d, 0) for d in part],
+                               [(t, leaf, v[at:at + step]) for t, leaf, v in table])
+            cells = [f"{'' if yes else 'not '}({voted(i, n_trees)}) and label {'=' if yes == right else '<>'} 1"
+                     for i in range(len(part)) for yes, right in ((True, True), (True, False), (False, True), (False, False))]
+            r = votes.agg(*[F.expr(f"count_if({c})").alias(f"c{i}") for i, c in enumerate(cells)]).first()
+            out += [(d, *[r[f"c{4 * j + i}"] for i in range(4)]) for j, d in enumerate(part)]
     return out
 
 
@@ -553,10 +571,10 @@ def forest_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
 
     Returns (max_depth, n_trees, precision, recall, f1, accuracy).
     """
-    learn, width = two_classes(train), _width(train)
+    learn, bins = two_classes(train), feature_bins(train)
 
     def run(n):
-        fits = fits_by_depth(max_depth, n, width, lambda d: forest(
+        fits = fits_by_depth(max_depth, n, bins, lambda d: forest(
             n, d, weighted=weighted, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn))
         return {(d, n): (d, n, *counts) for d, *counts in _swept(spark, fits, valid, n)}
 
@@ -574,7 +592,7 @@ def tree_depth_sweep(spark: SparkSession, train: DataFrame, valid: DataFrame,
     Returns (max_depth, precision, recall, f1, accuracy).
     """
     learn = two_classes(train)
-    fits = fits_by_depth(max_depth, 1, _width(train), lambda d: tree(
+    fits = fits_by_depth(max_depth, 1, feature_bins(train), lambda d: tree(
         d, min_leaf=min_leaf, weighted=weighted, seed=seed).setMaxMemoryInMB(LEVEL_MB).fit(learn))
     rows = {r[0]: r for r in _swept(spark, fits, valid, 1)}
     return _sweep_table(spark, [rows[d] for d in max_depth], ("max_depth",))

@@ -201,3 +201,16 @@ def test_scoring_a_search_shuffles_no_rows(spark):
     p = models.cut_probabilities(spark, m, df, "k", [(None, 0), (None, 8)], [3, 7])
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
+
+
+def test_two_valued_features_count_two_bins_and_cuts_are_scored_in_parts(spark, monkeypatch):
+    rows = [(i, Vectors.dense([float(i % 37), float(i % 2), 1.0]), float(i % 5 == 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, ["k", "features", "label"])
+    assert models.feature_bins(df) == [models.MAX_BINS, 2, 2]
+    assert models.feature_bins(df.limit(0)) == []
+    # four numbers and 22 dummies: every forest of the sweep shares one fit; 26 numbers would not
+    assert models.shares_depths(50, 15, [32] * 4 + [2] * 22)
+    assert not models.shares_depths(50, 15, [32] * 26)
+    want = models.forest_sweep(spark, df, df, [1, 3, 5], [4], seed=5).collect()
+    monkeypatch.setattr(models, "VOTE_VALUES", 1)
+    assert models.forest_sweep(spark, df, df, [1, 3, 5], [4], seed=5).collect() == want
